@@ -67,3 +67,53 @@ def digest_requests(points_df: DataFrame) -> DataFrame:
                      F.lit(None).cast("string").alias("collection_name"),
                      "community_id", "platform_id"),
         )).alias("r")).select("r.*")
+
+
+# --- platform registry (from customer) ----------------------------------------
+
+MODULE_WIDTH = 100  # platform entries per module document (bounded nesting)
+
+
+def _platform_name(k: Column) -> Column:
+    return (F.when(k % 3 == 0, F.lit("mediaWiki"))
+            .when(k % 3 == 1, F.lit("website"))
+            .otherwise(F.lit("discord")))
+
+
+def registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(modules, platforms)``: one platform per customer, named by
+    ``c_custkey%3`` (mediaWiki / website / discord), in the community of its
+    nation. Module documents group up to ``MODULE_WIDTH`` platforms of one
+    community, entries in key order. Corner cases: ``activated`` missing
+    (``%17=0``), false (``%4=0``); platform document missing (``%11=0``);
+    baseURL NULL (``%7=0``); path NULL (``%13=0``); no namespaces (``%5=0``);
+    no resources (``%6=0``); an ftp resource (``%9=0``).
+    """
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    k = F.col("c_custkey")
+    community = F.concat(F.lit("comm"), _s(F.col("c_nationkey")))
+    pid = F.concat(F.lit("pf"), _s(k))
+    activated = F.when(k % 17 == 0, F.lit(None).cast("boolean")).otherwise(k % 4 != 0)
+    entry = F.struct(pid.alias("platform"), _platform_name(k).alias("name"),
+                     F.struct(activated.alias("activated")).alias("metadata"))
+    modules = (cust.groupBy(F.col("c_nationkey"), F.floor(k / MODULE_WIDTH).alias("_chunk"))
+               .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("_es"))
+               .select(F.lit("hivemind").alias("name"),
+                       F.concat(F.lit("comm"), _s(F.col("c_nationkey"))).alias("community"),
+                       F.lit(True).alias("activated"),
+                       F.struct(F.transform("_es", lambda x: x["e"]).alias("platforms")).alias("options")))
+    site = F.concat(F.lit("https://site"), _s(k), F.lit(".example.com/"))
+    resources = (F.when(k % 6 == 0, F.array().cast("array<string>"))
+                 .when(k % 9 == 0, F.array(F.concat(F.lit("ftp://files"), _s(k), F.lit(".example.com/")), site))
+                 .otherwise(F.array(site, F.concat(site, F.lit("docs")))))
+    metadata = F.struct(
+        F.when(k % 7 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("http://wiki"), _s(k), F.lit(".example.org"))).alias("baseURL"),
+        F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.lit("/w/api.php")).alias("path"),
+        F.when(k % 5 == 0, F.array().cast("array<int>"))
+        .otherwise(F.array(F.lit(0), (k % 4 + 1).cast("int"))).alias("namespaces"),
+        resources.alias("resources"))
+    platforms = cust.filter(k % 11 != 0).select(
+        pid.alias("_id"), _platform_name(k).alias("name"), community.alias("community"),
+        metadata.alias("metadata"))
+    return modules, platforms

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, period_threshold
 from ..operators import digest as dg
+from ..operators import registry as rg
 from ..operators import summaries as sm
 from ..sources.tables import read_table
 from . import adapters as ad
@@ -96,3 +97,31 @@ def q_digest_since_date(spark, sf_dir):
 @register("digest_prompt")
 def q_digest_prompt(spark, sf_dir):
     return dg.digest_prompt(_digest(spark, sf_dir, "72h"))
+
+
+# --- platform registry -----------------------------------------------------------
+
+def _joined(arr, sep: str):
+    return F.array_join(F.col(arr).cast("array<string>"), sep)
+
+
+@register("wiki_jobs")
+def q_wiki_jobs(spark, sf_dir):
+    modules, platforms = ad.registry(spark, sf_dir)
+    return rg.wiki_jobs(modules, platforms).select(
+        "community_id", "platform_id", F.col("position").cast("bigint").alias("position"),
+        _joined("namespaces", ",").alias("namespaces"), "base_url")
+
+
+@register("site_jobs")
+def q_site_jobs(spark, sf_dir):
+    modules, platforms = ad.registry(spark, sf_dir)
+    return rg.site_jobs(modules, platforms).select(
+        "community_id", "platform_id", F.col("position").cast("bigint").alias("position"),
+        _joined("urls", " ").alias("urls"))
+
+
+@register("job_rejects")
+def q_job_rejects(spark, sf_dir):
+    modules, platforms = ad.registry(spark, sf_dir)
+    return rg.job_rejects(modules, platforms)

@@ -174,3 +174,54 @@ SELECT request_id, collection,
        'Please provide a concise summary of the following content, focusing on the key points and main themes. '
        || {NL} || {NL} || 'Content:' || {NL} || digest AS prompt
 FROM digests WHERE status = 'ok' AND n_texts > 0"""
+
+
+REGISTRY_CTE = """cust AS (SELECT c_custkey AS k, c_nationkey FROM customer),
+entries AS (
+  SELECT 'comm' || CAST(c_nationkey AS VARCHAR) AS community_id,
+         'pf' || CAST(k AS VARCHAR) AS platform_id,
+         row_number() OVER (PARTITION BY c_nationkey, k // 100 ORDER BY k) - 1 AS position,
+         CASE k % 3 WHEN 0 THEN 'mediaWiki' WHEN 1 THEN 'website' ELSE 'discord' END AS name,
+         CASE WHEN k % 17 = 0 THEN NULL ELSE k % 4 <> 0 END AS activated
+  FROM cust),
+plat AS (
+  SELECT 'pf' || CAST(k AS VARCHAR) AS _id,
+         CASE WHEN k % 7 = 0 THEN NULL ELSE 'http://wiki' || CAST(k AS VARCHAR) || '.example.org' END AS baseURL,
+         CASE WHEN k % 13 = 0 THEN NULL ELSE '/w/api.php' END AS path,
+         CASE WHEN k % 5 = 0 THEN []::INTEGER[] ELSE [0, CAST(k % 4 + 1 AS INTEGER)] END AS namespaces,
+         CASE WHEN k % 6 = 0 THEN []::VARCHAR[]
+              WHEN k % 9 = 0 THEN ['ftp://files' || CAST(k AS VARCHAR) || '.example.com/',
+                                   'https://site' || CAST(k AS VARCHAR) || '.example.com/']
+              ELSE ['https://site' || CAST(k AS VARCHAR) || '.example.com/',
+                    'https://site' || CAST(k AS VARCHAR) || '.example.com/docs'] END AS resources
+  FROM cust WHERE k % 11 <> 0),
+wiki AS (
+  SELECT e.community_id, e.platform_id, e.position, p.baseURL, p.path, p.namespaces,
+         CASE WHEN p._id IS NULL THEN 'platform_not_found'
+              WHEN p.baseURL IS NULL AND p.path IS NULL THEN 'bad_url_fields'
+              WHEN e.activated IS NULL THEN 'missing_activated'
+              WHEN NOT e.activated THEN 'not_activated'
+              WHEN coalesce(len(p.namespaces), 0) <= 0 THEN 'no_namespaces'
+              WHEN p.baseURL IS NULL OR p.path IS NULL THEN 'bad_url_fields' END AS reason
+  FROM entries e LEFT JOIN plat p ON e.platform_id = p._id WHERE e.name = 'mediaWiki'),
+site AS (
+  SELECT e.community_id, e.platform_id, e.position, p.resources,
+         CASE WHEN p._id IS NULL THEN 'platform_not_found'
+              WHEN e.activated IS NULL THEN 'missing_activated'
+              WHEN NOT e.activated THEN 'not_activated' END AS reason
+  FROM entries e LEFT JOIN plat p ON e.platform_id = p._id WHERE e.name = 'website')"""
+
+ORACLE["wiki_jobs"] = f"""WITH {REGISTRY_CTE}
+SELECT community_id, platform_id, position, array_to_string(namespaces, ',') AS namespaces,
+       baseURL || path AS base_url
+FROM wiki WHERE reason IS NULL"""
+
+ORACLE["site_jobs"] = f"""WITH {REGISTRY_CTE}
+SELECT community_id, platform_id, position, array_to_string(resources, ' ') AS urls
+FROM site WHERE reason IS NULL"""
+
+ORACLE["job_rejects"] = f"""WITH {REGISTRY_CTE}
+SELECT kind, reason, count(*) AS n FROM (
+  SELECT 'mediaWiki' AS kind, reason FROM wiki WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT 'website', reason FROM site WHERE reason IS NOT NULL) GROUP BY kind, reason"""
