@@ -117,3 +117,49 @@ def registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         pid.alias("_id"), _platform_name(k).alias("name"), community.alias("community"),
         metadata.alias("metadata"))
     return modules, platforms
+
+
+# --- web (from pages, orders, customer) -------------------------------------------
+
+SITEMAP_WIDTH = 50  # <url> entries per generated sitemap file
+
+
+def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sitemap XML texts listing the pages of each host, ``SITEMAP_WIDTH``
+    pages per file (``page_id div 50``). Every loc has surrounding spaces;
+    ``page_id%5=0`` is listed twice, ``page_id%7=0`` adds an ftp link."""
+    from ..functions.text import url_host, xml_escape
+    pg = read_table(spark, sf_dir, "pages", ["page_id", "url"])
+    host = url_host("url")
+    one = F.concat(F.lit("<url><loc> "), xml_escape("url"), F.lit(" </loc></url>"))
+    ftp = F.concat(F.lit("<url><loc>ftp://"), host, F.lit("/file"), _s(F.col("page_id")), F.lit("</loc></url>"))
+    entry = F.concat(one,
+                     F.when(F.col("page_id") % 5 == 0, one).otherwise(F.lit("")),
+                     F.when(F.col("page_id") % 7 == 0, ftp).otherwise(F.lit("")))
+    chunk = F.floor(F.col("page_id") / SITEMAP_WIDTH)
+    grouped = (pg.groupBy(host.alias("host"), chunk.alias("chunk"))
+               .agg(F.sort_array(F.collect_list(F.struct("page_id", entry.alias("e")))).alias("es")))
+    return grouped.select(
+        F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml?part="), _s(F.col("chunk"))).alias("sitemap_url"),
+        F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'
+                       '<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'),
+                 F.array_join(F.transform("es", lambda x: x["e"]), ""),
+                 F.lit("</urlset>")).alias("content"))
+
+
+def _shop(kind: str, key: Column) -> Column:
+    return F.concat(F.lit(f"https://shop.example.com/{kind}/"), _s(key))
+
+
+def link_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(seeds, edges)`` of a shop site: a customer page links to its order
+    pages, an order page links to the next customer's page. Every customer
+    page is a seed."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey"])
+    edges = orders.select(_shop("customer", F.col("o_custkey")).alias("src"),
+                          _shop("order", F.col("o_orderkey")).alias("dst")).unionByName(
+        orders.select(_shop("order", F.col("o_orderkey")).alias("src"),
+                      _shop("customer", F.col("o_custkey") + 1).alias("dst")))
+    seeds = cust.select(_shop("customer", F.col("c_custkey")).alias("seed"))
+    return seeds, edges

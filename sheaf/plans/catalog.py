@@ -17,6 +17,7 @@ from ..functions.dates import epoch_seconds, period_threshold
 from ..operators import digest as dg
 from ..operators import registry as rg
 from ..operators import summaries as sm
+from ..operators import web as wb
 from ..sources.tables import read_table
 from . import adapters as ad
 
@@ -125,3 +126,48 @@ def q_site_jobs(spark, sf_dir):
 def q_job_rejects(spark, sf_dir):
     modules, platforms = ad.registry(spark, sf_dir)
     return rg.job_rejects(modules, platforms)
+
+
+# --- website ----------------------------------------------------------------------
+
+@register("crawled_pages")
+def q_crawled_pages(spark, sf_dir):
+    return wb.crawled_pages(read_table(spark, sf_dir, "pages", ["url", "html"]))
+
+
+@register("web_documents")
+def q_web_documents(spark, sf_dir):
+    docs = wb.page_documents(wb.crawled_pages(read_table(spark, sf_dir, "pages", ["url", "html"])))
+    return docs.select("doc_id", "text", F.col("metadata")["title"].alias("meta_title"),
+                       F.col("metadata")["url"].alias("meta_url"))
+
+
+@register("web_links")
+def q_web_links(spark, sf_dir):
+    return wb.page_links(read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
+
+
+@register("sitemap_links")
+def q_sitemap_links(spark, sf_dir):
+    return wb.sitemap_links(ad.sitemaps(spark, sf_dir))
+
+
+@register("seed_check")
+def q_seed_check(spark, sf_dir):
+    modules, platforms = ad.registry(spark, sf_dir)
+    return wb.check_seeds(rg.site_jobs(modules, platforms))
+
+
+def _frontier(spark, sf_dir):
+    seeds, edges = ad.link_graph(spark, sf_dir)
+    return wb.crawl_frontier(seeds, edges, budget=wb.PAGES_PER_SEED, max_depth=3)
+
+
+@register("crawl_frontier")
+def q_crawl_frontier(spark, sf_dir):
+    return _frontier(spark, sf_dir).withColumn("depth", F.col("depth").cast("bigint"))
+
+
+@register("crawl_union")
+def q_crawl_union(spark, sf_dir):
+    return wb.crawl_union(_frontier(spark, sf_dir)).withColumn("min_depth", F.col("min_depth").cast("bigint"))

@@ -225,3 +225,97 @@ SELECT kind, reason, count(*) AS n FROM (
   SELECT 'mediaWiki' AS kind, reason FROM wiki WHERE reason IS NOT NULL
   UNION ALL
   SELECT 'website', reason FROM site WHERE reason IS NOT NULL) GROUP BY kind, reason"""
+
+
+# --- website ----------------------------------------------------------------------
+
+def _decode(x: str) -> str:
+    from ..functions.text import HTML_ENTITIES
+    for src, dst in HTML_ENTITIES:
+        x = f"replace({x}, '{src}', '{dst.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+def _collapse(x: str) -> str:
+    return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))"
+
+
+def html_title_sql(h: str = "html") -> str:
+    return _collapse(_decode(f"regexp_extract({h}, '(?is)<title[^>]*>(.*?)</title>', 1)"))
+
+
+def html_text_sql(h: str = "html") -> str:
+    t = f"regexp_replace({h}, '(?is)^.*?<body[^>]*>', '')"
+    t = f"regexp_replace({t}, '(?is)</body>.*$', '')"
+    t = f"regexp_replace({t}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?s)<!--.*?-->', ' ', 'g')"
+    t = f"regexp_replace({t}, '<[^>]*>', ' ', 'g')"
+    return _collapse(_decode(t))
+
+
+def resolve_sql(url: str, href: str) -> str:
+    origin = f"regexp_extract({url}, '^(https?://[^/?#]+)', 1)"
+    scheme = f"regexp_extract({url}, '^(https?):', 1)"
+    d = f"regexp_extract({url}, '^(https?://[^?#]*/)', 1)"
+    directory = f"(CASE WHEN {d} = '' THEN {origin} || '/' ELSE {d} END)"
+    resolved = f"""(CASE WHEN regexp_matches({href}, '^https?://') THEN {href}
+            WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href}
+            WHEN {href} = '' OR starts_with({href}, '#') THEN NULL
+            WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+            WHEN starts_with({href}, '/') THEN {origin} || {href}
+            ELSE {directory} || {href} END)"""
+    return f"(CASE WHEN {origin} <> '' THEN regexp_replace({resolved}, '#.*$', '') END)"
+
+
+ORACLE["crawled_pages"] = f"""SELECT url, {html_title_sql()} AS title, {html_text_sql()} AS inner_text,
+       contains(url, 'sitemap.xml') AS is_sitemap FROM pages"""
+
+ORACLE["web_documents"] = f"""SELECT url AS doc_id, {html_text_sql()} AS text,
+       {html_title_sql()} AS meta_title, url AS meta_url FROM pages"""
+
+ORACLE["web_links"] = f"""WITH l AS (
+  SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a[^>]*href="([^"]*)"', 1)) AS href FROM pages),
+r AS (SELECT page_id, {resolve_sql('url', 'href')} AS link FROM l)
+SELECT page_id, link, count(*) AS n_refs FROM r WHERE link IS NOT NULL GROUP BY page_id, link"""
+
+ORACLE["sitemap_links"] = r"""SELECT DISTINCT
+       'https://' || regexp_extract(url, '^https?://([^/?#:]+)', 1) || '/sitemap.xml?part='
+         || CAST(page_id // 50 AS VARCHAR) AS sitemap_url,
+       url AS link
+FROM pages"""
+
+ORACLE["seed_check"] = f"""WITH {REGISTRY_CTE},
+s AS (
+  SELECT community_id, platform_id, coalesce(resources, []::VARCHAR[]) AS u FROM site WHERE reason IS NULL),
+c AS (
+  SELECT community_id, platform_id, len(u) AS n_urls,
+         len(list_filter(u, lambda x: starts_with(x, 'http://') OR starts_with(x, 'https://'))) AS n_valid
+  FROM s)
+SELECT community_id, platform_id, CAST(n_urls AS BIGINT) AS n_urls, CAST(n_valid AS BIGINT) AS n_valid,
+       CASE WHEN coalesce(community_id, '') = '' THEN 'no_community'
+            WHEN n_urls = 0 THEN 'no_urls'
+            WHEN n_valid < n_urls THEN 'invalid_url' ELSE 'ok' END AS status
+FROM c"""
+
+FRONTIER_CTE = """RECURSIVE edges AS (
+  SELECT 'https://shop.example.com/customer/' || CAST(o_custkey AS VARCHAR) AS src,
+         'https://shop.example.com/order/' || CAST(o_orderkey AS VARCHAR) AS dst FROM orders
+  UNION
+  SELECT 'https://shop.example.com/order/' || CAST(o_orderkey AS VARCHAR),
+         'https://shop.example.com/customer/' || CAST(o_custkey + 1 AS VARCHAR) FROM orders),
+seeds AS (SELECT 'https://shop.example.com/customer/' || CAST(c_custkey AS VARCHAR) AS seed FROM customer),
+walk(seed, url, depth) AS (
+  SELECT seed, seed, 0 FROM seeds
+  UNION
+  SELECT w.seed, e.dst, w.depth + 1 FROM walk w JOIN edges e ON w.url = e.src WHERE w.depth < 3),
+best AS (SELECT seed, url, min(depth) AS depth FROM walk GROUP BY seed, url),
+frontier AS (
+  SELECT seed, url, CAST(depth AS BIGINT) AS depth FROM (
+    SELECT *, row_number() OVER (PARTITION BY seed ORDER BY depth, url) AS rn FROM best) WHERE rn <= 20)"""
+
+ORACLE["crawl_frontier"] = f"""WITH {FRONTIER_CTE}
+SELECT * FROM frontier"""
+
+ORACLE["crawl_union"] = f"""WITH {FRONTIER_CTE}
+SELECT url, count(*) AS n_copies, min(depth) AS min_depth FROM frontier GROUP BY url"""
