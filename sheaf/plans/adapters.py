@@ -111,7 +111,7 @@ def registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         .otherwise(F.concat(F.lit("http://wiki"), _s(k), F.lit(".example.org"))).alias("baseURL"),
         F.when(k % 13 == 0, F.lit(None).cast("string")).otherwise(F.lit("/w/api.php")).alias("path"),
         F.when(k % 5 == 0, F.array().cast("array<int>"))
-        .otherwise(F.array(F.lit(0), (k % 4 + 1).cast("int"))).alias("namespaces"),
+        .otherwise(F.array(F.lit(0), (k % 4).cast("int"))).alias("namespaces"),
         resources.alias("resources"))
     platforms = cust.filter(k % 11 != 0).select(
         pid.alias("_id"), _platform_name(k).alias("name"), community.alias("community"),
@@ -163,3 +163,57 @@ def link_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                       _shop("customer", F.col("o_custkey") + 1).alias("dst")))
     seeds = cust.select(_shop("customer", F.col("c_custkey")).alias("seed"))
     return seeds, edges
+
+
+# --- MediaWiki (from documents, customer) ---------------------------------------------
+
+XML_ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\r]"
+DUMP_WIDTH = 200  # pages per generated dump file
+
+
+def wiki_source_text(text: Column) -> Column:
+    """Document text as it survives an XML round trip (characters illegal
+    in XML and carriage returns removed)."""
+    return F.regexp_replace(text, XML_ILLEGAL, "")
+
+
+def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``<page>`` element per document (``doc_id, community_id,
+    platform_id, xml``). ``doc_id%3``: 0 → no revision, 1 → one, 2 → a draft
+    revision first, then the current one. Comment absent (``%5=0``) or empty
+    (``%5=1``); contributor absent (``%6=0``) or an IP (``%6=1``); no parent
+    id (``%4=0``); namespace ``doc_id%4``. The page belongs to platform
+    ``pf{doc_id}`` in the community of customer ``doc_id``."""
+    from ..functions.text import xml_escape
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    d = F.col("doc_id")
+    ds = _s(d)
+    contributor = (F.when(d % 6 == 0, F.lit(""))
+                   .when(d % 6 == 1, F.concat(F.lit("<contributor><ip>10.0.0."), _s(d % 250),
+                                              F.lit("</ip></contributor>")))
+                   .otherwise(F.concat(F.lit("<contributor><username>user"), _s(d % 7),
+                                       F.lit("</username><id>"), _s(d % 7), F.lit("</id></contributor>"))))
+    comment = (F.when(d % 5 == 0, F.lit("")).when(d % 5 == 1, F.lit("<comment/>"))
+               .otherwise(F.concat(F.lit("<comment>edit "), ds, F.lit("</comment>"))))
+    parent = F.when(d % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("<parentid>"), _s(d * 10), F.lit("</parentid>")))
+    ts = F.concat(F.lit("2024-01-"), F.lpad(_s(d % 28 + 1), 2, "0"), F.lit("T"),
+                  F.lpad(_s(d % 24), 2, "0"), F.lit(":00:00Z"))
+    current = F.concat(
+        F.lit("<revision><id>"), _s(d * 10 + 1), F.lit("</id>"), parent,
+        F.lit("<timestamp>"), ts, F.lit("</timestamp>"), contributor, comment,
+        F.lit('<model>wikitext</model><format>text/x-wiki</format><text xml:space="preserve">'),
+        xml_escape(wiki_source_text(F.col("text"))), F.lit("</text><sha1>sha"), ds, F.lit("</sha1></revision>"))
+    draft = F.concat(
+        F.lit("<revision><id>"), _s(d * 10), F.lit("</id><timestamp>2023-12-01T00:00:00Z</timestamp>"),
+        contributor, F.lit("<comment>draft</comment><model>wikitext</model><format>text/x-wiki</format>"
+                           '<text xml:space="preserve">draft of '), ds,
+        F.lit("</text><sha1>draft"), ds, F.lit("</sha1></revision>"))
+    revisions = F.when(d % 3 == 0, F.lit("")).when(d % 3 == 1, current).otherwise(F.concat(draft, current))
+    xml = F.concat(F.lit("<page><title>Page "), ds, F.lit(" &amp; notes</title><ns>"), _s(d % 4),
+                   F.lit("</ns><id>"), ds, F.lit("</id>"), revisions, F.lit("</page>"))
+    return docs.join(cust, docs.doc_id == cust.c_custkey, "left").select(
+        "doc_id",
+        F.concat(F.lit("comm"), _s(F.col("c_nationkey"))).alias("community_id"),
+        F.concat(F.lit("pf"), ds).alias("platform_id"),
+        xml.alias("xml"))

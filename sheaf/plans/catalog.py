@@ -18,6 +18,10 @@ from ..operators import digest as dg
 from ..operators import registry as rg
 from ..operators import summaries as sm
 from ..operators import web as wb
+from ..operators import wiki as wk
+from ..quality import split_valid
+from ..session import scratch_path
+from ..sources import wiki as wsrc
 from ..sources.tables import read_table
 from . import adapters as ad
 
@@ -171,3 +175,61 @@ def q_crawl_frontier(spark, sf_dir):
 @register("crawl_union")
 def q_crawl_union(spark, sf_dir):
     return wb.crawl_union(_frontier(spark, sf_dir)).withColumn("min_depth", F.col("min_depth").cast("bigint"))
+
+
+# --- MediaWiki -----------------------------------------------------------------------
+
+def _wiki_flat(spark, sf_dir):
+    return wk.flatten_pages(wsrc.parse_pages(ad.wiki_xml(spark, sf_dir)))
+
+
+def _doc_columns(docs):
+    return docs.select("doc_id", "text", *[F.col("metadata")[k].alias(k) for k in wk.METADATA_KEYS])
+
+
+@register("wiki_documents")
+def q_wiki_documents(spark, sf_dir):
+    docs = wk.page_documents(_wiki_flat(spark, sf_dir))
+    ok, _ = split_valid(docs)
+    return _doc_columns(ok)
+
+
+@register("wiki_current")
+def q_wiki_current(spark, sf_dir):
+    pages = wsrc.parse_pages(ad.wiki_xml(spark, sf_dir))
+    return wk.current_revisions(pages, namespaces=[0, 2])
+
+
+def _wiki_job_flat(spark, sf_dir):
+    modules, platforms = ad.registry(spark, sf_dir)
+    jobs = rg.wiki_jobs(modules, platforms)
+    return wk.job_pages(jobs, _wiki_flat(spark, sf_dir))
+
+
+@register("wiki_job_pages")
+def q_wiki_job_pages(spark, sf_dir):
+    return _wiki_job_flat(spark, sf_dir).select("community_id", "platform_id", "page_id", "namespace")
+
+
+@register("job_counts")
+def q_job_counts(spark, sf_dir):
+    return wk.job_counts(_wiki_job_flat(spark, sf_dir))
+
+
+def _dump(spark, sf_dir):
+    path = scratch_path(spark, "wiki-dump")
+    pages = ad.wiki_xml(spark, sf_dir).select(
+        F.floor(F.col("doc_id") / ad.DUMP_WIDTH).alias("part"), F.col("doc_id").alias("_order"), "xml")
+    return wsrc.write_dump(pages, path)
+
+
+@register("wiki_dump_pages")
+def q_wiki_dump_pages(spark, sf_dir):
+    pages = wsrc.read_dump(spark, _dump(spark, sf_dir), glob="*.txt")
+    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(pages)))
+    return _doc_columns(ok)
+
+
+@register("wiki_siteinfo")
+def q_wiki_siteinfo(spark, sf_dir):
+    return wsrc.read_siteinfo(spark, _dump(spark, sf_dir), glob="*.txt").drop("file")

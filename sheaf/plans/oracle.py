@@ -188,7 +188,7 @@ plat AS (
   SELECT 'pf' || CAST(k AS VARCHAR) AS _id,
          CASE WHEN k % 7 = 0 THEN NULL ELSE 'http://wiki' || CAST(k AS VARCHAR) || '.example.org' END AS baseURL,
          CASE WHEN k % 13 = 0 THEN NULL ELSE '/w/api.php' END AS path,
-         CASE WHEN k % 5 = 0 THEN []::INTEGER[] ELSE [0, CAST(k % 4 + 1 AS INTEGER)] END AS namespaces,
+         CASE WHEN k % 5 = 0 THEN []::INTEGER[] ELSE [0, CAST(k % 4 AS INTEGER)] END AS namespaces,
          CASE WHEN k % 6 = 0 THEN []::VARCHAR[]
               WHEN k % 9 = 0 THEN ['ftp://files' || CAST(k AS VARCHAR) || '.example.com/',
                                    'https://site' || CAST(k AS VARCHAR) || '.example.com/']
@@ -319,3 +319,62 @@ SELECT * FROM frontier"""
 
 ORACLE["crawl_union"] = f"""WITH {FRONTIER_CTE}
 SELECT url, count(*) AS n_copies, min(depth) AS min_depth FROM frontier GROUP BY url"""
+
+
+# --- MediaWiki -----------------------------------------------------------------------
+
+WIKI_CTE = r"""wd AS (
+  SELECT doc_id AS d, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\r]', '', 'g') AS txt,
+         '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T'
+           || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00Z' AS ts
+  FROM documents),
+wiki_docs AS (
+  SELECT CAST(d AS VARCHAR) AS doc_id,
+         CASE WHEN d % 3 = 2 THEN 'draft of ' || CAST(d AS VARCHAR) ELSE txt END AS text,
+         'Page ' || CAST(d AS VARCHAR) || ' & notes' AS title,
+         CAST(d % 4 AS VARCHAR) AS namespace,
+         CAST(CASE WHEN d % 3 = 2 THEN d * 10 ELSE d * 10 + 1 END AS VARCHAR) AS revision_id,
+         CASE WHEN d % 3 = 2 OR d % 4 = 0 THEN NULL ELSE CAST(d * 10 AS VARCHAR) END AS parent_revision_id,
+         CASE WHEN d % 3 = 2 THEN '2023-12-01T00:00:00Z' ELSE ts END AS timestamp,
+         CASE WHEN d % 3 = 2 THEN 'draft' WHEN d % 5 = 0 THEN '' WHEN d % 5 = 1 THEN NULL
+              ELSE 'edit ' || CAST(d AS VARCHAR) END AS comment,
+         CASE WHEN d % 6 IN (0, 1) THEN NULL ELSE 'user' || CAST(d % 7 AS VARCHAR) END AS contributor_username,
+         CASE WHEN d % 6 IN (0, 1) THEN NULL ELSE CAST(d % 7 AS VARCHAR) END AS contributor_user_id,
+         CASE WHEN d % 3 = 2 THEN 'draft' || CAST(d AS VARCHAR) ELSE 'sha' || CAST(d AS VARCHAR) END AS sha1,
+         'wikitext' AS model,
+         CAST(d AS VARCHAR) AS ref_doc_id
+  FROM wd WHERE d % 3 <> 0)"""
+
+ORACLE["wiki_documents"] = f"""WITH {WIKI_CTE}
+SELECT * FROM wiki_docs"""
+
+ORACLE["wiki_dump_pages"] = ORACLE["wiki_documents"]
+
+ORACLE["wiki_siteinfo"] = """SELECT DISTINCT 'Wiki ' || CAST(doc_id // 200 AS VARCHAR) AS sitename,
+       'wiki' || CAST(doc_id // 200 AS VARCHAR) AS dbname,
+       'https://wiki.example.org/' AS base, 'MediaWiki 1.39' AS generator
+FROM documents"""
+
+ORACLE["wiki_current"] = f"""WITH {WIKI_CTE}
+SELECT CAST(d AS VARCHAR) AS page_id, CAST(d % 4 AS VARCHAR) AS namespace,
+       CAST(d * 10 + 1 AS VARCHAR) AS revision_id, ts AS timestamp
+FROM wd WHERE d % 3 <> 0 AND d % 4 IN (0, 2)"""
+
+WIKI_JOB_CTE = f"""{REGISTRY_CTE},
+wpages AS (
+  SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) AS community_id, 'pf' || CAST(d.doc_id AS VARCHAR) AS platform_id,
+         CAST(d.doc_id AS VARCHAR) AS page_id, CAST(d.doc_id % 4 AS VARCHAR) AS namespace, d.doc_id
+  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id),
+jp AS (
+  SELECT p.* FROM wpages p JOIN wiki w
+    ON w.reason IS NULL AND p.community_id = w.community_id AND p.platform_id = w.platform_id
+  WHERE list_contains(w.namespaces, CAST(p.namespace AS INTEGER)))"""
+
+ORACLE["wiki_job_pages"] = f"""WITH {WIKI_JOB_CTE}
+SELECT community_id, platform_id, page_id, namespace FROM jp"""
+
+ORACLE["job_counts"] = f"""WITH {WIKI_JOB_CTE}
+SELECT community_id, platform_id, count(*) AS n_pages,
+       count(*) FILTER (WHERE doc_id % 3 <> 0) AS n_documents,
+       count(*) FILTER (WHERE doc_id % 3 = 0) AS n_rejected
+FROM jp GROUP BY community_id, platform_id"""
