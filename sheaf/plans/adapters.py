@@ -217,3 +217,70 @@ def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("comm"), _s(F.col("c_nationkey"))).alias("community_id"),
         F.concat(F.lit("pf"), ds).alias("platform_id"),
         xml.alias("xml"))
+
+
+# --- ingestion requests (from conversations) ---------------------------------------------
+
+REQUEST_WIDTH = 5  # conversations per batch request
+
+
+def _collection_name(key: Column) -> Column:
+    return (F.when(key % 2 == 0, F.lit(None).cast("string"))
+            .when(key % 9 == 1, F.lit(""))
+            .otherwise(F.lit("col")))
+
+
+def single_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ingestion request per conversation turn. ``docId`` missing for
+    ``turn%7=3``; ``collectionName`` NULL for even ``conv_id``, empty for
+    ``conv_id%9=1``, else ``col``."""
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    c, t = F.col("conv_id"), F.col("turn")
+    return conv.select(
+        F.concat(F.lit("c"), _s(c % 10)).alias("communityId"),
+        F.concat(F.lit("p"), _s(c % 4)).alias("platformId"),
+        "text",
+        F.create_map(F.lit("role"), F.col("role"), F.lit("turn"), _s(t)).alias("metadata"),
+        F.when(t % 7 == 3, F.lit(None).cast("string")).otherwise(F.concat(_s(c), F.lit("-"), _s(t))).alias("docId"),
+        F.array(F.lit("turn")).alias("excludedEmbedMetadataKeys"),
+        F.array().cast("array<string>").alias("excludedLlmMetadataKeys"),
+        _collection_name(c).alias("collectionName"))
+
+
+def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch requests: the turns of ``REQUEST_WIDTH`` consecutive
+    conversations (``conv_id div 5``) in (conversation, turn) order."""
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    c, t = F.col("conv_id"), F.col("turn")
+    g = (conv.groupBy(F.floor(c / REQUEST_WIDTH).alias("request_id"))
+         .agg(F.sort_array(F.collect_list(F.struct(c.alias("c"), t.alias("t"), "text", "role"))).alias("_ds")))
+    rid = F.col("request_id")
+
+    def doc(x):
+        return F.struct(F.concat(_s(x["c"]), F.lit("-"), _s(x["t"])).alias("docId"), x["text"].alias("text"),
+                        F.create_map(F.lit("role"), x["role"]).alias("metadata"),
+                        F.array().cast("array<string>").alias("excludedEmbedMetadataKeys"),
+                        F.array().cast("array<string>").alias("excludedLlmMetadataKeys"))
+    return g.select(rid, F.concat(F.lit("c"), _s(rid % 10)).alias("communityId"),
+                    F.concat(F.lit("p"), _s(rid % 4)).alias("platformId"),
+                    F.when(rid % 2 == 0, F.lit(None).cast("string")).otherwise(F.lit("col")).alias("collectionName"),
+                    F.transform("_ds", doc).alias("document"))
+
+
+def document_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """``(existing, incoming)`` for the upsert: every document stored at
+    version 1 in ``col_{lang}``; a second batch changes ``doc_id%3=0``,
+    repeats ``doc_id%5=0`` unchanged and adds ``doc_id%7=0`` to ``new_{lang}``."""
+    from ..operators.documents import content_hash
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    d = F.col("doc_id")
+
+    def rows(df, prefix, text, version):
+        return df.select(F.concat(F.lit(prefix), F.col("lang")).alias("collection"), _s(d).alias("doc_id"),
+                         F.lit(version).cast("bigint").alias("version"),
+                         content_hash(text).alias("content_hash"))
+    existing = rows(docs, "col_", F.col("text"), 1)
+    incoming = (rows(docs.filter(d % 3 == 0), "col_", F.concat(F.col("text"), F.lit(" [rev 2]")), 2)
+                .unionByName(rows(docs.filter((d % 5 == 0) & (d % 3 != 0)), "col_", F.col("text"), 2))
+                .unionByName(rows(docs.filter(d % 7 == 0), "new_", F.col("text"), 2)))
+    return existing, incoming

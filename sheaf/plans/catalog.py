@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, period_threshold
 from ..operators import digest as dg
+from ..operators import documents as dc
 from ..operators import registry as rg
 from ..operators import summaries as sm
 from ..operators import web as wb
@@ -233,3 +234,55 @@ def q_wiki_dump_pages(spark, sf_dir):
 @register("wiki_siteinfo")
 def q_wiki_siteinfo(spark, sf_dir):
     return wsrc.read_siteinfo(spark, _dump(spark, sf_dir), glob="*.txt").drop("file")
+
+
+# --- documents and ingestion ---------------------------------------------------------
+
+def _wiki_docs(spark, sf_dir):
+    ok, _ = split_valid(wk.page_documents(_wiki_flat(spark, sf_dir), keep=["community_id", "platform_id"]))
+    return ok
+
+
+@register("embed_view")
+def q_embed_view(spark, sf_dir):
+    d = _wiki_docs(spark, sf_dir)
+    return d.select("doc_id", dc.content_for("metadata", "excluded_embed_keys", "text").alias("embed_text"))
+
+
+@register("llm_view")
+def q_llm_view(spark, sf_dir):
+    d = _wiki_docs(spark, sf_dir)
+    return d.select("doc_id", dc.content_for("metadata", "excluded_llm_keys", "text").alias("llm_text"))
+
+
+@register("single_documents")
+def q_single_documents(spark, sf_dir):
+    d = dc.request_documents(ad.single_requests(spark, sf_dir))
+    return d.select("collection", "doc_id", "text", F.col("metadata")["role"].alias("role"),
+                    F.array_join("excluded_embed_keys", ",").alias("excluded_embed"),
+                    F.array_join("excluded_llm_keys", ",").alias("excluded_llm"))
+
+
+@register("request_documents")
+def q_request_documents(spark, sf_dir):
+    d = dc.batch_documents(ad.batch_requests(spark, sf_dir))
+    return d.select("request_id", "collection", "doc_id", "text", F.col("metadata")["role"].alias("role"),
+                    F.col("position").cast("bigint").alias("position"), "batch_id")
+
+
+@register("ingest_batches")
+def q_ingest_batches(spark, sf_dir):
+    d = dc.batch_documents(ad.batch_requests(spark, sf_dir))
+    return d.groupBy("request_id", "batch_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
+
+
+@register("chunks")
+def q_chunks(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return dc.chunk_documents(docs)
+
+
+@register("upsert")
+def q_upsert(spark, sf_dir):
+    existing, incoming = ad.document_versions(spark, sf_dir)
+    return dc.upsert(existing, incoming)

@@ -378,3 +378,82 @@ SELECT community_id, platform_id, count(*) AS n_pages,
        count(*) FILTER (WHERE doc_id % 3 <> 0) AS n_documents,
        count(*) FILTER (WHERE doc_id % 3 = 0) AS n_rejected
 FROM jp GROUP BY community_id, platform_id"""
+
+
+# --- documents and ingestion ---------------------------------------------------------
+
+ORACLE["embed_view"] = f"""WITH {WIKI_CTE}
+SELECT doc_id,
+       concat_ws(chr(10) || chr(10),
+                 nullif(concat_ws(chr(10), 'contributor_username: ' || contributor_username,
+                                  'ref_doc_id: ' || ref_doc_id, 'title: ' || title), ''),
+                 text) AS embed_text
+FROM wiki_docs"""
+
+ORACLE["llm_view"] = f"""WITH {WIKI_CTE}
+SELECT doc_id,
+       concat_ws(chr(10) || chr(10),
+                 nullif(concat_ws(chr(10), 'comment: ' || comment,
+                                  'contributor_username: ' || contributor_username,
+                                  'ref_doc_id: ' || ref_doc_id, 'timestamp: ' || timestamp,
+                                  'title: ' || title), ''),
+                 text) AS llm_text
+FROM wiki_docs"""
+
+ORACLE["single_documents"] = """WITH r AS (
+  SELECT 'c' || CAST(conv_id % 10 AS VARCHAR) || '_'
+           || coalesce(CASE WHEN conv_id % 2 = 0 THEN NULL WHEN conv_id % 9 = 1 THEN '' ELSE 'col' END,
+                       'p' || CAST(conv_id % 4 AS VARCHAR)) AS collection,
+         CASE WHEN turn % 7 = 3 THEN NULL ELSE CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) END AS doc_id,
+         text, role
+  FROM conversations)
+SELECT collection, coalesce(doc_id, sha256(concat_ws(chr(1), collection, text))) AS doc_id, text, role,
+       'turn' AS excluded_embed, '' AS excluded_llm
+FROM r"""
+
+BATCH_CTE = """b AS (
+  SELECT conv_id // 5 AS request_id,
+         'c' || CAST((conv_id // 5) % 10 AS VARCHAR) || '_'
+           || coalesce(CASE WHEN (conv_id // 5) % 2 = 0 THEN NULL ELSE 'col' END,
+                       'p' || CAST((conv_id // 5) % 4 AS VARCHAR)) AS collection,
+         CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS doc_id, text, role,
+         row_number() OVER (PARTITION BY conv_id // 5 ORDER BY conv_id, turn) - 1 AS position
+  FROM conversations)"""
+
+ORACLE["request_documents"] = f"""WITH {BATCH_CTE}
+SELECT request_id, collection, doc_id, text, role, position, position // 10 AS batch_id FROM b"""
+
+ORACLE["ingest_batches"] = f"""WITH {BATCH_CTE}
+SELECT request_id, position // 10 AS batch_id, count(*) AS n_docs FROM b GROUP BY ALL"""
+
+ORACLE["chunks"] = """WITH t AS (
+  SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')) AS s FROM documents),
+k AS (SELECT doc_id, CASE WHEN s = '' THEN []::VARCHAR[] ELSE string_split(s, ' ') END AS tok FROM t),
+c AS (SELECT doc_id, tok, unnest(generate_series(0, len(tok) - 1, 512)) AS st FROM k WHERE len(tok) > 0)
+SELECT doc_id, st // 512 AS chunk_no, len(list_slice(tok, st + 1, st + 512)) AS n_tokens,
+       array_to_string(list_slice(tok, st + 1, st + 512), ' ') AS chunk_text
+FROM c"""
+
+ORACLE["upsert"] = """WITH existing AS (
+  SELECT 'col_' || lang AS collection, CAST(doc_id AS VARCHAR) AS doc_id, 1 AS version, sha256(text) AS h, 0 AS side
+  FROM documents),
+incoming AS (
+  SELECT 'col_' || lang, CAST(doc_id AS VARCHAR), 2, sha256(text || ' [rev 2]'), 1 FROM documents WHERE doc_id % 3 = 0
+  UNION ALL
+  SELECT 'col_' || lang, CAST(doc_id AS VARCHAR), 2, sha256(text), 1 FROM documents WHERE doc_id % 5 = 0 AND doc_id % 3 <> 0
+  UNION ALL
+  SELECT 'new_' || lang, CAST(doc_id AS VARCHAR), 2, sha256(text), 1 FROM documents WHERE doc_id % 7 = 0),
+u AS (SELECT * FROM existing UNION ALL SELECT * FROM incoming),
+g AS (
+  SELECT collection, doc_id, min(side) AS min_side, max(side) AS max_side,
+         arg_min(h, side * 1000000 + version) AS h_first, arg_min(version, side * 1000000 + version) AS v_first,
+         arg_max(h, side * 1000000 + version) AS h_last, arg_max(version, side * 1000000 + version) AS v_last
+  FROM u GROUP BY collection, doc_id),
+a AS (
+  SELECT *, CASE WHEN max_side = 0 THEN 'keep' WHEN min_side = 1 THEN 'insert'
+                 WHEN h_first = h_last THEN 'unchanged' ELSE 'update' END AS action FROM g)
+SELECT collection, doc_id,
+       CAST(CASE WHEN action IN ('keep', 'unchanged') THEN v_first ELSE v_last END AS BIGINT) AS version,
+       CASE WHEN action IN ('keep', 'unchanged') THEN h_first ELSE h_last END AS content_hash,
+       action
+FROM a"""
