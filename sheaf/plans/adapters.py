@@ -169,6 +169,7 @@ def link_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 XML_ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\r]"
 DUMP_WIDTH = 200  # pages per generated dump file
+WIKI_PLATFORMS = 100  # pages are spread over the first 100 platforms
 
 
 def wiki_source_text(text: Column) -> Column:
@@ -183,7 +184,7 @@ def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     revision first, then the current one. Comment absent (``%5=0``) or empty
     (``%5=1``); contributor absent (``%6=0``) or an IP (``%6=1``); no parent
     id (``%4=0``); namespace ``doc_id%4``. The page belongs to platform
-    ``pf{doc_id}`` in the community of customer ``doc_id``."""
+    ``pf{doc_id%100}`` in the community of that customer."""
     from ..functions.text import xml_escape
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -212,10 +213,11 @@ def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     revisions = F.when(d % 3 == 0, F.lit("")).when(d % 3 == 1, current).otherwise(F.concat(draft, current))
     xml = F.concat(F.lit("<page><title>Page "), ds, F.lit(" &amp; notes</title><ns>"), _s(d % 4),
                    F.lit("</ns><id>"), ds, F.lit("</id>"), revisions, F.lit("</page>"))
-    return docs.join(cust, docs.doc_id == cust.c_custkey, "left").select(
+    owner = (d % WIKI_PLATFORMS).alias("_owner")
+    return docs.select("*", owner).join(cust, F.col("_owner") == cust.c_custkey, "left").select(
         "doc_id",
         F.concat(F.lit("comm"), _s(F.col("c_nationkey"))).alias("community_id"),
-        F.concat(F.lit("pf"), ds).alias("platform_id"),
+        F.concat(F.lit("pf"), _s(F.col("_owner"))).alias("platform_id"),
         xml.alias("xml"))
 
 
@@ -284,3 +286,17 @@ def document_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
                 .unionByName(rows(docs.filter((d % 5 == 0) & (d % 3 != 0)), "col_", F.col("text"), 2))
                 .unionByName(rows(docs.filter(d % 7 == 0), "new_", F.col("text"), 2)))
     return existing, incoming
+
+
+def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-level XML per document: ``<doc id><meta><lang/><source/></meta><body/></doc>``."""
+    from ..functions.text import xml_escape
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source"])
+    return docs.select("doc_id", F.concat(
+        F.lit('<doc id="'), _s(F.col("doc_id")), F.lit('"><meta><lang>'), xml_escape("lang"),
+        F.lit("</lang><source>"), xml_escape("source"), F.lit("</source></meta><body>"),
+        xml_escape(wiki_source_text(F.col("text"))), F.lit("</body></doc>")).alias("xml"))
+
+
+# Fixed query vector of the vector search query (64 values from a rule).
+QUERY_VECTOR = [((i % 7) - 3) / 3.0 for i in range(64)]

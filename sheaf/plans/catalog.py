@@ -16,13 +16,18 @@ from pyspark.sql import functions as F
 from ..functions.dates import epoch_seconds, period_threshold
 from ..operators import digest as dg
 from ..operators import documents as dc
+from ..operators import load as ld
+from ..operators import models as md
+from ..operators import search as vs
 from ..operators import registry as rg
 from ..operators import summaries as sm
 from ..operators import web as wb
 from ..operators import wiki as wk
 from ..quality import split_valid
 from ..session import scratch_path
+from ..sources import staging as stg
 from ..sources import wiki as wsrc
+from ..sources import xmlsplit as xsplit
 from ..sources.tables import read_table
 from . import adapters as ad
 
@@ -286,3 +291,53 @@ def q_chunks(spark, sf_dir):
 def q_upsert(spark, sf_dir):
     existing, incoming = ad.document_versions(spark, sf_dir)
     return dc.upsert(existing, incoming)
+
+
+# --- staging, load, models, search ---------------------------------------------------
+
+@register("staged_documents")
+def q_staged_documents(spark, sf_dir):
+    docs = _wiki_docs(spark, sf_dir).drop("platform_id")
+    key = stg.store_transformed(docs, scratch_path(spark, "staging"))
+    return _doc_columns(stg.read_staged(spark, key))
+
+
+def _wiki_collection_docs(spark, sf_dir):
+    return _wiki_docs(spark, sf_dir).withColumn(
+        "collection", F.concat("community_id", F.lit("_"), "platform_id"))
+
+
+@register("load_collection")
+def q_load_collection(spark, sf_dir):
+    path = ld.load_documents(_wiki_collection_docs(spark, sf_dir), scratch_path(spark, "points"))
+    return spark.read.parquet(path).select(
+        "collection", "doc_id", "chunk_no", "n_tokens", F.size("embedding").cast("bigint").alias("dim"))
+
+
+@register("embed_default")
+def q_embed_default(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    vec = md.embed(dc.chunk_documents(docs), text="chunk_text")
+    return vec.select("doc_id", "chunk_no", F.size("embedding").cast("bigint").alias("dim"),
+                      F.round(md.vector_norm("embedding"), 6).alias("norm"))
+
+
+@register("vector_topk")
+def q_vector_topk(spark, sf_dir):
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    return vs.vector_search(emb, ad.QUERY_VECTOR, 10, "vec_id", keys=["label"]) \
+        .select("label", "rank", "vec_id", "score")
+
+
+@register("extractive_summary")
+def q_extractive_summary(spark, sf_dir):
+    pts = ad.points(spark, sf_dir)
+    threshold = epoch_seconds(period_threshold("72h", _latest_event_time(spark, sf_dir)))
+    lines = dg.digest_lines(dg.recent_points(pts, threshold))
+    return md.summarize(lines)
+
+
+@register("xml_level_split")
+def q_xml_level_split(spark, sf_dir):
+    nodes = xsplit.split_xml(ad.xml_documents(spark, sf_dir), level=2)
+    return nodes.select("doc_id", F.col("node_no").cast("bigint").alias("node_no"), "content")

@@ -362,9 +362,9 @@ FROM wd WHERE d % 3 <> 0 AND d % 4 IN (0, 2)"""
 
 WIKI_JOB_CTE = f"""{REGISTRY_CTE},
 wpages AS (
-  SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) AS community_id, 'pf' || CAST(d.doc_id AS VARCHAR) AS platform_id,
+  SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) AS community_id, 'pf' || CAST(d.doc_id % 100 AS VARCHAR) AS platform_id,
          CAST(d.doc_id AS VARCHAR) AS page_id, CAST(d.doc_id % 4 AS VARCHAR) AS namespace, d.doc_id
-  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id),
+  FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id % 100),
 jp AS (
   SELECT p.* FROM wpages p JOIN wiki w
     ON w.reason IS NULL AND p.community_id = w.community_id AND p.platform_id = w.platform_id
@@ -457,3 +457,77 @@ SELECT collection, doc_id,
        CASE WHEN action IN ('keep', 'unchanged') THEN h_first ELSE h_last END AS content_hash,
        action
 FROM a"""
+
+
+# --- staging, load, models, search ---------------------------------------------------
+
+def chunk_sql(src: str, keys: str) -> str:
+    """Chunk rows (``keys, chunk_no, n_tokens, chunk_text``) of ``src(keys, text)``."""
+    return f"""ck_t AS (
+  SELECT {keys}, trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g')) AS s FROM {src}),
+ck_k AS (SELECT {keys}, CASE WHEN s = '' THEN []::VARCHAR[] ELSE string_split(s, ' ') END AS tok FROM ck_t),
+ck_c AS (SELECT {keys}, tok, unnest(generate_series(0, len(tok) - 1, 512)) AS st FROM ck_k WHERE len(tok) > 0),
+chunks AS (
+  SELECT {keys}, st // 512 AS chunk_no, len(list_slice(tok, st + 1, st + 512)) AS n_tokens,
+         array_to_string(list_slice(tok, st + 1, st + 512), ' ') AS chunk_text
+  FROM ck_c)"""
+
+
+ORACLE["staged_documents"] = ORACLE["wiki_documents"]
+
+ORACLE["load_collection"] = f"""WITH {WIKI_CTE},
+wc AS (
+  SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) || '_pf' || CAST(CAST(w.doc_id AS BIGINT) % 100 AS VARCHAR) AS collection,
+         w.doc_id, w.text
+  FROM wiki_docs w LEFT JOIN customer c ON c.c_custkey = CAST(w.doc_id AS BIGINT) % 100),
+{chunk_sql('wc', 'collection, doc_id')}
+SELECT collection, doc_id, chunk_no, n_tokens, CAST(1024 AS BIGINT) AS dim FROM chunks"""
+
+ORACLE["embed_default"] = f"""WITH {chunk_sql('documents', 'doc_id')}
+SELECT doc_id, chunk_no, CAST(1024 AS BIGINT) AS dim, 1.0::DOUBLE AS norm FROM chunks"""
+
+
+def _vector_topk_sql() -> str:
+    from .adapters import QUERY_VECTOR
+    q = "[" + ", ".join(repr(x) for x in QUERY_VECTOR) + "]::DOUBLE[]"
+    return f"""WITH q AS (SELECT {q} AS v),
+s AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, q.v FROM embeddings, q),
+c AS (
+  SELECT vec_id, label,
+         round(CASE WHEN sqrt(list_dot_product(e, e)) > 0 AND sqrt(list_dot_product(v, v)) > 0
+                    THEN list_dot_product(e, v) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(v, v)))
+                    ELSE 0.0 END, 6) AS score
+  FROM s)
+SELECT label, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS BIGINT) AS rank FROM c)
+WHERE rank <= 10"""
+
+
+ORACLE["vector_topk"] = _vector_topk_sql()
+
+ORACLE["extractive_summary"] = f"""WITH {POINTS_CTE},
+{PAIRS_CTE},
+{digest_core('points', LATEST_THRESHOLD_72H)},
+ls AS (SELECT collection, point_id, line FROM lines WHERE line IS NOT NULL),
+words AS (
+  SELECT collection, point_id, unnest(string_split_regex(lower(line), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM ls),
+wf AS (SELECT * FROM words WHERE w <> ''),
+tf AS (SELECT collection, w, count(*) AS tf FROM wf GROUP BY ALL),
+sc AS (SELECT wf.collection, wf.point_id, sum(tf.tf) AS score FROM wf JOIN tf USING (collection, w) GROUP BY ALL),
+scored AS (
+  SELECT ls.*, coalesce(sc.score, 0) AS score,
+         row_number() OVER (PARTITION BY ls.collection ORDER BY coalesce(sc.score, 0) DESC, ls.point_id) AS rn
+  FROM ls LEFT JOIN sc USING (collection, point_id)),
+top AS (SELECT collection, string_agg(line, ' ' ORDER BY point_id) AS summary FROM scored WHERE rn <= 3 GROUP BY ALL),
+cnt AS (SELECT collection, count(*) AS n_lines FROM ls GROUP BY ALL)
+SELECT cnt.collection, cnt.n_lines, top.summary FROM cnt LEFT JOIN top USING (collection)"""
+
+ORACLE["xml_level_split"] = r"""WITH x AS (
+  SELECT doc_id, lang, source, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\r]', '', 'g') AS t FROM documents)
+SELECT doc_id, CAST(0 AS BIGINT) AS node_no, '<lang>' || lang || '</lang>' AS content FROM x
+UNION ALL
+SELECT doc_id, CAST(1 AS BIGINT), '<source>' || source || '</source>' FROM x
+UNION ALL
+SELECT doc_id, CAST(2 AS BIGINT),
+       '<body>' || replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</body>' FROM x"""
