@@ -28,6 +28,8 @@ from ..session import scratch_path
 from ..sources import staging as stg
 from ..sources import wiki as wsrc
 from ..sources import xmlsplit as xsplit
+from ..streaming import digest as st_digest
+from ..streaming import ingest as st_ingest
 from ..sources.tables import read_table
 from . import adapters as ad
 
@@ -341,3 +343,25 @@ def q_extractive_summary(spark, sf_dir):
 def q_xml_level_split(spark, sf_dir):
     nodes = xsplit.split_xml(ad.xml_documents(spark, sf_dir), level=2)
     return nodes.select("doc_id", F.col("node_no").cast("bigint").alias("node_no"), "content")
+
+
+# --- streaming --------------------------------------------------------------------
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    src, sink, ck = (scratch_path(spark, n) for n in ("requests", "ingested", "ingest-ck"))
+    ad.single_requests(spark, sf_dir).repartition(4).write.parquet(src)
+    st_ingest.start_ingest(spark, src, sink, ck, max_files_per_trigger=2).awaitTermination()
+    d = st_ingest.latest_documents(spark, sink)
+    return d.select("collection", "doc_id", "text", F.col("metadata")["role"].alias("role"),
+                    F.array_join("excluded_embed_keys", ",").alias("excluded_embed"),
+                    F.array_join("excluded_llm_keys", ",").alias("excluded_llm"))
+
+
+@register("stream_digest")
+def q_stream_digest(spark, sf_dir):
+    src, sink, ck = (scratch_path(spark, n) for n in ("points", "windows", "windows-ck"))
+    ad.points(spark, sf_dir).select("collection", "point_id", "ts").write.parquet(src)
+    st_digest.start_digest_windows(spark, src, sink, ck,
+                                   schema="collection string, point_id bigint, ts timestamp_ntz").awaitTermination()
+    return st_digest.latest_window_counts(spark, sink)

@@ -531,3 +531,14 @@ SELECT doc_id, CAST(1 AS BIGINT), '<source>' || source || '</source>' FROM x
 UNION ALL
 SELECT doc_id, CAST(2 AS BIGINT),
        '<body>' || replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</body>' FROM x"""
+
+
+# --- streaming --------------------------------------------------------------------
+
+ORACLE["stream_ingest"] = ORACLE["single_documents"]
+
+ORACLE["stream_digest"] = f"""WITH {POINTS_CTE},
+w AS (SELECT collection, date_trunc('hour', ts) - to_hours(k) AS ws FROM points, range(0, 4) AS r(k))
+SELECT collection, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(ws + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n_points
+FROM w GROUP BY ALL"""
