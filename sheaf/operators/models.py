@@ -1,13 +1,14 @@
 """Model-backed operators with deterministic defaults (X2 embed, X4 summarise).
 
 Both take an optional user function; the defaults make every job run offline
-and repeat exactly. The embedding runs per Arrow batch (``mapInPandas``);
+and repeat exactly. The embedding runs per Arrow batch (``mapInArrow``);
 the default summary is plain Spark (no Python at all).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -22,37 +23,49 @@ SUMMARY_SENTENCES = 3
 WORD_BREAK = r"[^\p{L}\p{N}]+"
 
 
-def hashing_embedder(dim: int = EMBEDDING_DIM) -> Callable[[pd.Series], list]:
-    """Feature hashing of lower-cased whitespace tokens (xxh64 buckets),
-    L2-normalised. Deterministic and model-free."""
-    import xxhash
+def hashing_embedder(dim: int = EMBEDDING_DIM) -> Callable[[list], np.ndarray]:
+    """Feature hashing of lower-cased whitespace tokens, L2-normalised.
 
-    def embed(texts: pd.Series) -> list:
-        out = []
-        for t in texts:
-            toks = (t or "").lower().split()
-            v = np.zeros(dim, dtype=np.float32)
-            if toks:
-                idx = np.fromiter((xxhash.xxh64_intdigest(x) % dim for x in toks), dtype=np.int64, count=len(toks))
-                v = np.bincount(idx, minlength=dim).astype(np.float32)
-                v /= np.float32(np.linalg.norm(v))
-            out.append(v)
-        return out
-    return embed
+    Vectorised per Arrow batch: the tokens of all texts of the batch are
+    hashed in one call, and one ``bincount`` over (row, bucket) builds every
+    vector of the batch. Returns an ``(n, dim)`` float32 matrix.
+    """
+    def embed_batch(texts: list) -> np.ndarray:
+        toks = [(t or "").lower().split() for t in texts]
+        lens = np.fromiter((len(x) for x in toks), dtype=np.int64, count=len(toks))
+        flat = np.array(list(chain.from_iterable(toks)), dtype=object)
+        buckets = (pd.util.hash_array(flat) % np.uint64(dim)).astype(np.int64) if len(flat) else \
+            np.empty(0, dtype=np.int64)
+        rows = np.repeat(np.arange(len(toks), dtype=np.int64), lens)
+        m = np.bincount(rows * dim + buckets, minlength=len(toks) * dim).reshape(len(toks), dim)
+        m = m.astype(np.float32)
+        norms = np.linalg.norm(m, axis=1, keepdims=True)
+        m /= np.where(norms > 0, norms, 1).astype(np.float32)
+        return m
+    return embed_batch
 
 
 def embed(df: DataFrame, text: str = "text", out: str = "embedding",
-          fn: Callable[[pd.Series], list] | None = None, dim: int = EMBEDDING_DIM) -> DataFrame:
-    """Add ``out array<float>`` computed by ``fn`` (a batch of texts →
-    one vector per text) inside the executors, Arrow batch by batch."""
+          fn: Callable[[list], object] | None = None, dim: int = EMBEDDING_DIM) -> DataFrame:
+    """Add ``out array<float>`` computed by ``fn`` inside the executors,
+    one Arrow record batch at a time (``mapInArrow``): ``fn`` gets the texts
+    of a batch and returns one vector per text (an ``(n, dim)`` matrix or a
+    list of vectors). The default is ``hashing_embedder(dim)``. The vectors
+    go back to the JVM as one Arrow list column built without copying.
+    """
+    import pyarrow as pa
     fn = fn or hashing_embedder(dim)
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
     def run(batches):
-        for pdf in batches:
-            pdf[out] = fn(pdf[text])
-            yield pdf
-    return df.mapInPandas(run, schema)
+        for b in batches:
+            n = b.num_rows
+            m = np.asarray(fn(b.column(text).to_pylist()) if n else np.zeros((0, dim)), dtype=np.float32)
+            m = m.reshape(n, -1)
+            offsets = pa.array(np.arange(0, (n + 1) * m.shape[1], m.shape[1], dtype=np.int32))
+            vectors = pa.ListArray.from_arrays(offsets, pa.array(m.ravel()))
+            yield pa.RecordBatch.from_arrays(list(b.columns) + [vectors], names=list(b.schema.names) + [out])
+    return df.mapInArrow(run, schema)
 
 
 def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "point_id",

@@ -104,19 +104,27 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_S
     """
     ensure_checkpoint_dir(seeds.sparkSession)
     e = edges.select("src", "dst").distinct()
-    visited = seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct()
-    frontier = visited
+    visited = seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct() \
+        .checkpoint(eager=True)
+    frontier = visited.select("seed", "url")
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
         reached = (frontier.join(e, frontier.url == e.src)
                    .select("seed", F.col("dst").alias("url")).distinct())
-        new = reached.join(visited, ["seed", "url"], "left_anti").withColumn("depth", F.lit(depth))
-        visited = visited.unionByName(new)
+        # Each round's new pages are materialised once in the shared
+        # checkpoint folder; ``visited`` is a union of such pieces, so no
+        # round ever recomputes an earlier one.
+        new = (reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+               .withColumn("depth", F.lit(depth)))
         if checkpoint_every and depth % checkpoint_every == 0:
-            visited = visited.checkpoint(eager=True)
+            new = new.checkpoint(eager=True)
+        visited = visited.unionByName(new)
+        if max_depth is not None and depth >= max_depth:
+            break
         full = visited.groupBy("seed").count().filter(F.col("count") >= budget).select("seed")
-        frontier = new.join(full, "seed", "left_anti").select("seed", "url")
+        previous, frontier = frontier, new.join(full, "seed", "left_anti").select("seed", "url").persist()
+        previous.unpersist()
         if frontier.isEmpty():
             break
     return top_per_key(visited, ["seed"], ["depth", "url"], budget)

@@ -198,7 +198,7 @@ def _doc_columns(docs):
 @register("wiki_documents")
 def q_wiki_documents(spark, sf_dir):
     docs = wk.page_documents(_wiki_flat(spark, sf_dir))
-    ok, _ = split_valid(docs)
+    ok, _ = split_valid(docs, barrier=True)
     return _doc_columns(ok)
 
 
@@ -234,7 +234,7 @@ def _dump(spark, sf_dir):
 @register("wiki_dump_pages")
 def q_wiki_dump_pages(spark, sf_dir):
     pages = wsrc.read_dump(spark, _dump(spark, sf_dir), glob="*.txt")
-    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(pages)))
+    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(pages)), barrier=True)
     return _doc_columns(ok)
 
 
@@ -246,7 +246,8 @@ def q_wiki_siteinfo(spark, sf_dir):
 # --- documents and ingestion ---------------------------------------------------------
 
 def _wiki_docs(spark, sf_dir):
-    ok, _ = split_valid(wk.page_documents(_wiki_flat(spark, sf_dir), keep=["community_id", "platform_id"]))
+    ok, _ = split_valid(wk.page_documents(_wiki_flat(spark, sf_dir), keep=["community_id", "platform_id"]),
+                        barrier=True)
     return ok
 
 

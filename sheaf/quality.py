@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REASON = "_reject_reason"
 
@@ -34,13 +35,28 @@ def with_reason(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFram
     return df.withColumn(REASON, first_reason(checks))
 
 
-def split_valid(df: DataFrame, checks: Sequence[tuple[Column, str]] | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """Return ``(ok, rejected)``; ``rejected`` keeps every column plus the reason."""
+def split_valid(df: DataFrame, checks: Sequence[tuple[Column, str]] | None = None,
+                barrier: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Return ``(ok, rejected)``; ``rejected`` keeps every column plus the reason.
+
+    ``barrier=True`` is for rows produced by an expensive expression (an XML
+    or JSON parse): Catalyst pushes a plain ``Filter`` below the projections
+    and would then re-evaluate the parse inside the predicate once per
+    referenced field. Routing the split through a generator (``inline`` of a
+    zero- or one-element array) keeps the parse evaluated once per row.
+    """
     if checks is not None:
         df = with_reason(df, checks)
-    ok = df.filter(F.col(REASON).isNull()).drop(REASON)
-    rejected = df.filter(F.col(REASON).isNotNull())
+    if not barrier:
+        ok = df.filter(F.col(REASON).isNull()).drop(REASON)
+        rejected = df.filter(F.col(REASON).isNotNull())
+        return ok, rejected
+    cols = [c for c in df.columns if c != REASON]
+    empty_ok = F.array().cast(T.ArrayType(df.select(F.struct(*cols)).schema[0].dataType))
+    empty_rej = F.array().cast(T.ArrayType(df.select(F.struct(*df.columns)).schema[0].dataType))
+    ok = df.select(F.inline(F.when(F.col(REASON).isNull(), F.array(F.struct(*cols))).otherwise(empty_ok)))
+    rejected = df.select(F.inline(F.when(F.col(REASON).isNotNull(), F.array(F.struct(*df.columns)))
+                                  .otherwise(empty_rej)))
     return ok, rejected
 
 
