@@ -98,7 +98,7 @@ def registry(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
                      F.struct(activated.alias("activated")).alias("metadata"))
     modules = (cust.groupBy(F.col("c_nationkey"), F.floor(k / MODULE_WIDTH).alias("_chunk"))
                .agg(F.sort_array(F.collect_list(F.struct(k.alias("k"), entry.alias("e")))).alias("_es"))
-               .select(F.lit("hivemind").alias("name"),
+               .select(F.lit("assistant").alias("name"),
                        F.concat(F.lit("comm"), _s(F.col("c_nationkey"))).alias("community"),
                        F.lit(True).alias("activated"),
                        F.struct(F.transform("_es", lambda x: x["e"]).alias("platforms")).alias("options")))

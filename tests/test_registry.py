@@ -8,7 +8,7 @@ from sheaf.operators import registry as rg
 
 def modules(spark, items):
     return spark.createDataFrame(
-        [("hivemind", com, True, {"platforms": [
+        [("assistant", com, True, {"platforms": [
             {"platform": pid, "name": name, "metadata": meta} for pid, name, meta in plats]})
          for com, plats in items], schemas.MODULES)
 
