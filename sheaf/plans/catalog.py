@@ -25,6 +25,7 @@ from ..operators import web as wb
 from ..operators import wiki as wk
 from ..quality import split_valid
 from ..session import scratch_path
+from ..sources import points as pts_src
 from ..sources import staging as stg
 from ..sources import wiki as wsrc
 from ..sources import xmlsplit as xsplit
@@ -366,3 +367,11 @@ def q_stream_digest(spark, sf_dir):
     st_digest.start_digest_windows(spark, src, sink, ck,
                                    schema="collection string, point_id bigint, ts timestamp_ntz").awaitTermination()
     return st_digest.latest_window_counts(spark, sink)
+
+
+@register("stored_summaries")
+def q_stored_summaries(spark, sf_dir):
+    """S12 on the physical point store: points written partitioned by
+    collection, read back with pruning/pushdown, summarised per date."""
+    path = pts_src.write_points(ad.points(spark, sf_dir), scratch_path(spark, "point-store"))
+    return sm.summaries_by_date(pts_src.read_points(spark, path))

@@ -542,3 +542,6 @@ w AS (SELECT collection, date_trunc('hour', ts) - to_hours(k) AS ws FROM points,
 SELECT collection, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(ws + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end, count(*) AS n_points
 FROM w GROUP BY ALL"""
+
+
+ORACLE["stored_summaries"] = ORACLE["summaries_by_date"]
