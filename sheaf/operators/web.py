@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.text import html_text, html_title, http_url, hrefs, py_strip, resolve_link
 from ..quality import REASON, first_reason
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 from .summaries import top_per_key
 
 PAGES_PER_SEED = 20  # crawl budget per seed url (the crawler's default)
@@ -91,42 +91,42 @@ def check_seeds(jobs: DataFrame, urls: str = "urls") -> DataFrame:
 
 
 def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_SEED,
-                   max_depth: int | None = None, checkpoint_every: int = 1) -> DataFrame:
+                   max_depth: int | None = None, workdir: str | None = None) -> DataFrame:
     """J3 + L3 + U2: pages reached from each seed, breadth first, without
     revisiting, at most ``budget`` per seed, ranked by (depth, url).
 
     ``seeds``: ``seed``; ``edges``: ``src, dst``. Each round is one equi join
-    of the frontier with the edges and an anti join against the visited set.
-    A seed stops expanding once it holds ``budget`` pages (deeper pages can
-    never rank before them), so the work per seed is bounded. The visited set
-    is checkpointed to the shared checkpoint folder to cut the lineage.
+    of the frontier with the edges and an anti
+    join against the visited set. A seed stops expanding once it holds
+    ``budget`` pages (deeper pages can never rank before them), so the work
+    per seed is bounded.
+
+    Lineage is cut every round by writing the round's new pages as a table
+    (``depth=N``) under ``workdir`` — by default a fresh folder inside the
+    shared checkpoint folder — and reading the visited set back from it: one
+    computation per round, nothing lost with an executor.
     Rows: ``seed, url, depth``.
     """
-    ensure_checkpoint_dir(seeds.sparkSession)
-    e = edges.select("src", "dst").distinct()
-    visited = seeds.select("seed", F.col("seed").alias("url"), F.lit(0).alias("depth")).distinct() \
-        .checkpoint(eager=True)
-    frontier = visited.select("seed", "url")
+    spark = seeds.sparkSession
+    base = (workdir or scratch_path(spark, "crawl")).rstrip("/")
+    # Duplicate edges only duplicate ``reached`` rows, which the per-round
+    # distinct removes: no separate shuffle of the whole edge list.
+    e = edges.select("src", "dst")
+    seeds.select("seed", F.col("seed").alias("url")).distinct().write.parquet(f"{base}/depth=0")
     depth = 0
     while max_depth is None or depth < max_depth:
-        depth += 1
+        visited = spark.read.parquet(base)
+        full = visited.groupBy("seed").count().filter(F.col("count") >= budget).select("seed")
+        frontier = (spark.read.parquet(f"{base}/depth={depth}")
+                    .join(full, "seed", "left_anti"))
         reached = (frontier.join(e, frontier.url == e.src)
                    .select("seed", F.col("dst").alias("url")).distinct())
-        # Each round's new pages are materialised once in the shared
-        # checkpoint folder; ``visited`` is a union of such pieces, so no
-        # round ever recomputes an earlier one.
-        new = (reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
-               .withColumn("depth", F.lit(depth)))
-        if checkpoint_every and depth % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)
-        visited = visited.unionByName(new)
-        if max_depth is not None and depth >= max_depth:
-            break
-        full = visited.groupBy("seed").count().filter(F.col("count") >= budget).select("seed")
-        previous, frontier = frontier, new.join(full, "seed", "left_anti").select("seed", "url").persist()
-        previous.unpersist()
-        if frontier.isEmpty():
+        new = reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+        depth += 1
+        new.write.parquet(f"{base}/depth={depth}")
+        if spark.read.parquet(f"{base}/depth={depth}").isEmpty():
             break
+    visited = spark.read.parquet(base).withColumn("depth", F.col("depth").cast("int"))
     return top_per_key(visited, ["seed"], ["depth", "url"], budget)
 
 

@@ -224,6 +224,7 @@ def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- ingestion requests (from conversations) ---------------------------------------------
 
 REQUEST_WIDTH = 5  # conversations per batch request
+REQUEST_TURNS = 50  # turns of one conversation per batch request at most
 
 
 def _collection_name(key: Column) -> Column:
@@ -251,19 +252,23 @@ def single_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch requests: the turns of ``REQUEST_WIDTH`` consecutive
-    conversations (``conv_id div 5``) in (conversation, turn) order."""
+    conversations (``conv_id div 5``) in (conversation, turn) order, at most
+    ``REQUEST_TURNS`` turns of a conversation per request (``turn div 50``),
+    so that no request grows without bound even for a huge conversation.
+    ``request_id = '{conv_id div 5}-{turn div 50}'``."""
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     c, t = F.col("conv_id"), F.col("turn")
-    g = (conv.groupBy(F.floor(c / REQUEST_WIDTH).alias("request_id"))
+    g = (conv.groupBy(F.floor(c / REQUEST_WIDTH).alias("_rid"), F.floor(t / REQUEST_TURNS).alias("_part"))
          .agg(F.sort_array(F.collect_list(F.struct(c.alias("c"), t.alias("t"), "text", "role"))).alias("_ds")))
-    rid = F.col("request_id")
+    rid = F.col("_rid")
 
     def doc(x):
         return F.struct(F.concat(_s(x["c"]), F.lit("-"), _s(x["t"])).alias("docId"), x["text"].alias("text"),
                         F.create_map(F.lit("role"), x["role"]).alias("metadata"),
                         F.array().cast("array<string>").alias("excludedEmbedMetadataKeys"),
                         F.array().cast("array<string>").alias("excludedLlmMetadataKeys"))
-    return g.select(rid, F.concat(F.lit("c"), _s(rid % 10)).alias("communityId"),
+    return g.select(F.concat(_s(rid), F.lit("-"), _s(F.col("_part"))).alias("request_id"),
+                    F.concat(F.lit("c"), _s(rid % 10)).alias("communityId"),
                     F.concat(F.lit("p"), _s(rid % 4)).alias("platformId"),
                     F.when(rid % 2 == 0, F.lit(None).cast("string")).otherwise(F.lit("col")).alias("collectionName"),
                     F.transform("_ds", doc).alias("document"))

@@ -412,12 +412,12 @@ SELECT collection, coalesce(doc_id, sha256(concat_ws(chr(1), collection, text)))
 FROM r"""
 
 BATCH_CTE = """b AS (
-  SELECT conv_id // 5 AS request_id,
+  SELECT CAST(conv_id // 5 AS VARCHAR) || '-' || CAST(turn // 50 AS VARCHAR) AS request_id,
          'c' || CAST((conv_id // 5) % 10 AS VARCHAR) || '_'
            || coalesce(CASE WHEN (conv_id // 5) % 2 = 0 THEN NULL ELSE 'col' END,
                        'p' || CAST((conv_id // 5) % 4 AS VARCHAR)) AS collection,
          CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS doc_id, text, role,
-         row_number() OVER (PARTITION BY conv_id // 5 ORDER BY conv_id, turn) - 1 AS position
+         row_number() OVER (PARTITION BY conv_id // 5, turn // 50 ORDER BY conv_id, turn) - 1 AS position
   FROM conversations)"""
 
 ORACLE["request_documents"] = f"""WITH {BATCH_CTE}
