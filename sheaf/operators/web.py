@@ -90,6 +90,32 @@ def check_seeds(jobs: DataFrame, urls: str = "urls") -> DataFrame:
                        F.coalesce(status, F.lit("ok")).alias("status"))
 
 
+def validate_seeds(urls: list[str]) -> list[str]:
+    """W6 for a single crawl call, as the reference does it: every seed must
+    be a non-empty ``http://`` / ``https://`` URL, else the call fails."""
+    for url in urls:
+        if not (url and isinstance(url, str) and url.startswith(("http://", "https://"))):
+            raise ValueError(f"Invalid URL: {url}")
+    return list(urls)
+
+
+def seed_urls(jobs: DataFrame, urls: str = "urls", mode: str = "drop") -> DataFrame:
+    """W6 + W7 as rows: one row per seed url of each job (``community_id,
+    platform_id, seed``). ``mode="drop"`` leaves invalid urls out (sitemap
+    behaviour); ``mode="raise"`` fails when any seed is invalid (the
+    reference's behaviour for a crawl call)."""
+    seeds = jobs.select("community_id", "platform_id", F.explode(urls).alias("seed"))
+    valid = http_url(F.col("seed"))
+    if mode == "raise":
+        bad = seeds.filter(~valid)
+        if not bad.isEmpty():
+            raise ValueError(f"Invalid URL: {bad.first()['seed']}")
+        return seeds
+    if mode != "drop":
+        raise ValueError("mode must be 'drop' or 'raise'")
+    return seeds.filter(valid)
+
+
 def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_SEED,
                    max_depth: int | None = None, workdir: str | None = None) -> DataFrame:
     """J3 + L3 + U2: pages reached from each seed, breadth first, without

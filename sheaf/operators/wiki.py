@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.joins import small_side
-from ..quality import REASON, first_reason
+from ..quality import REASON, first_reason, keep_rows
+from ..sources.wiki import parse_pages
 
 # Metadata keys hidden from the embedding and from the LLM.
 EXCLUDED_EMBED_KEYS = ["namespace", "revision_id", "parent_revision_id", "sha1", "model",
@@ -101,13 +102,19 @@ def current_revisions(pages: DataFrame, namespaces: list[int] | None = None) ->
         newest["id"].alias("revision_id"), newest["ts"].alias("timestamp"))
 
 
-def job_pages(jobs: DataFrame, pages: DataFrame) -> DataFrame:
-    """J4 + W10: pages of each wiki job (``community_id, platform_id``) in
-    the job's namespaces. The job list is broadcast after a size check."""
+def job_pages(jobs: DataFrame, pages: DataFrame, xml: str = "xml") -> DataFrame:
+    """J4 + W10: flattened pages of each wiki job in the job's namespaces.
+
+    ``pages`` are raw page elements with their job keys (``community_id,
+    platform_id, xml``). They are joined to the jobs *before* parsing, so
+    only pages of valid jobs are parsed; the job list is broadcast after a
+    size check. The namespace test runs once per parsed row (``keep_rows``).
+    """
     j = jobs.select("community_id", "platform_id", "namespaces")
-    joined = pages.join(small_side(j), ["community_id", "platform_id"])
-    return joined.filter(F.array_contains(F.col("namespaces"), F.col("namespace").try_cast("int"))) \
-        .drop("namespaces")
+    scoped = pages.join(small_side(j), ["community_id", "platform_id"])
+    flat = flatten_pages(parse_pages(scoped, xml))
+    in_ns = F.array_contains(F.col("namespaces"), F.col("namespace").try_cast("int"))
+    return keep_rows(flat, in_ns).drop("namespaces")
 
 
 def job_counts(flat_with_jobs: DataFrame) -> DataFrame:

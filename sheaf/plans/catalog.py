@@ -212,7 +212,7 @@ def q_wiki_current(spark, sf_dir):
 def _wiki_job_flat(spark, sf_dir):
     modules, platforms = ad.registry(spark, sf_dir)
     jobs = rg.wiki_jobs(modules, platforms)
-    return wk.job_pages(jobs, _wiki_flat(spark, sf_dir))
+    return wk.job_pages(jobs, ad.wiki_xml(spark, sf_dir))
 
 
 @register("wiki_job_pages")

@@ -35,15 +35,26 @@ def with_reason(df: DataFrame, checks: Sequence[tuple[Column, str]]) -> DataFram
     return df.withColumn(REASON, first_reason(checks))
 
 
+def keep_rows(df: DataFrame, cond: Column) -> DataFrame:
+    """``df.filter(cond)`` that Catalyst cannot push below the projections.
+
+    For rows produced by an expensive expression (an XML or JSON parse): a
+    plain ``Filter`` would be pushed below the parse and re-evaluate it inside
+    the predicate once per referenced field. Routing the rows through a
+    generator (``inline`` of a zero- or one-element array) keeps the parse
+    evaluated once per row.
+    """
+    row = F.struct(*df.columns)
+    empty = F.array().cast(T.ArrayType(df.select(row).schema[0].dataType))
+    return df.select(F.inline(F.when(F.coalesce(cond, F.lit(False)), F.array(row)).otherwise(empty)))
+
+
 def split_valid(df: DataFrame, checks: Sequence[tuple[Column, str]] | None = None,
                 barrier: bool = False) -> tuple[DataFrame, DataFrame]:
     """Return ``(ok, rejected)``; ``rejected`` keeps every column plus the reason.
 
-    ``barrier=True`` is for rows produced by an expensive expression (an XML
-    or JSON parse): Catalyst pushes a plain ``Filter`` below the projections
-    and would then re-evaluate the parse inside the predicate once per
-    referenced field. Routing the split through a generator (``inline`` of a
-    zero- or one-element array) keeps the parse evaluated once per row.
+    ``barrier=True`` is for rows produced by an expensive expression: the
+    split goes through ``keep_rows`` so the parse runs once per row.
     """
     if checks is not None:
         df = with_reason(df, checks)
@@ -51,13 +62,8 @@ def split_valid(df: DataFrame, checks: Sequence[tuple[Column, str]] | None = Non
         ok = df.filter(F.col(REASON).isNull()).drop(REASON)
         rejected = df.filter(F.col(REASON).isNotNull())
         return ok, rejected
-    cols = [c for c in df.columns if c != REASON]
-    empty_ok = F.array().cast(T.ArrayType(df.select(F.struct(*cols)).schema[0].dataType))
-    empty_rej = F.array().cast(T.ArrayType(df.select(F.struct(*df.columns)).schema[0].dataType))
-    ok = df.select(F.inline(F.when(F.col(REASON).isNull(), F.array(F.struct(*cols))).otherwise(empty_ok)))
-    rejected = df.select(F.inline(F.when(F.col(REASON).isNotNull(), F.array(F.struct(*df.columns)))
-                                  .otherwise(empty_rej)))
-    return ok, rejected
+    return (keep_rows(df, F.col(REASON).isNull()).drop(REASON),
+            keep_rows(df, F.col(REASON).isNotNull()))
 
 
 def reject_counts(rejected: DataFrame, keys: Sequence[str]) -> DataFrame:

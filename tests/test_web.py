@@ -80,3 +80,36 @@ def test_crawl_frontier_against_brute_force(spark):
     for s in seeds:
         mine = sorted((r["url"], r["depth"]) for r in got.filter(got.seed == s).collect())
         assert mine == _bfs(s, edges, 6, 4)
+
+
+def test_seed_modes(spark):
+    import pytest
+    jobs = spark.createDataFrame([("c", "p1", ["https://a", "ftp://b", ""])],
+                                 "community_id string, platform_id string, urls array<string>")
+    assert [r["seed"] for r in wb.seed_urls(jobs).collect()] == ["https://a"]
+    with pytest.raises(ValueError):
+        wb.seed_urls(jobs, mode="raise")
+    with pytest.raises(ValueError):
+        wb.validate_seeds(["https://a", "ftp://b"])
+    assert wb.validate_seeds(["http://a"]) == ["http://a"]
+
+
+def test_sitemap_files_and_request_files(spark, tmp_dir):
+    import json
+    import os
+    from sheaf.sources.requests import read_batch_requests, read_requests
+    from sheaf.sources.sitemaps import read_sitemaps
+    with open(os.path.join(tmp_dir, "sitemap.xml"), "w") as f:
+        f.write(f'<urlset xmlns="{NS}"><url><loc>https://a.com/x</loc></url></urlset>')
+    got = wb.sitemap_links(read_sitemaps(spark, tmp_dir)).collect()
+    assert [r["link"] for r in got] == ["https://a.com/x"]
+    req_dir = os.path.join(tmp_dir, "req")
+    os.makedirs(req_dir)
+    with open(os.path.join(req_dir, "r.json"), "w") as f:
+        f.write(json.dumps({"communityId": "c", "platformId": "p", "text": "t", "metadata": {"a": "b"}}) + "\n")
+        f.write(json.dumps({"communityId": "c", "platformId": "p", "collectionName": "x",
+                            "document": [{"docId": "1", "text": "t", "metadata": {}}]}) + "\n")
+    single = read_requests(spark, req_dir).collect()
+    assert single[0]["metadata"] == {"a": "b"} and single[0]["docId"] is None
+    batch = read_batch_requests(spark, req_dir).collect()
+    assert batch[1]["document"][0]["docId"] == "1"
