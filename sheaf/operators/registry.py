@@ -23,8 +23,10 @@ WEBSITE = "website"
 
 def module_platforms(modules: DataFrame, platform_name: str) -> DataFrame:
     """S1 + P1 + W1: one row per platform entry of the given name, in array
-    order (``position``), with its community and ``activated`` flag."""
-    return (modules
+    order (``position``), with its community and ``activated`` flag. Modules
+    without such a platform are dropped before the explode (S1's query)."""
+    has_kind = F.exists("options.platforms", lambda p: p["name"] == F.lit(platform_name))
+    return (modules.filter(has_kind)
             .select(F.col("community").cast("string").alias("community_id"),
                     F.posexplode("options.platforms").alias("position", "p"))
             .filter(F.col("p.name") == F.lit(platform_name))

@@ -111,3 +111,12 @@ def test_xml_level_split(spark):
     assert split(0) == ['<r a="1"><m><x>1</x><y>2</y></m><b>t &amp; u</b></r>']
     assert split(1) == ["<m><x>1</x><y>2</y></m>", "<b>t &amp; u</b>"]
     assert split(5) == ["<x>1</x>", "<y>2</y>", "<b>t &amp; u</b>"]
+
+
+def test_store_extracted(spark, tmp_dir):
+    raw = spark.createDataFrame([("https://a", "t", "c1")], "url string, inner_text string, community_id string")
+    key = stg.store_extracted(raw, tmp_dir, rid="r1")
+    assert key.endswith("/extracted/r1")
+    back = spark.read.json(key).collect()
+    assert back[0]["url"] == "https://a" and back[0]["community_id"] == "c1"
+    assert stg.run_id().endswith("Z") and ":" not in stg.run_id()

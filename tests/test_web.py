@@ -113,3 +113,14 @@ def test_sitemap_files_and_request_files(spark, tmp_dir):
     assert single[0]["metadata"] == {"a": "b"} and single[0]["docId"] is None
     batch = read_batch_requests(spark, req_dir).collect()
     assert batch[1]["document"][0]["docId"] == "1"
+
+
+def test_crawl_job_guards(spark):
+    import pytest
+    edges = spark.createDataFrame([("https://a/", "https://a/x")], "src string, dst string")
+    got = rows(wb.crawl_job(spark, ["https://a/"], edges, max_depth=2), "url", "depth")
+    assert got == [("https://a/", 0), ("https://a/x", 1)]
+    with pytest.raises(ValueError):
+        wb.crawl_job(spark, [], edges)
+    with pytest.raises(ValueError):
+        wb.crawl_job(spark, ["ftp://a/"], edges)
