@@ -1,9 +1,10 @@
 """Join helpers with an explicit size check before any broadcast.
 
-A side is broadcast only after a bounded count proves it small; otherwise the
-join is left to the planner (sort-merge with adaptive skew splitting). The
-count reads at most ``max_rows + 1`` rows of the candidate, which is cheap for
-the derived "request" and "dimension" frames this is used on.
+A side is broadcast only after a bounded count and a byte size prove it
+small; otherwise the join is left to the planner (sort-merge with adaptive
+skew splitting). The count reads at most ``max_rows + 1`` rows of the
+candidate, which is cheap for the derived "request" and "dimension" frames
+this is used on.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for a broadcast side: one million narrow rows stays well
-# inside the default executor memory and the 8 GB broadcast limit.
-BROADCAST_MAX_ROWS = 1_000_000
+# Default ceilings for a broadcast side: at most 100,000 rows and 64 MB of
+# data, well inside executor memory and far below the 8 GB broadcast limit.
+BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int:
@@ -22,14 +24,24 @@ def bounded_count(df: DataFrame, max_rows: int) -> int:
     return df.limit(max_rows + 1).count()
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``.
+def data_bytes(df: DataFrame) -> int:
+    """Size of the rows as JSON text (a close proxy for their in-memory size)."""
+    size = df.select(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return int(size or 0)
 
-    The frame is persisted first so that the size check and the join read it
-    once; a lost executor recomputes the cached blocks from lineage.
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+               max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when it is proven small, else ``df`` unchanged.
+
+    Proof in two steps on the persisted frame: a count that stops after
+    ``max_rows + 1`` rows, then (only when that bound holds) the byte size of
+    those few rows. Persisting lets the checks and the join read the frame
+    once; a lost executor recomputes the cached blocks from lineage. Beyond
+    the bounds the planner's shuffle join runs (AQE splits skewed keys).
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if bounded_count(df, max_rows) <= max_rows:
+    if bounded_count(df, max_rows) <= max_rows and data_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df
 

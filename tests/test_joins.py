@@ -1,0 +1,16 @@
+from __future__ import annotations
+
+from sheaf.plans.joins import bounded_count, data_bytes, small_side
+
+
+def _is_broadcast(df) -> bool:
+    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_small_side_bounds(spark):
+    small = spark.range(10).selectExpr("id", "repeat('x', 10) AS s")
+    assert bounded_count(small, 5) == 6
+    assert 0 < data_bytes(small) < 1000
+    assert _is_broadcast(small_side(small))
+    assert not _is_broadcast(small_side(small, max_rows=5))
+    assert not _is_broadcast(small_side(small, max_bytes=10))
