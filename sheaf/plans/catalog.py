@@ -375,3 +375,14 @@ def q_stored_summaries(spark, sf_dir):
     collection, read back with pruning/pushdown, summarised per date."""
     path = pts_src.write_points(ad.points(spark, sf_dir), scratch_path(spark, "point-store"))
     return sm.summaries_by_date(pts_src.read_points(spark, path))
+
+
+@register("summaries_nested")
+def q_summaries_nested(spark, sf_dir):
+    """A4 nested form: per (collection, date) the list of summary records,
+    rendered as ``point_id=text`` items joined by ``|`` (NULL text as ``-``)."""
+    nested = sm.summaries_nested(sm.summaries_payload(ad.points(spark, sf_dir)))
+    item = lambda x: F.concat(x["point_id"].cast("string"), F.lit("="),
+                              F.coalesce(x["summary_text"], F.lit("-")))
+    return nested.select("collection", "date", F.size("summaries").cast("bigint").alias("n_records"),
+                         F.array_join(F.transform("summaries", item), "|").alias("records"))

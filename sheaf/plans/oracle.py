@@ -545,3 +545,19 @@ FROM w GROUP BY ALL"""
 
 
 ORACLE["stored_summaries"] = ORACLE["summaries_by_date"]
+
+ORACLE["summaries_nested"] = f"""WITH {POINTS_CTE},
+ranked AS (
+  SELECT collection, date, point_id, _node_content,
+         row_number() OVER (PARTITION BY collection, date ORDER BY point_id) AS rn
+  FROM points),
+p AS (
+  SELECT collection, date, point_id,
+         CASE WHEN _node_content IS NULL OR NOT json_valid(_node_content) THEN NULL
+              WHEN json_type(_node_content) = 'OBJECT' AND json_exists(_node_content, '$.text')
+                   THEN json_extract_string(_node_content, '$.text')
+              ELSE 'Summary text not found' END AS summary_text
+  FROM ranked WHERE rn <= 100)
+SELECT collection, date, count(*) AS n_records,
+       string_agg(CAST(point_id AS VARCHAR) || '=' || coalesce(summary_text, '-'), '|' ORDER BY point_id) AS records
+FROM p GROUP BY collection, date"""
