@@ -1,7 +1,7 @@
 """Model-backed operators with deterministic defaults (X2 embed, X4 summarise).
 
 Both take an optional user function; the defaults make every job run offline
-and repeat exactly. The embedding runs per Arrow batch (``mapInArrow``);
+and repeat exactly. The embedding runs per Arrow batch (a scalar Arrow UDF);
 the default summary is plain Spark (no Python at all).
 """
 
@@ -12,6 +12,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,24 +49,23 @@ def hashing_embedder(dim: int = EMBEDDING_DIM) -> Callable[[list], np.ndarray]:
 def embed(df: DataFrame, text: str = "text", out: str = "embedding",
           fn: Callable[[list], object] | None = None, dim: int = EMBEDDING_DIM) -> DataFrame:
     """Add ``out array<float>`` computed by ``fn`` inside the executors,
-    one Arrow record batch at a time (``mapInArrow``): ``fn`` gets the texts
-    of a batch and returns one vector per text (an ``(n, dim)`` matrix or a
-    list of vectors). The default is ``hashing_embedder(dim)``. The vectors
-    go back to the JVM as one Arrow list column built without copying.
+    one Arrow batch at a time. ``fn`` gets the texts of a batch and returns
+    one vector per text (an ``(n, dim)`` matrix or a list of vectors); the
+    default is ``hashing_embedder(dim)``.
+
+    A scalar Arrow UDF: only the text column travels to Python, the vectors
+    come back as one Arrow list column built without copying, and Spark
+    re-attaches them to their rows in place (no join, no shuffle).
     """
-    import pyarrow as pa
     fn = fn or hashing_embedder(dim)
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
-
-    def run(batches):
-        for b in batches:
-            n = b.num_rows
-            m = np.asarray(fn(b.column(text).to_pylist()) if n else np.zeros((0, dim)), dtype=np.float32)
-            m = m.reshape(n, -1)
-            offsets = pa.array(np.arange(0, (n + 1) * m.shape[1], m.shape[1], dtype=np.int32))
-            vectors = pa.ListArray.from_arrays(offsets, pa.array(m.ravel()))
-            yield pa.RecordBatch.from_arrays(list(b.columns) + [vectors], names=list(b.schema.names) + [out])
-    return df.mapInArrow(run, schema)
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(texts: pa.Array) -> pa.Array:
+        n = len(texts)
+        m = np.asarray(fn(texts.to_pylist()) if n else np.zeros((0, dim)), dtype=np.float32).reshape(n, -1)
+        offsets = pa.array(np.arange(0, (n + 1) * m.shape[1], m.shape[1], dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(m.ravel()))
+    return df.withColumn(out, vectors(F.col(text)))
 
 
 def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "point_id",
