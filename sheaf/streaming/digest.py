@@ -26,8 +26,11 @@ def window_counts(points: DataFrame, window_size: str = "4 hours", slide: str =
 
 def start_digest_windows(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: str,
                          window_size: str = "4 hours", slide: str = "1 hour", lateness: str = "1 hour",
-                         available_now: bool = True):
-    stream = spark.readStream.schema(schema).parquet(source)
+                         available_now: bool = True, max_files_per_trigger: int | None = None):
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(source)
     counts = window_counts(stream, window_size, slide, lateness)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

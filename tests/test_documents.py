@@ -120,3 +120,23 @@ def test_store_extracted(spark, tmp_dir):
     back = spark.read.json(key).collect()
     assert back[0]["url"] == "https://a" and back[0]["community_id"] == "c1"
     assert stg.run_id().endswith("Z") and ":" not in stg.run_id()
+
+
+def test_chunking_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    words = st.lists(st.sampled_from(["a", "bb", "ç", "d.e", "\t", "\n", " ", "  "]), max_size=40)
+
+    @settings(max_examples=25, deadline=None)
+    @given(st.lists(words.map("".join), min_size=1, max_size=5), st.integers(1, 7))
+    def check(texts, size):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        got = sorted((r["doc_id"], r["chunk_no"], r["chunk_text"])
+                     for r in dc.chunk_documents(df, size=size).collect())
+        want = []
+        for i, t in enumerate(texts):
+            toks = t.replace("\t", " ").replace("\n", " ").split()
+            want += [(i, k // size, " ".join(toks[k:k + size])) for k in range(0, len(toks), size)]
+        assert got == sorted(want)
+    check()

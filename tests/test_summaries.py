@@ -125,3 +125,9 @@ def test_digest_limit_500_and_single_request(spark):
     with pytest.raises(ValueError):
         dg.fetch_recent(pts(spark, data), period="1h")
     assert epoch_seconds(datetime(1970, 1, 1, 0, 0, 1, 500000, tzinfo=timezone.utc)) == 1.5
+
+
+def test_null_text_is_quarantined(spark):
+    df = pts(spark, [("c", 1, "d", 0.0, '{"text": null}'), ("c", 2, "d", 0.0, '{"text": "ok"}')])
+    r = sm.summaries_by_date(df).collect()[0]
+    assert (r["summaries"], r["n_rejected"]) == ("ok", 1)
