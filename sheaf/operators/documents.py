@@ -86,16 +86,24 @@ def tokens(text) -> Column:
 def chunk_documents(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "text",
                     size: int = CHUNK_SIZE) -> DataFrame:
     """Windows of ``size`` whitespace tokens; rows ``keys…, chunk_no,
-    n_tokens, chunk_text``. Pure expressions (``sequence``/``slice``), no
-    Python; a document without tokens yields no chunk."""
-    toks = tokens(F.col(text))
-    starts = F.when(F.size("_tok") > 0, F.sequence(F.lit(0), F.size("_tok") - 1, F.lit(size)))
-    return (docs.select(*keys, toks.alias("_tok"))
-            .select(*keys, "_tok", F.posexplode(starts).alias("chunk_no", "_start"))
+    n_tokens, chunk_text``. Pure expressions, no Python; a document without
+    tokens yields no chunk.
+
+    The chunk strings are built inside one row (``transform`` over the chunk
+    starts, each slicing ``size`` tokens) and only the finished chunks are
+    exploded, so the work is linear in the text length even for a document
+    of millions of words (the token array is never copied into every chunk
+    row).
+    """
+    n = F.size("_tok")
+    chunks = F.when(n > 0, F.transform(
+        F.sequence(F.lit(0), F.ceil(n / F.lit(size)).cast("int") - 1),
+        lambda i: F.struct(F.array_join(F.slice("_tok", i * size + 1, size), " ").alias("chunk_text"),
+                           F.least(F.lit(size), n - i * size).cast("bigint").alias("n_tokens"))))
+    return (docs.select(*keys, tokens(F.col(text)).alias("_tok"))
+            .select(*keys, F.posexplode(chunks).alias("chunk_no", "_c"))
             .select(*keys, F.col("chunk_no").cast("bigint").alias("chunk_no"),
-                    F.slice("_tok", F.col("_start") + 1, size).alias("_piece"))
-            .select(*keys, "chunk_no", F.size("_piece").cast("bigint").alias("n_tokens"),
-                    F.array_join("_piece", " ").alias("chunk_text")))
+                    F.col("_c.n_tokens").alias("n_tokens"), F.col("_c.chunk_text").alias("chunk_text")))
 
 
 def content_hash(text, metadata=None) -> Column:
