@@ -365,7 +365,8 @@ def q_stream_digest(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("points", "windows", "windows-ck"))
     ad.points(spark, sf_dir).select("collection", "point_id", "ts").write.parquet(src)
     st_digest.start_digest_windows(spark, src, sink, ck,
-                                   schema="collection string, point_id bigint, ts timestamp_ntz").awaitTermination()
+                                   schema="collection string, point_id bigint, ts timestamp_ntz",
+                                   state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return st_digest.latest_window_counts(spark, sink)
 
 

@@ -26,7 +26,16 @@ def window_counts(points: DataFrame, window_size: str = "4 hours", slide: str =
 
 def start_digest_windows(spark: SparkSession, source: str, sink: str, checkpoint: str, schema: str,
                          window_size: str = "4 hours", slide: str = "1 hour", lateness: str = "1 hour",
-                         available_now: bool = True, max_files_per_trigger: int | None = None):
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         state_partitions: int | None = None):
+    """Start the windowed count stream; returns the ``StreamingQuery``.
+
+    ``state_partitions`` fixes the number of state-store partitions. A
+    stateful stream keeps that number for its whole life (it is stored in the
+    checkpoint at the first batch, and adaptive execution does not apply to
+    streams), so choose it for the expected state size; by default the
+    session's ``spark.sql.shuffle.partitions`` is used.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -43,7 +52,17 @@ def start_digest_windows(spark: SparkSession, source: str, sink: str, checkpoint
     writer = (counts.writeStream.outputMode("update").foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    # The stream runs on a clone of the session taken at start: set the
+    # value only around ``start`` and leave the caller's session unchanged.
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
 
 
 def latest_window_counts(spark: SparkSession, sink: str) -> DataFrame:
