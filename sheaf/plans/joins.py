@@ -34,14 +34,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``broadcast(df)`` when it is proven small, else ``df`` unchanged.
 
-    Proof in two steps on the persisted frame: a count that stops after
-    ``max_rows + 1`` rows, then (only when that bound holds) the byte size of
-    those few rows. Persisting lets the checks and the join read the frame
+    Proof in one job on the persisted frame: the number of rows and their
+    byte size, read from at most ``max_rows + 1`` rows. Persisting lets the checks and the join read the frame
     once; a lost executor recomputes the cached blocks from lineage. Beyond
     the bounds the planner's shuffle join runs (AQE splits skewed keys).
     """
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if bounded_count(df, max_rows) <= max_rows and data_bytes(df) <= max_bytes:
+    # One job: rows and bytes of at most max_rows + 1 rows.
+    row = F.octet_length(F.to_json(F.struct(*df.columns)))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(row)).first()
+    if n <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(df)
     return df
 
