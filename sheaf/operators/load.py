@@ -1,5 +1,5 @@
 """Collection load (K4): documents → chunks → vectors → a point store
-partitioned by collection.
+partitioned by collection, with the upsert of X3 applied at load time.
 
 One job for all collections: chunking is pure expressions, embedding runs
 per Arrow batch in the executors, and the write replaces only the
@@ -14,28 +14,68 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .documents import CHUNK_SIZE, chunk_documents, content_for
+from .documents import CHUNK_SIZE, chunk_documents, content_for, content_hash
 from .models import EMBEDDING_DIM, embed
 
+CARRY = ["collection", "doc_id", "metadata", "excluded_embed_keys", "content_hash"]
+
 
 def chunk_points(docs: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
     """Chunks with a stable ``node_id`` and the embedding input (visible
     metadata + chunk text). Rows: ``collection, doc_id, chunk_no, node_id,
-    n_tokens, chunk_text, embed_input``."""
+    n_tokens, chunk_text, embed_input`` (and ``content_hash`` when the
+    documents carry one)."""
     # Metadata rides along through the explode: no join back, no shuffle.
-    chunks = chunk_documents(docs, keys=["collection", "doc_id", "metadata", "excluded_embed_keys"], size=size)
+    carry = [c for c in CARRY if c in docs.columns]
+    chunks = chunk_documents(docs, keys=carry, size=size)
+    extra = ["content_hash"] if "content_hash" in carry else []
     return chunks.select(
         "collection", "doc_id", "chunk_no",
         F.sha2(F.concat_ws("\u0001", "collection", "doc_id", F.col("chunk_no").cast("string")), 256).alias("node_id"),
-        "n_tokens", "chunk_text",
+        "n_tokens", "chunk_text", *extra,
         content_for("metadata", "excluded_embed_keys", "chunk_text").alias("embed_input"))
 
 
+def prepare_documents(docs: DataFrame) -> DataFrame:
+    """Documents with defaults for missing metadata/exclusions and the
+    ``content_hash`` of what a load stores (text and rendered metadata)."""
+    empty_map = F.create_map().cast("map<string,string>")
+    meta = F.coalesce(F.col("metadata"), empty_map) if "metadata" in docs.columns else empty_map
+    excluded = (F.coalesce(F.col("excluded_embed_keys"), F.array().cast("array<string>"))
+                if "excluded_embed_keys" in docs.columns else F.array().cast("array<string>"))
+    return docs.select("collection", "doc_id", "text", meta.alias("metadata"),
+                       excluded.alias("excluded_embed_keys"),
+                       content_hash(F.col("text"), meta).alias("content_hash"))
+
+
 def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
-                   embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM) -> str:
+                   embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM,
+                   previous: str | None = None, run: str | None = None) -> str:
     """Write the points of ``docs`` (which carry ``collection``) to
-    ``store_path``; returns the path."""
-    points = embed(chunk_points(docs, size), text="embed_input", fn=embed_fn, dim=dim).drop("embed_input")
+    ``store_path``; returns the path.
+
+    With ``previous`` (the path of the current store) the load is an upsert
+    by document (X3): documents whose content hash equals the stored one are
+    skipped — neither chunked nor embedded again —, chunks of documents not
+    in the batch are carried over, and changed or new documents replace
+    theirs. The new state goes to ``store_path``; a store is never rewritten
+    in place, so a failed load leaves the previous one intact. Each chunk row
+    records the ``loaded_by`` run that embedded it.
+    """
+    from ..sources.staging import run_id
+    spark = docs.sparkSession
+    docs = prepare_documents(docs)
+    kept = None
+    if previous:
+        old = spark.read.parquet(previous)
+        # One row per stored document: its first chunk carries the hash.
+        stored = old.filter(F.col("chunk_no") == 0).select("collection", "doc_id", "content_hash")
+        docs = docs.join(stored, ["collection", "doc_id", "content_hash"], "left_anti")
+        kept = old.join(docs.select("collection", "doc_id"), ["collection", "doc_id"], "left_anti")
+    points = (embed(chunk_points(docs, size), text="embed_input", fn=embed_fn, dim=dim)
+              .drop("embed_input").withColumn("loaded_by", F.lit(run or run_id())))
+    if kept is not None:
+        points = kept.unionByName(points.select(*kept.columns))
     # rebalance: AQE sizes the output partitions by collection, splitting a
     # hot collection over several tasks and merging small ones.
     (points.hint("rebalance", "collection").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -305,3 +305,20 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed query vector of the vector search query (64 values from a rule).
 QUERY_VECTOR = [((i % 7) - 3) / 3.0 for i in range(64)]
+
+
+def document_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two loads of documents into ``col_{lang}`` collections: the first
+    holds every document; the second changes ``doc_id%3=0``, repeats
+    ``doc_id%5=0`` unchanged and adds ``doc_id%7=0`` to ``new_{lang}``."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    d = F.col("doc_id")
+
+    def rows(df, prefix, text):
+        return df.select(F.concat(F.lit(prefix), F.col("lang")).alias("collection"), _s(d).alias("doc_id"),
+                         text.alias("text"))
+    first = rows(docs, "col_", F.col("text"))
+    second = (rows(docs.filter(d % 3 == 0), "col_", F.concat(F.col("text"), F.lit(" [rev 2]")))
+              .unionByName(rows(docs.filter((d % 5 == 0) & (d % 3 != 0)), "col_", F.col("text")))
+              .unionByName(rows(docs.filter(d % 7 == 0), "new_", F.col("text"))))
+    return first, second

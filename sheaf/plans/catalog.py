@@ -387,3 +387,13 @@ def q_summaries_nested(spark, sf_dir):
                               F.coalesce(x["summary_text"], F.lit("-")))
     return nested.select("collection", "date", F.size("summaries").cast("bigint").alias("n_records"),
                          F.array_join(F.transform("summaries", item), "|").alias("records"))
+
+
+@register("reload_collection")
+def q_reload_collection(spark, sf_dir):
+    """K4 + X3: a second load skips unchanged documents, keeps untouched
+    ones and re-embeds only changed or new ones (``loaded_by``)."""
+    first, second = ad.document_loads(spark, sf_dir)
+    p1 = ld.load_documents(first, scratch_path(spark, "points-v1"), run="1")
+    p2 = ld.load_documents(second, scratch_path(spark, "points-v2"), previous=p1, run="2")
+    return spark.read.parquet(p2).select("collection", "doc_id", "chunk_no", "n_tokens", "loaded_by")

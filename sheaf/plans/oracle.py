@@ -561,3 +561,23 @@ p AS (
 SELECT collection, date, count(*) AS n_records,
        string_agg(CAST(point_id AS VARCHAR) || '=' || coalesce(summary_text, '-'), '|' ORDER BY point_id) AS records
 FROM p GROUP BY collection, date"""
+
+ORACLE["reload_collection"] = f"""WITH v1 AS (
+  SELECT 'col_' || lang AS collection, CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents),
+v2 AS (
+  SELECT 'col_' || lang AS collection, CAST(doc_id AS VARCHAR) AS doc_id, text || ' [rev 2]' AS text
+  FROM documents WHERE doc_id % 3 = 0
+  UNION ALL
+  SELECT 'col_' || lang, CAST(doc_id AS VARCHAR), text FROM documents WHERE doc_id % 5 = 0 AND doc_id % 3 <> 0
+  UNION ALL
+  SELECT 'new_' || lang, CAST(doc_id AS VARCHAR), text FROM documents WHERE doc_id % 7 = 0),
+changed AS (
+  SELECT v2.* FROM v2 LEFT JOIN v1 ON v1.collection = v2.collection AND v1.doc_id = v2.doc_id
+  WHERE v1.text IS NULL OR v1.text <> v2.text),
+final AS (
+  SELECT collection, doc_id, text, '2' AS loaded_by FROM changed
+  UNION ALL
+  SELECT collection, doc_id, text, '1' FROM v1
+  WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.collection = v1.collection AND c.doc_id = v1.doc_id)),
+{chunk_sql('final', 'collection, doc_id, loaded_by')}
+SELECT collection, doc_id, chunk_no, n_tokens, loaded_by FROM chunks"""

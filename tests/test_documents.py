@@ -140,3 +140,17 @@ def test_chunking_property(spark):
             want += [(i, k // size, " ".join(toks[k:k + size])) for k in range(0, len(toks), size)]
         assert got == sorted(want)
     check()
+
+
+def test_load_upsert_skips_unchanged(spark, tmp_dir):
+    import os
+    from sheaf.operators import load as ld
+    cols = "collection string, doc_id string, text string"
+    first = spark.createDataFrame([("c", "a", "alpha"), ("c", "b", "beta"), ("c", "d", "delta")], cols)
+    second = spark.createDataFrame([("c", "a", "alpha"), ("c", "b", "beta two"), ("e", "x", "new")], cols)
+    p1 = ld.load_documents(first, os.path.join(tmp_dir, "v1"), dim=8, run="1")
+    p2 = ld.load_documents(second, os.path.join(tmp_dir, "v2"), dim=8, previous=p1, run="2")
+    got = rows(spark.read.parquet(p2), "collection", "doc_id", "chunk_text", "loaded_by")
+    assert got == [("c", "a", "alpha", "1"), ("c", "b", "beta two", "2"), ("c", "d", "delta", "1"),
+                   ("e", "x", "new", "2")]
+    assert rows(spark.read.parquet(p1), "doc_id") == [("a",), ("b",), ("d",)]   # previous store untouched
