@@ -230,3 +230,54 @@ def summaries_for_requests(points: DataFrame, requests: DataFrame,
                     .cast("bigint").alias("n_summaries"),
                     F.when(F.col(REASON).isNull(), F.coalesce("summaries", F.lit("")))
                     .alias("summaries")))
+
+
+def workflow_spine(points: DataFrame, requests: DataFrame) -> DataFrame:
+    """The workflow's dispatch as rows: requests (``request_id,
+    community_id, platform_id, start_date, end_date``) without ``end_date``
+    read one date — ``start_date`` as written, or the collection's latest
+    date when that is missing too —, the others read every day of their
+    range. Rows: ``request_id, kind, collection, date, _reject_reason``;
+    a rejected request keeps one row without a date."""
+    s, e = range_date_col("start_date"), range_date_col("end_date")
+    kind = (F.when(F.col("end_date").isNotNull(), F.lit("range"))
+            .when(F.col("start_date").isNotNull(), F.lit("date")).otherwise(F.lit("latest")))
+    reason = first_reason([
+        (F.coalesce(F.col("platform_id"), F.lit("")) == "", "no_platform"),
+        ((kind == "range") & (s.isNull() | e.isNull()), "bad_date"),
+        ((kind == "range") & (e < s), "end_before_start"),
+    ])
+    req = requests.select("request_id", kind.alias("kind"),
+                          summary_collection("community_id", "platform_id").alias("collection"),
+                          "start_date", s.alias("_s"), e.alias("_e"), reason.alias(REASON))
+    ok = req.filter(F.col(REASON).isNull())
+    one_day = ok.filter(F.col("kind") == "date").select(
+        "request_id", "kind", "collection", F.col("start_date").alias("date"))
+    days = ok.filter(F.col("kind") == "range").select(
+        "request_id", "kind", "collection", F.explode(day_spine(F.col("_s"), F.col("_e"))).alias("_d")) \
+        .select("request_id", "kind", "collection", day_string("_d").alias("date"))
+    latest_req = ok.filter(F.col("kind") == "latest").select("request_id", "kind", "collection")
+    wanted = small_side(latest_req.select("collection").distinct())
+    latest = latest_dates(points.select("collection", "date").join(wanted, "collection", "left_semi"))
+    latest_days = latest_req.join(latest, "collection")
+    rejected = req.filter(F.col(REASON).isNotNull()).select(
+        "request_id", "kind", "collection", F.lit(None).cast("string").alias("date"), REASON)
+    return (one_day.unionByName(days).unionByName(latest_days)
+            .withColumn(REASON, F.lit(None).cast("string")).unionByName(rejected))
+
+
+def summaries_workflow(points: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame:
+    """The stored-summaries workflow for a table of requests of all three
+    kinds in one job. Rows: ``request_id, kind, status, date, n_summaries,
+    summaries`` (a day without data has ``""``; a rejected request one row
+    with its reason as status)."""
+    spine = workflow_spine(points, requests)
+    valid = spine.filter(F.col(REASON).isNull())
+    wanted = small_side(valid.select("collection", "date").distinct())
+    scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
+    per_day = summaries_by_date(scoped, limit=limit)
+    ok = F.col(REASON).isNull()
+    return (spine.join(per_day, ["collection", "date"], "left")
+            .select("request_id", "kind", F.coalesce(F.col(REASON), F.lit("ok")).alias("status"), "date",
+                    F.when(ok, F.coalesce("n_summaries", F.lit(0))).cast("bigint").alias("n_summaries"),
+                    F.when(ok, F.coalesce("summaries", F.lit(""))).alias("summaries")))

@@ -322,3 +322,23 @@ def document_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
               .unionByName(rows(docs.filter((d % 5 == 0) & (d % 3 != 0)), "col_", F.col("text")))
               .unionByName(rows(docs.filter(d % 7 == 0), "new_", F.col("text"))))
     return first, second
+
+
+def summary_workflow_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One stored-summary request per conversation, all three kinds:
+    ``conv_id%3`` 0 → latest date, 1 → one date, 2 → a three-day range
+    written unpadded (reversed for ``conv_id%17=2``); no platform for
+    ``conv_id%13=0``."""
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id"]).distinct()
+    c = F.col("conv_id")
+    lo, hi = _s(c % 28 + 1), _s(c % 28 + 3)
+    rev = c % 17 == 2
+    start = (F.when(c % 3 == 0, F.lit(None).cast("string"))
+             .when(c % 3 == 1, F.concat(F.lit("2024-01-"), F.lpad(_s(c % 31 + 1), 2, "0")))
+             .otherwise(F.concat(F.lit("2024-1-"), F.when(rev, hi).otherwise(lo))))
+    end = F.when(c % 3 == 2, F.concat(F.lit("2024-1-"), F.when(rev, lo).otherwise(hi)))
+    return conv.select(
+        c.alias("request_id"),
+        F.concat(F.lit("c"), _s(c % 5)).alias("community_id"),
+        F.when(c % 13 == 0, F.lit("")).otherwise(F.concat(F.lit("p"), _s(c % 3))).alias("platform_id"),
+        start.alias("start_date"), end.alias("end_date"))

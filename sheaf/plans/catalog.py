@@ -397,3 +397,9 @@ def q_reload_collection(spark, sf_dir):
     p1 = ld.load_documents(first, scratch_path(spark, "points-v1"), run="1")
     p2 = ld.load_documents(second, scratch_path(spark, "points-v2"), previous=p1, run="2")
     return spark.read.parquet(p2).select("collection", "doc_id", "chunk_no", "n_tokens", "loaded_by")
+
+
+@register("summaries_workflow")
+def q_summaries_workflow(spark, sf_dir):
+    """The workflow dispatch (date / latest / range) for a table of requests."""
+    return sm.summaries_workflow(ad.points(spark, sf_dir), ad.summary_workflow_requests(spark, sf_dir))

@@ -581,3 +581,37 @@ final AS (
   WHERE NOT EXISTS (SELECT 1 FROM changed c WHERE c.collection = v1.collection AND c.doc_id = v1.doc_id)),
 {chunk_sql('final', 'collection, doc_id, loaded_by')}
 SELECT collection, doc_id, chunk_no, n_tokens, loaded_by FROM chunks"""
+
+ORACLE["summaries_workflow"] = f"""WITH {POINTS_CTE},
+req AS (
+  SELECT conv_id AS request_id,
+         'c' || CAST(conv_id % 5 AS VARCHAR) AS community_id,
+         CASE WHEN conv_id % 13 = 0 THEN '' ELSE 'p' || CAST(conv_id % 3 AS VARCHAR) END AS platform_id,
+         CASE conv_id % 3 WHEN 0 THEN 'latest' WHEN 1 THEN 'date' ELSE 'range' END AS kind,
+         CASE WHEN conv_id % 3 = 1 THEN '2024-01-' || lpad(CAST(conv_id % 31 + 1 AS VARCHAR), 2, '0') END AS one_date,
+         make_date(2024, 1, CAST(CASE WHEN conv_id % 17 = 2 THEN conv_id % 28 + 3 ELSE conv_id % 28 + 1 END AS INTEGER)) AS s,
+         make_date(2024, 1, CAST(CASE WHEN conv_id % 17 = 2 THEN conv_id % 28 + 1 ELSE conv_id % 28 + 3 END AS INTEGER)) AS e
+  FROM (SELECT DISTINCT conv_id FROM conversations)),
+r AS (
+  SELECT *, community_id || '_' || platform_id || '_summary' AS collection,
+         CASE WHEN platform_id = '' THEN 'no_platform'
+              WHEN kind = 'range' AND e < s THEN 'end_before_start' END AS reason
+  FROM req),
+latest AS (SELECT collection, max(date) AS date FROM points GROUP BY collection),
+spine AS (
+  SELECT request_id, kind, collection, one_date AS date, NULL AS reason FROM r WHERE reason IS NULL AND kind = 'date'
+  UNION ALL
+  SELECT request_id, kind, collection,
+         strftime(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)), '%Y-%m-%d'),
+         NULL
+  FROM r WHERE reason IS NULL AND kind = 'range'
+  UNION ALL
+  SELECT r.request_id, r.kind, r.collection, l.date, NULL
+  FROM r JOIN latest l ON r.collection = l.collection WHERE r.reason IS NULL AND r.kind = 'latest'
+  UNION ALL
+  SELECT request_id, kind, collection, NULL, reason FROM r WHERE reason IS NOT NULL),
+{summary_core('points')}
+SELECT s.request_id, s.kind, coalesce(s.reason, 'ok') AS status, s.date,
+       CASE WHEN s.reason IS NULL THEN coalesce(p.n_summaries, 0) END AS n_summaries,
+       CASE WHEN s.reason IS NULL THEN coalesce(p.summaries, '') END AS summaries
+FROM spine s LEFT JOIN per_key p ON s.collection = p.collection AND s.date = p.date"""
