@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,8 @@ def digest_text(points: DataFrame, requests: DataFrame, threshold: float,
     Rows: ``request_id, collection, status, n_points, n_texts, digest``, where
     ``digest`` is the joined text, or one of the two fixed sentinels.
     """
-    req = resolve_requests(requests)
+    # Requests are read twice (key set and final join): persist them once.
+    req = resolve_requests(requests).persist(StorageLevel.MEMORY_AND_DISK)
     wanted = small_side(req.filter(F.col(REASON).isNull()).select("collection").distinct())
     recent = recent_points(points, threshold).join(wanted, "collection", "left_semi")
     agg = aggregate_digest(digest_lines(recent, limit))

@@ -13,6 +13,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,7 +78,10 @@ def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "
     come back by an equi join, so no group is ever collected whole.
     Rows: ``{key}, n_lines, summary``.
     """
-    lines = lines.filter(F.col(text).isNotNull()).select(key, order, text)
+    # The lines feed four branches (words, scores, ranking, counts); they are
+    # bounded by the digest limit per group, so they are persisted once.
+    lines = lines.filter(F.col(text).isNotNull()).select(key, order, text) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     words = lines.select(key, order, F.explode(F.split(F.lower(F.col(text)), WORD_BREAK)).alias("w")) \
         .filter(F.col("w") != "")
     tf = words.groupBy(key, "w").agg(F.count(F.lit(1)).alias("tf"))

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,11 +184,12 @@ def summaries_range(points: DataFrame, requests: DataFrame, limit: int = SUMMARY
     a cross join; the day aggregates are joined on (collection, date).
     """
     req = range_requests(requests).filter(F.col(REASON).isNull())
+    # The spine (requests x days) is read twice: persist it once.
     spine = req.select(
         "community_id", "platform_id",
         summary_collection("community_id", "platform_id").alias("collection"),
         F.explode(day_spine(F.col("_start"), F.col("_end"))).alias("_day"),
-    ).withColumn("date", day_string("_day")).drop("_day")
+    ).withColumn("date", day_string("_day")).drop("_day").persist(StorageLevel.MEMORY_AND_DISK)
     wanted = small_side(spine.select("collection", "date").distinct())
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
     per_day = summaries_by_date(scoped, limit=limit)
@@ -218,7 +220,8 @@ def summaries_for_requests(points: DataFrame, requests: DataFrame,
     req = requests.withColumn(
         REASON, first_reason([(F.coalesce(F.col("platform_id"), F.lit("")) == "", "no_platform")])
     ).withColumn("collection", F.when(F.col(REASON).isNull(),
-                                      summary_collection("community_id", "platform_id")))
+                                      summary_collection("community_id", "platform_id"))
+                 ).persist(StorageLevel.MEMORY_AND_DISK)
     valid = req.filter(F.col(REASON).isNull())
     wanted = small_side(valid.select("collection", "date").distinct())
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
@@ -271,7 +274,8 @@ def summaries_workflow(points: DataFrame, requests: DataFrame, limit: int = SUMM
     kinds in one job. Rows: ``request_id, kind, status, date, n_summaries,
     summaries`` (a day without data has ``""``; a rejected request one row
     with its reason as status)."""
-    spine = workflow_spine(points, requests)
+    # The spine (requests x days) is read twice: persist it once.
+    spine = workflow_spine(points, requests).persist(StorageLevel.MEMORY_AND_DISK)
     valid = spine.filter(F.col(REASON).isNull())
     wanted = small_side(valid.select("collection", "date").distinct())
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
