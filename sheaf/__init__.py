@@ -1,0 +1,13 @@
+"""sheaf — document pipelines as Spark jobs.
+
+- ``sources``: scans and sinks (config documents, wiki dumps, sitemaps,
+  request files, staging, the point store, XML files).
+- ``functions``: column expressions (JSON payloads, dates, names, text).
+- ``operators``: DataFrame → DataFrame steps (registry, wiki, web,
+  documents, load, summaries, digest, search, model hooks).
+- ``streaming``: continuous intake and windowed counts.
+- ``plans``: size-checked joins, the test-table views, the registered
+  queries and their DuckDB twins.
+"""
+
+__version__ = "0.1.0"

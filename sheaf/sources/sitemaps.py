@@ -10,6 +10,6 @@ from pyspark.sql import functions as F
 
 def read_sitemaps(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
     """Rows ``sitemap_url`` (the file) and ``content`` (its text)."""
-    return (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").text(path)
+    return (spark.read.option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").text(path, wholetext=True)
             .select(F.input_file_name().alias("sitemap_url"), F.col("value").alias("content")))

@@ -54,3 +54,11 @@ def split_xml(df: DataFrame, xml: str = "xml", level: int = 0) -> DataFrame:
     each of their nodes."""
     return (df.lateralJoin(LevelSplit(F.col(xml).outer(), F.lit(level)))
             .drop(xml))
+
+
+def read_xml_files(spark, path: str, glob: str = "*.xml") -> DataFrame:
+    """S6 source: one row per XML file (``file, xml``), read whole; the
+    file path rides along as the extra information of every node."""
+    return (spark.read.option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").text(path, wholetext=True)
+            .select(F.input_file_name().alias("file"), F.col("value").alias("xml")))

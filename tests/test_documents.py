@@ -154,3 +154,14 @@ def test_load_upsert_skips_unchanged(spark, tmp_dir):
     assert got == [("c", "a", "alpha", "1"), ("c", "b", "beta two", "2"), ("c", "d", "delta", "1"),
                    ("e", "x", "new", "2")]
     assert rows(spark.read.parquet(p1), "doc_id") == [("a",), ("b",), ("d",)]   # previous store untouched
+
+
+def test_xml_files_source(spark, tmp_dir):
+    import os
+    for i in range(2):
+        with open(os.path.join(tmp_dir, f"f{i}.xml"), "w") as f:
+            f.write(f'<?xml version="1.0"?>\n<r><a>{i}</a><b>x</b></r>\n')
+    nodes = xs.split_xml(xs.read_xml_files(spark, tmp_dir), level=1)
+    got = sorted((os.path.basename(r["file"]), r["node_no"], r["content"]) for r in nodes.collect())
+    assert got == [("f0.xml", 0, "<a>0</a>"), ("f0.xml", 1, "<b>x</b>"),
+                   ("f1.xml", 0, "<a>1</a>"), ("f1.xml", 1, "<b>x</b>")]

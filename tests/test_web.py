@@ -100,7 +100,7 @@ def test_sitemap_files_and_request_files(spark, tmp_dir):
     from sheaf.sources.requests import read_batch_requests, read_requests
     from sheaf.sources.sitemaps import read_sitemaps
     with open(os.path.join(tmp_dir, "sitemap.xml"), "w") as f:
-        f.write(f'<urlset xmlns="{NS}"><url><loc>https://a.com/x</loc></url></urlset>')
+        f.write(f'<?xml version="1.0"?>\n<urlset xmlns="{NS}">\n<url>\n<loc>https://a.com/x</loc>\n</url>\n</urlset>\n')
     got = wb.sitemap_links(read_sitemaps(spark, tmp_dir)).collect()
     assert [r["link"] for r in got] == ["https://a.com/x"]
     req_dir = os.path.join(tmp_dir, "req")
