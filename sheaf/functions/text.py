@@ -75,9 +75,14 @@ def html_text(html) -> Column:
     return collapse_ws(decode_entities(t))
 
 
+# An anchor's href attribute: double or single quotes, spaces around "=",
+# any other attributes before it (but not an attribute merely ending in "href").
+HREF_PATTERN = r"""(?i)<a(?:[ \t\n\r\f][^>]*?)?[ \t\n\r\f]href[ \t\n\r\f]*=[ \t\n\r\f]*["']([^"'>]*)["']"""
+
+
 def hrefs(html) -> Column:
     """``href`` values of anchors, in document order (array)."""
-    return F.regexp_extract_all(_c(html), F.lit(r'(?i)<a[^>]*href="([^"]*)"'), 1)
+    return F.regexp_extract_all(_c(html), F.lit(HREF_PATTERN), 1)
 
 
 def resolve_link(base_url, href) -> Column:

@@ -274,8 +274,13 @@ ORACLE["crawled_pages"] = f"""SELECT url, {html_title_sql()} AS title, {html_tex
 ORACLE["web_documents"] = f"""SELECT url AS doc_id, {html_text_sql()} AS text,
        {html_title_sql()} AS meta_title, url AS meta_url FROM pages"""
 
+def _href_sql() -> str:
+    from ..functions.text import HREF_PATTERN
+    return "'" + HREF_PATTERN.replace("'", "''") + "'"
+
+
 ORACLE["web_links"] = f"""WITH l AS (
-  SELECT page_id, url, unnest(regexp_extract_all(html, '(?i)<a[^>]*href="([^"]*)"', 1)) AS href FROM pages),
+  SELECT page_id, url, unnest(regexp_extract_all(html, {_href_sql()}, 1)) AS href FROM pages),
 r AS (SELECT page_id, {resolve_sql('url', 'href')} AS link FROM l)
 SELECT page_id, link, count(*) AS n_refs FROM r WHERE link IS NOT NULL GROUP BY page_id, link"""
 

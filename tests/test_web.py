@@ -124,3 +124,11 @@ def test_crawl_job_guards(spark):
         wb.crawl_job(spark, [], edges)
     with pytest.raises(ValueError):
         wb.crawl_job(spark, ["ftp://a/"], edges)
+
+
+def test_href_forms(spark):
+    html = ("<a href=\"/a\">1</a><a class='c' href = '/b'>2</a><a data-href=\"/no\">3</a>"
+            "<A HREF=\"/c\">4</A><abbr href=\"/no\">5</abbr><a\nhref=\"/d\">6</a>")
+    pages = spark.createDataFrame([(1, "https://e.com/", html)], "page_id long, url string, html string")
+    assert [r["link"] for r in wb.page_links(pages).orderBy("link").collect()] == [
+        "https://e.com/a", "https://e.com/b", "https://e.com/c", "https://e.com/d"]
