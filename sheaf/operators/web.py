@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import html_text, html_title, http_url, hrefs, py_strip, resolve_link
-from ..quality import REASON, first_reason
+from ..quality import REASON, first_reason, keep_rows
 from ..session import scratch_path
 from .summaries import top_per_key
 
@@ -57,7 +57,8 @@ def sitemap_links(sitemaps: DataFrame, text: str = "content", key: str = "sitema
         key, F.col(text).contains(SITEMAP_NS).alias("_ns"),
         F.from_xml(F.col(text), schemas.SITEMAP,
                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("x"))
-    locs = (parsed.filter(F.col("_ns") & F.col("x._corrupt_record").isNull())
+    # keep_rows: the test on the parsed struct must not re-run from_xml.
+    locs = (keep_rows(parsed, F.col("_ns") & F.col("x._corrupt_record").isNull())
             .select(key, F.explode("x.url").alias("u"))
             .select(key, py_strip(F.col("u.loc")).alias("link")))
     return locs.filter(http_url("link")).dropDuplicates([key, "link"])
@@ -69,7 +70,7 @@ def sitemap_rejects(sitemaps: DataFrame, text: str = "content", key: str = "site
     parsed = sitemaps.select(key, F.from_xml(
         F.col(text), schemas.SITEMAP,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("x"))
-    return parsed.filter(F.col("x._corrupt_record").isNotNull()) \
+    return keep_rows(parsed, F.col("x._corrupt_record").isNotNull()) \
         .select(key, F.lit("invalid_sitemap_xml").alias(REASON))
 
 

@@ -92,12 +92,13 @@ def current_revisions(pages: DataFrame, namespaces: list[int] | None = None) ->
     Per-row ``array_max`` over the page's own revisions: no shuffle.
     Rows: ``page_id, namespace, revision_id, timestamp``.
     """
-    df = pages
+    keep = F.size(F.coalesce(F.col("page.revision"), F.array())) > 0
     if namespaces:
-        df = df.filter(F.col("page.ns").try_cast("int").isin([int(n) for n in namespaces]))
+        keep = keep & F.col("page.ns").try_cast("int").isin([int(n) for n in namespaces])
     newest = F.array_max(F.transform("page.revision", lambda r: F.struct(
         r["timestamp"].alias("ts"), r["id"].try_cast("bigint").alias("rid"), r["id"].alias("id"))))
-    return df.filter(F.size(F.coalesce(F.col("page.revision"), F.array())) > 0).select(
+    # keep_rows: the test on parsed fields must not re-run the parse (see quality.keep_rows).
+    return keep_rows(pages, keep).select(
         F.col("page.id").alias("page_id"), F.col("page.ns").alias("namespace"),
         newest["id"].alias("revision_id"), newest["ts"].alias("timestamp"))
 
