@@ -24,7 +24,7 @@ from ..operators import summaries as sm
 from ..operators import web as wb
 from ..operators import wiki as wk
 from ..quality import split_valid
-from ..session import scratch_path
+from ..session import default_parallelism, scratch_path
 from ..sources import points as pts_src
 from ..sources import staging as stg
 from ..sources import wiki as wsrc
@@ -366,7 +366,7 @@ def q_stream_digest(spark, sf_dir):
     ad.points(spark, sf_dir).select("collection", "point_id", "ts").write.parquet(src)
     st_digest.start_digest_windows(spark, src, sink, ck,
                                    schema="collection string, point_id bigint, ts timestamp_ntz",
-                                   state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+                                   state_partitions=default_parallelism(spark)).awaitTermination()
     return st_digest.latest_window_counts(spark, sink)
 
 

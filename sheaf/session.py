@@ -59,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     from the session and never replaced. Only when it is unset, as in local
     tests, a folder of our own is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None) or fallback or "/tmp/sheaf-checkpoints"
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
         current = fallback or os.environ.get("SHEAF_CHECKPOINT_DIR") or "/tmp/sheaf-checkpoints"
@@ -69,6 +72,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return sc.getCheckpointDir() or current
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (or the shuffle partition setting without a SparkContext)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared checkpoint folder.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
@@ -48,12 +49,12 @@ def read_staged(spark: SparkSession, key: str, fmt: str = "json",
                 require_rows: bool = True) -> DataFrame:
     """S9 + S10 + S11: staged documents by key with the explicit document
     schema; a missing key and (by default) an empty result are errors."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(key)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        raise ValueError(f"No data found for key: {key}")
-    df = spark.read.schema(schema).format(fmt).load(key)
+    try:
+        df = spark.read.schema(schema).format(fmt).load(key)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise ValueError(f"No data found for key: {key}") from exc
+        raise
     if require_rows and df.isEmpty():
         raise ValueError(f"No transformed data found for key: {key}")
     return df
