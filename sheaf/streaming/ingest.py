@@ -18,12 +18,13 @@ from ..operators.documents import request_documents
 
 
 def start_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str,
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream; returns the ``StreamingQuery``."""
-    reader = spark.readStream.schema(schemas.INGESTION_REQUEST)
+                 available_now: bool = True, max_files_per_trigger: int | None = None, fmt: str = "parquet"):
+    """Start the stream over request files (``fmt``: parquet or json lines,
+    read with the request schema); returns the ``StreamingQuery``."""
+    reader = spark.readStream.schema(schemas.INGESTION_REQUEST).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = request_documents(reader.parquet(source))
+    docs = request_documents(reader.load(source))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")

@@ -45,3 +45,16 @@ def test_ingest_stream_latest_version_wins(spark, tmp_dir):
     st_ingest.start_ingest(spark, src + "/*", sink, ck, max_files_per_trigger=1).awaitTermination()
     got = st_ingest.latest_documents(spark, sink).collect()
     assert [(r["collection"], r["doc_id"], r["text"]) for r in got] == [("c_p", "d1", "second")]
+
+
+def test_ingest_stream_from_json_files(spark, tmp_dir):
+    import json
+    src = os.path.join(tmp_dir, "json")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"communityId": "c", "platformId": "p", "text": "t", "metadata": {"k": "v"},
+                            "docId": "1", "collectionName": "x"}) + "\n")
+    sink, ck = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ck")
+    st_ingest.start_ingest(spark, src, sink, ck, fmt="json").awaitTermination()
+    got = st_ingest.latest_documents(spark, sink).collect()
+    assert [(r["collection"], r["doc_id"], r["metadata"]) for r in got] == [("c_x", "1", {"k": "v"})]
