@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .documents import CHUNK_SIZE, chunk_documents, content_for, content_hash
@@ -50,7 +50,8 @@ def prepare_documents(docs: DataFrame) -> DataFrame:
 
 def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
                    embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM,
-                   previous: str | None = None, run: str | None = None) -> str:
+                   previous: str | None = None, run: str | None = None,
+                   metrics: dict | None = None) -> str:
     """Write the points of ``docs`` (which carry ``collection``) to
     ``store_path``; returns the path.
 
@@ -61,9 +62,14 @@ def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
     theirs. The new state goes to ``store_path``; a store is never rewritten
     in place, so a failed load leaves the previous one intact. Each chunk row
     records the ``loaded_by`` run that embedded it.
+
+    A7: when ``metrics`` is given it receives ``chunks`` (written) and
+    ``embedded`` (chunks embedded by this run), observed during the write
+    itself (``DataFrame.observe``), without another job.
     """
     from ..sources.staging import run_id
     spark = docs.sparkSession
+    run = run or run_id()
     docs = prepare_documents(docs)
     kept = None
     if previous:
@@ -73,11 +79,17 @@ def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
         docs = docs.join(stored, ["collection", "doc_id", "content_hash"], "left_anti")
         kept = old.join(docs.select("collection", "doc_id"), ["collection", "doc_id"], "left_anti")
     points = (embed(chunk_points(docs, size), text="embed_input", fn=embed_fn, dim=dim)
-              .drop("embed_input").withColumn("loaded_by", F.lit(run or run_id())))
+              .drop("embed_input").withColumn("loaded_by", F.lit(run)))
     if kept is not None:
         points = kept.unionByName(points.select(*kept.columns))
+    observation = Observation("load") if metrics is not None else None
+    if observation is not None:
+        points = points.observe(observation, F.count(F.lit(1)).alias("chunks"),
+                                F.count(F.when(F.col("loaded_by") == F.lit(run), 1)).alias("embedded"))
     # rebalance: AQE sizes the output partitions by collection, splitting a
     # hot collection over several tasks and merging small ones.
     (points.hint("rebalance", "collection").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("collection").parquet(store_path))
+    if observation is not None:
+        metrics.update(observation.get)
     return store_path
