@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..quality import keep_rows
 from .summaries import top_per_key
 
 EMBEDDING_DIM = 1024  # the deployment's embedding dimension
@@ -80,7 +81,7 @@ def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "
     """
     # The lines feed four branches (words, scores, ranking, counts); they are
     # bounded by the digest limit per group, so they are persisted once.
-    lines = lines.filter(F.col(text).isNotNull()).select(key, order, text) \
+    lines = keep_rows(lines.select(key, order, text), F.col(text).isNotNull()) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     words = lines.select(key, order, F.explode(F.split(F.lower(F.col(text)), WORD_BREAK)).alias("w")) \
         .filter(F.col("w") != "")
