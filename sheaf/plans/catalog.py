@@ -352,8 +352,9 @@ def q_xml_level_split(spark, sf_dir):
 @register("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("requests", "ingested", "ingest-ck"))
-    ad.single_requests(spark, sf_dir).repartition(4).write.parquet(src)
-    st_ingest.start_ingest(spark, src, sink, ck, max_files_per_trigger=2).awaitTermination()
+    # Request files written with the input's own partitioning (no funnel into a few tasks).
+    ad.single_requests(spark, sf_dir).write.parquet(src)
+    st_ingest.start_ingest(spark, src, sink, ck).awaitTermination()
     d = st_ingest.latest_documents(spark, sink)
     return d.select("collection", "doc_id", "text", F.col("metadata")["role"].alias("role"),
                     F.array_join("excluded_embed_keys", ",").alias("excluded_embed"),
