@@ -33,11 +33,16 @@ def _records(spark: SparkSession, path: str, glob: str) -> DataFrame:
             .withColumn("file", F.input_file_name()))
 
 
-def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool = True) -> DataFrame:
+def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool = True,
+              spread: int | None = None) -> DataFrame:
     """S3 + S4: pages of every dump file under ``path`` (``file, page``).
 
     Only files of the export-0.11 namespace yield pages (another version
     yields none, as in the reference). No matching file is an error.
+
+    ``spread``: for dumps compressed with a codec Hadoop cannot split (gzip),
+    one task reads a whole file; ``spread=N`` redistributes the page
+    fragments over N partitions before the (expensive) XML parse.
     """
     rec = _records(spark, path, glob)
     if check and rec.isEmpty():
@@ -48,7 +53,10 @@ def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool =
     version = (rec.filter(F.col("value").contains("<mediawiki"))
                .select("file", F.regexp_extract("value", r'<mediawiki[^>]*xmlns="([^"]*)"', 1).alias("ns"))
                .filter(F.col("ns") == EXPORT_NS).select("file"))
-    return parse_pages(pages.join(small_side(version), "file", "left_semi"))
+    pages = pages.join(small_side(version), "file", "left_semi")
+    if spread:
+        pages = pages.repartition(spread)
+    return parse_pages(pages)
 
 
 def read_siteinfo(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:

@@ -92,3 +92,14 @@ def test_dump_round_trip(spark, tmp_dir):
     back = wk.flatten_pages(wsrc.read_dump(spark, path, glob="*.txt"))
     assert sorted((r["page_id"], r["text"]) for r in back.collect()) == [("1", "x"), ("2", "y")]
     assert wsrc.read_siteinfo(spark, path, glob="*.txt").count() == 2
+
+
+def test_gzip_dump_spread(spark, tmp_dir):
+    import gzip
+    path = os.path.join(tmp_dir, "gz")
+    os.makedirs(path)
+    with gzip.open(os.path.join(path, "dump.xml.gz"), "wt") as f:
+        f.write(DUMP)
+    pages = wsrc.read_dump(spark, path, glob="*.xml.gz", spread=4)
+    assert pages.rdd.getNumPartitions() == 4
+    assert sorted(r["page_id"] for r in wk.flatten_pages(pages).collect()) == ["1", "2", "3", "4"]
