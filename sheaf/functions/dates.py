@@ -83,3 +83,17 @@ def day_spine(start: Column, end: Column) -> Column:
     range yields NULL instead.
     """
     return F.when(end >= start, F.sequence(start, end, F.expr("INTERVAL 1 DAY")))
+
+
+def period_threshold_col(period: Column | str, as_of: datetime) -> Column:
+    """F5 as a column (epoch seconds): ``Nh`` → as_of − N hours;
+    ``YYYY-MM-DD`` → that midnight UTC; NULL or ``""`` → the last hour.
+    Anything else, or an impossible date such as ``2024-13-45``, gives NULL,
+    so that a request table can quarantine the row instead of failing."""
+    p = F.col(period) if isinstance(period, str) else period
+    base = epoch_seconds(as_of)
+    hours = F.regexp_extract(p, r"^(\d+)h$", 1).try_cast("double")
+    day = F.try_to_date(p, "yyyy-MM-dd")
+    return (F.when(p.isNull() | (p == ""), F.lit(base - 3600.0))
+            .when(p.rlike(r"^\d+h$"), F.lit(base) - hours * 3600.0)
+            .when(p.rlike(r"^\d{4}-\d{2}-\d{2}$"), epoch_seconds_col(day.cast("timestamp_ntz"))))

@@ -131,3 +131,17 @@ def test_null_text_is_quarantined(spark):
     df = pts(spark, [("c", 1, "d", 0.0, '{"text": null}'), ("c", 2, "d", 0.0, '{"text": "ok"}')])
     r = sm.summaries_by_date(df).collect()[0]
     assert (r["summaries"], r["n_rejected"]) == ("ok", 1)
+
+
+def test_period_column_form_matches_scalar(spark):
+    from sheaf.functions.dates import period_threshold_col
+    now = datetime(2024, 1, 20, 12, 0, 0, 250000, tzinfo=timezone.utc)
+    periods = ["1h", "4h", "2024-01-15", None, "", "4 hours", "2024-13-45", "h"]
+    df = spark.createDataFrame([(p,) for p in periods], "period string")
+    got = {r["period"]: r["t"] for r in df.select("period", period_threshold_col("period", now).alias("t")).collect()}
+    for p in periods:
+        try:
+            want = epoch_seconds(period_threshold(p, now))
+        except ValueError:
+            want = None
+        assert got[p] == want, p
