@@ -35,7 +35,7 @@ def has_key(node: Column | str, key: str) -> Column:
 
 
 def summary_text(node: Column | str) -> Column:
-    """F2 on a parsed payload: ``text`` of a JSON object, else the fixed marker.
+    """F2 + P15 on a parsed payload: ``text`` of a JSON object, else the fixed marker.
 
     Only meaningful where ``is_json`` holds; callers route bad JSON (F3) first.
     """

@@ -52,7 +52,7 @@ def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
                    embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM,
                    previous: str | None = None, run: str | None = None,
                    metrics: dict | None = None) -> str:
-    """Write the points of ``docs`` (which carry ``collection``) to
+    """K4: write the points of ``docs`` (which carry ``collection``) to
     ``store_path``; returns the path.
 
     With ``previous`` (the path of the current store) the load is an upsert

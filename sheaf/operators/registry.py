@@ -47,8 +47,8 @@ def _with_metadata(entries: DataFrame, platforms: DataFrame) -> DataFrame:
 
 def wiki_candidates(modules: DataFrame, platforms: DataFrame,
                     platform_id: str | None = None) -> DataFrame:
-    """MediaWiki entries with metadata and a reject reason, checked in the
-    reference's order. W2: ``platform_id`` is compared as a string; ``""``
+    """MediaWiki entries with metadata and a reject reason (W3 activated,
+    W4 namespaces, W5 url fields), checked in the reference's order. W2: ``platform_id`` is compared as a string; ``""``
     matches nothing (the reference tests ``is not None``)."""
     entries = module_platforms(modules, WIKI)
     if platform_id is not None:
@@ -77,7 +77,7 @@ def wiki_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None
 
 def site_candidates(modules: DataFrame, platforms: DataFrame,
                     platform_id: str | None = None) -> DataFrame:
-    """Website entries with a reject reason. W2 website variant: an empty
+    """Website entries with a reject reason (W3 activated). W2 website variant: an empty
     ``platform_id`` means no filter."""
     entries = module_platforms(modules, WEBSITE)
     if platform_id:

@@ -32,7 +32,7 @@ def cosine(vector: str, query: Sequence[float], digits: int | None = 6) -> Colum
 
 def vector_search(df: DataFrame, query: Sequence[float], k: int, id_col: str, vector: str = "embedding",
                   keys: Sequence[str] = (), where: Column | None = None) -> DataFrame:
-    """Top ``k`` rows by cosine score (ties: smaller id first), per ``keys``
+    """L4: top ``k`` rows by cosine score (ties: smaller id first), per ``keys``
     when given, after the optional filter ``where``. Adds ``score`` and
     ``rank`` (1-based); the vector column is dropped from the result."""
     src = df.filter(where) if where is not None else df

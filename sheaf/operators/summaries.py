@@ -83,7 +83,8 @@ def join_texts(df: DataFrame, keys: Sequence[str], text: str = "summary_text",
 
 def summaries_by_date(points: DataFrame, keys: Sequence[str] = ("collection", "date"),
                       limit: int = SUMMARY_LIMIT, strict: bool = False) -> DataFrame:
-    """Text-only summaries for every (collection, date) of ``points``.
+    """Text-only summaries for every (collection, date) of ``points`` (L1:
+    at most ``limit`` per date).
 
     Rows: ``collection, date, n_summaries, summaries, n_rejected``.
     ``strict=True`` reproduces the reference: any quarantined point fails the call.

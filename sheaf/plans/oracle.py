@@ -620,3 +620,5 @@ SELECT s.request_id, s.kind, coalesce(s.reason, 'ok') AS status, s.date,
        CASE WHEN s.reason IS NULL THEN coalesce(p.n_summaries, 0) END AS n_summaries,
        CASE WHEN s.reason IS NULL THEN coalesce(p.summaries, '') END AS summaries
 FROM spine s LEFT JOIN per_key p ON s.collection = p.collection AND s.date = p.date"""
+
+ORACLE["staged_extracted"] = ORACLE["crawled_pages"]

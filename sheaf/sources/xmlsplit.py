@@ -50,7 +50,7 @@ class LevelSplit:
 
 
 def split_xml(df: DataFrame, xml: str = "xml", level: int = 0) -> DataFrame:
-    """Rows of ``df`` (without ``xml``) joined with ``node_no, content`` of
+    """S6 + X5: rows of ``df`` (without ``xml``) joined with ``node_no, content`` of
     each of their nodes."""
     return (df.lateralJoin(LevelSplit(F.col(xml).outer(), F.lit(level)))
             .drop(xml))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 def window_counts(points: DataFrame, window_size: str = "4 hours", slide: str = "1 hour",
                   lateness: str = "1 hour") -> DataFrame:
-    """Streaming aggregate: ``collection, window, n_points``. Event time
+    """ST2 streaming aggregate: ``collection, window, n_points``. Event time
     must be TIMESTAMP for a watermark; TIMESTAMP_NTZ input is read as UTC
     (the session zone is pinned to UTC)."""
     return (points.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)

@@ -19,7 +19,7 @@ from ..operators.documents import request_documents
 
 def start_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None, fmt: str = "parquet"):
-    """Start the stream over request files (``fmt``: parquet or json lines,
+    """ST1: start the stream over request files (``fmt``: parquet or json lines,
     read with the request schema); returns the ``StreamingQuery``."""
     reader = spark.readStream.schema(schemas.INGESTION_REQUEST).format(fmt)
     if max_files_per_trigger:
