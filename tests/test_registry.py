@@ -85,3 +85,27 @@ def test_website_filter_and_disabled(spark):
     assert len(site(spark, mods, plats, "")) == 2   # "" means no filter for websites
     mods = [("c1", [("w1", "website", ON), ("w2", "website", OFF)])]
     assert site(spark, mods, plats) == [("c1", "w1", ["link1", "link2"])]
+
+
+def test_config_documents_from_json_files(spark, tmp_dir):
+    import json
+    import os
+    from sheaf.sources.config import read_modules, read_platforms
+    mod_dir, plat_dir = os.path.join(tmp_dir, "modules"), os.path.join(tmp_dir, "platforms")
+    os.makedirs(mod_dir)
+    os.makedirs(plat_dir)
+    with open(os.path.join(mod_dir, "m.json"), "w") as f:
+        f.write(json.dumps({"name": "assistant", "community": "c1", "activated": True, "options": {"platforms": [
+            {"platform": "p1", "name": "mediaWiki", "metadata": {"activated": True}},
+            {"platform": "d1", "name": "discord", "metadata": {}}]}}) + "\n")
+        f.write(json.dumps({"name": "assistant", "community": "c2", "options": {"platforms": [
+            {"platform": "d2", "name": "discord", "metadata": {"activated": True}}]}}) + "\n")
+    with open(os.path.join(plat_dir, "p.json"), "w") as f:
+        f.write(json.dumps({"_id": "p1", "name": "mediaWiki", "community": "c1",
+                            "metadata": {"baseURL": "http://example.com", "path": "/api",
+                                         "namespaces": [0, 1, 2]}}) + "\n")
+    mods = read_modules(spark, mod_dir, platform_name="mediaWiki")
+    assert mods.count() == 1 and "name" not in mods.columns        # S1: filtered, name dropped
+    jobs = rg.wiki_jobs(read_modules(spark, mod_dir), read_platforms(spark, plat_dir)).collect()
+    assert [(r["community_id"], r["platform_id"], r["base_url"], list(r["namespaces"])) for r in jobs] == [
+        ("c1", "p1", "http://example.com/api", [0, 1, 2])]
