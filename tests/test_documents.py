@@ -167,3 +167,45 @@ def test_xml_files_source(spark, tmp_dir):
     got = sorted((os.path.basename(r["file"]), r["node_no"], r["content"]) for r in nodes.collect())
     assert got == [("f0.xml", 0, "<a>0</a>"), ("f0.xml", 1, "<b>x</b>"),
                    ("f1.xml", 0, "<a>1</a>"), ("f1.xml", 1, "<b>x</b>")]
+
+
+def test_exact_upsert_against_sequential_application(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    def sequential(stored, versions):
+        # Apply versions one at a time; the action is relative to the stored state.
+        state = stored
+        for v, h in sorted(versions):
+            if state is None or h != state[1]:
+                state = (v, h)
+        if not versions:
+            action = "keep"
+        elif stored is None:
+            action = "insert"
+        else:
+            action = "unchanged" if state == stored else "update"
+        return state[0], state[1], action
+
+    keyset = st.dictionaries(st.sampled_from("abcde"),
+                             st.tuples(st.one_of(st.none(), st.sampled_from("xyz")),
+                                       st.lists(st.sampled_from("xyz"), max_size=4)), min_size=1, max_size=4)
+
+    @settings(max_examples=15, deadline=None)
+    @given(keyset)
+    def check(data):
+        cols = "collection string, doc_id string, version bigint, content_hash string"
+        old = [("c", k, 1, h) for k, (h, _) in data.items() if h is not None]
+        new = [("c", k, 2 + i, h) for k, (_, hs) in data.items() for i, h in enumerate(hs)]
+        if not old and not new:
+            return
+        got = {r["doc_id"]: (r["version"], r["content_hash"], r["action"]) for r in dc.upsert(
+            spark.createDataFrame(old, cols), spark.createDataFrame(new, cols), exact_versions=True).collect()}
+        want = {}
+        for k, (h, hs) in data.items():
+            if h is None and not hs:
+                continue
+            stored = (1, h) if h is not None else None
+            want[k] = sequential(stored, [(2 + i, x) for i, x in enumerate(hs)])
+        assert got == want
+    check()
