@@ -140,9 +140,10 @@ def summaries_latest(points: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame
 
 def summaries_payload(points: DataFrame, keys: Sequence[str] = ("collection", "date"),
                       limit: int = SUMMARY_LIMIT) -> DataFrame:
-    """P14 / A4 in row form: every point kept by the limit, with ``summary_text``
-    and ``parsed`` (1 when ``_node_content`` parsed as JSON). Points whose
-    content does not parse stay as they are, without summary text."""
+    """P14 / A4 in row form: every point kept by the limit, with
+    ``parsed_content`` (the JSON as a VARIANT), ``summary_text`` and
+    ``parsed`` (1 when ``_node_content`` parsed as JSON). Points whose
+    content does not parse stay as they are, without either."""
     keys = list(keys)
     limited = top_per_key(points.select(*keys, "point_id", "createdAt", "_node_content"),
                           keys, "point_id", limit)
@@ -150,6 +151,7 @@ def summaries_payload(points: DataFrame, keys: Sequence[str] = ("collection", "d
     ok = node.isNotNull() & is_json(node)
     return limited.select(
         *keys, "point_id",
+        F.when(ok, F.try_parse_json(node)).alias("parsed_content"),
         F.when(ok, summary_text(node)).alias("summary_text"),
         ok.cast("int").alias("parsed"),
     )

@@ -72,7 +72,8 @@ def q_summaries_range(spark, sf_dir):
 
 @register("summaries_payload")
 def q_summaries_payload(spark, sf_dir):
-    return sm.summaries_payload(ad.points(spark, sf_dir))
+    # parsed_content (a VARIANT) is left out: engines render variants differently.
+    return sm.summaries_payload(ad.points(spark, sf_dir)).drop("parsed_content")
 
 
 @register("summaries_for_requests")

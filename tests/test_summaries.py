@@ -62,6 +62,8 @@ def test_payload_mode_keeps_unparsed_points(spark):
     r = {x["point_id"]: x for x in sm.summaries_payload(df).collect()}
     assert r[1]["summary_text"] == "a" and r[1]["parsed"] == 1
     assert r[2]["summary_text"] is None and r[2]["parsed"] == 0
+    content = sm.summaries_payload(df).selectExpr("point_id", "variant_get(parsed_content, '$.text', 'string') AS t")
+    assert {x["point_id"]: x["t"] for x in content.collect()} == {1: "a", 2: None}
 
 
 def test_range_every_day_and_checks(spark):
