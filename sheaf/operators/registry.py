@@ -21,16 +21,18 @@ WIKI = "mediaWiki"
 WEBSITE = "website"
 
 
-def module_platforms(modules: DataFrame, platform_name: str) -> DataFrame:
-    """S1 + P1 + W1: one row per platform entry of the given name, in array
-    order (``position``), with its community and ``activated`` flag. Modules
-    without such a platform are dropped before the explode (S1's query)."""
-    has_kind = F.exists("options.platforms", lambda p: p["name"] == F.lit(platform_name))
+def module_platforms(modules: DataFrame, platform_name: str | list[str]) -> DataFrame:
+    """S1 + P1 + W1: one row per platform entry of the given name(s), in array
+    order (``position``), with its community, ``kind`` (the platform name)
+    and ``activated`` flag. Modules without such a platform are dropped
+    before the explode (S1's query)."""
+    names = [platform_name] if isinstance(platform_name, str) else list(platform_name)
+    has_kind = F.exists("options.platforms", lambda p: p["name"].isin(names))
     return (modules.filter(has_kind)
             .select(F.col("community").cast("string").alias("community_id"),
                     F.posexplode("options.platforms").alias("position", "p"))
-            .filter(F.col("p.name") == F.lit(platform_name))
-            .select("community_id", "position",
+            .filter(F.col("p.name").isin(names))
+            .select("community_id", "position", F.col("p.name").alias("kind"),
                     F.col("p.platform").cast("string").alias("platform_id"),
                     F.col("p.metadata.activated").alias("activated")))
 
@@ -45,17 +47,10 @@ def _with_metadata(entries: DataFrame, platforms: DataFrame) -> DataFrame:
     return entries.join(small_side(meta), entries.platform_id == meta._id, "left")
 
 
-def wiki_candidates(modules: DataFrame, platforms: DataFrame,
-                    platform_id: str | None = None) -> DataFrame:
-    """MediaWiki entries with metadata and a reject reason (W3 activated,
-    W4 namespaces, W5 url fields), checked in the reference's order. W2: ``platform_id`` is compared as a string; ``""``
-    matches nothing (the reference tests ``is not None``)."""
-    entries = module_platforms(modules, WIKI)
-    if platform_id is not None:
-        entries = entries.filter(F.col("platform_id") == F.lit(str(platform_id)))
-    j = _with_metadata(entries, platforms)
+def _wiki_reason():
+    """W3-W5 and J1 for MediaWiki entries, checked in the reference's order."""
     base, path, ns = F.col("baseURL"), F.col("path"), F.col("namespaces")
-    reason = first_reason([
+    return first_reason([
         (F.col("_id").isNull(), "platform_not_found"),
         (base.isNull() & path.isNull(), "bad_url_fields"),
         (F.col("activated").isNull(), "missing_activated"),
@@ -63,7 +58,27 @@ def wiki_candidates(modules: DataFrame, platforms: DataFrame,
         (F.coalesce(F.size(ns), F.lit(0)) <= 0, "no_namespaces"),
         (base.isNull() | path.isNull(), "bad_url_fields"),
     ])
-    return j.withColumn(REASON, reason)
+
+
+def _site_reason():
+    """W3 and J1 for website entries."""
+    return first_reason([
+        (F.col("_id").isNull(), "platform_not_found"),
+        (F.col("activated").isNull(), "missing_activated"),
+        (~F.col("activated"), "not_activated"),
+    ])
+
+
+def wiki_candidates(modules: DataFrame, platforms: DataFrame,
+                    platform_id: str | None = None) -> DataFrame:
+    """MediaWiki entries with metadata and a reject reason (W3 activated,
+    W4 namespaces, W5 url fields), checked in the reference's order. W2:
+    ``platform_id`` is compared as a string; ``""`` matches nothing (the
+    reference tests ``is not None``)."""
+    entries = module_platforms(modules, WIKI)
+    if platform_id is not None:
+        entries = entries.filter(F.col("platform_id") == F.lit(str(platform_id)))
+    return _with_metadata(entries, platforms).withColumn(REASON, _wiki_reason())
 
 
 def wiki_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None = None) -> DataFrame:
@@ -77,18 +92,12 @@ def wiki_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None
 
 def site_candidates(modules: DataFrame, platforms: DataFrame,
                     platform_id: str | None = None) -> DataFrame:
-    """Website entries with a reject reason (W3 activated). W2 website variant: an empty
-    ``platform_id`` means no filter."""
+    """Website entries with a reject reason (W3 activated). W2 website
+    variant: an empty ``platform_id`` means no filter."""
     entries = module_platforms(modules, WEBSITE)
     if platform_id:
         entries = entries.filter(F.col("platform_id") == F.lit(str(platform_id)))
-    j = _with_metadata(entries, platforms)
-    reason = first_reason([
-        (F.col("_id").isNull(), "platform_not_found"),
-        (F.col("activated").isNull(), "missing_activated"),
-        (~F.col("activated"), "not_activated"),
-    ])
-    return j.withColumn(REASON, reason)
+    return _with_metadata(entries, platforms).withColumn(REASON, _site_reason())
 
 
 def site_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None = None) -> DataFrame:
@@ -99,9 +108,9 @@ def site_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None
 
 
 def job_rejects(modules: DataFrame, platforms: DataFrame) -> DataFrame:
-    """R1 + R2: rejected platform entries counted per kind and reason."""
-    wiki = wiki_candidates(modules, platforms).filter(F.col(REASON).isNotNull()) \
-        .select(F.lit(WIKI).alias("kind"), REASON)
-    site = site_candidates(modules, platforms).filter(F.col(REASON).isNotNull()) \
-        .select(F.lit(WEBSITE).alias("kind"), REASON)
-    return reject_counts(wiki.unionByName(site), ["kind"])
+    """R1 + R2: rejected platform entries counted per kind and reason. Both
+    kinds come from one explode and one metadata join."""
+    entries = _with_metadata(module_platforms(modules, [WIKI, WEBSITE]), platforms)
+    reason = F.when(F.col("kind") == WIKI, _wiki_reason()).otherwise(_site_reason())
+    rejected = entries.select("kind", reason.alias(REASON)).filter(F.col(REASON).isNotNull())
+    return reject_counts(rejected, ["kind"])
