@@ -11,3 +11,12 @@
 """
 
 __version__ = "0.1.0"
+
+# Python code that runs inside tasks (UDTF, Arrow UDF, grouped pandas hooks)
+# is shipped by value, so executors need no installed copy of this package
+# (the same effect as shipping it with --py-files).
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
