@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..plans.joins import small_side
 
+# Fixed value: the only export namespace whose pages are read.
 EXPORT_NS = "http://www.mediawiki.org/xml/export-0.11/"
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false",
                "columnNameOfCorruptRecord": "_corrupt_record"}
