@@ -29,11 +29,14 @@ import re
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from sheaf.llm.common import batches_of_text
+
 # Unicode white space, and the split pattern of byte-level BPE.
 SPACE = "\t-\r \x85\xa0  -     　"
 CHUNKS = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -41,6 +44,8 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 
 #: Entries of the per-worker tables of chunks and of transitions; a full table is emptied.
 CACHE_ENTRIES = 250_000
+#: Text that is encoded before its rows are handed on.
+BLOCK_BYTES = 8_000_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -197,8 +202,9 @@ class ByteBPE:
         self.__dict__.update(state)
         self._reset()
 
-    def encode(self, text: str | None) -> list[int]:
-        return [i for _, ids, _ in self._entries(text) for i in map(int, ids.split(","))]
+    def encode(self, text: str | None) -> np.ndarray:
+        ids = ",".join([ids for _, ids, _ in self._entries(text)])
+        return np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         label, special = self.automaton.label, self.special_text
@@ -267,7 +273,7 @@ def _run(docs: DataFrame, path: str, schema: T.StructType, columns) -> DataFrame
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer.value
-        for batch in batches:
+        for batch in batches_of_text(batches, BLOCK_BYTES):
             ids, texts = batch.column(0), batch.column(1)
             yield pa.RecordBatch.from_arrays([ids, *columns(own, texts)], names=schema.fieldNames())
 
@@ -277,7 +283,9 @@ def _run(docs: DataFrame, path: str, schema: T.StructType, columns) -> DataFrame
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``ids`` of each document."""
     def columns(own, texts):
-        return [pa.array([own.encode(t.as_py()) for t in texts], pa.list_(pa.int32()))]
+        ids = [own.encode(t.as_py()) for t in texts]
+        ends = np.cumsum([0, *map(len, ids)])
+        return [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))]
     return _run(docs, path, ENCODED, columns)
 
 

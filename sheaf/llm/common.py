@@ -78,3 +78,21 @@ def tokenizer_path(name: str) -> str:
     except ImportError:
         return os.path.join("/opt/tokenizers", name)
     return public_tokenizers.path(name)
+
+
+def text_hash(text: Column) -> Column:
+    """XXH64 (seed 42) of the text's UTF-8 bytes; NULL counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without(docs: DataFrame, bad: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` and text hash aren't in ``bad`` (columns ``doc_id, text_hash``).
+
+    ``bad`` is written first and counted: below ``broadcast_bytes`` it is sent
+    to the executors, beyond that the planner joins by a shuffle.
+    """
+    bad = materialise(bad.select(F.col("doc_id").cast("long").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "rejected")
+    if bad.count() * 64 <= broadcast_bytes:
+        bad = F.broadcast(bad)
+    same = docs["doc_id"].cast("long").eqNullSafe(bad["__id"]) & (text_hash(docs["text"]) == bad["__hash"])
+    return docs.join(bad, same, "left_anti")

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import BROADCAST_BYTES, ascii_lower, materialise
+from sheaf.llm.common import BROADCAST_BYTES, ascii_lower, materialise, text_hash, without
 
 # Fixed value: what separates words once A-Z are in lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -79,7 +79,7 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, width: int = 13,
     size = found.agg(F.sum(F.octet_length(F.concat_ws(" ", "words")) + F.octet_length(F.coalesce("item", F.lit(""))) + 64)).first()[0] or 0
     small = size <= broadcast_bytes
     vocabulary = found.select(F.explode("words").alias("word")).distinct()
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"),
                       words_of(F.col("text")).alias("words")).withColumn("n_words", F.size("words"))
     tokens = prefixes(found, rarity(own, vocabulary, small))
     marker = tokens.sparkSession.range(1).select(
@@ -148,8 +148,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 13, share:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 13, share: int = 20) -> DataFrame:
     """The documents that aren't contaminated, with all their columns."""
-    bad = contamination(docs, benchmark, width, share).where("contaminated").select(
-        F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct()
-    bad = materialise(bad, "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("__bad_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("__bad_hash")), "left_anti")
+    return without(docs, contamination(docs, benchmark, width, share).where("contaminated"))

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import materialise
+from sheaf.llm.common import materialise, without
 
 SYMBOLS = "#*$%&|<>"  # fixed value: characters counted as symbols
 WINDOW = 5
@@ -78,7 +78,7 @@ def measure(text: str | None) -> tuple:
     # Code points in words: bytes that don't continue a character, without white space.
     chars = len(text or "") - sum(raw.count(c) for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
     symbols = sum(raw.count(c.encode()) for c in SYMBOLS)
-    h = xxhash.xxh64_intdigest(raw, 11)
+    h = xxhash.xxh64_intdigest(raw, 42)
     return (h - (1 << 64) if h >> 63 else h, len(words), chars, symbols, dup, repeated_words(words),
             [{"hash": h, "words": n} for h, n in lines.items()])
 
@@ -115,6 +115,15 @@ def judge(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left
     base = (n < min_words) | (100 * F.col("n_repeat_words") > 20 * n)
     depleted = left < n * F.lit(min_left)
     return own.drop("lines").join(removed, "uid", "left").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("n_lines", F.lit(0)).alias("n_lines_removed"), left.alias("n_words_left"),
         base.alias("base_failed"), (~base & ~depleted).alias("kept"))
+
+
+def keep_documents(docs: DataFrame, **limits) -> DataFrame:
+    """The documents that :func:`judge` keeps, with all their columns.
+
+    A verdict depends on host and text; of documents with equal id and text in
+    several hosts, one rejection rejects all.
+    """
+    return without(docs, judge(docs, **limits).where(~F.col("kept")))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ascii_words, materialise
+from sheaf.llm.common import ascii_words, materialise, text_hash, without
 
 #: Fingerprints from which the routing tree is grown (a documented bound; the tree's shape only).
 SAMPLE = 32_768
@@ -58,13 +58,14 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a signed long) of each document; no shuffle."""
+    """``doc_id``, ``text_hash`` and ``fp`` (the 64 bits as a signed long) of each document; no shuffle."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t.as_py(), width) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), width) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(work, "doc_id long, fp long")
+    own = docs.select(docs["doc_id"].cast("long"), text_hash(docs["text"]).alias("text_hash"), docs["text"])
+    return own.mapInArrow(work, "doc_id long, text_hash long, fp long")
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -220,12 +221,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of each document."""
+    """``doc_id, fingerprint, component_id`` of each document, and ``text_hash`` and ``root`` (the component's fingerprint)."""
     own = materialise(fingerprints(docs, width), "fingerprints")
     distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct, reach))
     held = distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = held.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
-    named = held.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("k"), "component_id")
+    named = held.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("k"), "component_id", "root")
     return (own.join(named, F.col("fp") == F.col("k"))
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash", "root"))
+
+
+def keep_one(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
+    """One document of each component (the smallest id, then the smallest text hash), with all its columns."""
+    own = materialise(near_duplicates(docs, width, reach).select("doc_id", "text_hash", "root"), "components")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    best = own.groupBy("root").agg(F.min(order).alias("best")).select(
+        F.col("root").alias("r"), F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
+    lost = own.join(best, F.col("root") == F.col("r")).where(
+        ~(F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))))
+    kept = without(docs, lost)
+    # Rows that repeat both id and text are left; only they are compared again.
+    again = materialise(own.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeated")
+    if again.isEmpty():
+        return kept
+    same = docs["doc_id"].cast("long").eqNullSafe(again["doc_id"]) & (text_hash(docs["text"]) == again["text_hash"])
+    return without(kept, again).unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
