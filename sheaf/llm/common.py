@@ -96,3 +96,32 @@ def without(docs: DataFrame, bad: DataFrame, broadcast_bytes: int = BROADCAST_BY
         bad = F.broadcast(bad)
     same = docs["doc_id"].cast("long").eqNullSafe(bad["__id"]) & (text_hash(docs["text"]) == bad["__hash"])
     return docs.join(bad, same, "left_anti")
+
+
+def bounded_sample(df: DataFrame, hashed: Column, rows: int) -> DataFrame:
+    """At most ``rows`` rows of ``df``, chosen by ``hashed``; all of them if there are no more.
+
+    The share is set from the row count, so tasks hand on only what is drawn.
+    """
+    n = df.count()
+    if n <= rows:
+        return df
+    share = rows / n * max(0.5, 1 - 4 / rows ** 0.5)  # so far below that ``limit`` hardly ever cuts
+    return df.where(F.pmod(hashed, F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))).limit(rows)
+
+
+def frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """The rows of ``counts`` with the largest ``n``: all above the least bound that at most ``rows`` exceed.
+
+    The bound comes from a histogram of about 3,000 logarithmic steps, so no
+    task sends more than its part of the result.
+    """
+    step = F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)).cast("double")) * 64)
+    held = 0
+    least = None
+    for r in sorted(counts.groupBy(step.alias("s")).count().collect(), key=lambda r: -r["s"]):
+        held += r["count"]
+        if held > rows:
+            break
+        least = r["s"]
+    return counts.where(F.lit(False)) if least is None else counts.where(step >= F.lit(least))

@@ -9,8 +9,8 @@ stands in and its document's source, and its neighbouring words. A random forest
 trained from labelled findings says how likely it is a secret.
 
 ``train`` takes any labelled findings; :func:`labelled_findings` gives those of
-the corpus that rules can label beyond doubt (at most ``FIT_ROWS``, those with
-the least hash) and :func:`drawn_findings` adds seeded ones in published key
+the corpus that rules can label beyond doubt (at most ``FIT_ROWS`` of each
+label, chosen by hash) and :func:`drawn_findings` adds seeded ones in published key
 formats and common decoys, so that formats the corpus lacks are known too. Only
 the fit works on a bounded sample; dictionary and letter pairs are counted over
 all documents, and every document is scanned whole.
@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import text_bytes
+from sheaf.llm.common import bounded_sample, frequent, materialise, text_bytes
 
 #: Dictionary size, labelled findings used in the fit, words a task counts before it hands them on.
 WORDS, FIT_ROWS, FLUSH_WORDS = 20_000, 8_000, 300_000
@@ -110,14 +110,13 @@ def corpus_counts(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         return [w.decode() for w, _ in plain], [n for _, n in plain]
 
     counts = docs.select("text").mapInArrow(work, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("w").startswith(" ").desc(), F.col("n").desc(), "w").limit(65_536 + WORDS)
-    pairs, words = np.zeros((256, 256), np.int64), []
-    for w, n in top.collect():  # at most 65,536 byte pairs and the dictionary
-        if w.startswith(" "):
-            pairs[divmod(int(w), 256)] = n
-        elif len(words) < WORDS:
-            words.append(w)
-    return words, pairs
+    counts = materialise(counts, "secret-counts")
+    pair = F.col("w").startswith(" ")
+    pairs = np.zeros((256, 256), np.int64)
+    for w, n in counts.where(pair).collect():  # 65,536 byte pairs at most
+        pairs[divmod(int(w), 256)] = n
+    top = frequent(counts.where(~pair), WORDS).collect()
+    return [w for w, _ in sorted(top, key=lambda e: (-e[1], e[0]))], pairs
 
 
 class Features:
@@ -251,11 +250,9 @@ def labelled_findings(docs: DataFrame, rows: int = FIT_ROWS) -> list[tuple]:
 
     found = docs.select("source", "text").mapInArrow(
         work, "value string, before string, after string, rule string, source string, label int")
-    out = []
-    for label in (0, 1):
-        order = F.xxhash64("value", "before"), "value", "before", "after", "source"
-        out += [tuple(r) for r in found.where(F.col("label") == label).orderBy(*order).limit(rows).collect()]
-    return out
+    found = materialise(found, "labelled")
+    return [tuple(r) for label in (0, 1) for r in bounded_sample(
+        found.where(F.col("label") == label), F.xxhash64("value", "before", "after", "source"), rows).collect()]
 
 
 def drawn_findings(words: list[str], n: int = 150, seed: int = 0) -> list[tuple]:
