@@ -42,8 +42,9 @@ SPACE = "\t-\r \x85\xa0  -     　"
 CHUNKS = f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+"
 
-#: Entries of the per-worker tables of chunks and of transitions; a full table is emptied.
-CACHE_ENTRIES = 250_000
+#: Entries of a worker's tables of chunks and words (and four times as many transitions). The first two have two
+#: halves: a full one becomes the old one, whose entries move on when they are met again.
+CACHE_ENTRIES = 80_000
 #: Text that is encoded before its rows are handed on.
 BLOCK_BYTES = 8_000_000
 
@@ -95,7 +96,7 @@ class Automaton:
         key = state << 32 | arc
         known = self.rows.get(key)
         if known is None:
-            if len(self.rows) > 2 * CACHE_ENTRIES:
+            if len(self.rows) > 4 * CACHE_ENTRIES:
                 self.rows.clear()
             known = self.rows[key] = self._expand(state, arc)
         return known
@@ -193,7 +194,9 @@ class ByteBPE:
         names = sorted(self.special, key=len, reverse=True)
         self.split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.known: dict[str, tuple[int, str, bytes]] = {}  # by chunk
+        self.known_old: dict[str, tuple[int, str, bytes]] = {}
         self.paths: dict[str, list[int]] = {}               # by word
+        self.paths_old: dict[str, list[int]] = {}
 
     def __getstate__(self):
         return {"automaton": self.automaton, "special": self.special, "special_text": self.special_text}
@@ -226,17 +229,18 @@ class ByteBPE:
         return out
 
     def _plain(self, text: str) -> list[tuple[int, str, bytes]]:
-        found = self.chunks.findall(text)
-        known = self.known
-        if len(known) > CACHE_ENTRIES:
-            known.clear()
         out = []
-        for chunk in found:
+        known, old = self.known, self.known_old
+        for chunk in self.chunks.findall(text):
             entry = known.get(chunk)
             if entry is None:
-                entry = self._chunk(chunk)
+                entry = old.get(chunk)
+                if entry is None:
+                    entry = self._chunk(chunk)
                 if len(chunk) <= 64:
                     known[chunk] = entry
+                    if len(known) > CACHE_ENTRIES:
+                        self.known, self.known_old = known, old = {}, known
             out.append(entry)
         return out
 
@@ -245,11 +249,13 @@ class ByteBPE:
         for word in self.words.findall(chunk):
             path = self.paths.get(word)
             if path is None:
-                path = self.automaton.encode(word.encode("utf-8"))
+                path = self.paths_old.get(word)
+                if path is None:
+                    path = self.automaton.encode(word.encode("utf-8"))
                 if len(word) <= 64:
-                    if len(self.paths) > CACHE_ENTRIES:
-                        self.paths.clear()
                     self.paths[word] = path
+                    if len(self.paths) > CACHE_ENTRIES:
+                        self.paths, self.paths_old = {}, self.paths
             ids += path
         return len(ids), ",".join(map(str, ids)), self.automaton.decode(ids)
 
