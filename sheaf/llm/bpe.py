@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from sheaf.llm.common import batches_of_text
+from sheaf.llm.common import batches_of_text, tuned
 
 # Unicode white space, and the split pattern of byte-level BPE.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -275,7 +275,7 @@ DIGESTS = T.StructType([
 
 def _run(docs: DataFrame, path: str, schema: T.StructType, columns) -> DataFrame:
     """One pass over the texts, no shuffle. The automaton (a few MB, fixed by the vocabulary) is broadcast."""
-    tokenizer = docs.sparkSession.sparkContext.broadcast(ByteBPE.load(path))
+    tokenizer = tuned(docs.sparkSession).sparkContext.broadcast(ByteBPE.load(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer.value
@@ -297,7 +297,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id`` and ``text`` of each row of :func:`encode`; NULL ids give an empty text."""
-    tokenizer = encoded.sparkSession.sparkContext.broadcast(ByteBPE.load(path))
+    tokenizer = tuned(encoded.sparkSession).sparkContext.broadcast(ByteBPE.load(path))
 
     def work(batches):
         own = tokenizer.value

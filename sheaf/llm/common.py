@@ -46,12 +46,24 @@ def ascii_words(value: str | None) -> list[bytes]:
     return text_bytes(value).lower().split()
 
 
+#: Rows of an Arrow batch: texts are kilobytes each, and two batches of every task are in memory at once.
+BATCH_ROWS = 1_000
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session with Arrow batches that suit rows of text."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return spark
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return f"{sf_dir.rstrip('/')}/{table}.parquet"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, table))
+    return tuned(spark).read.parquet(table_path(sf_dir, table))
 
 
 def batches_of_text(batches, limit: int, column: str = "text"):

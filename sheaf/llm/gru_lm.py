@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ascii_words, batches_of_text, materialise
+from sheaf.llm.common import ascii_words, batches_of_text, frequent, materialise, tuned
 
 ADD = 0.1  # fixed value: added to every count
 HEAD, NEURAL, CLASS, ENDINGS = 65_536, 2_048, 64, 24
@@ -333,8 +333,8 @@ class Lanes:
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """The head (bounded) and per-ending totals; ``counts`` stays where it is."""
-    end = F.col("word") == F.lit(END)
-    head = [(bytes(r.word), r.n) for r in counts.orderBy(end.desc(), F.col("n").desc(), "word").limit(HEAD).collect()]
+    head = {bytes(r.word): r.n for r in frequent(counts, HEAD - 1).unionByName(counts.where(F.col("word") == F.lit(END))).collect()}
+    head = list(head.items())
     sums = {r.ending: (r.tokens, r.words) for r in counts.groupBy("ending").agg(
         F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("words")).collect()}
     total, distinct = sum(t for t, _ in sums.values()), sum(w for _, w in sums.values())
@@ -390,7 +390,7 @@ def log_likelihood(docs: DataFrame, parts: int = 10) -> DataFrame:
     learned = texts.where(~held_out(F.col("doc_id"), parts))
     counts = materialise(corpus_counts(learned), "lm-counts")
     v = vocabulary(counts)
-    network = texts.sparkSession.sparkContext.broadcast(train(learned, v))
+    network = tuned(texts.sparkSession).sparkContext.broadcast(train(learned, v))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = network.value

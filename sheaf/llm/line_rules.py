@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import materialise, without
+from sheaf.llm.common import materialise, tuned, without
 
 SYMBOLS = "#*$%&|<>"  # fixed value: characters counted as symbols
 WINDOW = 5
@@ -100,6 +100,7 @@ def measures(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def judge(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left: float = 0.3,
           min_words: int = 10, key: str = "doc_id") -> DataFrame:
     """The measures and the verdict of each document (see the module's text)."""
+    tuned(docs.sparkSession)
     own = materialise(measures(docs, key).withColumn("uid", F.monotonically_increasing_id()), "measures")
     # One document stands for the copies of a text in a host.
     stands = own.groupBy("host", "text_hash").agg(F.min("uid").alias("uid"))

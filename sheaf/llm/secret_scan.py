@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import bounded_sample, frequent, materialise, text_bytes
+from sheaf.llm.common import bounded_sample, frequent, materialise, text_bytes, tuned
 
 #: Dictionary size, labelled findings used in the fit, words a task counts before it hands them on.
 WORDS, FIT_ROWS, FLUSH_WORDS = 20_000, 8_000, 300_000
@@ -314,7 +314,7 @@ def fit(docs: DataFrame) -> Scanner:
 
 def findings(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
     """Every candidate of every document with the forest's score and verdict."""
-    own = docs.sparkSession.sparkContext.broadcast(scanner or fit(docs))
+    own = tuned(docs.sparkSession).sparkContext.broadcast(scanner or fit(docs))
     schema = "doc_id long, start long, length long, rule string, value_sha256 string, score double, is_secret boolean"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +334,7 @@ def findings(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
 
 def redact(docs: DataFrame, scanner: Scanner | None = None, mark: str = MARK) -> DataFrame:
     """The documents with each found secret replaced by ``mark``; ``n_chars`` follows the text, all else stays."""
-    own = docs.sparkSession.sparkContext.broadcast(scanner or fit(docs))
+    own = tuned(docs.sparkSession).sparkContext.broadcast(scanner or fit(docs))
 
     def clean(text: str | None, source: str | None) -> str | None:
         if not text:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ascii_words, materialise, text_hash, without
+from sheaf.llm.common import ascii_words, materialise, text_hash, tuned, without
 
 #: Fingerprints from which the routing tree is grown (a documented bound; the tree's shape only).
 SAMPLE = 32_768
@@ -222,6 +222,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 3, reach: int = 2) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of each document, and ``text_hash`` and ``root`` (the component's fingerprint)."""
+    tuned(docs.sparkSession)
     own = materialise(fingerprints(docs, width), "fingerprints")
     distinct = materialise(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     roots = components(links(distinct, reach))

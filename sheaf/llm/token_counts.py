@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from sheaf.llm.common import tuned
+
 #: Entries of the per-worker table of counted pre-tokens; a full table is emptied.
 CACHE_ENTRIES = 500_000
 #: Symbols that are merged at once.
@@ -199,7 +201,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 4096, key: str = "doc_
 
     The merge table (a few MB, fixed by the vocabulary) is broadcast.
     """
-    counter = docs.sparkSession.sparkContext.broadcast(PieceCounter.load(path))
+    counter = tuned(docs.sparkSession).sparkContext.broadcast(PieceCounter.load(path))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter.value
