@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 def cosine(vector: str, query: Sequence[float], digits: int | None = 6) -> Column:
     """Cosine similarity of ``vector`` (array<float>) and a fixed ``query``;
-    0 when either is a zero vector. Rounded to ``digits`` so that ranking is
-    stable across engines."""
+    0 when either is a zero vector. Rounded to ``digits`` unless None."""
     q = [float(x) for x in query]
     qn = math.sqrt(sum(x * x for x in q))
     v = F.col(vector)
@@ -32,14 +31,15 @@ def cosine(vector: str, query: Sequence[float], digits: int | None = 6) -> Colum
 
 def vector_search(df: DataFrame, query: Sequence[float], k: int, id_col: str, vector: str = "embedding",
                   keys: Sequence[str] = (), where: Column | None = None) -> DataFrame:
-    """L4: top ``k`` rows by cosine score (ties: smaller id first), per ``keys``
-    when given, after the optional filter ``where``. Adds ``score`` and
+    """L4: top ``k`` rows by raw cosine score (ties: smaller id first), per ``keys``
+    when given, after the optional filter ``where``. Adds ``score`` (6 digits) and
     ``rank`` (1-based); the vector column is dropped from the result."""
     src = df.filter(where) if where is not None else df
-    scored = src.withColumn("score", cosine(vector, query)).drop(vector)
+    scored = src.withColumn("score", cosine(vector, query, digits=None)).drop(vector)
     order = [F.col("score").desc(), F.col(id_col)]
     if not keys:
         # Global top-k: each task keeps k rows (TakeOrderedAndProject), then k are ranked.
         scored = scored.orderBy(*order).limit(k)
     w = Window.partitionBy(*keys).orderBy(*order)
-    return scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+    return (scored.withColumn("rank", F.row_number().over(w).cast("bigint")).filter(F.col("rank") <= k)
+            .withColumn("score", F.round("score", 6)))

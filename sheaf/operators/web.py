@@ -8,7 +8,9 @@ validation, and the bounded link expansion of a crawl.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -93,11 +95,10 @@ def check_seeds(jobs: DataFrame, urls: str = "urls") -> DataFrame:
 
 
 def validate_seeds(urls: list[str]) -> list[str]:
-    """W6 for a single crawl call, as the reference does it: every seed must
-    be a non-empty ``http://`` / ``https://`` URL, else the call fails."""
-    for url in urls:
-        if not (url and isinstance(url, str) and url.startswith(("http://", "https://"))):
-            raise ValueError(f"Invalid URL: {url}")
+    """W6 for a single crawl call: the seeds, or an error that names those which aren't web addresses."""
+    strange = [u for u in urls if not re.match(r"https?://", u if isinstance(u, str) else "")]
+    if strange:
+        raise ValueError(f"not web addresses: {strange}")
     return list(urls)
 
 
@@ -124,32 +125,34 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_S
     revisiting, at most ``budget`` per seed, ranked by (depth, url).
 
     ``seeds``: ``seed``; ``edges``: ``src, dst``. Each round is one equi join
-    of the frontier with the edges and an anti
-    join against the visited set. A seed stops expanding once it holds
-    ``budget`` pages (deeper pages can never rank before them), so the work
-    per seed is bounded.
+    of the frontier with the edges and an anti join against the visited set.
+    A round keeps, per seed, only as many new pages (by url) as its budget has
+    left: pages beyond that, and whatever they lead to, can never rank within
+    the budget. So a round writes at most ``budget`` rows per seed and the walk
+    ends by itself; no depth bound is needed.
 
     Lineage is cut every round by writing the round's new pages as a table
-    (``depth=N``) under ``workdir`` — by default a fresh folder inside the
-    shared checkpoint folder — and reading the visited set back from it: one
-    computation per round, nothing lost with an executor.
+    (``depth=N``) under ``workdir`` (by default a fresh folder inside the
+    shared checkpoint folder) and reading the visited set back from it. The
+    edges are written there once.
     Rows: ``seed, url, depth``.
     """
     spark = seeds.sparkSession
     base = (workdir or scratch_path(spark, "crawl")).rstrip("/")
-    # Duplicate edges only duplicate ``reached`` rows, which the per-round
-    # distinct removes: no separate shuffle of the whole edge list.
-    e = edges.select("src", "dst")
+    edges.select("src", "dst").distinct().write.parquet(f"{base}-edges")
+    e = spark.read.parquet(f"{base}-edges")
     seeds.select("seed", F.col("seed").alias("url")).distinct().write.parquet(f"{base}/depth=0")
+    rank = F.row_number().over(Window.partitionBy("seed").orderBy("url"))
     depth = 0
     while max_depth is None or depth < max_depth:
         visited = spark.read.parquet(base)
-        full = visited.groupBy("seed").count().filter(F.col("count") >= budget).select("seed")
-        frontier = (spark.read.parquet(f"{base}/depth={depth}")
-                    .join(full, "seed", "left_anti"))
+        held = visited.groupBy("seed").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") < budget)
+        frontier = spark.read.parquet(f"{base}/depth={depth}").join(held, "seed")
         reached = (frontier.join(e, frontier.url == e.src)
-                   .select("seed", F.col("dst").alias("url")).distinct())
-        new = reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+                   .select("seed", F.col("dst").alias("url"), "held").distinct())
+        new = (reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+               .withColumn("_rn", rank).filter(F.col("_rn") <= budget)
+               .filter(F.col("_rn") <= F.lit(budget) - F.col("held")).select("seed", "url"))
         depth += 1
         new.write.parquet(f"{base}/depth={depth}")
         if spark.read.parquet(f"{base}/depth={depth}").isEmpty():
@@ -160,15 +163,13 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_S
 
 def crawl_job(spark, urls: list[str], edges: DataFrame, budget: int = PAGES_PER_SEED,
               max_depth: int | None = None) -> DataFrame:
-    """One website job as the reference runs it: W7 (some urls), W6 (every
-    seed valid, else the call fails), a separate budget per seed (L3), and W7
-    again (the crawl must return something)."""
+    """One website job: valid seeds (W6, W7), a budget for each (L3), and at least one page."""
     from ..quality import require_rows
-    if not urls:
-        raise ValueError("No URLs provided for crawling")
-    seeds = spark.createDataFrame([(u,) for u in validate_seeds(urls)], "seed string")
-    return require_rows(crawl_frontier(seeds, edges, budget=budget, max_depth=max_depth),
-                        f"No data extracted from URLs: {urls}")
+    known = validate_seeds(urls)
+    if not known:
+        raise ValueError("the job has no seeds")
+    seeds = spark.createDataFrame([(u,) for u in known], "seed string")
+    return require_rows(crawl_frontier(seeds, edges, budget, max_depth), f"the crawl of {known} came back empty")
 
 
 def crawl_union(frontier: DataFrame) -> DataFrame:

@@ -174,7 +174,7 @@ def q_seed_check(spark, sf_dir):
 
 def _frontier(spark, sf_dir):
     seeds, edges = ad.link_graph(spark, sf_dir)
-    return wb.crawl_frontier(seeds, edges, budget=wb.PAGES_PER_SEED, max_depth=3)
+    return wb.crawl_frontier(seeds, edges, budget=wb.PAGES_PER_SEED)
 
 
 @register("crawl_frontier")

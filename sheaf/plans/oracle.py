@@ -303,6 +303,7 @@ SELECT community_id, platform_id, CAST(n_urls AS BIGINT) AS n_urls, CAST(n_valid
             WHEN n_valid < n_urls THEN 'invalid_url' ELSE 'ok' END AS status
 FROM c"""
 
+# A walk that goes on reaches a new page at each depth, so 20 pages lie within depth 19.
 FRONTIER_CTE = """RECURSIVE edges AS (
   SELECT 'https://shop.example.com/customer/' || CAST(o_custkey AS VARCHAR) AS src,
          'https://shop.example.com/order/' || CAST(o_orderkey AS VARCHAR) AS dst FROM orders
@@ -313,7 +314,7 @@ seeds AS (SELECT 'https://shop.example.com/customer/' || CAST(c_custkey AS VARCH
 walk(seed, url, depth) AS (
   SELECT seed, seed, 0 FROM seeds
   UNION
-  SELECT w.seed, e.dst, w.depth + 1 FROM walk w JOIN edges e ON w.url = e.src WHERE w.depth < 3),
+  SELECT w.seed, e.dst, w.depth + 1 FROM walk w JOIN edges e ON w.url = e.src WHERE w.depth < 19),
 best AS (SELECT seed, url, min(depth) AS depth FROM walk GROUP BY seed, url),
 frontier AS (
   SELECT seed, url, CAST(depth AS BIGINT) AS depth FROM (
@@ -500,11 +501,11 @@ s AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e, q.v FROM embeddings, q),
 c AS (
   SELECT vec_id, label,
-         round(CASE WHEN sqrt(list_dot_product(e, e)) > 0 AND sqrt(list_dot_product(v, v)) > 0
+         CASE WHEN sqrt(list_dot_product(e, e)) > 0 AND sqrt(list_dot_product(v, v)) > 0
                     THEN list_dot_product(e, v) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(v, v)))
-                    ELSE 0.0 END, 6) AS score
+                    ELSE 0.0 END AS score
   FROM s)
-SELECT label, rank, vec_id, score FROM (
+SELECT label, rank, vec_id, round(score, 6) AS score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS BIGINT) AS rank FROM c)
 WHERE rank <= 10"""
 
