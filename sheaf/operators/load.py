@@ -11,11 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .documents import CHUNK_SIZE, chunk_documents, content_for, content_hash
 from .models import EMBEDDING_DIM, embed
+from .summaries import top_per_key
 
 CARRY = ["collection", "doc_id", "metadata", "excluded_embed_keys", "content_hash"]
 
@@ -36,7 +39,7 @@ def chunk_points(docs: DataFrame, size: int = CHUNK_SIZE) -> DataFrame:
         content_for("metadata", "excluded_embed_keys", "chunk_text").alias("embed_input"))
 
 
-def prepare_documents(docs: DataFrame) -> DataFrame:
+def prepare_documents(docs: DataFrame, *more: Column) -> DataFrame:
     """Documents with defaults for missing metadata/exclusions and the
     ``content_hash`` of what a load stores (text and rendered metadata)."""
     empty_map = F.create_map().cast("map<string,string>")
@@ -45,23 +48,42 @@ def prepare_documents(docs: DataFrame) -> DataFrame:
                 if "excluded_embed_keys" in docs.columns else F.array().cast("array<string>"))
     return docs.select("collection", "doc_id", "text", meta.alias("metadata"),
                        excluded.alias("excluded_embed_keys"),
-                       content_hash(F.col("text"), meta).alias("content_hash"))
+                       content_hash(F.col("text"), meta).alias("content_hash"), *more)
+
+
+def latest_of_batch(docs: DataFrame, sequence: str | None = None) -> DataFrame:
+    """The prepared documents of a batch, one for each (collection, doc_id): the last by ``sequence``, then by hash."""
+    order = F.col(sequence) if sequence else F.lit(0)
+    ready = prepare_documents(docs, order.alias("_order"))
+    return top_per_key(ready, ["collection", "doc_id"], [F.col("_order").desc(), F.col("content_hash").desc()], 1).drop("_order")
+
+
+def has_rows(spark: SparkSession, path: str) -> bool:
+    """Whether a store with at least one point is at ``path``."""
+    try:
+        return not spark.read.parquet(path).isEmpty()
+    except AnalysisException:
+        return False
 
 
 def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
                    embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM,
                    previous: str | None = None, run: str | None = None,
-                   metrics: dict | None = None) -> str:
+                   metrics: dict | None = None, replace: bool = False, sequence: str | None = None) -> str:
     """K4: write the points of ``docs`` (which carry ``collection``) to
     ``store_path``; returns the path.
 
-    With ``previous`` (the path of the current store) the load is an upsert
-    by document (X3): documents whose content hash equals the stored one are
-    skipped — neither chunked nor embedded again —, chunks of documents not
-    in the batch are carried over, and changed or new documents replace
-    theirs. The new state goes to ``store_path``; a store is never rewritten
-    in place, so a failed load leaves the previous one intact. Each chunk row
-    records the ``loaded_by`` run that embedded it.
+    The load is an upsert by document (X3) into ``previous``, or into what
+    ``store_path`` already holds: documents whose content hash equals the
+    stored one are skipped (neither chunked nor embedded again), chunks of
+    documents not in the batch are carried over, and changed or new documents
+    replace theirs. Only collections of the batch are touched in place; their
+    new state is written beside the store first, so a load that fails while
+    reading or embedding leaves it intact. ``replace=True`` drops what the
+    batch's collections held. Of several documents with one (collection,
+    doc_id) the one with the largest ``sequence`` is loaded (ties, or no
+    sequence: the largest content hash). Each chunk row records the
+    ``loaded_by`` run that embedded it.
 
     A7: when ``metrics`` is given it receives ``chunks`` (written) and
     ``embedded`` (chunks embedded by this run), observed during the write
@@ -70,15 +92,25 @@ def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
     from ..sources.staging import run_id
     spark = docs.sparkSession
     run = run or run_id()
-    docs = prepare_documents(docs)
+    docs = latest_of_batch(docs, sequence)
     kept = None
-    if previous:
-        old = spark.read.parquet(previous)
+    in_place = previous is None and not replace and has_rows(spark, store_path)
+    if in_place:
+        # The batch is read twice below (its keys and its documents): stage it once.
+        staged = scratch_path(spark, "batch")
+        docs.write.parquet(staged)
+        docs = spark.read.parquet(staged)
+    if previous or in_place:
+        old = spark.read.parquet(previous or store_path)
+        if in_place:
+            old = old.join(docs.select("collection").distinct(), "collection", "left_semi")
         # One row per stored document: its first chunk carries the hash.
         stored = old.filter(F.col("chunk_no") == 0).select("collection", "doc_id", "content_hash")
         docs = docs.join(stored, ["collection", "doc_id", "content_hash"], "left_anti")
         kept = old.join(docs.select("collection", "doc_id"), ["collection", "doc_id"], "left_anti")
-    points = (embed(chunk_points(docs, size), text="embed_input", fn=embed_fn, dim=dim)
+    # Chunk texts are dealt out before they are embedded, so no vector of the batch is shuffled.
+    chunks = chunk_points(docs, size).hint("rebalance", "collection")
+    points = (embed(chunks, text="embed_input", fn=embed_fn, dim=dim)
               .drop("embed_input").withColumn("loaded_by", F.lit(run)))
     if kept is not None:
         points = kept.unionByName(points.select(*kept.columns))
@@ -86,9 +118,11 @@ def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
     if observation is not None:
         points = points.observe(observation, F.count(F.lit(1)).alias("chunks"),
                                 F.count(F.when(F.col("loaded_by") == F.lit(run), 1)).alias("embedded"))
-    # rebalance: AQE sizes the output partitions by collection, splitting a
-    # hot collection over several tasks and merging small ones.
-    (points.hint("rebalance", "collection").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if in_place:
+        beside = scratch_path(spark, "points")
+        points.write.partitionBy("collection").parquet(beside)
+        points = spark.read.schema(points.schema).parquet(beside)
+    (points.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("collection").parquet(store_path))
     if observation is not None:
         metrics.update(observation.get)
