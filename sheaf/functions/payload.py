@@ -20,8 +20,16 @@ def _c(x) -> Column:
 
 
 def is_json(node: Column | str) -> Column:
-    """the text parses as JSON (bad or NULL input gives False)."""
-    return F.coalesce(F.try_parse_json(_c(node)).isNotNull(), F.lit(False))
+    """the whole text is one JSON value (bad or NULL input gives False).
+
+    The parser stops after the first value, so the text is parsed as the only
+    element of an array and as the only field of an object: whatever follows
+    the value breaks one of them.
+    """
+    element = F.try_parse_json(F.concat(F.lit("["), _c(node), F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), _c(node), F.lit("}")))
+    alone = F.size(F.try_variant_get(element, "$", "array<variant>")) == 1
+    return F.coalesce(alone & field.isNotNull(), F.lit(False))
 
 
 def object_keys(node: Column | str) -> Column:
@@ -53,10 +61,7 @@ def digest_line(node: Column | str) -> Column:
     """
     node = _c(node)
     text = F.get_json_object(node, "$.text")
-    author_present = F.coalesce(
-        F.array_contains(F.json_object_keys(F.get_json_object(node, "$.metadata")), F.lit("author")),
-        F.lit(False))
-    line = F.when(author_present,
-                  F.concat(F.get_json_object(node, "$.metadata.author"), F.lit(": "), text)
-                  ).otherwise(text)
-    return F.when(has_key(node, "text"), line)
+    # A null author counts as none, so that its text isn't lost.
+    author = F.get_json_object(node, "$.metadata.author")
+    line = F.when(author.isNotNull(), F.concat(author, F.lit(": "), text)).otherwise(text)
+    return F.when(is_json(node) & has_key(node, "text"), line)

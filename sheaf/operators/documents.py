@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import ingest_collection
@@ -113,7 +113,7 @@ def content_hash(text, metadata=None) -> Column:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ("collection", "doc_id"),
-           version: str = "version", hash_col: str = "content_hash", exact_versions: bool = False) -> DataFrame:
+           version: str = "version", hash_col: str = "content_hash", exact_versions: bool = True) -> DataFrame:
     """New state of a keyed store after applying ``incoming``.
 
     Both inputs carry ``keys…, version, content_hash`` and any payload
@@ -123,8 +123,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ("col
     is pre-aggregated before the shuffle, so no group is ever collected.
     Rows: the stored columns plus ``action`` (keep, insert, update, unchanged).
 
-    ``exact_versions=True`` applies several incoming versions of one key in
-    order, as a store would one at a time: the content is the newest, and the
+    ``exact_versions`` (the default) applies several incoming versions of one
+    key in order, as a store would one at a time: the content is the newest, and the
     version is the first one of the trailing run of identical content (the
     stored version when that run reaches back to it). See ``_upsert_exact``.
     """
@@ -151,25 +151,22 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str] = ("col
 
 def _upsert_exact(existing: DataFrame, incoming: DataFrame, keys: list[str], version: str,
                   hash_col: str) -> DataFrame:
-    """Sequential upsert semantics with aggregations only (no window over a
-    key, so a key with a huge number of versions is never sorted in one task):
-
-    1. per key the newest hash ``H`` and which sides are present (partial
-       aggregation);
-    2. rows joined to it; per key the last position whose hash differs from
-       ``H`` (``_brk``) — the rows are already partitioned by key after the
-       join, so this and the next step add no shuffle;
-    3. the first row after ``_brk`` is the state that survives.
+    """Sequential upsert semantics behind one shuffle by key.
+
+    Per key, over unordered windows (buffered with spill, never sorted by
+    version): the newest hash ``_h``, the sides present, and the last position
+    whose hash differs from ``_h`` (``_brk``). The first row after ``_brk`` is
+    the state that survives; that aggregation needs no further shuffle.
     """
     payload = [c for c in existing.columns if c not in keys]
     pos = F.struct("_side", version)
+    own = Window.partitionBy(*keys)
     both = (existing.withColumn("_side", F.lit(0))
             .unionByName(incoming.select(*keys, *payload).withColumn("_side", F.lit(1))))
-    last = both.groupBy(*keys).agg(F.max_by(hash_col, pos).alias("_h"), F.min("_side").alias("_min_side"),
-                                   F.max("_side").alias("_max_side"))
-    tagged = both.join(last, keys)
-    brk = tagged.groupBy(*keys).agg(F.max(F.when(F.col(hash_col) != F.col("_h"), pos)).alias("_brk"))
-    run = tagged.join(brk, keys).filter(F.col("_brk").isNull() | (pos > F.col("_brk")))
+    tagged = (both.withColumn("_h", F.max_by(hash_col, pos).over(own)).withColumn("_min_side", F.min("_side").over(own))
+              .withColumn("_max_side", F.max("_side").over(own)))
+    run = (tagged.withColumn("_brk", F.max(F.when(F.col(hash_col) != F.col("_h"), pos)).over(own))
+           .filter(F.col("_brk").isNull() | (pos > F.col("_brk"))))
     g = run.groupBy(*keys).agg(F.min_by(F.struct(*payload, "_side"), pos).alias("_r"),
                                F.first("_min_side").alias("_min_side"), F.first("_max_side").alias("_max_side"))
     action = (F.when(F.col("_max_side") == 0, F.lit("keep"))

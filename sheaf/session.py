@@ -62,10 +62,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - a Spark Connect session has no SparkContext
-        return spark.conf.get("spark.checkpoint.dir", None) or fallback or "/tmp/sheaf-checkpoints"
+        current = spark.conf.get("spark.checkpoint.dir", None) or fallback
+        if not current:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share") from None
+        return current
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = fallback or os.environ.get("SHEAF_CHECKPOINT_DIR") or "/tmp/sheaf-checkpoints"
+        current = fallback or os.environ.get("SHEAF_CHECKPOINT_DIR")
+        if not current:
+            if sc.master != "local" and not sc.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+            current = "/tmp/sheaf-checkpoints"
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.documents import request_documents
+from ..operators.summaries import top_per_key
 
 
 def start_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str,
@@ -36,9 +37,11 @@ def start_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str,
 
 def latest_documents(spark: SparkSession, sink: str) -> DataFrame:
     """Current documents of the sink: per (collection, doc_id) the row of the
-    newest batch (partial ``max_by`` aggregation, skew-safe)."""
+    newest batch. Requests carry no time, so versions within one micro-batch
+    are ordered by content hash: the result never depends on row order. Tasks
+    keep one row per key before the shuffle (a limit per key)."""
     df = spark.read.parquet(sink)
-    cols = [c for c in df.columns if c not in ("collection", "doc_id", "batch_id")]
-    latest = df.groupBy("collection", "doc_id").agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("_r"))
-    return latest.select("collection", "doc_id", *[F.col(f"_r.{c}").alias(c) for c in cols])
+    content = F.xxhash64(*[F.to_json(c) if t.startswith(("map", "struct", "array")) else F.col(c)
+                           for c, t in df.dtypes if c != "batch_id"])
+    return top_per_key(df.withColumn("_content", content), ["collection", "doc_id"],
+                       [F.col("batch_id").desc(), F.col("_content").desc()], 1).drop("_content", "batch_id")
