@@ -44,7 +44,7 @@ WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N
 
 #: Entries of a worker's tables of chunks and words (and four times as many transitions). The first two have two
 #: halves: a full one becomes the old one, whose entries move on when they are met again.
-CACHE_ENTRIES = 80_000
+CACHE_ENTRIES = 120_000
 #: Text that is encoded before its rows are handed on.
 BLOCK_BYTES = 8_000_000
 
@@ -246,7 +246,8 @@ class ByteBPE:
 
     def _chunk(self, chunk: str) -> tuple[int, str, bytes]:
         ids: list[int] = []
-        for word in self.words.findall(chunk):
+        plain = chunk[1:] if chunk[0] == " " else chunk
+        for word in [chunk] if plain.isalpha() else self.words.findall(chunk):  # letters only: one word
             path = self.paths.get(word)
             if path is None:
                 path = self.paths_old.get(word)
