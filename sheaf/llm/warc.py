@@ -1,6 +1,6 @@
 """Operator 3: WARC archives, and an index of them merged from sorted runs.
 
-``write_archives`` turns page rows into WARC/1.1 records. Spark's text sink
+``write_archives`` turns page rows into WARC/1.1 records in gzip files. Spark's text sink
 writes them (a record ends with two CRLF, which is the sink's line separator),
 so archives go to any file system that Spark can reach. Of records with equal
 payloads the one with the largest id is the response; the others are revisits
@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import base64
 import datetime as dt
+import gzip
 import hashlib
 import re
 import uuid
@@ -116,12 +117,15 @@ def write_archives(pages: DataFrame, path: str) -> None:
     last = last.where("n > 1").select(F.col("hex").alias("h"), F.col("size").alias("s"), "last")
     joined = own.join(last, (F.col("hex") == F.col("h")) & (F.col("size") == F.col("s")), "left")
     lines = joined.select("page_id", "url", "html", "last").mapInArrow(records, "value string")
-    (lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_A_FILE).text(path))
+    (lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_A_FILE)
+     .option("compression", "gzip").text(path))
 
 
 def parse(content: bytes, archive: str) -> Iterator[tuple]:
     """Index entries of an archive's records, in file order. Damaged input raises."""
     at = 0
+    if content[:2] == b"\x1f\x8b":  # gzip; positions count in the unpacked archive
+        content = gzip.decompress(content)
     while at < len(content):
         end = content.find(b"\r\n\r\n", at)
         lines = content[at:end].split(b"\r\n") if end >= 0 else []
