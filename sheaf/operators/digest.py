@@ -6,23 +6,23 @@ threshold, at most 500, their texts (author-prefixed) joined with newlines,
 then handed to a model. Here any number of requests is answered by one job:
 the recent points are filtered once (``createdAt > threshold`` is pushed into
 a stored ``points`` scan), limited per collection map-side
-(``WindowGroupLimit``) and aggregated per collection.
+(``WindowGroupLimit``) and aggregated per collection. Requests may each have a
+period of their own; the key is then (collection, threshold).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import epoch_seconds, period_threshold
+from ..functions.dates import epoch_seconds, period_threshold, period_threshold_col
 from ..functions.names import digest_collection
-from ..functions.payload import NO_RECENT_DATA, NO_TEXT_CONTENT, digest_line
-from ..plans.joins import small_side
+from ..functions.payload import NO_RECENT_DATA, NO_TEXT_CONTENT, digest_line, has_key, is_json
 from ..quality import REASON, first_reason
-from .summaries import top_per_key
+from .summaries import limit_report, top_per_key
 
 DIGEST_LIMIT = 500  # points per digest (the search limit of the reference)
 
@@ -37,16 +37,16 @@ def recent_points(points: DataFrame, threshold: float) -> DataFrame:
         .select("collection", "point_id", "_node_content")
 
 
-def digest_lines(recent: DataFrame, limit: int = DIGEST_LIMIT) -> DataFrame:
-    """L2 + W14 + P19: the first ``limit`` points per collection (by id) and
+def digest_lines(recent: DataFrame, limit: int = DIGEST_LIMIT, keys: Sequence[str] = ("collection",)) -> DataFrame:
+    """L2 + W14 + P19: the first ``limit`` points per key (by id) and
     their digest line (NULL for points without text)."""
-    limited = top_per_key(recent, ["collection"], "point_id", limit)
+    limited = top_per_key(recent, keys, "point_id", limit)
     return limited.withColumn("line", digest_line("_node_content"))
 
 
-def aggregate_digest(lines: DataFrame) -> DataFrame:
-    """A3 + A8 per collection: counts and the joined text."""
-    return lines.groupBy("collection").agg(
+def aggregate_digest(lines: DataFrame, keys: Sequence[str] = ("collection",)) -> DataFrame:
+    """A3 + A8 per key: counts and the joined text."""
+    return lines.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("n_points"),
         F.count("line").cast("bigint").alias("n_texts"),
         F.expr("listagg(line, '\\n') WITHIN GROUP (ORDER BY point_id)").alias("combined"),
@@ -61,31 +61,77 @@ def resolve_requests(requests: DataFrame) -> DataFrame:
             .withColumn(REASON, first_reason([(name.isNull(), "no_collection")])))
 
 
-def digest_text(points: DataFrame, requests: DataFrame, threshold: float,
-                limit: int = DIGEST_LIMIT) -> DataFrame:
-    """Digest text for every request.
+def recent_by_request(points: DataFrame, req: DataFrame) -> DataFrame:
+    """J5 + W9: the points newer than each distinct (collection, threshold) of the valid requests.
 
-    Rows: ``request_id, collection, status, n_points, n_texts, digest``, where
-    ``digest`` is the joined text, or one of the two fixed sentinels.
+    An equi join on the collection with the threshold as its condition, so
+    requests of one collection with the same period share their points.
     """
-    # Requests are read twice (key set and final join): persist them once.
-    req = resolve_requests(requests).persist(StorageLevel.MEMORY_AND_DISK)
-    wanted = small_side(req.filter(F.col(REASON).isNull()).select("collection").distinct())
-    recent = recent_points(points, threshold).join(wanted, "collection", "left_semi")
-    agg = aggregate_digest(digest_lines(recent, limit))
+    wanted = req.filter(F.col(REASON).isNull()).select("collection", "threshold").distinct()
+    return (points.select("collection", "point_id", "createdAt", "_node_content").join(wanted, "collection")
+            .filter(F.col("createdAt") > F.col("threshold"))
+            .select("collection", "threshold", "point_id", "_node_content"))
+
+
+def strict_nodes(recent: DataFrame) -> DataFrame:
+    """F4, ``strict``: the points, or a job that fails at one whose text node has no ``metadata`` object."""
+    node = F.col("_node_content")
+    bad = is_json(node) & has_key(node, "text") & F.get_json_object(node, "$.metadata").isNull()
+    message = F.concat(F.lit("a node without metadata: point "), F.col("point_id").cast("string"))
+    return recent.withColumn("_node_content", F.when(bad, F.raise_error(message).cast("string")).otherwise(node))
+
+
+def _answers(points: DataFrame, req: DataFrame, limit: int, strict: bool) -> DataFrame:
+    """A digest for every resolved request (``collection, threshold`` and a reason for those that have no answer)."""
+    keys = ["collection", "threshold"]
+    recent = recent_by_request(points, req)
+    limited = top_per_key(recent, keys, "point_id", limit)
+    if strict:
+        limited = strict_nodes(limited)
+    agg = aggregate_digest(limited.withColumn("line", digest_line("_node_content")), keys)
     n_points = F.coalesce(F.col("n_points"), F.lit(0)).cast("bigint")
     n_texts = F.coalesce(F.col("n_texts"), F.lit(0)).cast("bigint")
     digest = (F.when(F.col(REASON).isNotNull(), F.lit(None).cast("string"))
               .when(n_points == 0, F.lit(NO_RECENT_DATA))
               .when(n_texts == 0, F.lit(NO_TEXT_CONTENT))
               .otherwise(F.col("combined")))
-    return (req.join(agg, "collection", "left")
+    return (req.join(agg, keys, "left")
             .select("request_id", "collection",
                     F.coalesce(F.col(REASON), F.lit("ok")).alias("status"),
                     n_points.alias("n_points"), n_texts.alias("n_texts"),
                     digest.alias("digest")))
 
 
+def digest_text(points: DataFrame, requests: DataFrame, threshold: float,
+                limit: int = DIGEST_LIMIT, strict: bool = False) -> DataFrame:
+    """Digest text for every request, all of one period (``threshold`` in epoch seconds,
+    which also filters the scan of ``points``).
+
+    Rows: ``request_id, collection, status, n_points, n_texts, digest``, where
+    ``digest`` is the joined text, or one of the two fixed sentinels.
+    """
+    req = resolve_requests(requests).withColumn("threshold", F.lit(threshold).cast("double"))
+    return _answers(points.filter(F.col("createdAt") > F.lit(threshold)), req, limit, strict)
+
+
+def digest_requests(points: DataFrame, requests: DataFrame, as_of: datetime,
+                    limit: int = DIGEST_LIMIT, strict: bool = False) -> DataFrame:
+    """Digest text for every request, each with a ``period`` of its own (F5 as a column).
+
+    A period that isn't one gives status ``bad_period`` and no digest. Rows as
+    in :func:`digest_text`.
+    """
+    req = resolve_requests(requests).withColumn("threshold", period_threshold_col("period", as_of).cast("double"))
+    req = req.withColumn(REASON, F.coalesce(F.col(REASON), F.when(F.col("threshold").isNull(), F.lit("bad_period"))))
+    return _answers(points, req, limit, strict)
+
+
+def digest_dropped(points: DataFrame, threshold: float, limit: int = DIGEST_LIMIT) -> DataFrame:
+    """L2 made visible: per collection the recent points and how many of them the limit leaves out.
+    Rows: ``collection, n_total, n_dropped``."""
+    return limit_report(recent_points(points, threshold), ["collection"], limit)
+
+
 def digest_prompt(digests: DataFrame) -> DataFrame:
     """the model prompt for digests that have text (sentinels and
     rejected requests are answered without a model call)."""

@@ -13,7 +13,6 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,10 +78,9 @@ def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "
     come back by an equi join, so no group is ever collected whole.
     Rows: ``{key}, n_lines, summary``.
     """
-    # The lines feed four branches (words, scores, ranking, counts); they are
-    # bounded by the digest limit per group, so they are persisted once.
-    lines = keep_rows(lines.select(key, order, text), F.col(text).isNotNull()) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    # The lines feed four branches (words, scores, ranking, counts); nothing is cached for that, the
+    # planner reuses the exchange of the limit below them.
+    lines = keep_rows(lines.select(key, order, text), F.col(text).isNotNull())
     words = lines.select(key, order, F.explode(F.split(F.lower(F.col(text)), WORD_BREAK)).alias("w")) \
         .filter(F.col("w") != "")
     tf = words.groupBy(key, "w").agg(F.count(F.lit(1)).alias("tf"))
@@ -96,11 +94,11 @@ def extractive_summary(lines: DataFrame, key: str = "collection", order: str = "
 
 
 def summarize(lines: DataFrame, key: str = "collection", order: str = "point_id", text: str = "line",
-              fn: Callable[[str], str] | None = None) -> DataFrame:
-    """One summary per group. ``fn`` (the joined text → summary) runs
-    per group in ``applyInPandas``; groups are bounded by the digest limit."""
+              fn: Callable[[str], str] | None = None, sentences: int = SUMMARY_SENTENCES) -> DataFrame:
+    """One summary per group, by default its ``sentences`` most typical lines. ``fn`` (the joined
+    text → summary) runs per group in ``applyInPandas``; groups are bounded by the digest limit."""
     if fn is None:
-        return extractive_summary(lines, key, order, text)
+        return extractive_summary(lines, key, order, text, sentences)
 
     def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)

@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import small_side
 from ..quality import REASON, first_reason, reject_counts
 
 WIKI = "mediaWiki"
@@ -44,7 +43,7 @@ def _with_metadata(entries: DataFrame, platforms: DataFrame) -> DataFrame:
                             F.col("metadata.path").alias("path"),
                             F.col("metadata.namespaces").alias("namespaces"),
                             F.col("metadata.resources").alias("resources"))
-    return entries.join(small_side(meta), entries.platform_id == meta._id, "left")
+    return entries.join(meta, entries.platform_id == meta._id, "left")
 
 
 def _wiki_reason():

@@ -18,14 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import check_range, day_spine, day_string, range_date_col
 from ..functions.names import summary_collection
 from ..functions.payload import is_json, summary_text
-from ..plans.joins import small_side
 from ..quality import REASON, first_reason
 
 SUMMARY_LIMIT = 100  # summaries per date (the search limit of the reference)
@@ -40,6 +38,13 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
             .filter(F.col("_rn") <= n).drop("_rn"))
 
 
+def limit_report(df: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """What a limit of ``n`` rows per key leaves out: ``keys, n_total, n_dropped`` (combined before the shuffle)."""
+    total = F.count(F.lit(1)).cast("bigint")
+    return df.groupBy(*keys).agg(total.alias("n_total"),
+                                 F.greatest(total - n, F.lit(0)).cast("bigint").alias("n_dropped"))
+
+
 def select_points(points: DataFrame, collection: str | None = None,
                   date: str | None = None, columns: Sequence[str] = POINT_COLUMNS) -> DataFrame:
     """S12 + W8: payload columns only (no vectors), optional equality filters
@@ -126,11 +131,11 @@ def latest_dates(points: DataFrame, keys: Sequence[str] = ("collection",)) -> Da
 def restrict_to_latest(points: DataFrame, keys: Sequence[str] = ("collection",)) -> DataFrame:
     """Keep the points of each collection's latest date.
 
-    The latest-date frame has one row per collection; it is broadcast after a
-    size check, so the points themselves are filtered without a shuffle.
+    The latest-date frame has one row per collection, so the planner normally
+    broadcasts it and filters the points without a shuffle.
     """
     latest = latest_dates(points, keys)
-    return points.join(small_side(latest), [*keys, "date"], "left_semi")
+    return points.join(latest, [*keys, "date"], "left_semi")
 
 
 def summaries_latest(points: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame:
@@ -140,21 +145,18 @@ def summaries_latest(points: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame
 
 def summaries_payload(points: DataFrame, keys: Sequence[str] = ("collection", "date"),
                       limit: int = SUMMARY_LIMIT) -> DataFrame:
-    """P14 / A4 in row form: every point kept by the limit, with
-    ``parsed_content`` (the JSON as a VARIANT), ``summary_text`` and
-    ``parsed`` (1 when ``_node_content`` parsed as JSON). Points whose
-    content does not parse stay as they are, without either."""
-    keys = list(keys)
-    limited = top_per_key(points.select(*keys, "point_id", "createdAt", "_node_content"),
-                          keys, "point_id", limit)
+    """P14 / A4 in row form: every point kept by the limit, with all its
+    columns and ``parsed_content`` (the JSON as a VARIANT), ``summary_text``
+    and ``parsed`` (1 when ``_node_content`` parsed as JSON). Points whose
+    content does not parse stay as they are, without the two."""
+    limited = top_per_key(points, list(keys), "point_id", limit)
     node = F.col("_node_content")
     ok = node.isNotNull() & is_json(node)
-    return limited.select(
-        *keys, "point_id",
-        F.when(ok, F.try_parse_json(node)).alias("parsed_content"),
-        F.when(ok, summary_text(node)).alias("summary_text"),
-        ok.cast("int").alias("parsed"),
-    )
+    return limited.withColumns({
+        "parsed_content": F.when(ok, F.try_parse_json(node)),
+        "summary_text": F.when(ok, summary_text(node)),
+        "parsed": ok.cast("int"),
+    })
 
 
 def summaries_nested(payload: DataFrame, keys: Sequence[str] = ("collection", "date")) -> DataFrame:
@@ -178,23 +180,37 @@ def range_requests(requests: DataFrame, start: str = "start_date", end: str = "e
     return requests.withColumn("_start", s).withColumn("_end", e).withColumn(REASON, reason)
 
 
-def summaries_range(points: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame:
+#: Columns that payload mode adds to a request's day.
+PAYLOAD_COLUMNS = ["point_id", "createdAt", "_node_content", "parsed_content", "summary_text", "parsed"]
+
+
+def payload_of_days(days: DataFrame, scoped: DataFrame, limit: int, *columns) -> DataFrame:
+    """Payload mode: ``columns`` of every requested day with each of its stored points (see
+    :func:`summaries_payload`); a day without points has one row, without a point."""
+    payload = summaries_payload(scoped, limit=limit)
+    return days.join(payload, ["collection", "date"], "left").select(*columns, *PAYLOAD_COLUMNS)
+
+
+def summaries_range(points: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT,
+                    extract_text_only: bool = True) -> DataFrame:
     """J2 + A5: for each valid request (``community_id, platform_id,
     start_date, end_date``) a row for every day of its range, empty days with
-    ``""``. Rows: ``community_id, platform_id, date, n_summaries, summaries``.
+    ``""``. Rows: ``community_id, platform_id, date, n_summaries, summaries``;
+    without ``extract_text_only`` a row per stored point with its payload.
 
     The spine is generated per request row (``explode(sequence)``), never by
     a cross join; the day aggregates are joined on (collection, date).
     """
     req = range_requests(requests).filter(F.col(REASON).isNull())
-    # The spine (requests x days) is read twice: persist it once.
     spine = req.select(
         "community_id", "platform_id",
         summary_collection("community_id", "platform_id").alias("collection"),
         F.explode(day_spine(F.col("_start"), F.col("_end"))).alias("_day"),
-    ).withColumn("date", day_string("_day")).drop("_day").persist(StorageLevel.MEMORY_AND_DISK)
-    wanted = small_side(spine.select("collection", "date").distinct())
+    ).withColumn("date", day_string("_day")).drop("_day")
+    wanted = spine.select("collection", "date").distinct()
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
+    if not extract_text_only:
+        return payload_of_days(spine, scoped, limit, "community_id", "platform_id", "date")
     per_day = summaries_by_date(scoped, limit=limit)
     return (spine.join(per_day, ["collection", "date"], "left")
             .select("community_id", "platform_id", "date",
@@ -203,7 +219,8 @@ def summaries_range(points: DataFrame, requests: DataFrame, limit: int = SUMMARY
 
 
 def fetch_summaries_by_range(points: DataFrame, community_id: str, platform_id: str,
-                             start_date: str, end_date: str, limit: int = SUMMARY_LIMIT) -> DataFrame:
+                             start_date: str, end_date: str, limit: int = SUMMARY_LIMIT,
+                             extract_text_only: bool = True) -> DataFrame:
     """The reference's single range request; argument errors raise as there."""
     if not platform_id:
         raise ValueError("Platform name is required but was not provided")
@@ -211,23 +228,26 @@ def fetch_summaries_by_range(points: DataFrame, community_id: str, platform_id:
     spark = points.sparkSession
     req = spark.createDataFrame([(community_id, platform_id, start_date, end_date)],
                                 "community_id string, platform_id string, start_date string, end_date string")
-    return summaries_range(points, req, limit=limit)
+    return summaries_range(points, req, limit, extract_text_only)
 
 
 def summaries_for_requests(points: DataFrame, requests: DataFrame,
-                           limit: int = SUMMARY_LIMIT) -> DataFrame:
+                           limit: int = SUMMARY_LIMIT, extract_text_only: bool = True) -> DataFrame:
     """J5 + W15: a table of single-date requests (``request_id, community_id,
     platform_id, date``) answered in one job. Requests without a platform are
     answered with status ``no_platform`` and no summaries.
-    Rows: ``request_id, collection, date, status, n_summaries, summaries``."""
+    Rows: ``request_id, collection, date, status, n_summaries, summaries``, or
+    in payload mode ``request_id, collection, date, status`` with each point."""
     req = requests.withColumn(
         REASON, first_reason([(F.coalesce(F.col("platform_id"), F.lit("")) == "", "no_platform")])
     ).withColumn("collection", F.when(F.col(REASON).isNull(),
-                                      summary_collection("community_id", "platform_id"))
-                 ).persist(StorageLevel.MEMORY_AND_DISK)
+                                      summary_collection("community_id", "platform_id")))
     valid = req.filter(F.col(REASON).isNull())
-    wanted = small_side(valid.select("collection", "date").distinct())
+    wanted = valid.select("collection", "date").distinct()
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
+    if not extract_text_only:
+        return payload_of_days(req, scoped, limit, "request_id", "collection", "date",
+                               F.coalesce(F.col(REASON), F.lit("ok")).alias("status"))
     per_day = summaries_by_date(scoped, limit=limit)
     return (req.join(per_day, ["collection", "date"], "left")
             .select("request_id", "collection", "date",
@@ -263,25 +283,30 @@ def workflow_spine(points: DataFrame, requests: DataFrame) -> DataFrame:
         "request_id", "kind", "collection", F.explode(day_spine(F.col("_s"), F.col("_e"))).alias("_d")) \
         .select("request_id", "kind", "collection", day_string("_d").alias("date"))
     latest_req = ok.filter(F.col("kind") == "latest").select("request_id", "kind", "collection")
-    wanted = small_side(latest_req.select("collection").distinct())
+    wanted = latest_req.select("collection").distinct()
     latest = latest_dates(points.select("collection", "date").join(wanted, "collection", "left_semi"))
-    latest_days = latest_req.join(latest, "collection")
+    # A collection without points has no latest date: its request keeps one row without a date.
+    latest_days = latest_req.join(latest, "collection", "left")
     rejected = req.filter(F.col(REASON).isNotNull()).select(
         "request_id", "kind", "collection", F.lit(None).cast("string").alias("date"), REASON)
     return (one_day.unionByName(days).unionByName(latest_days)
             .withColumn(REASON, F.lit(None).cast("string")).unionByName(rejected))
 
 
-def summaries_workflow(points: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT) -> DataFrame:
+def summaries_workflow(points: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT,
+                       extract_text_only: bool = True) -> DataFrame:
     """The stored-summaries workflow for a table of requests of all three
     kinds in one job. Rows: ``request_id, kind, status, date, n_summaries,
     summaries`` (a day without data has ``""``; a rejected request one row
-    with its reason as status)."""
-    # The spine (requests x days) is read twice: persist it once.
-    spine = workflow_spine(points, requests).persist(StorageLevel.MEMORY_AND_DISK)
+    with its reason as status; the latest date of an empty collection is NULL).
+    In payload mode each stored point is a row, with its columns in place of the joined text."""
+    spine = workflow_spine(points, requests)
     valid = spine.filter(F.col(REASON).isNull())
-    wanted = small_side(valid.select("collection", "date").distinct())
+    wanted = valid.select("collection", "date").distinct()
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
+    if not extract_text_only:
+        return payload_of_days(spine, scoped, limit, "request_id", "kind",
+                               F.coalesce(F.col(REASON), F.lit("ok")).alias("status"), "date")
     per_day = summaries_by_date(scoped, limit=limit)
     ok = F.col(REASON).isNull()
     return (spine.join(per_day, ["collection", "date"], "left")

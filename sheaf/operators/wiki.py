@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import small_side
 from ..quality import REASON, first_reason, keep_rows
 from ..sources.wiki import parse_pages
 
@@ -108,11 +107,10 @@ def job_pages(jobs: DataFrame, pages: DataFrame, xml: str = "xml") -> DataFrame:
 
     ``pages`` are raw page elements with their job keys (``community_id,
     platform_id, xml``). They are joined to the jobs *before* parsing, so
-    only pages of valid jobs are parsed; the job list is broadcast after a
-    size check. The namespace test runs once per parsed row (``keep_rows``).
+    only pages of valid jobs are parsed. The namespace test runs once per parsed row (``keep_rows``).
     """
     j = jobs.select("community_id", "platform_id", "namespaces")
-    scoped = pages.join(small_side(j), ["community_id", "platform_id"])
+    scoped = pages.join(j, ["community_id", "platform_id"])
     flat = flatten_pages(parse_pages(scoped, xml))
     in_ns = F.array_contains(F.col("namespaces"), F.col("namespace").try_cast("int"))
     return keep_rows(flat, in_ns).drop("namespaces")

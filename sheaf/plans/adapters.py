@@ -24,8 +24,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``collection = c{user_id%5}_p{event_id%3}_summary``; ``_node_content`` is a
     JSON text, deliberately NULL (``event_id%23=0``), broken (``%17``), without
-    text (``%19``), a JSON array (``%29``), without metadata (``%31``) or
-    without author (``%10``).
+    text (``%19``), a JSON array (``%29``), without metadata (``%31``),
+    followed by other text (``%37``), in single quotes (``%41``), with a null
+    author (``%43``) or without author (``%10``).
     """
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -36,6 +37,9 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(eid % 19 == 0, F.concat(F.lit('{"metadata": {"author": "'), author, F.lit('"}}')))
             .when(eid % 29 == 0, F.concat(F.lit('["'), text, F.lit('"]')))
             .when(eid % 31 == 0, F.concat(F.lit('{"text": "'), text, F.lit('"}')))
+            .when(eid % 37 == 0, F.concat(F.lit('{"text": "'), text, F.lit('"} xyz')))
+            .when(eid % 41 == 0, F.concat(F.lit("{'text': '"), text, F.lit("'}")))
+            .when(eid % 43 == 0, F.concat(F.lit('{"text": "'), text, F.lit('", "metadata": {"author": null}}')))
             .when(eid % 10 == 0, F.concat(F.lit('{"text": "'), text, F.lit('", "metadata": {}}')))
             .otherwise(F.concat(F.lit('{"text": "'), text, F.lit('", "metadata": {"author": "'),
                                 author, F.lit('"}}'))))
@@ -69,6 +73,21 @@ def digest_requests(points_df: DataFrame) -> DataFrame:
         )).alias("r")).select("r.*")
 
 
+PERIODS = [None, "", "1h", "72h", "2024-01-01", "2024-01-20", "2024-13-45", "4 hours"]
+
+
+def period_requests(points_df: DataFrame) -> DataFrame:
+    """Every request of :func:`digest_requests`, once for each of ``PERIODS``."""
+    period = F.explode(F.array(*[F.lit(p).cast("string") for p in PERIODS]))
+    r = digest_requests(points_df).withColumn("period", period)
+    return r.withColumn("request_id", F.concat("request_id", F.lit("#"), F.coalesce("period", F.lit("none"))))
+
+
+def monthly_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points dated by the first day of their month, so that a date holds more than any limit."""
+    return points(spark, sf_dir).withColumn("date", F.concat(F.substring("date", 1, 8), F.lit("01")))
+
+
 # --- platform registry (from customer) ----------------------------------------
 
 MODULE_WIDTH = 100  # platform entries per module document (bounded nesting)

@@ -72,8 +72,25 @@ def q_summaries_range(spark, sf_dir):
 
 @register("summaries_payload")
 def q_summaries_payload(spark, sf_dir):
-    # parsed_content (a VARIANT) is left out: engines render variants differently.
-    return sm.summaries_payload(ad.points(spark, sf_dir)).drop("parsed_content")
+    pts = ad.points(spark, sf_dir).select(*sm.POINT_COLUMNS)
+    return _payload_as_text(sm.summaries_payload(pts))
+
+
+def _payload_as_text(df):
+    return df.withColumn("parsed_content", F.to_json("parsed_content"))
+
+
+@register("summaries_range_payload")
+def q_summaries_range_payload(spark, sf_dir):
+    pts = ad.monthly_points(spark, sf_dir)
+    requests = ad.digest_requests(pts).select("community_id", "platform_id").distinct() \
+        .withColumn("start_date", F.lit("2023-12-31")).withColumn("end_date", F.lit("2024-2-1"))
+    return _payload_as_text(sm.summaries_range(pts, requests, extract_text_only=False))
+
+
+@register("summary_limits")
+def q_summary_limits(spark, sf_dir):
+    return sm.limit_report(ad.monthly_points(spark, sf_dir), ["collection", "date"], sm.SUMMARY_LIMIT)
 
 
 @register("summaries_for_requests")
@@ -109,6 +126,17 @@ def q_digest_since_date(spark, sf_dir):
     return _digest(spark, sf_dir, "2024-01-20")
 
 
+@register("digest_requests")
+def q_digest_requests(spark, sf_dir):
+    pts = ad.points(spark, sf_dir)
+    return dg.digest_requests(pts, ad.period_requests(pts), _latest_event_time(spark, sf_dir))
+
+
+@register("digest_limits")
+def q_digest_limits(spark, sf_dir):
+    return dg.digest_dropped(ad.points(spark, sf_dir), epoch_seconds(period_threshold("2024-01-01")))
+
+
 @register("digest_prompt")
 def q_digest_prompt(spark, sf_dir):
     return dg.digest_prompt(_digest(spark, sf_dir, "72h"))
@@ -432,6 +460,10 @@ OPERATORS = {
     "stored_summaries": "S12 W8 N1 L1",
     "digest_text": "P17 F5 F8 W9 W14 L2 P19 A3 A8 F4",
     "digest_since_date": "P17 F5 F8 W9 W14 L2 P19 A3 A8",
+    "digest_requests": "J5 P17 F5 F8 W9 W14 L2 P19 A3 A8 F4",
+    "digest_limits": "L2",
+    "summaries_range_payload": "J2 A5 P14 W15 W16 L1",
+    "summary_limits": "L1",
     "digest_prompt": "F17",
     "wiki_jobs": "S1 S2 P1 P2 P3 W1 W2 W3 W4 W5 J1 F9",
     "site_jobs": "S1 S2 P1 P4 W1 W2 W3 J1",

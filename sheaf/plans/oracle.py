@@ -20,6 +20,10 @@ POINTS_CTE = """points AS (
            WHEN event_id % 19 = 0 THEN '{"metadata": {"author": "u' || CAST(user_id AS VARCHAR) || '"}}'
            WHEN event_id % 29 = 0 THEN '["' || event_type || ' #' || CAST(event_id AS VARCHAR) || '"]'
            WHEN event_id % 31 = 0 THEN '{"text": "' || event_type || ' #' || CAST(event_id AS VARCHAR) || '"}'
+           WHEN event_id % 37 = 0 THEN '{"text": "' || event_type || ' #' || CAST(event_id AS VARCHAR) || '"} xyz'
+           WHEN event_id % 41 = 0 THEN '{''text'': ''' || event_type || ' #' || CAST(event_id AS VARCHAR) || '''}'
+           WHEN event_id % 43 = 0 THEN '{"text": "' || event_type || ' #' || CAST(event_id AS VARCHAR)
+                || '", "metadata": {"author": null}}'
            WHEN event_id % 10 = 0 THEN '{"text": "' || event_type || ' #' || CAST(event_id AS VARCHAR) || '", "metadata": {}}'
            ELSE '{"text": "' || event_type || ' #' || CAST(event_id AS VARCHAR)
                 || '", "metadata": {"author": "u' || CAST(user_id AS VARCHAR) || '"}}'
@@ -72,7 +76,8 @@ recent_ranked AS (
 lines AS (
   SELECT collection, point_id,
          CASE WHEN json_valid({x}) AND json_type({x}) = 'OBJECT' AND json_exists({x}, '$.text') THEN
-              CASE WHEN json_type({x}, '$.metadata') = 'OBJECT' AND json_exists({x}, '$.metadata.author')
+              CASE WHEN json_type({x}, '$.metadata') = 'OBJECT'
+                        AND json_extract_string({x}, '$.metadata.author') IS NOT NULL
                    THEN json_extract_string({x}, '$.metadata.author') || ': ' || json_extract_string({x}, '$.text')
                    ELSE json_extract_string({x}, '$.text') END
          END AS line
@@ -127,18 +132,44 @@ SELECT s.community_id, s.platform_id, s.date,
        coalesce(p.n_summaries, 0) AS n_summaries, coalesce(p.summaries, '') AS summaries
 FROM spine s LEFT JOIN per_key p ON s.collection = p.collection AND s.date = p.date"""
 
+def payload_sql(src: str) -> str:
+    """The first 100 points per (collection, date) of ``src`` with the payload columns (object fields in order of name)."""
+    x = "_node_content"
+    return f"""payload AS (
+  SELECT collection, date, point_id, createdAt, {x},
+         CASE WHEN NOT ok THEN NULL
+              WHEN json_type({x}) = 'OBJECT' AND json_exists({x}, '$.text') THEN json_extract_string({x}, '$.text')
+              ELSE 'Summary text not found' END AS summary_text,
+         CASE WHEN NOT ok THEN NULL
+              WHEN json_type({x}) <> 'OBJECT' THEN CAST(json({x}) AS VARCHAR)
+              ELSE '{{' || concat_ws(',', '"metadata":' || CAST(json_extract({x}, '$.metadata') AS VARCHAR),
+                                    '"text":' || CAST(json_extract({x}, '$.text') AS VARCHAR)) || '}}' END AS parsed_content,
+         CAST(ok AS INTEGER) AS parsed
+  FROM (SELECT *, coalesce({x} IS NOT NULL AND json_valid({x}), false) AS ok,
+               row_number() OVER (PARTITION BY collection, date ORDER BY point_id) AS rn
+        FROM {src}) WHERE rn <= 100)"""
+
+
 ORACLE["summaries_payload"] = f"""WITH {POINTS_CTE},
-ranked AS (
-  SELECT collection, date, point_id, _node_content,
-         row_number() OVER (PARTITION BY collection, date ORDER BY point_id) AS rn
-  FROM points)
-SELECT collection, date, point_id,
-       CASE WHEN _node_content IS NULL OR NOT json_valid(_node_content) THEN NULL
-            WHEN json_type(_node_content) = 'OBJECT' AND json_exists(_node_content, '$.text')
-                 THEN json_extract_string(_node_content, '$.text')
-            ELSE 'Summary text not found' END AS summary_text,
-       CAST(coalesce(_node_content IS NOT NULL AND json_valid(_node_content), false) AS INTEGER) AS parsed
-FROM ranked WHERE rn <= 100"""
+{payload_sql('points')}
+SELECT * FROM payload"""
+
+MONTHLY_CTE = "monthly AS (SELECT * REPLACE (substr(date, 1, 8) || '01' AS date) FROM points)"
+
+ORACLE["summaries_range_payload"] = f"""WITH {POINTS_CTE},
+{PAIRS_CTE},
+{MONTHLY_CTE},
+spine AS (
+  SELECT community_id, platform_id, collection, strftime(g.d, '%Y-%m-%d') AS date
+  FROM pairs, generate_series(DATE '2023-12-31', DATE '2024-02-01', INTERVAL 1 DAY) AS g(d)),
+{payload_sql('monthly')}
+SELECT s.community_id, s.platform_id, s.date, p.* EXCLUDE (collection, date)
+FROM spine s LEFT JOIN payload p ON s.collection = p.collection AND s.date = p.date"""
+
+ORACLE["summary_limits"] = f"""WITH {POINTS_CTE},
+{MONTHLY_CTE}
+SELECT collection, date, count(*) AS n_total, greatest(count(*) - 100, 0) AS n_dropped
+FROM monthly GROUP BY collection, date"""
 
 ORACLE["summaries_for_requests"] = f"""WITH {POINTS_CTE},
 requests AS (
@@ -167,6 +198,49 @@ ORACLE["digest_since_date"] = f"""WITH {POINTS_CTE},
 {digest_core('points', DATE_THRESHOLD)}
 SELECT * FROM digests"""
 
+# What each period means is written out here: the moment it reaches back to, or none.
+ORACLE["digest_requests"] = f"""WITH {POINTS_CTE},
+{PAIRS_CTE},
+newest AS (SELECT max(epoch_us(ts)) AS us FROM events),
+periods AS (
+  SELECT unnest([NULL, '', '1h', '72h', '2024-01-01', '2024-01-20', '2024-13-45', '4 hours']) AS period,
+         unnest([us - 3600000000, us - 3600000000, us - 3600000000, us - 259200000000, 1704067200000000,
+                 1705708800000000, NULL, NULL]) AS us
+  FROM newest),
+requests AS (
+  SELECT collection || '#name#' || coalesce(period, 'none') AS request_id, collection,
+         CAST(us AS DOUBLE) / 1000000 AS threshold
+  FROM pairs, periods
+  UNION ALL
+  SELECT collection || '#ids#' || coalesce(period, 'none'), community_id || '_' || platform_id, CAST(us AS DOUBLE) / 1000000
+  FROM pairs, periods),
+asked AS (SELECT DISTINCT collection, threshold FROM requests WHERE threshold IS NOT NULL),
+ranked AS (
+  SELECT a.collection, a.threshold, p.point_id, p._node_content AS x,
+         row_number() OVER (PARTITION BY a.collection, a.threshold ORDER BY p.point_id) AS rn
+  FROM asked a JOIN points p ON p.collection = a.collection AND p.createdAt > a.threshold),
+lines AS (
+  SELECT collection, threshold, point_id,
+         CASE WHEN json_valid(x) AND json_type(x) = 'OBJECT' AND json_exists(x, '$.text')
+              THEN coalesce(json_extract_string(x, '$.metadata.author') || ': ', '') || json_extract_string(x, '$.text')
+         END AS line
+  FROM ranked WHERE rn <= 500),
+agg AS (
+  SELECT collection, threshold, count(*) AS n_points, count(line) AS n_texts,
+         string_agg(line, {NL} ORDER BY point_id) AS combined
+  FROM lines GROUP BY collection, threshold)
+SELECT r.request_id, r.collection, CASE WHEN r.threshold IS NULL THEN 'bad_period' ELSE 'ok' END AS status,
+       coalesce(n_points, 0) AS n_points, coalesce(n_texts, 0) AS n_texts,
+       CASE WHEN r.threshold IS NULL THEN NULL
+            WHEN coalesce(n_points, 0) = 0 THEN 'No recent data found for the specified period.'
+            WHEN coalesce(n_texts, 0) = 0 THEN 'No text content found in the recent data.'
+            ELSE combined END AS digest
+FROM requests r LEFT JOIN agg a ON r.collection = a.collection AND r.threshold = a.threshold"""
+
+ORACLE["digest_limits"] = f"""WITH {POINTS_CTE}
+SELECT collection, count(*) AS n_total, greatest(count(*) - 500, 0) AS n_dropped
+FROM points WHERE createdAt > 1704067200 GROUP BY collection"""
+
 ORACLE["digest_prompt"] = f"""WITH {POINTS_CTE},
 {PAIRS_CTE},
 {digest_core('points', LATEST_THRESHOLD_72H)}
@@ -613,7 +687,7 @@ spine AS (
   FROM r WHERE reason IS NULL AND kind = 'range'
   UNION ALL
   SELECT r.request_id, r.kind, r.collection, l.date, NULL
-  FROM r JOIN latest l ON r.collection = l.collection WHERE r.reason IS NULL AND r.kind = 'latest'
+  FROM r LEFT JOIN latest l ON r.collection = l.collection WHERE r.reason IS NULL AND r.kind = 'latest'
   UNION ALL
   SELECT request_id, kind, collection, NULL, reason FROM r WHERE reason IS NOT NULL),
 {summary_core('points')}

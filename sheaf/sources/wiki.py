@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..plans.joins import small_side
 
 # Fixed value: the only export namespace whose pages are read.
 EXPORT_NS = "http://www.mediawiki.org/xml/export-0.11/"
@@ -54,7 +53,7 @@ def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool =
     version = (rec.filter(F.col("value").contains("<mediawiki"))
                .select("file", F.regexp_extract("value", r'<mediawiki[^>]*xmlns="([^"]*)"', 1).alias("ns"))
                .filter(F.col("ns") == EXPORT_NS).select("file"))
-    pages = pages.join(small_side(version), "file", "left_semi")
+    pages = pages.join(version, "file", "left_semi")
     if spread:
         pages = pages.repartition(spread)
     return parse_pages(pages)
