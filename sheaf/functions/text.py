@@ -1,13 +1,16 @@
-"""Text expressions: whitespace, HTML title/text, links, XML declaration
-(F10, F11, F13, F14).
+"""Text expressions: whitespace, HTML title/text, links.
 
-All patterns stay inside the regex subset that Java and RE2 share (no
-look-around, no back-references), so the DuckDB oracle can run the same
-patterns, and everything stays JVM-side (no Python per row).
+Patterns run JVM-side. Character references and URL joining follow the HTML
+and URL standards with their long tables and rules, so these two go through
+Arrow batches (one call per batch, the standard library's functions per value).
 """
 
 from __future__ import annotations
 
+import html as _html
+from urllib.parse import urldefrag, urljoin, urlsplit
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +18,6 @@ from pyspark.sql import functions as F
 WS = r"[ \t\n\r\f\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]"
 HTML_WS = r"[ \t\n\r\f\x0B]+"
 
-# The character references decoded in page text, in the order
-# applied (``&amp;`` last, so that ``&amp;lt;`` becomes ``&lt;``, one level).
-HTML_ENTITIES = [
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&amp;", "&"),
-]
-
-
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -45,20 +36,26 @@ def http_url(c) -> Column:
 
 
 def decode_entities(c) -> Column:
-    c = _c(c)
-    for src, dst in HTML_ENTITIES:
-        c = F.replace(c, F.lit(src), F.lit(dst))
-    return c
+    """Named and numeric character references as characters, one level (``&amp;lt;`` gives ``&lt;``)."""
+    @F.arrow_udf("string")
+    def unescape(values: pa.Array) -> pa.Array:
+        return pa.array([v if v is None or "&" not in v else _html.unescape(v) for v in values.to_pylist()], pa.string())
+    return unescape(_c(c))
 
 
 def collapse_ws(c) -> Column:
     return F.trim(F.regexp_replace(_c(c), HTML_WS, " "))
 
 
+def plain_text(c) -> Column:
+    """Character references decoded, no-break spaces as spaces, white space collapsed."""
+    return collapse_ws(F.translate(decode_entities(c), "\u00a0", " "))
+
+
 def html_title(html) -> Column:
     """text of the first ``<title>``, entities decoded, whitespace collapsed."""
     t = F.regexp_extract(_c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return collapse_ws(decode_entities(t))
+    return plain_text(t)
 
 
 def html_text(html) -> Column:
@@ -72,7 +69,7 @@ def html_text(html) -> Column:
     t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
     t = F.regexp_replace(t, r"(?s)<!--.*?-->", " ")
     t = F.regexp_replace(t, r"<[^>]*>", " ")
-    return collapse_ws(decode_entities(t))
+    return plain_text(t)
 
 
 # An anchor's href attribute: double or single quotes, spaces around "=",
@@ -85,33 +82,41 @@ def hrefs(html) -> Column:
     return F.regexp_extract_all(_c(html), F.lit(HREF_PATTERN), 1)
 
 
+def join_url(base: str | None, href: str | None) -> str | None:
+    """The web address that ``href`` names on page ``base``, without fragment; None if it names none."""
+    href = (href or "").strip()
+    if not base or not href or href.startswith("#"):
+        return None
+    try:
+        whole = urlsplit(urldefrag(urljoin(base.strip(), href)).url)
+        return whole.geturl() if whole.scheme in ("http", "https") and whole.netloc else None
+    except ValueError:  # a malformed host
+        return None
+
+
 def resolve_link(base_url, href) -> Column:
-    """Resolve ``href`` against the page url: absolute stays, ``//host`` takes
-    the page's scheme, ``/path`` the page's origin, a relative path the page's
-    directory. Fragments are cut; empty, fragment-only and non-http schemes
-    (``mailto:``, ``javascript:``) give NULL. Dot segments are kept as written.
+    """Resolve ``href`` (as written in the page) against the page url: white
+    space around it cut, character references decoded, dot segments and query
+    references resolved, scheme in lower case, fragment cut. Empty,
+    fragment-only and other schemes (``mailto:``, ``javascript:``) give NULL.
     """
-    base, h = _c(base_url), _c(href)
-    origin = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    scheme = F.regexp_extract(base, r"^(https?):", 1)
-    directory = F.regexp_extract(base, r"^(https?://[^?#]*/)", 1)
-    directory = F.when(directory == "", F.concat(origin, F.lit("/"))).otherwise(directory)
-    resolved = (F.when(h.rlike(r"^https?://"), h)
-                .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-                .when((h == "") | h.startswith("#"), F.lit(None).cast("string"))
-                .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
-                .when(h.startswith("/"), F.concat(origin, h))
-                .otherwise(F.concat(directory, h)))
-    return F.when(origin != "", F.regexp_replace(resolved, r"#.*$", ""))
+    @F.arrow_udf("string")
+    def resolve(bases: pa.Array, refs: pa.Array) -> pa.Array:
+        pairs = zip(bases.to_pylist(), refs.to_pylist(), strict=True)
+        return pa.array([join_url(b, None if r is None else _html.unescape(r)) for b, r in pairs], pa.string())
+    return resolve(_c(base_url), _c(href))
 
 
-def url_host(url) -> Column:
-    return F.regexp_extract(_c(url), r"^https?://([^/?#:]+)", 1)
+def page_address(url) -> Column:
+    """The address of a page as links give it (no fragment); NULL if it isn't a web address."""
+    @F.arrow_udf("string")
+    def address(urls: pa.Array) -> pa.Array:
+        return pa.array([join_url(u, u) for u in urls.to_pylist()], pa.string())
+    return address(_c(url))
 
 
-def strip_xml_declaration(c) -> Column:
-    """drop a leading ``<?xml ...`` line, then strip."""
-    return py_strip(F.regexp_replace(_c(c), r"^<\?xml[^\n]*", ""))
+def url_host(url) -> Column:
+    return F.regexp_extract(_c(url), r"^https?://([^/?#:]+)", 1)
 
 
 def xml_escape(c) -> Column:

@@ -14,7 +14,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.text import html_text, html_title, http_url, hrefs, py_strip, resolve_link
+from ..functions.text import (
+    hrefs,
+    html_text,
+    html_title,
+    http_url,
+    page_address,
+    py_strip,
+    resolve_link,
+    url_host,
+)
 from ..quality import REASON, first_reason, keep_rows
 from ..session import scratch_path
 from .summaries import top_per_key
@@ -33,9 +42,10 @@ def crawled_pages(pages: DataFrame) -> DataFrame:
         F.col("url").contains("sitemap.xml").alias("is_sitemap"))
 
 
-def page_documents(crawled: DataFrame) -> DataFrame:
-    """``doc_id = url``, the inner text, metadata ``title`` and ``url``."""
+def page_documents(crawled: DataFrame, keep: tuple | list = ()) -> DataFrame:
+    """``doc_id = url``, the inner text, metadata ``title`` and ``url`` (and the columns named in ``keep``)."""
     return crawled.select(
+        *keep,
         F.col("url").alias("doc_id"),
         F.col("inner_text").alias("text"),
         F.create_map(F.lit("title"), F.col("title"), F.lit("url"), F.col("url")).alias("metadata"),
@@ -77,6 +87,46 @@ def sitemap_rejects(sitemaps: DataFrame, text: str = "content", key: str = "site
         .select(key, F.lit("invalid_sitemap_xml").alias(REASON))
 
 
+def link_edges(pages: DataFrame, sitemaps: DataFrame | None = None, same_host: bool = True) -> DataFrame:
+    """The link graph ``src, dst`` of collected pages (``url, html``) and sitemaps (``sitemap_url, content``).
+
+    Addresses carry no fragment. With ``same_host`` a link counts only if it
+    stays on its page's host.
+    """
+    links = pages.select("url", F.explode(hrefs("html")).alias("href"))
+    edges = links.select(page_address("url").alias("src"), resolve_link("url", "href").alias("dst"))
+    if sitemaps is not None:
+        listed = sitemap_links(sitemaps)
+        edges = edges.unionByName(listed.select(page_address("sitemap_url").alias("src"), page_address("link").alias("dst")))
+    edges = edges.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    if same_host:
+        edges = edges.filter(F.lower(url_host("src")) == F.lower(url_host("dst")))
+    return edges.distinct()
+
+
+def website_documents(jobs: DataFrame, pages: DataFrame, sitemaps: DataFrame | None = None,
+                      budget: int = PAGES_PER_SEED) -> DataFrame:
+    """The website pipeline up to the load: jobs → seeds → frontier → pages → documents.
+
+    Jobs (``community_id, platform_id, urls``) that :func:`check_seeds` doesn't
+    pass are left out. Sitemaps lead to pages but are no documents themselves.
+    Rows: the document columns and ``collection`` (``{community}_{platform}``);
+    a page reached from several seeds of a job comes once.
+    """
+    spark = pages.sparkSession
+    good = check_seeds(jobs).filter(F.col("status") == "ok").select("community_id", "platform_id")
+    seeds = (seed_urls(jobs.join(good, ["community_id", "platform_id"], "left_semi"))
+             .withColumn("seed", page_address("seed")).filter(F.col("seed").isNotNull()).distinct())
+    path = scratch_path(spark, "seeds")
+    seeds.write.parquet(path)  # read twice: for the walk and for the jobs of what it reaches
+    seeds = spark.read.parquet(path)
+    reached = crawl_frontier(seeds.select("seed").distinct(), link_edges(pages, sitemaps), budget)
+    wanted = (reached.join(seeds, "seed").select("community_id", "platform_id", "url").distinct())
+    found = crawled_pages(pages.withColumn("url", page_address("url"))).filter(~F.col("is_sitemap"))
+    docs = wanted.join(found, "url").withColumn("collection", F.concat_ws("_", "community_id", "platform_id"))
+    return page_documents(docs, keep=["collection"])
+
+
 def check_seeds(jobs: DataFrame, urls: str = "urls") -> DataFrame:
     """W6 + W7 per website job: counts of seed urls and the job status
     (``no_community``, ``no_urls``, ``invalid_url`` — one bad seed fails the

@@ -6,6 +6,8 @@ Everything is a per-row projection (no shuffle) except the job join J4.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ EXCLUDED_EMBED_KEYS = ["namespace", "revision_id", "parent_revision_id", "sha1",
 EXCLUDED_LLM_KEYS = ["namespace", "revision_id", "parent_revision_id", "sha1", "model",
                      "contributor_user_id"]
 
+# The metadata keys of a page's document.
 METADATA_KEYS = ["title", "namespace", "revision_id", "parent_revision_id", "timestamp", "comment",
                  "contributor_username", "contributor_user_id", "sha1", "model", "ref_doc_id"]
 
@@ -31,9 +34,10 @@ def _absent_empty(c: Column) -> Column:
 def flatten_pages(pages: DataFrame) -> DataFrame:
     """P6 + P7: one flat record per page, first revision in document order.
 
-    Columns: ``title, namespace, page_id, has_revision`` and the revision
+    Columns: ``title, namespace, page_id, has_revision``, the revision
     fields ``revision_id, parent_revision_id, timestamp, comment,
-    contributor_username, contributor_user_id, model, format, text, sha1``.
+    contributor_username, contributor_user_id, model, format, text, sha1``
+    and ``raw_xml``, the fragment itself where it isn't well-formed.
     """
     rev = F.try_element_at(F.col("page.revision"), F.lit(1))
     has = rev.isNotNull()
@@ -57,12 +61,14 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
         leaf(rev["format"]).alias("format"),
         F.when(has, _absent_empty(rev["text"])).alias("text"),
         leaf(rev["sha1"]).alias("sha1"),
+        F.col("page._corrupt_record").alias("raw_xml"),
     )
 
 
 def page_checks() -> list[tuple[Column, str]]:
-    """W13 and the decisions of §7.5: no revision, no id, NULL text."""
+    """W13 and the decisions of §7.5: malformed XML, no revision, no id, NULL text."""
     return [
+        (F.col("raw_xml").isNotNull(), "bad_xml"),
         (~F.col("has_revision"), "no_revision"),
         (F.col("page_id").isNull(), "no_page_id"),
         (F.col("text").isNull(), "null_text"),
@@ -84,6 +90,27 @@ def page_documents(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
         first_reason(page_checks()).alias(REASON))
 
 
+def page_rejects(flat: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The quarantine of pages that give no document: ``keep, page_id, title, reason, raw_xml``
+    (the fragment of a malformed page, so that none is lost)."""
+    checked = flat.select(*keep, "page_id", "title", first_reason(page_checks()).alias("reason"), "raw_xml")
+    return keep_rows(checked, F.col("reason").isNotNull())
+
+
+def current_pages(pages: DataFrame, namespaces: list[int] | None = None) -> DataFrame:
+    """W10 + W11: the pages of the selected namespaces, each with its newest revision only
+    (by timestamp, then id), ready for :func:`flatten_pages`. Pages without a
+    revision and malformed ones stay as they are, for the quarantine."""
+    newest = F.array_max(F.transform("page.revision", lambda r: F.struct(
+        r["timestamp"].alias("ts"), r["id"].try_cast("bigint").alias("rid"), r.alias("r"))))["r"]
+    some = F.size(F.coalesce(F.col("page.revision"), F.array())) > 0
+    if namespaces:
+        wanted = F.col("page.ns").try_cast("int").isin([int(n) for n in namespaces])
+        pages = keep_rows(pages, wanted | F.col("page._corrupt_record").isNotNull())
+    return pages.withColumn("page", F.col("page").withField(
+        "revision", F.when(some, F.array(newest)).otherwise(F.col("page.revision"))))
+
+
 def current_revisions(pages: DataFrame, namespaces: list[int] | None = None) -> DataFrame:
     """W10 + W11: newest revision of each page (by timestamp, then id) among
     pages of the selected namespaces (an empty list selects all).
@@ -91,7 +118,7 @@ def current_revisions(pages: DataFrame, namespaces: list[int] | None = None) ->
     Per-row ``array_max`` over the page's own revisions: no shuffle.
     Rows: ``page_id, namespace, revision_id, timestamp``.
     """
-    keep = F.size(F.coalesce(F.col("page.revision"), F.array())) > 0
+    keep = (F.size(F.coalesce(F.col("page.revision"), F.array())) > 0) & F.col("page._corrupt_record").isNull()
     if namespaces:
         keep = keep & F.col("page.ns").try_cast("int").isin([int(n) for n in namespaces])
     newest = F.array_max(F.transform("page.revision", lambda r: F.struct(
@@ -113,7 +140,8 @@ def job_pages(jobs: DataFrame, pages: DataFrame, xml: str = "xml") -> DataFrame:
     scoped = pages.join(j, ["community_id", "platform_id"])
     flat = flatten_pages(parse_pages(scoped, xml))
     in_ns = F.array_contains(F.col("namespaces"), F.col("namespace").try_cast("int"))
-    return keep_rows(flat, in_ns).drop("namespaces")
+    # The namespace of a malformed page is unknown: it stays, for the quarantine.
+    return keep_rows(flat, in_ns | F.col("raw_xml").isNotNull()).drop("namespaces")
 
 
 def job_counts(flat_with_jobs: DataFrame) -> DataFrame:

@@ -166,6 +166,16 @@ def sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("</urlset>")).alias("content"))
 
 
+def site_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(jobs, pages, sitemaps)`` of the crawled hosts: a job per host, whose seeds are the host's sitemaps."""
+    from ..functions.text import url_host
+    maps = sitemaps(spark, sf_dir)
+    host = url_host("sitemap_url")
+    jobs = maps.select(host.alias("platform_id"), "sitemap_url").groupBy("platform_id").agg(
+        F.sort_array(F.collect_list("sitemap_url")).alias("urls")).withColumn("community_id", F.lit("web"))
+    return jobs, read_table(spark, sf_dir, "pages", ["url", "html"]), maps
+
+
 def _shop(kind: str, key: Column) -> Column:
     return F.concat(F.lit(f"https://shop.example.com/{kind}/"), _s(key))
 
@@ -197,13 +207,15 @@ def wiki_source_text(text: Column) -> Column:
     return F.regexp_replace(text, XML_ILLEGAL, "")
 
 
-def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wiki_xml(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
     """One ``<page>`` element per document (``doc_id, community_id,
     platform_id, xml``). ``doc_id%3``: 0 → no revision, 1 → one, 2 → a draft
     revision first, then the current one. Comment absent (``%5=0``) or empty
     (``%5=1``); contributor absent (``%6=0``) or an IP (``%6=1``); no parent
     id (``%4=0``); namespace ``doc_id%4``. The page belongs to platform
-    ``pf{doc_id%100}`` in the community of that customer."""
+    ``pf{doc_id%100}`` in the community of that customer. Pages of
+    ``doc_id%47=5`` end within a tag. ``full``: every page is well-formed and
+    has one revision, with the document's text."""
     from ..functions.text import xml_escape
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
@@ -229,9 +241,11 @@ def wiki_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
         contributor, F.lit("<comment>draft</comment><model>wikitext</model><format>text/x-wiki</format>"
                            '<text xml:space="preserve">draft of '), ds,
         F.lit("</text><sha1>draft"), ds, F.lit("</sha1></revision>"))
-    revisions = F.when(d % 3 == 0, F.lit("")).when(d % 3 == 1, current).otherwise(F.concat(draft, current))
+    revisions = current if full else F.when(d % 3 == 0, F.lit("")).when(d % 3 == 1, current).otherwise(F.concat(draft, current))
     xml = F.concat(F.lit("<page><title>Page "), ds, F.lit(" &amp; notes</title><ns>"), _s(d % 4),
                    F.lit("</ns><id>"), ds, F.lit("</id>"), revisions, F.lit("</page>"))
+    if not full:
+        xml = F.when(d % 47 == 5, F.concat(F.lit("<page><title>Broken "), ds, F.lit("</title><id"), F.lit("</page>"))).otherwise(xml)
     owner = (d % WIKI_PLATFORMS).alias("_owner")
     return docs.select("*", owner).join(cust, F.col("_owner") == cust.c_custkey, "left").select(
         "doc_id",

@@ -215,10 +215,21 @@ def q_crawl_union(spark, sf_dir):
     return wb.crawl_union(_frontier(spark, sf_dir)).withColumn("min_depth", F.col("min_depth").cast("bigint"))
 
 
+@register("website_load")
+def q_website_load(spark, sf_dir):
+    """The website pipeline: jobs, seeds, frontier, pages, documents, collection."""
+    docs = wb.website_documents(*ad.site_jobs(spark, sf_dir))
+    return _stored_chunks(spark, ld.load_documents(docs, scratch_path(spark, "web-points")))
+
+
+def _stored_chunks(spark, path):
+    return spark.read.parquet(path).select("collection", "doc_id", "chunk_no", "n_tokens", "chunk_text")
+
+
 # --- MediaWiki -----------------------------------------------------------------------
 
-def _wiki_flat(spark, sf_dir):
-    return wk.flatten_pages(wsrc.parse_pages(ad.wiki_xml(spark, sf_dir)))
+def _wiki_flat(spark, sf_dir, full=False):
+    return wk.flatten_pages(wsrc.parse_pages(ad.wiki_xml(spark, sf_dir, full)))
 
 
 def _doc_columns(docs):
@@ -238,6 +249,18 @@ def q_wiki_current(spark, sf_dir):
     return wk.current_revisions(pages, namespaces=[0, 2])
 
 
+@register("wiki_current_documents")
+def q_wiki_current_documents(spark, sf_dir):
+    pages = wk.current_pages(wsrc.parse_pages(ad.wiki_xml(spark, sf_dir)), namespaces=[0, 2])
+    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(pages)), barrier=True)
+    return _doc_columns(ok)
+
+
+@register("wiki_rejects")
+def q_wiki_rejects(spark, sf_dir):
+    return wk.page_rejects(_wiki_flat(spark, sf_dir), keep=["doc_id"]).select("doc_id", "reason", "raw_xml")
+
+
 def _wiki_job_flat(spark, sf_dir):
     modules, platforms = ad.registry(spark, sf_dir)
     jobs = rg.wiki_jobs(modules, platforms)
@@ -276,7 +299,7 @@ def q_wiki_siteinfo(spark, sf_dir):
 # --- documents and ingestion ---------------------------------------------------------
 
 def _wiki_docs(spark, sf_dir):
-    ok, _ = split_valid(wk.page_documents(_wiki_flat(spark, sf_dir), keep=["community_id", "platform_id"]),
+    ok, _ = split_valid(wk.page_documents(_wiki_flat(spark, sf_dir, full=True), keep=["community_id", "platform_id"]),
                         barrier=True)
     return ok
 
@@ -314,6 +337,13 @@ def q_ingest_batches(spark, sf_dir):
     return d.groupBy("request_id", "batch_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_docs"))
 
 
+@register("request_load")
+def q_request_load(spark, sf_dir):
+    """Batch ingestion: requests, documents, collection."""
+    docs = dc.batch_documents(ad.batch_requests(spark, sf_dir))
+    return _stored_chunks(spark, ld.load_documents(docs, scratch_path(spark, "request-points")))
+
+
 @register("chunks")
 def q_chunks(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -390,6 +420,15 @@ def q_stream_ingest(spark, sf_dir):
                     F.array_join("excluded_llm_keys", ",").alias("excluded_llm"))
 
 
+@register("stream_load")
+def q_stream_load(spark, sf_dir):
+    """Continuous ingestion into the collections: each micro-batch is an upsert."""
+    src, store, ck = (scratch_path(spark, n) for n in ("load-requests", "stream-points", "load-ck"))
+    ad.single_requests(spark, sf_dir).write.parquet(src)
+    st_ingest.start_load(spark, src, store, ck).awaitTermination()
+    return _stored_chunks(spark, store)
+
+
 @register("stream_digest")
 def q_stream_digest(spark, sf_dir):
     src, sink, ck = (scratch_path(spark, n) for n in ("points", "windows", "windows-ck"))
@@ -477,6 +516,11 @@ OPERATORS = {
     "crawl_union": "U1",
     "wiki_documents": "S3 P6 P7 P8 W13",
     "wiki_current": "W10 W11",
+    "wiki_current_documents": "W10 W11 P8",
+    "wiki_rejects": "W13 R1",
+    "website_load": "S7 S8 J3 L3 U1 U2 W6 W7 P9 K4",
+    "request_load": "S14 P11 P18 B1 K4",
+    "stream_load": "ST1 X3 K4",
     "wiki_job_pages": "J4 W10",
     "job_counts": "A7",
     "wiki_dump_pages": "S3 S4",

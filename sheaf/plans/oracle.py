@@ -304,9 +304,9 @@ SELECT kind, reason, count(*) AS n FROM (
 # --- website ----------------------------------------------------------------------
 
 def _decode(x: str) -> str:
-    from ..functions.text import HTML_ENTITIES
-    for src, dst in HTML_ENTITIES:
-        x = f"replace({x}, '{src}', '{dst.replace(chr(39), chr(39) * 2)}')"
+    """The character references that the test pages hold."""
+    for src, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
+        x = f"replace({x}, '{src}', '{char}')"
     return x
 
 
@@ -328,35 +328,17 @@ def html_text_sql(h: str = "html") -> str:
     return _collapse(_decode(t))
 
 
-def resolve_sql(url: str, href: str) -> str:
-    origin = f"regexp_extract({url}, '^(https?://[^/?#]+)', 1)"
-    scheme = f"regexp_extract({url}, '^(https?):', 1)"
-    d = f"regexp_extract({url}, '^(https?://[^?#]*/)', 1)"
-    directory = f"(CASE WHEN {d} = '' THEN {origin} || '/' ELSE {d} END)"
-    resolved = f"""(CASE WHEN regexp_matches({href}, '^https?://') THEN {href}
-            WHEN starts_with({href}, '//') THEN {scheme} || ':' || {href}
-            WHEN {href} = '' OR starts_with({href}, '#') THEN NULL
-            WHEN regexp_matches({href}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
-            WHEN starts_with({href}, '/') THEN {origin} || {href}
-            ELSE {directory} || {href} END)"""
-    return f"(CASE WHEN {origin} <> '' THEN regexp_replace({resolved}, '#.*$', '') END)"
-
-
 ORACLE["crawled_pages"] = f"""SELECT url, {html_title_sql()} AS title, {html_text_sql()} AS inner_text,
        contains(url, 'sitemap.xml') AS is_sitemap FROM pages"""
 
 ORACLE["web_documents"] = f"""SELECT url AS doc_id, {html_text_sql()} AS text,
        {html_title_sql()} AS meta_title, url AS meta_url FROM pages"""
 
-def _href_sql() -> str:
-    from ..functions.text import HREF_PATTERN
-    return "'" + HREF_PATTERN.replace("'", "''") + "'"
-
-
-ORACLE["web_links"] = f"""WITH l AS (
-  SELECT page_id, url, unnest(regexp_extract_all(html, {_href_sql()}, 1)) AS href FROM pages),
-r AS (SELECT page_id, {resolve_sql('url', 'href')} AS link FROM l)
-SELECT page_id, link, count(*) AS n_refs FROM r WHERE link IS NOT NULL GROUP BY page_id, link"""
+# Links of the test pages are double-quoted and start at the root.
+ORACLE["web_links"] = """WITH l AS (
+  SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="(/[^"]*)"', 1)) AS href FROM pages)
+SELECT page_id, regexp_extract(url, '^https?://[^/?#]+') || replace(href, '&amp;', '&') AS link, count(*) AS n_refs
+FROM l GROUP BY ALL"""
 
 ORACLE["sitemap_links"] = r"""SELECT DISTINCT
        'https://' || regexp_extract(url, '^https?://([^/?#:]+)', 1) || '/sitemap.xml?part='
@@ -403,27 +385,41 @@ SELECT url, count(*) AS n_copies, min(depth) AS min_depth FROM frontier GROUP BY
 
 # --- MediaWiki -----------------------------------------------------------------------
 
-WIKI_CTE = r"""wd AS (
+def wiki_cte(draft: str = "d % 3 = 2", where: str = "d % 3 <> 0 AND d % 47 <> 5") -> str:
+    """Documents of the wiki pages that fulfil ``where``; ``draft`` tells whose draft revision is read."""
+    return rf"""wd AS (
   SELECT doc_id AS d, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\r]', '', 'g') AS txt,
          '2024-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || 'T'
            || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':00:00Z' AS ts
   FROM documents),
 wiki_docs AS (
   SELECT CAST(d AS VARCHAR) AS doc_id,
-         CASE WHEN d % 3 = 2 THEN 'draft of ' || CAST(d AS VARCHAR) ELSE txt END AS text,
+         CASE WHEN {draft} THEN 'draft of ' || CAST(d AS VARCHAR) ELSE txt END AS text,
          'Page ' || CAST(d AS VARCHAR) || ' & notes' AS title,
          CAST(d % 4 AS VARCHAR) AS namespace,
-         CAST(CASE WHEN d % 3 = 2 THEN d * 10 ELSE d * 10 + 1 END AS VARCHAR) AS revision_id,
-         CASE WHEN d % 3 = 2 OR d % 4 = 0 THEN NULL ELSE CAST(d * 10 AS VARCHAR) END AS parent_revision_id,
-         CASE WHEN d % 3 = 2 THEN '2023-12-01T00:00:00Z' ELSE ts END AS timestamp,
-         CASE WHEN d % 3 = 2 THEN 'draft' WHEN d % 5 = 0 THEN '' WHEN d % 5 = 1 THEN NULL
+         CAST(CASE WHEN {draft} THEN d * 10 ELSE d * 10 + 1 END AS VARCHAR) AS revision_id,
+         CASE WHEN {draft} OR d % 4 = 0 THEN NULL ELSE CAST(d * 10 AS VARCHAR) END AS parent_revision_id,
+         CASE WHEN {draft} THEN '2023-12-01T00:00:00Z' ELSE ts END AS timestamp,
+         CASE WHEN {draft} THEN 'draft' WHEN d % 5 = 0 THEN '' WHEN d % 5 = 1 THEN NULL
               ELSE 'edit ' || CAST(d AS VARCHAR) END AS comment,
          CASE WHEN d % 6 IN (0, 1) THEN NULL ELSE 'user' || CAST(d % 7 AS VARCHAR) END AS contributor_username,
          CASE WHEN d % 6 IN (0, 1) THEN NULL ELSE CAST(d % 7 AS VARCHAR) END AS contributor_user_id,
-         CASE WHEN d % 3 = 2 THEN 'draft' || CAST(d AS VARCHAR) ELSE 'sha' || CAST(d AS VARCHAR) END AS sha1,
+         CASE WHEN {draft} THEN 'draft' || CAST(d AS VARCHAR) ELSE 'sha' || CAST(d AS VARCHAR) END AS sha1,
          'wikitext' AS model,
          CAST(d AS VARCHAR) AS ref_doc_id
-  FROM wd WHERE d % 3 <> 0)"""
+  FROM wd WHERE {where})"""
+
+
+WIKI_CTE = wiki_cte()
+#: Every page with its document's whole text.
+WIKI_FULL_CTE = wiki_cte("false", "txt <> ''")
+
+ORACLE["wiki_current_documents"] = f"""WITH {wiki_cte("false", "d % 3 <> 0 AND d % 47 <> 5 AND d % 4 IN (0, 2)")}
+SELECT * FROM wiki_docs"""
+
+ORACLE["wiki_rejects"] = """SELECT doc_id, CASE WHEN doc_id % 47 = 5 THEN 'bad_xml' ELSE 'no_revision' END AS reason,
+       CASE WHEN doc_id % 47 = 5 THEN '<page><title>Broken ' || CAST(doc_id AS VARCHAR) || '</title><id</page>' END AS raw_xml
+FROM documents WHERE doc_id % 3 = 0 OR doc_id % 47 = 5"""
 
 ORACLE["wiki_documents"] = f"""WITH {WIKI_CTE}
 SELECT * FROM wiki_docs"""
@@ -438,31 +434,32 @@ FROM documents"""
 ORACLE["wiki_current"] = f"""WITH {WIKI_CTE}
 SELECT CAST(d AS VARCHAR) AS page_id, CAST(d % 4 AS VARCHAR) AS namespace,
        CAST(d * 10 + 1 AS VARCHAR) AS revision_id, ts AS timestamp
-FROM wd WHERE d % 3 <> 0 AND d % 4 IN (0, 2)"""
+FROM wd WHERE d % 3 <> 0 AND d % 47 <> 5 AND d % 4 IN (0, 2)"""
 
 WIKI_JOB_CTE = f"""{REGISTRY_CTE},
 wpages AS (
   SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) AS community_id, 'pf' || CAST(d.doc_id % 100 AS VARCHAR) AS platform_id,
-         CAST(d.doc_id AS VARCHAR) AS page_id, CAST(d.doc_id % 4 AS VARCHAR) AS namespace, d.doc_id
+         CASE WHEN d.doc_id % 47 <> 5 THEN CAST(d.doc_id AS VARCHAR) END AS page_id,
+         CASE WHEN d.doc_id % 47 <> 5 THEN CAST(d.doc_id % 4 AS VARCHAR) END AS namespace, d.doc_id
   FROM documents d LEFT JOIN customer c ON c.c_custkey = d.doc_id % 100),
 jp AS (
   SELECT p.* FROM wpages p JOIN wiki w
     ON w.reason IS NULL AND p.community_id = w.community_id AND p.platform_id = w.platform_id
-  WHERE list_contains(w.namespaces, CAST(p.namespace AS INTEGER)))"""
+  WHERE p.namespace IS NULL OR list_contains(w.namespaces, CAST(p.namespace AS INTEGER)))"""
 
 ORACLE["wiki_job_pages"] = f"""WITH {WIKI_JOB_CTE}
 SELECT community_id, platform_id, page_id, namespace FROM jp"""
 
 ORACLE["job_counts"] = f"""WITH {WIKI_JOB_CTE}
 SELECT community_id, platform_id, count(*) AS n_pages,
-       count(*) FILTER (WHERE doc_id % 3 <> 0) AS n_documents,
-       count(*) FILTER (WHERE doc_id % 3 = 0) AS n_rejected
+       count(*) FILTER (WHERE doc_id % 3 <> 0 AND doc_id % 47 <> 5) AS n_documents,
+       count(*) FILTER (WHERE doc_id % 3 = 0 OR doc_id % 47 = 5) AS n_rejected
 FROM jp GROUP BY community_id, platform_id"""
 
 
 # --- documents and ingestion ---------------------------------------------------------
 
-ORACLE["embed_view"] = f"""WITH {WIKI_CTE}
+ORACLE["embed_view"] = f"""WITH {WIKI_FULL_CTE}
 SELECT doc_id,
        concat_ws(chr(10) || chr(10),
                  nullif(concat_ws(chr(10), 'contributor_username: ' || contributor_username,
@@ -470,7 +467,7 @@ SELECT doc_id,
                  text) AS embed_text
 FROM wiki_docs"""
 
-ORACLE["llm_view"] = f"""WITH {WIKI_CTE}
+ORACLE["llm_view"] = f"""WITH {WIKI_FULL_CTE}
 SELECT doc_id,
        concat_ws(chr(10) || chr(10),
                  nullif(concat_ws(chr(10), 'comment: ' || comment,
@@ -553,9 +550,10 @@ chunks AS (
   FROM ck_c)"""
 
 
-ORACLE["staged_documents"] = ORACLE["wiki_documents"]
+ORACLE["staged_documents"] = f"""WITH {WIKI_FULL_CTE}
+SELECT * FROM wiki_docs"""
 
-ORACLE["load_collection"] = f"""WITH {WIKI_CTE},
+ORACLE["load_collection"] = f"""WITH {WIKI_FULL_CTE},
 wc AS (
   SELECT 'comm' || CAST(c.c_nationkey AS VARCHAR) || '_pf' || CAST(CAST(w.doc_id AS BIGINT) % 100 AS VARCHAR) AS collection,
          w.doc_id, w.text
@@ -613,6 +611,29 @@ SELECT doc_id, CAST(2 AS BIGINT),
        '<body>' || replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</body>' FROM x"""
 
 
+# A sitemap lists up to 50 pages; with itself, 19 of them fit into the budget of 20.
+ORACLE["website_load"] = f"""WITH addr AS (
+  SELECT page_id, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS host, regexp_replace(url, '#.*$', '') AS url,
+         {html_text_sql()} AS text FROM pages),
+listed AS (SELECT DISTINCT host, page_id // 50 AS part, url FROM addr),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY host, part ORDER BY url) AS rn FROM listed),
+reached AS (SELECT DISTINCT host, url FROM ranked WHERE rn <= 19),
+docs AS (
+  SELECT DISTINCT 'web_' || r.host AS collection, a.url AS doc_id, a.text FROM reached r JOIN addr a ON a.url = r.url),
+{chunk_sql('docs', 'collection, doc_id')}
+SELECT * FROM chunks"""
+
+ORACLE["request_load"] = f"""WITH {BATCH_CTE},
+docs AS (SELECT collection, doc_id, text FROM b),
+{chunk_sql('docs', 'collection, doc_id')}
+SELECT * FROM chunks"""
+
+ORACLE["stream_load"] = f"""WITH d AS ({ORACLE["single_documents"]}),
+docs AS (SELECT DISTINCT collection, doc_id, text FROM d),
+{chunk_sql('docs', 'collection, doc_id')}
+SELECT * FROM chunks"""
+
+
 # --- streaming --------------------------------------------------------------------
 
 ORACLE["stream_ingest"] = ORACLE["single_documents"]

@@ -16,6 +16,7 @@ from .. import schemas
 
 # Fixed value: the only export namespace whose pages are read.
 EXPORT_NS = "http://www.mediawiki.org/xml/export-0.11/"
+NAMESPACE = r'<mediawiki[^>]*xmlns="([^"]*)"'
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false",
                "columnNameOfCorruptRecord": "_corrupt_record"}
 PAGE_SCHEMA = schemas.WIKI_PAGE + ", _corrupt_record string"
@@ -51,7 +52,7 @@ def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool =
         "file", F.concat(F.lit("<page>"), F.substring_index("value", "<page>", -1),
                          F.lit("</page>")).alias("xml"))
     version = (rec.filter(F.col("value").contains("<mediawiki"))
-               .select("file", F.regexp_extract("value", r'<mediawiki[^>]*xmlns="([^"]*)"', 1).alias("ns"))
+               .select("file", F.regexp_extract("value", NAMESPACE, 1).alias("ns"))
                .filter(F.col("ns") == EXPORT_NS).select("file"))
     pages = pages.join(version, "file", "left_semi")
     if spread:
@@ -60,12 +61,14 @@ def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool =
 
 
 def read_siteinfo(spark: SparkSession, path: str, glob: str = "*.xml") -> DataFrame:
-    """The ``<siteinfo>`` of each dump file (``file, sitename, dbname,
-    base, generator``)."""
-    rec = _records(spark, path, glob).filter(F.col("value").contains("<siteinfo>"))
+    """The ``<siteinfo>`` of each dump file of the export namespace
+    (``file, sitename, dbname, base, generator``; an empty element is NULL)."""
+    rec = (_records(spark, path, glob).filter(F.col("value").contains("<siteinfo>"))
+           .filter(F.regexp_extract("value", NAMESPACE, 1) == EXPORT_NS))
     info = F.from_xml(F.regexp_extract("value", r"(?s)(<siteinfo>.*</siteinfo>)", 1),
                       schemas.SITEINFO, XML_OPTIONS)
-    return rec.select("file", info.alias("s")).select("file", "s.*")
+    return rec.select("file", info.alias("s")).select(
+        "file", *[F.nullif(F.col(f"s.{c}"), F.lit("")).alias(c) for c in ("sitename", "dbname", "base", "generator")])
 
 
 def dump_header(sitename: Column, dbname: Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.documents import request_documents
+from ..operators.load import load_documents
 from ..operators.summaries import top_per_key
 
 
@@ -35,6 +36,25 @@ def start_ingest(spark: SparkSession, source: str, sink: str, checkpoint: str,
     return writer.start()
 
 
+def start_load(spark: SparkSession, source: str, store: str, checkpoint: str, available_now: bool = True,
+               max_files_per_trigger: int | None = None, fmt: str = "parquet", **load):
+    """ST1 + X3 + K4: start the stream of requests into the collections at ``store``; returns the ``StreamingQuery``.
+
+    Each micro-batch is one upsert (:func:`load_documents`, which takes ``load``).
+    A replayed batch finds its documents stored and writes nothing new.
+    """
+    reader = spark.readStream.schema(schemas.INGESTION_REQUEST).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        load_documents(batch, store, run=str(batch_id), **load)
+
+    writer = request_documents(reader.load(source)).writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    return writer.start()
+
+
 def latest_documents(spark: SparkSession, sink: str) -> DataFrame:
     """Current documents of the sink: per (collection, doc_id) the row of the
     newest batch. Requests carry no time, so versions within one micro-batch
