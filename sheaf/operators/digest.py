@@ -146,7 +146,7 @@ def fetch_recent(points: DataFrame, period: str | None = None, collection_name:
                  as_of: datetime | None = None, limit: int = DIGEST_LIMIT) -> DataFrame:
     """The reference's single digest request; argument errors raise as there."""
     if not collection_name and not (platform_id and community_id):
-        raise ValueError("Either collection_name or both platform_id and community_id must be provided")
+        raise ValueError("a digest request names its collection, or community and platform")
     threshold = epoch_seconds(period_threshold(period, as_of))
     spark = points.sparkSession
     req = spark.createDataFrame([(0, collection_name, community_id, platform_id)],

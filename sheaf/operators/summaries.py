@@ -112,7 +112,7 @@ def fetch_summaries_by_date(points: DataFrame, community_id: str, platform_id: s
     n_rejected``); otherwise the payload rows of ``summaries_payload``.
     """
     if not platform_id:
-        raise ValueError("Platform id is required but was not provided")
+        raise ValueError("a summary request names its platform")
     collection = f"{community_id}_{platform_id}_summary"
     scoped = select_points(points, collection=collection, date=date)
     if date is None:
@@ -223,7 +223,7 @@ def fetch_summaries_by_range(points: DataFrame, community_id: str, platform_id:
                              extract_text_only: bool = True) -> DataFrame:
     """The reference's single range request; argument errors raise as there."""
     if not platform_id:
-        raise ValueError("Platform name is required but was not provided")
+        raise ValueError("a range request names its platform")
     check_range(start_date, end_date)
     spark = points.sparkSession
     req = spark.createDataFrame([(community_id, platform_id, start_date, end_date)],

@@ -162,7 +162,7 @@ def seed_urls(jobs: DataFrame, urls: str = "urls", mode: str = "drop") -> DataFr
     if mode == "raise":
         bad = seeds.filter(~valid)
         if not bad.isEmpty():
-            raise ValueError(f"Invalid URL: {bad.first()['seed']}")
+            raise ValueError(f"not a web address: {bad.first()['seed']}")
         return seeds
     if mode != "drop":
         raise ValueError("mode must be 'drop' or 'raise'")

@@ -53,8 +53,8 @@ def read_staged(spark: SparkSession, key: str, fmt: str = "json",
         df = spark.read.schema(schema).format(fmt).load(key)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise ValueError(f"No data found for key: {key}") from exc
+            raise ValueError(f"nothing is staged under {key}") from exc
         raise
     if require_rows and df.isEmpty():
-        raise ValueError(f"No transformed data found for key: {key}")
+        raise ValueError(f"no transformed documents are staged under {key}")
     return df

@@ -47,7 +47,7 @@ def read_dump(spark: SparkSession, path: str, glob: str = "*.xml", check: bool =
     """
     rec = _records(spark, path, glob)
     if check and rec.isEmpty():
-        raise FileNotFoundError(f"No XML files found in directory: {path}")
+        raise FileNotFoundError(f"{path} holds no dump files ({glob})")
     pages = rec.filter(F.col("value").contains("<page>")).select(
         "file", F.concat(F.lit("<page>"), F.substring_index("value", "<page>", -1),
                          F.lit("</page>")).alias("xml"))

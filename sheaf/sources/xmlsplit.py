@@ -10,34 +10,34 @@ records (as ``sources/wiki.py`` does for dumps).
 
 from __future__ import annotations
 
-import re
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-_DECLARATION = re.compile(r"^<\?xml.*")
 
+def pieces(xml: str, level: int) -> Iterator[str]:
+    """the text of every element that closes at ``level``, or above it without having had a child.
 
-def nodes_at_level(root: ET.Element, level: int) -> list[ET.Element]:
-    """Depth-first: a node is kept when it sits at ``level`` or has no
-    children; otherwise its children are visited."""
-    kept: list[ET.Element] = []
-    stack = [(root, 0)]
-    while stack:
-        node, depth = stack.pop()
-        if depth == level or len(node) == 0:
-            kept.append(node)
-        elif depth < level:
-            stack.extend((child, depth + 1) for child in reversed(list(node)))
-    return kept
-
-
-def serialise(node: ET.Element) -> str:
-    """UTF-8 serialisation without the declaration line, stripped."""
-    text = ET.tostring(node, encoding="utf8").decode("utf-8")
-    return _DECLARATION.sub("", text).strip()
+    Such elements don't lie within each other, so the order in which they
+    close is the order of the document.
+    """
+    parser = ET.XMLPullParser(("start", "end"))
+    parser.feed(xml)
+    parser.close()
+    childless = []  # for each open element: no child so far
+    for event, element in parser.read_events():
+        if event == "start":
+            if childless:
+                childless[-1] = False
+            childless.append(True)
+            continue
+        bare = childless.pop()
+        depth = len(childless)
+        if depth == level or (bare and depth < level):
+            yield ET.tostring(element, encoding="unicode").strip()
 
 
 @udtf(returnType="node_no int, content string")
@@ -45,13 +45,17 @@ class LevelSplit:
     def eval(self, xml: str, level: int):
         if xml is None:
             return
-        for i, node in enumerate(nodes_at_level(ET.fromstring(xml), int(level))):
-            yield i, serialise(node)
+        try:
+            found = list(pieces(xml, int(level)))
+        except ET.ParseError:
+            yield None, None
+            return
+        yield from enumerate(found)
 
 
 def split_xml(df: DataFrame, xml: str = "xml", level: int = 0) -> DataFrame:
     """S6 + X5: rows of ``df`` (without ``xml``) joined with ``node_no, content`` of
-    each of their nodes."""
+    each of their nodes. A malformed document gives one row with NULL in both."""
     return (df.lateralJoin(LevelSplit(F.col(xml).outer(), F.lit(level)))
             .drop(xml))
 

@@ -1,4 +1,4 @@
-"""The reference's registry cases (modules + platforms → jobs)."""
+"""Registry cases: modules and platforms to jobs."""
 
 from __future__ import annotations
 
@@ -33,8 +33,8 @@ def site(spark, mods, plats, pid=None):
 
 ON = {"activated": True}
 OFF = {"activated": False}
-P1 = ("p1", "mediaWiki", "c1", "http://example1.com", "/api", [0, 1, 2], None)
-P2 = ("p2", "mediaWiki", "c1", "http://example2.com", "/api", [3, 4, 5], None)
+P1 = ("mw1", "mediaWiki", "north", "https://alpha.wiki.test", "/w/rest.php", [0, 4, 14], None)
+P2 = ("mw2", "mediaWiki", "north", "https://beta.wiki.test", "/w/rest.php", [2, 10, 12], None)
 
 
 def test_empty(spark):
@@ -43,27 +43,27 @@ def test_empty(spark):
 
 
 def test_single_wiki(spark):
-    got = wiki(spark, [("c1", [("p1", "mediaWiki", ON)])],
-               [("p1", "mediaWiki", "c1", "http://example.com", "/api", [0, 1, 2], None)])
-    assert got == [("c1", "p1", "http://example.com/api", [0, 1, 2])]
+    got = wiki(spark, [("north", [("mw1", "mediaWiki", ON)])],
+               [("mw1", "mediaWiki", "north", "https://gamma.wiki.test", "/w/rest.php", [0, 4, 14], None)])
+    assert got == [("north", "mw1", "https://gamma.wiki.test/w/rest.php", [0, 4, 14])]
 
 
 def test_two_wikis_in_array_order(spark):
-    mods = [("c1", [("p1", "mediaWiki", ON), ("p2", "mediaWiki", ON)])]
-    assert wiki(spark, mods, [P1, P2]) == [("c1", "p1", "http://example1.com/api", [0, 1, 2]),
-                                           ("c1", "p2", "http://example2.com/api", [3, 4, 5])]
-    assert wiki(spark, mods, [P1, P2], "p1") == [("c1", "p1", "http://example1.com/api", [0, 1, 2])]
+    mods = [("north", [("mw1", "mediaWiki", ON), ("mw2", "mediaWiki", ON)])]
+    assert wiki(spark, mods, [P1, P2]) == [("north", "mw1", "https://alpha.wiki.test/w/rest.php", [0, 4, 14]),
+                                           ("north", "mw2", "https://beta.wiki.test/w/rest.php", [2, 10, 12])]
+    assert wiki(spark, mods, [P1, P2], "mw1") == [("north", "mw1", "https://alpha.wiki.test/w/rest.php", [0, 4, 14])]
     assert wiki(spark, mods, [P1, P2], "") == []   # "" is a filter that matches nothing
 
 
 def test_wiki_not_activated_and_rejects(spark):
-    mods = [("c1", [("p1", "mediaWiki", OFF), ("p2", "mediaWiki", ON), ("p3", "mediaWiki", {}),
-                    ("p4", "mediaWiki", ON), ("p5", "mediaWiki", ON), ("p6", "mediaWiki", ON)])]
+    mods = [("north", [("mw1", "mediaWiki", OFF), ("mw2", "mediaWiki", ON), ("mw3", "mediaWiki", {}),
+                    ("mw4", "mediaWiki", ON), ("mw5", "mediaWiki", ON), ("mw6", "mediaWiki", ON)])]
     plats = [P1, P2,
-             ("p3", "mediaWiki", "c1", "http://x", "/api", [0], None),
-             ("p4", "mediaWiki", "c1", "http://x", "/api", [], None),
-             ("p5", "mediaWiki", "c1", None, "/api", [0], None)]
-    assert [r[1] for r in wiki(spark, mods, plats)] == ["p2"]
+             ("mw3", "mediaWiki", "north", "http://x", "/w/rest.php", [0], None),
+             ("mw4", "mediaWiki", "north", "http://x", "/w/rest.php", [], None),
+             ("mw5", "mediaWiki", "north", None, "/w/rest.php", [0], None)]
+    assert [r[1] for r in wiki(spark, mods, plats)] == ["mw2"]
     rej = {(r["kind"], r["reason"]): r["n"] for r in
            rg.job_rejects(modules(spark, mods), platforms(spark, plats)).collect()}
     assert rej == {("mediaWiki", "not_activated"): 1, ("mediaWiki", "missing_activated"): 1,
@@ -72,19 +72,19 @@ def test_wiki_not_activated_and_rejects(spark):
 
 
 def test_single_website_and_other_types(spark):
-    mods = [("c1", [("w1", "website", ON), ("d1", "discord", {})])]
-    plats = [("w1", "website", "c1", None, None, None, ["link1", "link2"])]
-    assert site(spark, mods, plats) == [("c1", "w1", ["link1", "link2"])]
+    mods = [("north", [("w1", "website", ON), ("d1", "discord", {})])]
+    plats = [("w1", "website", "north", None, None, None, ["https://one.test/", "https://one.test/docs"])]
+    assert site(spark, mods, plats) == [("north", "w1", ["https://one.test/", "https://one.test/docs"])]
 
 
 def test_website_filter_and_disabled(spark):
-    mods = [("c1", [("w1", "website", ON), ("w2", "website", ON)])]
-    plats = [("w1", "website", "c1", None, None, None, ["link1", "link2"]),
-             ("w2", "website", "c1", None, None, None, ["link3", "link4"])]
-    assert site(spark, mods, plats, "w1") == [("c1", "w1", ["link1", "link2"])]
+    mods = [("north", [("w1", "website", ON), ("w2", "website", ON)])]
+    plats = [("w1", "website", "north", None, None, None, ["https://one.test/", "https://one.test/docs"]),
+             ("w2", "website", "north", None, None, None, ["https://two.test/", "https://two.test/blog"])]
+    assert site(spark, mods, plats, "w1") == [("north", "w1", ["https://one.test/", "https://one.test/docs"])]
     assert len(site(spark, mods, plats, "")) == 2   # "" means no filter for websites
-    mods = [("c1", [("w1", "website", ON), ("w2", "website", OFF)])]
-    assert site(spark, mods, plats) == [("c1", "w1", ["link1", "link2"])]
+    mods = [("north", [("w1", "website", ON), ("w2", "website", OFF)])]
+    assert site(spark, mods, plats) == [("north", "w1", ["https://one.test/", "https://one.test/docs"])]
 
 
 def test_config_documents_from_json_files(spark, tmp_dir):
@@ -95,17 +95,17 @@ def test_config_documents_from_json_files(spark, tmp_dir):
     os.makedirs(mod_dir)
     os.makedirs(plat_dir)
     with open(os.path.join(mod_dir, "m.json"), "w") as f:
-        f.write(json.dumps({"name": "assistant", "community": "c1", "activated": True, "options": {"platforms": [
-            {"platform": "p1", "name": "mediaWiki", "metadata": {"activated": True}},
+        f.write(json.dumps({"name": "assistant", "community": "north", "activated": True, "options": {"platforms": [
+            {"platform": "mw1", "name": "mediaWiki", "metadata": {"activated": True}},
             {"platform": "d1", "name": "discord", "metadata": {}}]}}) + "\n")
-        f.write(json.dumps({"name": "assistant", "community": "c2", "options": {"platforms": [
+        f.write(json.dumps({"name": "assistant", "community": "south", "options": {"platforms": [
             {"platform": "d2", "name": "discord", "metadata": {"activated": True}}]}}) + "\n")
     with open(os.path.join(plat_dir, "p.json"), "w") as f:
-        f.write(json.dumps({"_id": "p1", "name": "mediaWiki", "community": "c1",
-                            "metadata": {"baseURL": "http://example.com", "path": "/api",
-                                         "namespaces": [0, 1, 2]}}) + "\n")
+        f.write(json.dumps({"_id": "mw1", "name": "mediaWiki", "community": "north",
+                            "metadata": {"baseURL": "https://gamma.wiki.test", "path": "/w/rest.php",
+                                         "namespaces": [0, 4, 14]}}) + "\n")
     mods = read_modules(spark, mod_dir, platform_name="mediaWiki")
     assert mods.count() == 1 and "name" not in mods.columns        # S1: filtered, name dropped
     jobs = rg.wiki_jobs(read_modules(spark, mod_dir), read_platforms(spark, plat_dir)).collect()
     assert [(r["community_id"], r["platform_id"], r["base_url"], list(r["namespaces"])) for r in jobs] == [
-        ("c1", "p1", "http://example.com/api", [0, 1, 2])]
+        ("north", "mw1", "https://gamma.wiki.test/w/rest.php", [0, 4, 14])]
