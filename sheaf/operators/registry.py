@@ -11,6 +11,8 @@ join is a shuffle join on the platform id.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,10 +108,11 @@ def site_jobs(modules: DataFrame, platforms: DataFrame, platform_id: str | None
         "community_id", "platform_id", "position", F.col("resources").alias("urls"))
 
 
-def job_rejects(modules: DataFrame, platforms: DataFrame) -> DataFrame:
-    """R1 + R2: rejected platform entries counted per kind and reason. Both
-    kinds come from one explode and one metadata join."""
+def job_rejects(modules: DataFrame, platforms: DataFrame, keys: Sequence[str] = ("kind",)) -> DataFrame:
+    """R1 + R2: rejected platform entries counted per ``keys`` (of ``kind,
+    community_id, platform_id``) and reason. Both kinds come from one explode
+    and one metadata join."""
     entries = _with_metadata(module_platforms(modules, [WIKI, WEBSITE]), platforms)
     reason = F.when(F.col("kind") == WIKI, _wiki_reason()).otherwise(_site_reason())
-    rejected = entries.select("kind", reason.alias(REASON)).filter(F.col(REASON).isNotNull())
-    return reject_counts(rejected, ["kind"])
+    rejected = entries.select("kind", "community_id", "platform_id", reason.alias(REASON)).filter(F.col(REASON).isNotNull())
+    return reject_counts(rejected, list(keys))

@@ -116,6 +116,11 @@ ORACLE["summaries_by_date"] = f"""WITH {POINTS_CTE},
 {summary_core('points')}
 SELECT * FROM per_key"""
 
+ORACLE["summaries_of_date"] = f"""WITH {POINTS_CTE},
+scoped AS (SELECT * FROM points WHERE collection = 'c1_p2_summary' AND date = '2024-01-15'),
+{summary_core('scoped')}
+SELECT * FROM per_key"""
+
 ORACLE["summaries_latest"] = f"""WITH {POINTS_CTE},
 latest AS (SELECT collection, max(date) AS date FROM points GROUP BY collection),
 scoped AS (SELECT p.* FROM points p JOIN latest l ON p.collection = l.collection AND p.date = l.date),
@@ -301,6 +306,16 @@ SELECT kind, reason, count(*) AS n FROM (
   SELECT 'website', reason FROM site WHERE reason IS NOT NULL) GROUP BY kind, reason"""
 
 
+ORACLE["platform_rejects"] = f"""WITH {REGISTRY_CTE}
+SELECT community_id, platform_id, reason, count(*) AS n FROM (
+  SELECT community_id, platform_id, reason FROM wiki WHERE reason IS NOT NULL
+  UNION ALL
+  SELECT community_id, platform_id, reason FROM site WHERE reason IS NOT NULL) GROUP BY ALL"""
+
+ORACLE["wiki_job_of_platform"] = f"""WITH {REGISTRY_CTE}
+SELECT community_id, platform_id, baseURL || path AS base_url FROM wiki WHERE reason IS NULL AND platform_id = 'pf3'"""
+
+
 # --- website ----------------------------------------------------------------------
 
 def _decode(x: str) -> str:
