@@ -11,11 +11,10 @@ for static classes (a static class keeps the smoothed mass of one unknown word,
 so every text has a probability). With zero weights this is the smoothed
 unigram model, which is where training starts.
 
-Training is truncated backpropagation in numpy on all training documents whose
-hash falls into a fixed share (``SHARE``): it grows with the input. Each task
-trains on its own part from common weights, states carried from window to
-window; the weights are averaged by tokens in a tree of tasks, round after
-round. Scoring carries the state across windows, so a document's score is the
+Training is truncated backpropagation in numpy on all training documents, dealt
+by hash to ``ROUNDS`` parts, one a round. Each task trains on its own documents
+of the part from common weights, states carried from window to window; the
+weights are averaged by tokens in a tree of tasks, round after round. Scoring carries the state across windows, so a document's score is the
 log-likelihood of all its tokens, whatever its length. Counts of tail words,
 whose number has no bound, never reach the driver: they are joined.
 
@@ -44,7 +43,7 @@ from sheaf.llm.common import ascii_words, batches_of_text, frequent, materialise
 ADD = 0.1  # fixed value: added to every count
 HEAD, NEURAL, CLASS, ENDINGS = 65_536, 2_048, 64, 24
 EMBED, STATE = 16, 24
-SHARE, ROUNDS, WINDOW, LANES = 10, 3, 16, 96
+ROUNDS, WINDOW, LANES = 3, 16, 96
 #: Text that is scored at once in a task, and words a task counts before it hands them on.
 BLOCK_BYTES, FLUSH_WORDS = 24_000_000, 300_000
 END = b""  # no word is empty
@@ -344,18 +343,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(head or [(END, 0)], total, distinct, sums)
 
 
-def train(texts: DataFrame, v: Vocabulary, share: int = SHARE, rounds: int = ROUNDS) -> Network:
-    """Train on one in ``share`` of the documents, in ``rounds`` parts; tasks average their weights after each."""
+def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Network:
+    """Train on all documents, in ``rounds`` parts; tasks average their weights after each."""
     spark = texts.sparkSession
     words = spark.sparkContext.broadcast(v)
-    drawn = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(share * rounds))).where(F.col("part") < rounds)
+    dealt = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)))
 
     def tokenise(batches):
         for batch in batches:
             rows = [words.value.tokens(t.as_py())[0] for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["part", "ids"])
 
-    tokens = materialise(drawn.select(F.col("part").cast("int").alias("part"), "text")
+    tokens = materialise(dealt.select(F.col("part").cast("int").alias("part"), "text")
                          .mapInArrow(tokenise, "part int, ids array<int>"), "lm-tokens")
     network = Network(v)
     for r in range(rounds):

@@ -88,6 +88,13 @@ def test_model_beats_the_base_on_held_out_documents(spark):
     assert r[0] > r[1]
 
 
+def test_every_training_document_is_learned_from(spark):
+    for i in range(3):
+        texts = spark.createDataFrame([(i, "some words and some more words of a document")], "doc_id long, text string")
+        v = gru_lm.vocabulary(gru_lm.corpus_counts(texts))
+        assert not np.array_equal(gru_lm.train(texts, v).flat, gru_lm.Network(v).flat)
+
+
 def test_empty_language_model(spark):
     assert gru_lm.log_likelihood(odd_documents(spark).limit(0)).count() == 0
 
