@@ -15,8 +15,8 @@ from sheaf.llm.common import materialise, read, tokenizer_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    return line_rules.keep_documents(docs)
+    """Documents that the rules reject go, and the others' lines above the limits; ``n_chars`` follows."""
+    return line_rules.clean_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,19 +3,21 @@
 Each document's lines are normalised (A-Z in lower case, white space runs as
 one space, digits as 0) and hashed; a line that stands in more than
 ``max_share`` of a host's distinct documents, and in more than ``min_docs`` of
-them, is removed from that host's documents. A document left with less than the
-share ``min_left`` of its words is rejected. Copies of
+them, is removed from that host's documents (:func:`judge` counts what goes,
+:func:`clean_documents` returns the texts without it). A document left with less
+than the share ``min_left`` of its words is rejected. Copies of
 one text count as one document of their host, so a page that was fetched often
 doesn't turn its own lines into boilerplate. ``source`` is the host.
 
-The texts are read once; everything after that works on hashes (16 bytes a
-line), and counting combines before the shuffle, so a line or a host that holds
+Verdicts read the texts once; everything after that works on hashes (16 bytes a
+line), cleaned texts are cut where they stand, and counting combines before the shuffle, so a line or a host that holds
 a third of all rows is no hot key.
 
 Defined cases: NULL text has no words and no lines and fails the base rules;
 NULL host is a host of its own; repeated rows give repeated rows; texts and
 lines of any length are read whole; an empty table gives an empty table; other
-columns are ignored (:func:`keep_documents` returns them as they are).
+columns are ignored (:func:`keep_documents` and :func:`clean_documents` return
+them as they are, but for the text and ``n_chars`` of cleaned documents).
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import materialise, tuned, without
+from sheaf.llm.common import BROADCAST_BYTES, materialise, text_hash, tuned, without
 
 SYMBOLS = "#*$%&|<>"  # fixed value: characters counted as symbols
 WINDOW = 5
@@ -97,9 +99,9 @@ def measures(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return docs.select(docs[key].cast("long"), docs["source"].cast("string"), docs["text"]).mapInArrow(work, MEASURES)
 
 
-def judge(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left: float = 0.3,
-          min_words: int = 10, key: str = "doc_id") -> DataFrame:
-    """The measures and the verdict of each document (see the module's text)."""
+def judged(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left: float = 0.3,
+           min_words: int = 10, key: str = "doc_id") -> DataFrame:
+    """The rows of :func:`judge` with their ``host`` and the hashes of their lines above the limits (``removed``)."""
     tuned(docs.sparkSession)
     own = materialise(measures(docs, key).withColumn("uid", F.monotonically_increasing_id()), "measures")
     # One document stands for the copies of a text in a host.
@@ -111,14 +113,19 @@ def judge(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left
              .where(F.col("n") > F.col("docs") * F.lit(max_share)).select(F.col("host").alias("bh"), F.col("hash").alias("bl")))
     held = own.select("uid", "host", F.explode("lines").alias("line")).select("uid", "host", "line.*")
     removed = (held.join(above, F.col("host").eqNullSafe(F.col("bh")) & (F.col("hash") == F.col("bl")))
-               .groupBy("uid").agg(F.sum("words").alias("gone"), F.count(F.lit(1)).alias("n_lines")))
+               .groupBy("uid").agg(F.sum("words").alias("gone"), F.count(F.lit(1)).alias("n_lines"), F.collect_list("hash").alias("removed")))
     n, left = F.col("n_words"), F.col("n_words") - F.coalesce("gone", F.lit(0))
     base = (n < min_words) | (100 * F.col("n_repeat_words") > 20 * n)
     depleted = left < n * F.lit(min_left)
     return own.drop("lines").join(removed, "uid", "left").select(
         "doc_id", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.coalesce("n_lines", F.lit(0)).alias("n_lines_removed"), left.alias("n_words_left"),
-        base.alias("base_failed"), (~base & ~depleted).alias("kept"))
+        base.alias("base_failed"), (~base & ~depleted).alias("kept"), "host", "removed")
+
+
+def judge(docs: DataFrame, **limits) -> DataFrame:
+    """The measures and the verdict of each document (see the module's text)."""
+    return judged(docs, **limits).drop("host", "removed")
 
 
 def keep_documents(docs: DataFrame, **limits) -> DataFrame:
@@ -128,3 +135,35 @@ def keep_documents(docs: DataFrame, **limits) -> DataFrame:
     several hosts, one rejection rejects all.
     """
     return without(docs, judge(docs, **limits).where(~F.col("kept")))
+
+
+def without_lines(text: str, removed: set[int]) -> str:
+    """The text without the lines whose hash is in ``removed``."""
+    def stays(line: str) -> bool:
+        own = line.encode("utf-8", "replace").lower().split()
+        return not own or line_hash(own) not in removed
+
+    return "\n".join(filter(stays, text.split("\n")))
+
+
+def clean_documents(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **limits) -> DataFrame:
+    """The documents that :func:`judge` keeps, without their lines above the limits; ``n_chars`` follows the text.
+
+    The line hashes go back to their documents by id, host and text hash, so
+    copies of a text are no hot key.
+    """
+    verdicts = materialise(judged(docs, **limits).select("doc_id", "host", "text_hash", "kept", "removed"), "verdicts")
+    kept = without(docs, verdicts.where(~F.col("kept")))
+    cuts = (verdicts.where("kept and removed is not null").dropDuplicates(["doc_id", "host", "text_hash"])
+            .select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__cut")))
+    if (cuts.agg(F.sum(64 + F.octet_length(F.coalesce("__host", F.lit(""))) + 8 * F.size("__cut"))).first()[0] or 0) <= broadcast_bytes:
+        cuts = F.broadcast(cuts)
+    same = (kept["doc_id"].cast("long").eqNullSafe(cuts["__id"]) & kept["source"].cast("string").eqNullSafe(cuts["__host"])
+            & (text_hash(kept["text"]) == cuts["__hash"]))
+
+    @F.pandas_udf("string")
+    def cleaned(texts, removed):
+        return texts.combine(removed, lambda t, r: t if r is None else without_lines(t, set(r))) if len(texts) else texts
+
+    out = kept.join(cuts, same, "left").withColumn("text", cleaned("text", "__cut")).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -13,6 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sheaf.llm import decontaminate, line_rules, sharding, simhash, warc
 from tests.llm.helpers import LONG, odd_documents, texts_of, tuples
 
@@ -160,6 +161,31 @@ def test_line_rules(spark):
     assert line_rules.judge(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 25, 0], ids=["broadcast", "shuffled"])
+def test_lines_above_limits_leave_the_texts(spark, limit):
+    shared = "The menu of this very long host has many words"
+    own = [f"A first line of document {'abcdefghij'[i % 10] * (i + 1)} with some words of its own to be kept" for i in range(30)]
+    docs = odd_documents(spark, [f"{shared}\n\n{x}\n {shared.upper()}" for x in own])
+    other = spark.createDataFrame([(500, f"{shared}\n{own[0]}", "en", None, 3, 7, 1, "", "", 0, 0.5)], docs.schema)
+    docs = docs.unionByName(other)
+    cleaned = line_rules.clean_documents(docs, broadcast_bytes=limit, max_share=0.3)
+    kept = line_rules.keep_documents(docs, max_share=0.3)
+    assert cleaned.columns == docs.columns
+    cut = {f"{shared}\n\n{x}\n {shared.upper()}": f"\n{x}" for x in own}
+    assert texts_of(cleaned.orderBy("doc_id", "text")) == sorted(
+        ((d, cut.get(t, t)) for d, t in texts_of(kept)), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert set(cut.values()) <= {t for _, t in texts_of(cleaned)}
+    assert cleaned.where("n_chars <> length(text)").count() == 0
+    assert line_rules.clean_documents(docs.limit(0)).count() == 0
+
+
+def test_pipeline_drops_lines_above_limits(spark):
+    shared = "The menu of this very long host has many words"
+    rows = [(i, f"{shared}\nA first line of document {'abcdefghij'[i % 10] * (i + 1)} with some words of its own to be kept", "h") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert corpus_pipeline.quality_rules(spark, docs, "").where(F.col("text").contains(shared)).count() == 0
+
+
 def jump(key, shards):
     bucket, to = -1, 0
     while to < shards:
