@@ -2,8 +2,9 @@
 
 Each document's lines are normalised (A-Z in lower case, white space runs as
 one space, digits as 0) and hashed; a line that stands in more than
-``max_share`` of a host's distinct documents, and in more than ``min_docs`` of
-them, is removed from that host's documents (:func:`judge` counts what goes,
+``max_share`` of a host's distinct documents, or in more than ``min_docs`` of
+them, whichever is reached first, and in ``floor`` of them at least, is removed
+from that host's documents (:func:`judge` counts what goes,
 :func:`clean_documents` returns the texts without it). A document left with less
 than the share ``min_left`` of its words is rejected. Copies of
 one text count as one document of their host, so a page that was fetched often
@@ -35,6 +36,7 @@ from sheaf.llm.common import BROADCAST_BYTES, materialise, text_hash, tuned, wit
 
 SYMBOLS = "#*$%&|<>"  # fixed value: characters counted as symbols
 WINDOW = 5
+FLOOR = 5  # fixed value: distinct documents of a host that share a line before it can be above a limit
 
 MEASURES = ("doc_id long, host string, text_hash long, n_words long, word_chars long, n_symbols long, "
             "n_dup_lines long, n_repeat_words long, lines array<struct<hash: long, words: int>>")
@@ -100,7 +102,7 @@ def measures(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def judged(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_left: float = 0.3,
-           min_words: int = 10, key: str = "doc_id") -> DataFrame:
+           min_words: int = 10, key: str = "doc_id", floor: int = FLOOR) -> DataFrame:
     """The rows of :func:`judge` with their ``host`` and the hashes of their lines above the limits (``removed``)."""
     tuned(docs.sparkSession)
     own = materialise(measures(docs, key).withColumn("uid", F.monotonically_increasing_id()), "measures")
@@ -109,8 +111,8 @@ def judged(docs: DataFrame, max_share: float = 0.02, min_docs: int = 20, min_lef
     hosts = stands.groupBy("host").agg(F.count(F.lit(1)).alias("docs")).select(F.col("host").alias("h"), "docs")
     counted = own.select("uid", "host", "lines").join(stands.select("uid"), "uid", "left_semi")
     lines = counted.select("host", F.explode("lines.hash").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    above = (lines.where(F.col("n") > min_docs).join(hosts, F.col("host").eqNullSafe(F.col("h")))
-             .where(F.col("n") > F.col("docs") * F.lit(max_share)).select(F.col("host").alias("bh"), F.col("hash").alias("bl")))
+    above = (lines.where(F.col("n") >= floor).join(hosts, F.col("host").eqNullSafe(F.col("h")))
+             .where((F.col("n") > min_docs) | (F.col("n") > F.col("docs") * F.lit(max_share))).select(F.col("host").alias("bh"), F.col("hash").alias("bl")))
     held = own.select("uid", "host", F.explode("lines").alias("line")).select("uid", "host", "line.*")
     removed = (held.join(above, F.col("host").eqNullSafe(F.col("bh")) & (F.col("hash") == F.col("bl")))
                .groupBy("uid").agg(F.sum("words").alias("gone"), F.count(F.lit(1)).alias("n_lines"), F.collect_list("hash").alias("removed")))

@@ -179,6 +179,15 @@ def test_lines_above_limits_leave_the_texts(spark, limit):
     assert line_rules.clean_documents(docs.limit(0)).count() == 0
 
 
+def test_line_limits_hold_for_hosts_of_every_size(spark):
+    rows = [(f"menu\n{'abcdefghij'[i % 10] * (i + 1)} and ten more words of its own in this one line", "small") for i in range(12)]
+    rows += [(f"{'menu' if i < 25 else 'q' * i}\n{'w' * (i + 1)} and ten more words of its own in this one line", "large") for i in range(1500)]
+    rows += [(f"menu\n{'v' * (i + 1)} and ten more words of its own in this one line", "few") for i in range(line_rules.FLOOR - 1)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+    found = line_rules.judge(docs).join(docs, "doc_id").groupBy("source").agg(F.sum("n_lines_removed")).collect()
+    assert {r[0]: r[1] for r in found} == {"small": 12, "large": 25, "few": 0}
+
+
 def test_pipeline_drops_lines_above_limits(spark):
     shared = "The menu of this very long host has many words"
     rows = [(i, f"{shared}\nA first line of document {'abcdefghij'[i % 10] * (i + 1)} with some words of its own to be kept", "h") for i in range(30)]
