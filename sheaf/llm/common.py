@@ -80,6 +80,20 @@ def batches_of_text(batches, limit: int, column: str = "text"):
             yield batch.slice(start)
 
 
+def split_bounded(data: bytes, limit: int = 1 << 20):
+    """Pieces of ``data`` of about ``limit`` bytes, cut at blanks; a longer run without one stays whole."""
+    at = 0
+    while len(data) - at > limit:
+        cut = data.rfind(b" ", at, at + limit)
+        if cut < 0:
+            cut = data.find(b" ", at + limit)
+        if cut < 0:
+            break
+        yield data[at:cut]
+        at = cut + 1
+    yield data[at:]
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public vocabulary file; ``SHEAF_TOKENIZERS`` may name another folder."""
     folder = os.environ.get("SHEAF_TOKENIZERS")

@@ -104,9 +104,44 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM s
 """
 
+# op11: counts of every kept term and group, also zero.
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT id, lang, source, unnest(w) AS t FROM d),
+kept AS (SELECT lang, t, count(*) AS n FROM o GROUP BY lang, t HAVING count(DISTINCT id) >= 3),
+seen AS (SELECT o.lang, source, t, count(*) AS n FROM o SEMI JOIN kept k ON k.lang = o.lang AND k.t = o.t GROUP BY o.lang, source, t),
+g AS (
+  SELECT x.lang, x.source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d) x
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM seen GROUP BY lang, source) s ON s.lang = x.lang AND s.source = x.source
+  LEFT JOIN (SELECT lang, count(*) AS v FROM kept GROUP BY lang) l ON l.lang = x.lang),
+p AS (
+  SELECT g.lang, g.source, k.t, coalesce(s.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(s.n, 0) + 1)) // (g.n + g.v) AS p
+  FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN seen s ON s.lang = g.lang AND s.source = g.source AND s.t = k.t),
+q AS (
+  SELECT k.lang, k.t, 1 + (1000000000::HUGEINT * (k.n + 1)) // (l.n + l.v) AS q
+  FROM kept k JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM g GROUP BY lang) l ON l.lang = k.lang),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS f
+    FROM p x JOIN p y ON y.lang = x.lang AND y.t = x.t AND y.source <> x.source GROUP BY x.lang, x.source, y.source) s
+  ON s.lang = a.lang AND s.source = a.source AND s.other = b.source),
+terms AS (
+  SELECT p.lang, p.source, p.t AS item, ((p.p - q.q) * (p.p - q.q)) // q.q AS value FROM p JOIN q ON q.lang = p.lang AND q.t = p.t WHERE p.n > 0 AND p.p > q.q),
+both_parts AS (SELECT 'pair' AS part, * FROM pairs UNION ALL SELECT 'term', * FROM terms),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item) AS rank FROM both_parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op3_warc_index": WARC,
     "op6_line_frequency": LINE_FREQUENCY,
     "op10_jump_sharding": SHARDING,
+    "op11_source_divergence": DIVERGENCE,
 }

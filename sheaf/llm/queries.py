@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sheaf.llm import (
     bpe,
     decontaminate,
+    divergence,
     gru_lm,
     line_rules,
     pairwise,
@@ -67,7 +68,12 @@ def op10_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_automaton, op2_decontamination, op3_warc_index, op4_simhash, op5_gru_lm, op6_line_frequency,
-        op7_pairwise_quality, op8_secret_scan, op9_token_counts, op10_jump_sharding)}
+        op7_pairwise_quality, op8_secret_scan, op9_token_counts, op10_jump_sharding,
+        op11_source_divergence)}
