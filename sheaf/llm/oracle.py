@@ -64,7 +64,8 @@ real AS (SELECT * FROM lines WHERE n > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM real GROUP BY doc_id),
 hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY source),
 seen AS (SELECT source, norm, count(DISTINCT text) AS n FROM real GROUP BY source, norm),
-above AS (SELECT s.source, s.norm FROM seen s JOIN hosts h ON h.source IS NOT DISTINCT FROM s.source WHERE s.n > 20 AND s.n > h.docs * 0.02),
+above AS (SELECT s.source, s.norm FROM seen s JOIN hosts h ON h.source IS NOT DISTINCT FROM s.source 
+  WHERE s.n >= 5 AND (s.n > 20 OR s.n > h.docs * 0.02)),
 gone AS (
   SELECT r.doc_id, sum(r.n) AS words, count(DISTINCT r.norm) AS lines
   FROM real r JOIN above a ON a.source IS NOT DISTINCT FROM r.source AND a.norm = r.norm GROUP BY r.doc_id),
@@ -138,10 +139,39 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
+# op12: pieces, words, and every phrase's count by itself.
+COLLOCATION = r"""
+WITH p AS (
+  SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+s AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+one AS (SELECT lang, w[i] AS x, count(*) AS f FROM s GROUP BY 1, 2),
+two AS (SELECT lang, w[i] AS x, w[i + 1] AS y, count(*) AS f FROM s WHERE i < len(w) GROUP BY 1, 2, 3 HAVING count(*) >= 10),
+three AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z, count(*) AS f FROM s WHERE i + 1 < len(w) GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10),
+longer AS (SELECT lang, x, y, max(f) AS f FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY 1, 2, 3),
+cuts AS (
+  SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, 1 AS k, u.f AS l, v.f AS r
+  FROM two t JOIN one u ON u.lang = t.lang AND u.x = t.x JOIN one v ON v.lang = t.lang AND v.x = t.y
+  LEFT JOIN longer g ON g.lang = t.lang AND g.x = t.x AND g.y = t.y WHERE 100 * coalesce(g.f, 0) < 50 * t.f
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 1, u.f, v.f
+  FROM three t JOIN one u ON u.lang = t.lang AND u.x = t.x JOIN two v ON v.lang = t.lang AND v.x = t.y AND v.y = t.z
+  UNION ALL
+  SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, 2, u.f, v.f
+  FROM three t JOIN two u ON u.lang = t.lang AND u.x = t.x AND u.y = t.y JOIN one v ON v.lang = t.lang AND v.x = t.z),
+scored AS (SELECT *, (1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS score FROM cuts),
+least_cut AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+n AS (SELECT lang, sum(f) AS n FROM one GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM least_cut JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op2_decontamination": DECONTAMINATION,
     "op3_warc_index": WARC,
     "op6_line_frequency": LINE_FREQUENCY,
     "op10_jump_sharding": SHARDING,
     "op11_source_divergence": DIVERGENCE,
+    "op12_collocations": COLLOCATION,
 }

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sheaf.llm import (
     bpe,
+    collocation,
     decontaminate,
     divergence,
+    fingerprint,
     gru_lm,
     line_rules,
     pairwise,
@@ -72,8 +74,16 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(read(spark, sf_dir, "documents")).drop("path", "place")
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_automaton, op2_decontamination, op3_warc_index, op4_simhash, op5_gru_lm, op6_line_frequency,
         op7_pairwise_quality, op8_secret_scan, op9_token_counts, op10_jump_sharding,
-        op11_source_divergence)}
+        op11_source_divergence, op12_collocations, op13_fingerprints)}
