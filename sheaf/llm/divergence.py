@@ -28,7 +28,6 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +40,10 @@ from sheaf.llm.common import materialise, split_bounded, tuned
 
 SCALE = 1_000_000_000  # fixed value: shares are in billionths
 BLOCK = 256            # sources of a language that one task compares with as many others
-BUCKET_ROWS = 1_000_000
-HELD = 400_000         # counted terms that a task holds before it hands them on
+BUCKET_ROWS = 250_000
+HELD = 1_500_000       # counts of terms that a task holds before it hands them on
+WAITING = 400_000      # words that are counted in one step
+MASK = (1 << 32) - 1
 CHUNK = 2_000_000      # numbers of one numpy step
 
 #: Bytes of terms as they are (A-Z lowered), all others as a blank.
@@ -52,6 +53,14 @@ COUNTS = "lang string, source string, digest long, term binary, first boolean, n
 PAIRS = "lang string, i int, j int, value long"
 
 
+class _Codes(dict):
+    """Numbers terms in the order of their coming."""
+
+    def __missing__(self, term: bytes) -> int:
+        code = self[term] = len(self)
+        return code
+
+
 def term_digest(term: bytes, bits: int = 64) -> int:
     """The leading ``bits`` of the term's XXH64, as a signed long."""
     h = xxhash.xxh64_intdigest(term, 42) >> (64 - bits)
@@ -63,51 +72,83 @@ def term_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
 
     ``first`` marks one row per (lang, term) of those that a task hands on together.
     """
-    def flush(held: dict) -> pa.RecordBatch:
-        columns: list[list] = [[] for _ in range(7)]
-        seen: set = set()
-        codes: dict[bytes, int] = {}
-        for (lang, source), (counts, docs_of) in held.items():
-            for column, value in zip(columns, (lang, source, None, None, False, 0, 0), strict=True):
-                column.append(value)
-            for term, n in counts.items():
-                code = codes.get(term)
-                if code is None:
-                    code = codes[term] = term_digest(term, bits)
-                new = (lang, term) not in seen
-                if new:
-                    seen.add((lang, term))
-                columns[2].append(code)
-                columns[3].append(term)
-                columns[4].append(new)
-                columns[5].append(n)
-                columns[6].append(docs_of[term])
-            size = len(counts)
-            columns[0].extend([lang] * size)
-            columns[1].extend([source] * size)
-        types = (pa.string(), pa.string(), pa.int64(), pa.binary(), pa.bool_(), pa.int64(), pa.int64())
-        names = ["lang", "source", "digest", "term", "first", "n", "docs"]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+    def flush(groups: dict, codes: dict, keys: np.ndarray, n: np.ndarray, docs_of: np.ndarray) -> pa.RecordBatch:
+        """All counts of a task so far; keys are a group's number and a term's code."""
+        terms = pa.array(codes, pa.binary())
+        digests = np.array([term_digest(t, bits) for t in codes], np.int64)
+        group, code = keys >> 32, (keys & MASK).astype(np.int64)
+        names = list(groups)
+        langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in names))}
+        lang_of = np.array([langs[lang] for lang, _ in names], np.int64)
+        first = np.zeros(len(keys), bool)
+        first[np.unique(lang_of[group] << 32 | code, return_index=True)[1]] = True
+        bare = len(names)  # rows that only say that a group occurs
+
+        def column(values, none, kind):
+            return pa.concat_arrays([pa.array(values, kind), pa.array(none, kind)])
+
+        every = np.concatenate([group, np.arange(bare)])
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang for lang, _ in names], pa.string()).take(pa.array(every)), pa.array([source for _, source in names], pa.string()).take(pa.array(every)),
+             column(digests[code], [None] * bare, pa.int64()), pa.concat_arrays([terms.take(pa.array(code)), pa.nulls(bare, pa.binary())]),
+             column(first, [False] * bare, pa.bool_()), column(n, [0] * bare, pa.int64()), column(docs_of, [0] * bare, pa.int64())],
+            names=["lang", "source", "digest", "term", "first", "n", "docs"])
+
+    def summed(parts: list) -> list:
+        """Equal keys of the parts added up."""
+        keys, n, docs_of = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+        if len(keys):
+            keys, n, docs_of = keys[start], np.add.reduceat(n[order], start), np.add.reduceat(docs_of[order], start)
+        return [(keys, n, docs_of)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict = {}
-        entries = 0
+        groups, codes, parts, held = {}, _Codes(), [], 0
+        words: list[bytes] = []
+        coded: list[np.ndarray] = []
+        owners, sizes = [], []
+
+        def code_words() -> None:
+            nonlocal words
+            coded.append(np.array(list(map(codes.__getitem__, words)), np.int64))
+            words = []
+
+        def count_block() -> None:
+            """The counts of the documents that wait, first by document, then by group."""
+            nonlocal coded, owners, sizes, parts, held
+            code_words()
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            key, n = np.unique(doc << 32 | np.concatenate(coded), return_counts=True)
+            group = np.array(owners, np.int64)[key >> 32]
+            parts += summed([(group << 32 | key & MASK, n, np.ones(len(n), np.int64))])
+            held += len(parts[-1][0])
+            if held > 2 * HELD:
+                parts = summed(parts)
+                held = len(parts[0][0])
+            coded, owners, sizes = [], [], []
+
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts, docs_of = held.setdefault((lang, source), (Counter(), Counter()))
-                before = len(counts)
-                own: set[bytes] = set()
+                owners.append(groups.setdefault((lang, source), len(groups)))
+                size = 0
                 for piece in split_bounded(text.translate(LETTERS)):
-                    words = piece.split()
-                    counts.update(words)
-                    own.update(words)
-                docs_of.update(own)
-                entries += len(counts) - before
-                if entries > HELD:
-                    yield flush(held)
-                    held, entries = {}, 0
-        if held:
-            yield flush(held)
+                    own = piece.split()
+                    size += len(own)
+                    words += own
+                    if len(words) >= WAITING:
+                        code_words()
+                sizes.append(size)
+                if sum(map(len, coded)) >= WAITING:
+                    count_block()
+                    if held > HELD or len(codes) > HELD:
+                        yield flush(groups, codes, *summed(parts)[0])
+                        groups, codes, parts, held = {}, _Codes(), [], 0
+        if owners:
+            count_block()
+        if groups:
+            yield flush(groups, codes, *summed(parts)[0])
 
     tuned(docs.sparkSession)
     empty = F.lit("")
@@ -162,13 +203,14 @@ def add_pairs(own: np.ndarray, term: np.ndarray, share: np.ndarray, lack: np.nda
     none = _lift(lack[:, None], lack[None, :])
     size = len(lack)
     # Terms that one of the two has: equal shares of a source count once, times their number.
-    pairs, times = np.unique(np.stack([own, share]), axis=1, return_counts=True)
+    pairs, times = np.unique(own << 32 | share, return_counts=True)
     step = max(1, CHUNK // size)
-    for at in range(0, pairs.shape[1], step):
-        g, p = pairs[0, at: at + step], pairs[1, at: at + step, None]
+    for at in range(0, len(pairs), step):
+        g, p = pairs[at: at + step] >> 32, pairs[at: at + step, None] & MASK
         n = times[at: at + step, None]
-        np.add.at(total, g, n * (_lift(p, lack[None, :]) - none[g]))
-        np.add.at(total.T, g, n * (_lift(lack[None, :], p) - none.T[g]))
+        start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        total[g[start]] += np.add.reduceat(n * (_lift(p, lack[None, :]) - none[g]), start, axis=0)
+        total[:, g[start]] += np.add.reduceat(n * (_lift(lack[None, :], p) - none.T[g]), start, axis=0).T
     # Terms that both have.
     start = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
     width = np.diff(np.r_[start, len(term)])

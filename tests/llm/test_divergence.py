@@ -58,7 +58,7 @@ def test_equals_brute_force_also_when_digests_are_shared(spark, bits):
 def test_sources_in_blocks_and_terms_in_buckets(spark, monkeypatch):
     docs = some_documents(spark, 200, 23).repartition(5)
     want = brute([(r.lang, r.source, r.text) for r in docs.collect()], min_docs=2)
-    for name, value in (("BLOCK", 4), ("BUCKET_ROWS", 50), ("HELD", 30), ("CHUNK", 64)):
+    for name, value in (("BLOCK", 4), ("BUCKET_ROWS", 50), ("HELD", 30), ("WAITING", 25), ("CHUNK", 64)):
         monkeypatch.setattr(divergence, name, value)
     assert tuples(divergence.divergence(docs, min_docs=2)) == want
 
