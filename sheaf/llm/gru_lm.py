@@ -11,12 +11,17 @@ for static classes (a static class keeps the smoothed mass of one unknown word,
 so every text has a probability). With zero weights this is the smoothed
 unigram model, which is where training starts.
 
-Training is truncated backpropagation in numpy on all training documents, dealt
-by hash to ``ROUNDS`` parts, one a round. Each task trains on its own documents
-of the part from common weights, states carried from window to window; the
-weights are averaged by tokens in a tree of tasks, round after round. Scoring carries the state across windows, so a document's score is the
-log-likelihood of all its tokens, whatever its length. Counts of tail words,
-whose number has no bound, never reach the driver: they are joined.
+Every document is tokenised once. Training is truncated backpropagation in
+numpy on all training documents: they are dealt by hash to parts of about
+``PART_TOKENS`` tokens, and the parts to rounds, as many of both as the root of
+the parts' number, so both grow with the corpus. In a round each part trains
+from common weights and Adagrad sums, states carried from window to window;
+then weights and sums are averaged by tokens in a tree of tasks. A part holds
+the same documents in the same order however the table is split, so scores hang
+on the table alone (but for rounding). Scoring carries the state across
+windows, so a document's score is the log-likelihood of all its tokens,
+whatever its length. Counts of tail words, whose number has no bound, never
+reach the driver: they are joined.
 
 Defined cases: NULL and empty texts are one end token; a NULL id counts as an
 empty text for the fold; repeated rows give repeated rows; an empty table gives
@@ -38,14 +43,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ascii_words, batches_of_text, frequent, materialise, tuned
+from sheaf.llm.common import ascii_words, frequent, materialise, tuned
+from sheaf.session import scratch_path
 
 ADD = 0.1  # fixed value: added to every count
 HEAD, NEURAL, CLASS, ENDINGS = 65_536, 2_048, 64, 24
 EMBED, STATE = 16, 24
-ROUNDS, WINDOW, LANES = 3, 16, 96
-#: Text that is scored at once in a task, and words a task counts before it hands them on.
-BLOCK_BYTES, FLUSH_WORDS = 24_000_000, 300_000
+WINDOW, LANES, STEPS = 16, 512, 800  # a part takes about STEPS steps of learning, or more with all LANES in use
+PART_TOKENS = 4_000_000
+#: Tokens that are scored at once in a task, and words a task counts before it hands them on.
+BLOCK_TOKENS, FLUSH_WORDS = 4_000_000, 300_000
 END = b""  # no word is empty
 LN10 = math.log(10)
 
@@ -145,6 +152,23 @@ class Vocabulary:
         return np.where(ids < 0, self.neural + ENDINGS - 1 - ids, np.where(known < self.neural, known, static)).astype(np.int32)
 
 
+def logistic(x: np.ndarray) -> None:
+    """1 / (1 + exp(-x)) in place."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    np.divide(np.float32(1), x, out=x)
+
+
+def shares(logits: np.ndarray, tame: bool) -> np.ndarray:
+    """Exponentials in place (of the distance to the largest, unless ``tame``), and their sums by row."""
+    if not tame:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    return logits.sum(axis=1)
+
+
 class Network:
     """Gated recurrent unit with class-factored softmax; all weights in one flat vector."""
 
@@ -175,159 +199,222 @@ class Network:
             at += n
 
     def step(self, x: np.ndarray, h: np.ndarray):
-        """One step for all lanes: ``x`` holds the input's share of the gates."""
-        a = h @ self.p["loop"]
-        gates = 1 / (1 + np.exp(-(x[:, :2 * STATE] + a[:, :2 * STATE])))
-        z, r = gates[:, :STATE], gates[:, STATE:]
-        n = np.tanh(x[:, 2 * STATE:] + r * a[:, 2 * STATE:])
-        return n + z * (h - n), z, r, n, a
+        """One step for all lanes (as columns, so that gates are whole rows): ``x`` holds the input's share of the gates."""
+        a = self.p["loop"].T @ h
+        gates = x[:2 * STATE] + a[:2 * STATE]
+        logistic(gates)
+        z, r = gates[:STATE], gates[STATE:]
+        n = r * a[2 * STATE:]
+        n += x[2 * STATE:]
+        n *= 2
+        logistic(n)  # the hyperbolic tangent by the logistic function
+        n *= 2
+        n -= 1
+        new = h - n
+        new *= z
+        new += n
+        return new, z, r, n, a[2 * STATE:]
 
     def inputs(self) -> np.ndarray:
-        return self.p["embed"] @ self.p["inner"] + self.p["bias"]
+        """The gates' share of each input symbol, symbols as columns."""
+        return np.ascontiguousarray((self.p["embed"] @ self.p["inner"] + self.p["bias"]).T)
+
+    def tame(self) -> bool:
+        """Whether no logit can leave the range in which exponentials are exact enough (states lie between -1 and 1)."""
+        p = self.p
+        return all(float((np.abs(p[w]).sum(axis=axis) + np.abs(np.maximum(p[b], -30))).max()) < 60
+                   for w, b, axis in (("cls", "cls_bias", 0), ("out", "out_bias", 2)))
 
     def output(self, h: np.ndarray, cls: np.ndarray, symbol: np.ndarray, learn: bool = False):
         """Natural log probability of class and word for each row; with ``learn`` also the gradients."""
         p = self.p
-        logits = h @ p["cls"] + p["cls_bias"]
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
+        # Rows in the order of their classes, so that a class is a slice.
+        order = np.argsort(cls.astype(np.uint8) if self.v.width < 256 else cls, kind="stable")
+        h, cls, symbol = h[order], cls[order], symbol[order]
         rows = np.arange(len(h))
-        score = np.log(logits[rows, cls] / total)
-        order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(self.v.classes + 1))
+        chance = np.empty(len(h), np.float32)
+        bounds = np.searchsorted(cls, np.arange(self.v.classes + 1))
         dh = grads = None
         if learn:
-            soft = logits / total[:, None]
-            soft[rows, cls] -= 1
-            dh = soft @ p["cls"].T
-            grads = {"cls": h.T @ soft, "cls_bias": soft.sum(axis=0),
-                     "out": np.zeros_like(p["out"]), "out_bias": np.zeros_like(p["out_bias"])}
+            dh = np.empty_like(h)
+            grads = {k: np.zeros_like(p[k]) for k in ("cls", "cls_bias", "out", "out_bias")}
+        tame = self.tame()
+        for lo in range(0, len(h), 2_048):  # rows whose classes fit the processor's cache
+            part = slice(lo, lo + 2_048)
+            hb, at = h[part], rows[:len(h[part])]
+            logits = hb @ p["cls"]
+            logits += p["cls_bias"]
+            total = shares(logits, tame)
+            chance[part] = logits[at, cls[part]] / total
+            if learn:
+                logits /= total[:, None]
+                logits[at, cls[part]] -= 1
+                np.matmul(logits, p["cls"].T, out=dh[part])
+                grads["cls"] += hb.T @ logits
+                grads["cls_bias"] += logits.sum(axis=0)
         for c in np.flatnonzero(bounds[1:] > bounds[:-1]):
-            own = order[bounds[c]:bounds[c + 1]]
-            hc, word, at = h[own], symbol[own] - c * CLASS, np.arange(len(own))
-            inner = hc @ p["out"][c].T + p["out_bias"][c]
-            inner -= inner.max(axis=1, keepdims=True)
-            np.exp(inner, out=inner)
-            sums = inner.sum(axis=1)
-            score[own] += np.log(inner[at, word] / sums)
+            own = slice(bounds[c], bounds[c + 1])
+            hc, word = h[own], symbol[own] - c * CLASS
+            at = rows[:len(hc)]
+            inner = hc @ p["out"][c].T
+            inner += p["out_bias"][c]
+            sums = shares(inner, tame)
+            chance[own] *= inner[at, word] / sums
             if learn:
                 inner /= sums[:, None]
                 inner[at, word] -= 1
                 dh[own] += inner @ p["out"][c]
                 grads["out"][c] = inner.T @ hc
                 grads["out_bias"][c] = inner.sum(axis=0)
+        score = np.empty_like(chance)
+        score[order] = np.log(np.maximum(chance, np.float32(1e-37)))
+        if learn:
+            back = np.empty_like(dh)
+            back[order] = dh
+            dh = back
         return score, dh, grads
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each document's classes and output words; states run through whole documents."""
-        lanes = Lanes(docs, self.v, max_lanes=512)
+        lanes = Lanes(docs, self.v, LANES)
         out = np.zeros(len(docs))
-        table, h = self.inputs(), np.zeros((lanes.width, STATE), np.float32)
-        for symbol, before, cls, doc, fresh in lanes.windows(64):
+        table, h = self.inputs(), np.zeros((STATE, lanes.width), np.float32)
+        for symbol, before, cls, doc, fresh in lanes.windows(WINDOW):
             states = np.empty((*symbol.shape, STATE), np.float32)
+            h = h[:, :symbol.shape[1]]
             for t in range(len(symbol)):
-                h = np.where(fresh[t][:, None], 0, h)
-                h = self.step(table[before[t]], h)[0]
-                states[t] = h
-            real = doc >= 0
-            score, _, _ = self.output(states[real], cls[real], symbol[real])
-            out += np.bincount(doc[real], score.astype(np.float64), len(docs))
+                if fresh[t].any():
+                    h = np.where(fresh[t], np.float32(0), h)
+                h = self.step(table.take(before[t], axis=1), h)[0]
+                states[t] = h.T
+            real = slice(None) if (doc >= 0).all() else doc >= 0
+            score, _, _ = self.output(states[real].reshape(-1, STATE), cls[real].ravel(), symbol[real].ravel())
+            out += np.bincount(doc[real].ravel(), score.astype(np.float64), len(docs))
         return out / LN10
 
-    def train(self, docs: list[np.ndarray], rate: float = 0.1) -> int:
-        """One pass of truncated backpropagation (Adagrad); the number of tokens."""
-        lanes = Lanes(docs, self.v, max_lanes=LANES)
-        h = np.zeros((lanes.width, STATE), np.float32)
-        history = {k: np.full(s, 1e-2 if k in ("embed", "out", "out_bias") else 1.0, np.float32) for k, s in self.shapes.items()}
+    def history(self) -> np.ndarray:
+        """Adagrad's sums before the first step, in the order of the weights."""
+        return np.concatenate([np.full(math.prod(s), 1e-2 if k in ("embed", "out", "out_bias") else 1.0, np.float32)
+                               for k, s in self.shapes.items()])
+
+    def train(self, docs: list[np.ndarray], history: np.ndarray, rate: float = 0.1) -> int:
+        """One pass of truncated backpropagation (Adagrad, whose sums are ``history``); the number of tokens."""
+        lanes = Lanes(docs, self.v, max(16, min(LANES, sum(map(len, docs)) // (WINDOW * STEPS))))
+        h = np.zeros((STATE, lanes.width), np.float32)
+        sums, at = {}, 0
+        for name, shape in self.shapes.items():
+            sums[name] = history[at: at + math.prod(shape)].reshape(shape)
+            at += math.prod(shape)
         count, p = 0, self.p
         for symbol, before, cls, doc, fresh in lanes.windows(WINDOW):
-            steps, table = [], self.inputs()
+            steps, table, starts = [], self.inputs(), fresh.any(axis=1)
+            h = h[:, :symbol.shape[1]]
+            states = np.empty((*symbol.shape, STATE), np.float32)
             for t in range(len(symbol)):
-                h = np.where(fresh[t][:, None], 0, h)
-                nxt, z, r, n, a = self.step(table[before[t]], h)
+                if starts[t]:
+                    h = np.where(fresh[t], np.float32(0), h)
+                new, z, r, n, a = self.step(table.take(before[t], axis=1), h)
                 steps.append((h, z, r, n, a))
-                h = nxt
-            states = np.stack([*[s[0] for s in steps[1:]], h])
-            for t in range(len(symbol) - 1):  # a fresh lane's next state starts from zero, its last one doesn't
-                states[t] = steps[t][3] + steps[t][1] * (steps[t][0] - steps[t][3])
+                states[t] = new.T
+                h = new
             real = doc >= 0
-            m = int(real.sum())
+            m = int(np.count_nonzero(real))
             if not m:
                 continue
-            _, dh_out, grads = self.output(states[real], cls[real], symbol[real], learn=True)
-            dstates = np.zeros_like(states)
-            dstates[real] = dh_out
-            dgates = np.zeros((*symbol.shape, 3 * STATE), np.float32)
+            whole = m == real.size
+            pick = (lambda x: x.reshape(-1, *x.shape[2:])) if whole else (lambda x: x[real])
+            _, dh_out, grads = self.output(pick(states), pick(cls), pick(symbol), learn=True)
+            if whole:
+                states[...] = dh_out.reshape(states.shape)
+            else:
+                states[...] = 0
+                states[real] = dh_out
+            dgates = np.empty((len(symbol), 3 * STATE, symbol.shape[1]), np.float32)
             back = np.zeros_like(h)
             loop = np.zeros_like(p["loop"])
+            da = np.empty((3 * STATE, symbol.shape[1]), np.float32)
             for t in range(len(symbol) - 1, -1, -1):
                 past, z, r, n, a = steps[t]
-                d = dstates[t] + back
-                dz = d * (past - n) * z * (1 - z)
-                dn = d * (1 - z) * (1 - n * n)
-                dr = dn * a[:, 2 * STATE:] * r * (1 - r)
-                da = np.concatenate([dz, dr, dn * r], axis=1)
-                loop += past.T @ da
-                dgates[t] = np.concatenate([dz, dr, dn], axis=1)
-                back = (d * z + da @ p["loop"].T) * ~fresh[t][:, None]
-            flat = dgates.reshape(-1, 3 * STATE)
+                d = states[t].T + back
+                keep = 1 - z
+                dz, dr, dn = (dgates[t, i * STATE: (i + 1) * STATE] for i in range(3))
+                np.subtract(past, n, out=dz)
+                dz *= d
+                dz *= z
+                dz *= keep
+                np.multiply(n, n, out=dn)
+                np.subtract(1, dn, out=dn)
+                dn *= keep
+                dn *= d
+                np.multiply(dn, a, out=dr)
+                dr *= r
+                dr *= 1 - r
+                da[:2 * STATE] = dgates[t, :2 * STATE]
+                np.multiply(dn, r, out=da[2 * STATE:])
+                loop += past @ da.T
+                back = p["loop"] @ da
+                d *= z
+                back += d
+                if starts[t]:
+                    back[:, fresh[t]] = 0
             used = before.reshape(-1)
+            flat = np.ascontiguousarray(dgates.transpose(0, 2, 1)).reshape(-1, 3 * STATE)
             grads |= {"loop": loop, "bias": flat.sum(axis=0), "inner": p["embed"][used].T @ flat}
-            dembed = flat @ p["inner"].T
-            rows, where = np.unique(used, return_inverse=True)
-            summed = np.zeros((len(rows), EMBED), np.float32)
-            np.add.at(summed, where, dembed)
-            norm = math.sqrt(m)
+            order = np.argsort(used.astype(np.uint16) if len(p["embed"]) < 65_536 else used, kind="stable")
+            ranked = used[order]
+            edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+            rows = ranked[edge]
+            summed = np.add.reduceat((flat @ p["inner"].T)[order], edge, axis=0)
+            norm = np.float32(1 / math.sqrt(m))
             for name, g in grads.items():
-                g = np.clip(g / norm, -5, 5)
-                history[name] += g * g
-                p[name] -= rate * g / np.sqrt(history[name])
-            g = np.clip(summed / norm, -5, 5)
-            history["embed"][rows] += g * g
-            p["embed"][rows] -= rate * g / np.sqrt(history["embed"][rows])
+                g *= norm
+                np.clip(g, -5, 5, out=g)
+                sums[name] += g * g
+                p[name] -= rate * g / np.sqrt(sums[name])
+            g = np.clip(summed * norm, -5, 5)
+            sums["embed"][rows] += g * g
+            p["embed"][rows] -= rate * g / np.sqrt(sums["embed"][rows])
             count += m
         return count
 
 
 class Lanes:
-    """Documents laid end to end in lanes of like length, read in windows of equal steps."""
+    """Documents laid end to end in lanes, the longest lane first, read in windows of equal steps.
+
+    A window holds the lanes that reach into it, so a very long document doesn't drag idle lanes along.
+    """
 
     def __init__(self, docs: list[np.ndarray], vocabulary: Vocabulary, max_lanes: int):
-        self.docs, self.v = docs, vocabulary
-        longest = max(map(len, docs), default=1)
         total = sum(map(len, docs))
-        self.width = max(1, min(max_lanes, total // max(1, longest)))
+        self.width = max(1, min(max_lanes, len(docs), total // WINDOW))
         lanes: list[list[int]] = [[] for _ in range(self.width)]
         heap = [(0, i) for i in range(self.width)]
         for d in sorted(range(len(docs)), key=lambda i: -len(docs[i])):
             filled, lane = heapq.heappop(heap)
             lanes[lane].append(d)
             heapq.heappush(heap, (filled + len(docs[d]), lane))
-        self.steps = max(n for n, _ in heap)
-        self.ids = np.zeros((self.steps, self.width), np.int32)
-        self.doc = np.full((self.steps, self.width), -1, np.int32)
-        self.fresh = np.zeros((self.steps, self.width), bool)
-        for lane, own in enumerate(lanes):
-            at = 0
-            for d in own:
-                n = len(docs[d])
-                self.ids[at: at + n, lane] = docs[d]
-                self.doc[at: at + n, lane] = d
-                self.fresh[at, lane] = True
-                at += n
+        in_order = sorted(heap, key=lambda e: (-e[0], e[1]))
+        self.filled = np.array([n for n, _ in in_order])
+        # All lanes one after another; a window is taken out by places.
+        order = [d for _, i in in_order for d in lanes[i]]
+        self.ids = np.concatenate([*(docs[d] for d in order), np.zeros(1, np.int32)])
+        sizes = np.array([len(docs[d]) for d in order], np.int64)
+        self.doc = np.append(np.repeat(np.array(order, np.int32), sizes), np.int32(-1))
+        self.first = np.zeros(len(self.ids), bool)
+        self.first[np.cumsum(sizes) - sizes] = True
+        self.start = np.cumsum(self.filled) - self.filled
+        self.symbols = vocabulary.symbol(self.ids)
+        self.classes = np.where(self.ids < 0, vocabulary.classes + ENDINGS - 1 - self.ids, vocabulary.of[np.maximum(self.ids, 0)])
+        self.before = np.where(self.first, 0, np.append(np.int32(0), self.symbols[:-1]))  # symbol 0 is the end token
 
     def windows(self, steps: int):
-        """(symbols, symbols before, classes, documents or -1, fresh starts) of each window."""
-        v = self.v
-        last = np.zeros((1, self.width), np.int32)
-        for at in range(0, self.steps, steps):
-            ids, fresh = self.ids[at: at + steps], self.fresh[at: at + steps]
-            symbol = v.symbol(ids)
-            before = np.where(fresh, 0, np.concatenate([last, symbol[:-1]]))  # symbol 0 is the end token
-            last = symbol[-1:]
-            cls = np.where(ids < 0, v.classes + ENDINGS - 1 - ids, v.of[np.maximum(ids, 0)])
-            yield symbol, before, cls, self.doc[at: at + steps], fresh
+        """(symbols, symbols before, classes, documents or -1, fresh starts) of each window, lanes as columns."""
+        nothing = len(self.ids) - 1
+        for at in range(0, int(self.filled[0]) if len(self.filled) else 0, steps):
+            width = int(np.count_nonzero(self.filled > at))
+            step = at + np.arange(min(steps, int(self.filled[0]) - at))
+            place = np.where(step[:, None] < self.filled[None, :width], self.start[None, :width] + step[:, None], nothing)
+            yield self.symbols[place], self.before[place], self.classes[place], self.doc[place], self.first[place]
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -343,71 +430,121 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(head or [(END, 0)], total, distinct, sums)
 
 
-def train(texts: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> Network:
-    """Train on all documents, in ``rounds`` parts; tasks average their weights after each."""
-    spark = texts.sparkSession
-    words = spark.sparkContext.broadcast(v)
-    dealt = texts.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(rounds)))
+def tokenised(texts: DataFrame, v: Vocabulary, rounds: int, parts: int, held: Column) -> DataFrame:
+    """Every document's tokens once: ``doc_id, round, part, deal, ids, tail``; held-out documents are in round -1."""
+    words = tuned(texts.sparkSession).sparkContext.broadcast(v)
+    deal = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    part = F.pmod(deal, F.lit(rounds * parts))
+    dealt = texts.select("doc_id", F.when(held, -1).otherwise(F.floor(part / parts)).cast("int").alias("round"),
+                         (part % parts).cast("int").alias("part"), deal.alias("deal"), "text")
 
-    def tokenise(batches):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [words.value.tokens(t.as_py())[0] for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["part", "ids"])
+            ids, tails = zip(*(words.value.tokens(t.as_py()) for t in batch.column(4)), strict=True) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ids, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.binary()))],
+                                             names=["doc_id", "round", "part", "deal", "ids", "tail"])
+
+    tokens = dealt.mapInArrow(work, "doc_id long, round int, part int, deal long, ids array<int>, tail array<binary>")
+    path = scratch_path(texts.sparkSession, "lm-tokens")
+    tokens.repartition("round", "part").write.partitionBy("round").parquet(path)
+    return texts.sparkSession.read.schema(tokens.schema).parquet(path)
+
+
+def plan_of(tokens: int) -> tuple[int, int]:
+    """Rounds, and parts of a round."""
+    parts = max(1, round(tokens / PART_TOKENS))
+    rounds = math.isqrt(parts - 1) + 1
+    return rounds, -(-parts // rounds)
+
+
+def _average(group: pd.DataFrame) -> pd.DataFrame:
+    """The mean of weights and sums by tokens, added in the order of the parts."""
+    group = group.sort_values("part")
+    n = int(group["n"].sum())
+    mean = sum(np.frombuffer(w, np.float32) * np.float32(k / n) for k, w in zip(group["n"], group["w"], strict=True))
+    return pd.DataFrame({"part": [group["part"].iloc[0]], "n": [n], "w": [mean.tobytes()]})
+
 
-    tokens = materialise(dealt.select(F.col("part").cast("int").alias("part"), "text")
-                         .mapInArrow(tokenise, "part int, ids array<int>"), "lm-tokens")
+def train(tokens: DataFrame, v: Vocabulary, rounds: int, parts: int) -> Network:
+    """Train on all documents of rounds 0 and later, round by round."""
+    spark = tokens.sparkSession
+    words = spark.sparkContext.broadcast(v)
     network = Network(v)
+    state = np.concatenate([network.flat, network.history()])
     for r in range(rounds):
-        start = spark.sparkContext.broadcast(network.flat)
+        start = spark.sparkContext.broadcast(state)
 
         def learn(batches, start=start):
-            docs = [np.asarray(x.values, np.int32) for b in batches for x in b.column(0) if len(x)]
-            if docs:
-                own = Network(words.value, start.value)
-                n = own.train(docs)
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([own.flat.tobytes()], pa.binary())], names=["n", "w"])
-
-        def average(group: pd.DataFrame) -> pd.DataFrame:
-            n = int(group["n"].sum())
-            mean = sum(np.frombuffer(w, np.float32) * np.float32(k / n) for k, w in zip(group["n"], group["w"], strict=True))
-            return pd.DataFrame({"n": [n], "w": [mean.tobytes()]})
-
-        models = materialise(tokens.where(F.col("part") == r).select("ids").mapInArrow(learn, "n long, w binary"), "lm-weights")
+            held, part = [], None
+
+            def result():
+                half = len(start.value) // 2
+                own, history = Network(words.value, start.value[:half]), start.value[half:].copy()
+                n = own.train(held, history)
+                return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64()),
+                                                   pa.array([np.concatenate([own.flat, history]).tobytes()], pa.binary())], names=["part", "n", "w"])
+
+            for batch in batches:
+                for p, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if p != part and held:
+                        yield result()
+                        held = []
+                    part = p
+                    held.append(np.array(ids.values, np.int32))
+            if held:
+                yield result()
+
+        own = tokens.where(F.col("round") == r).repartition(parts, "part").sortWithinPartitions("part", "deal", "doc_id", "ids")
+        models = materialise(own.select("part", "ids").mapInArrow(learn, "part int, n long, w binary"), "lm-weights")
         while models.count() > 16:  # a tree of tasks, 16 models each
-            groups = -(-models.count() // 16)
-            numbered = models.withColumn("g", F.pmod(F.monotonically_increasing_id() + F.shiftright(F.monotonically_increasing_id(), 33), F.lit(groups)))
-            models = materialise(numbered.groupBy("g").applyInPandas(lambda g: average(g), "n long, w binary"), "lm-weights")
+            models = materialise(models.groupBy(F.floor(F.col("part") / 16).cast("int").alias("g")).applyInPandas(
+                lambda g: _average(g.assign(part=g["part"] // 16)), "part int, n long, w binary"), "lm-weights")
         rest = models.toPandas()
+        start.unpersist()
         if len(rest):
-            network = Network(v, np.frombuffer(average(rest)["w"][0], np.float32))
-    return network
+            state = np.frombuffer(_average(rest)["w"][0], np.float32)
+    return Network(v, state[:len(state) // 2])
 
 
 def log_likelihood(docs: DataFrame, parts: int = 10) -> DataFrame:
     """Base and network scores of each document (see the module's text)."""
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text")
-    learned = texts.where(~held_out(F.col("doc_id"), parts))
-    counts = materialise(corpus_counts(learned), "lm-counts")
+    held = held_out(F.col("doc_id"), parts)
+    counts = materialise(corpus_counts(texts.where(~held)), "lm-counts")
     v = vocabulary(counts)
-    network = tuned(texts.sparkSession).sparkContext.broadcast(train(learned, v))
+    plan = plan_of(v.total)
+    tokens = tokenised(texts, v, *plan, held)
+    network = texts.sparkSession.sparkContext.broadcast(train(tokens, v, *plan))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = network.value
+    def scored(model: Network, doc_ids: list, ids: list[np.ndarray], tails: list) -> pa.RecordBatch:
         own = model.v
         tail_mass = np.log10(own.mass[own.classes + ENDINGS:])
-        for batch in batches_of_text(batches, BLOCK_BYTES):
-            ids, tails = zip(*(own.tokens(t.as_py()) for t in batch.column(1)), strict=True)
-            score = model.score(list(ids))
-            head = [x[x >= 0] for x in ids]
-            base = [float(own.base[x].sum()) for x in head]
-            static = [float(own.share[x].sum() - tail_mass[-1 - y[y < 0]].sum()) for x, y in zip(head, ids, strict=True)]
-            known = [int((own.counts[x] > 0).sum()) for x in head]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(len, ids), pa.int64()), pa.array(known, pa.int64()), pa.array(base),
-                 pa.array(score + np.array(static)), pa.array(tails, pa.list_(pa.binary()))],
-                names=["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail"])
-
-    own = texts.mapInArrow(work, "doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>")
+        score = model.score(ids)
+        head = [x[x >= 0] for x in ids]
+        base = [float(own.base[x].sum()) for x in head]
+        static = [float(own.share[x].sum() - tail_mass[-1 - y[y < 0]].sum()) for x, y in zip(head, ids, strict=True)]
+        known = [int((own.counts[x] > 0).sum()) for x in head]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_ids, pa.int64()), pa.array(map(len, ids), pa.int64()), pa.array(known, pa.int64()), pa.array(base),
+             pa.array(score + np.array(static)), pa.array(tails, pa.list_(pa.binary()))],
+            names=["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = network.value
+        doc_ids, ids, tails, held = [], [], [], 0
+        for batch in batches:
+            for doc_id, own, tail in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                doc_ids.append(doc_id)
+                ids.append(np.array(own.values, np.int32))
+                tails.append(tail.as_py())
+                held += len(ids[-1])
+                if held > BLOCK_TOKENS:
+                    yield scored(model, doc_ids, ids, tails)
+                    doc_ids, ids, tails, held = [], [], [], 0
+        if ids:
+            yield scored(model, doc_ids, ids, tails)
+
+    own = tokens.select("doc_id", "ids", "tail").mapInArrow(work, "doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>")
     own = materialise(own.withColumn("uid", F.monotonically_increasing_id()), "lm-scores")
     tail = own.select("uid", F.explode("tail").alias("word"))
     c = F.coalesce("n", F.lit(0))

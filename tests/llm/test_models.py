@@ -76,12 +76,48 @@ def test_gradients_and_windows(monkeypatch):
     step[2, 3] = 1e-2
     up, down = (net.output(h + s, v.of[symbol], symbol)[0].sum() for s in (step, -step))
     assert -(up - down) / 2e-2 == pytest.approx(dh[2, 3], abs=2e-3)
-    before = net.score(docs).sum()
+    before, history = net.score(docs).sum(), net.history()
     for _ in range(20):
-        net.train(docs)
+        net.train(docs, history)
     assert net.score(docs).sum() > before
 
 
+def test_training_gradient_by_differences():
+    """Weights that act through time: the gradient of a window against finite differences (Adagrad's first step shows it)."""
+    head = [(b"", 30), *((f"w{i}".encode(), 20 - i) for i in range(6))]
+    v = gru_lm.Vocabulary(head, 150, 7, {})
+    rng = np.random.default_rng(3)
+    docs = [np.append(rng.integers(1, 7, 9), 0).astype(np.int32), np.append(rng.integers(1, 7, 4), 0).astype(np.int32)]
+    start = gru_lm.Network(v)
+    for name in ("cls", "out", "loop", "inner"):
+        start.p[name][...] = rng.normal(0, 0.4, start.p[name].shape)
+    # A huge history makes the step rate * gradient / norm / sqrt(history): the gradient can be read off it.
+    net, big = gru_lm.Network(v, start.flat), np.float32(1e6)
+    net.train(docs, np.full(len(start.flat), big, np.float32))
+    tokens = sum(map(len, docs))
+    step = (start.flat - net.flat) * 1e3 / 0.1 * math.sqrt(tokens)
+    at = 0
+    for name, shape in start.shapes.items():
+        if name in ("loop", "inner", "bias", "embed"):
+            own = step[at: at + math.prod(shape)]
+            place = int(np.abs(own).argmax())
+            total = []
+            for sign in (1, -1):
+                moved = start.flat.copy()
+                moved[at + place] += sign * 1e-2
+                total.append(float(gru_lm.Network(v, moved).score(docs).sum()) * math.log(10))
+            assert -(total[0] - total[1]) / 2e-2 == pytest.approx(own[place], rel=0.05, abs=0.02), name
+        at += math.prod(shape)
+
+
+def test_scores_hang_on_the_table_alone(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "PART_TOKENS", 12_000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    one, eight = ({r.doc_id: r.score for r in gru_lm.log_likelihood(docs.repartition(n)).collect()} for n in (1, 8))
+    assert one.keys() == eight.keys() and all(eight[d] == pytest.approx(s, rel=1e-4) for d, s in one.items())
+    assert gru_lm.plan_of(90_000) == (3, 3) and gru_lm.plan_of(0) == (1, 1)
+
+
 def test_model_beats_the_base_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     r = gru_lm.log_likelihood(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
@@ -92,7 +128,10 @@ def test_every_training_document_is_learned_from(spark):
     for i in range(3):
         texts = spark.createDataFrame([(i, "some words and some more words of a document")], "doc_id long, text string")
         v = gru_lm.vocabulary(gru_lm.corpus_counts(texts))
-        assert not np.array_equal(gru_lm.train(texts, v).flat, gru_lm.Network(v).flat)
+        tokens = gru_lm.tokenised(texts, v, 1, 1, F.lit(False))
+        assert not np.array_equal(gru_lm.train(tokens, v, 1, 1).flat, gru_lm.Network(v).flat)
+        held = gru_lm.tokenised(texts, v, 1, 1, F.lit(True))
+        assert held.count() == 1 and np.array_equal(gru_lm.train(held, v, 1, 1).flat, gru_lm.Network(v).flat)
 
 
 def test_empty_language_model(spark):
