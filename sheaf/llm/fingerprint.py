@@ -40,8 +40,8 @@ from sheaf.llm.common import bounded_sample, tuned
 
 LEVELS = (2, 3)
 KEEP = 64
-CHUNK = 1 << 20       # names of one numpy step
-GROUP = 1 << 20       # code points of the texts that are parsed together
+CHUNK = 1 << 18       # names of one numpy step
+GROUP = 1 << 17       # code points of the texts that are parsed together
 ROUNDS = 4            # 64 bits, 128, 14, 8, 6 labels
 RANGES = 4            # ranges for each shuffle partition
 SAMPLE = 20           # sampled rows for each range
