@@ -4,13 +4,19 @@
    for each distinct fingerprint before anything is compared.
 2. A vantage-point tree routes fingerprints to shards. An inner node has a
    vantage point and a radius; a fingerprint lives on the side that its Hamming
-   distance names and is also sent, as a visitor, across each boundary that lies
-   within the link distance (the triangle bound: no link can reach further).
-   The tree is grown from a bounded sample; a bad sample makes shards uneven,
-   never a link lost, since two linked fingerprints meet in both home shards.
-3. Each shard goes on with a tree of its own over its members until leaves are
-   small, compares there, and returns a spanning forest of the exact pairs.
-4. The forests are joined into components by star contraction, as Spark joins
+   distance names. One that lives outside and within the link distance of the
+   boundary (the triangle bound: no link can reach further) also visits the
+   inside; a visitor goes on to every side within reach. So two linked
+   fingerprints meet in one home shard, that of the one which was inside where
+   their ways parted, and no boundary is crossed twice for one pair. Of the
+   near-halving radii the one with the lightest border is taken.
+3. The first tree is grown from a bounded sample. Shards that come out too full
+   get a tree of their own from a sample of their members in a further pass,
+   pass by pass, so the number of shards follows the data without a cap and a
+   bad sample costs a pass, never a link.
+4. Each shard goes on with a tree over its members until leaves are small,
+   compares there, and returns a spanning forest of the exact pairs.
+5. The forests are joined into components by star contraction, as Spark joins
    over checkpointed edges.
 
 Defined cases: NULL, empty and blank texts have fingerprint zero and link like
@@ -33,12 +39,12 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import ascii_words, materialise, text_hash, tuned, without
 
-#: Fingerprints from which the routing tree is grown (a documented bound; the tree's shape only).
-SAMPLE = 32_768
+#: Fingerprints from which one routing tree is grown (a documented bound; the tree's shape only), and its leaves.
+SAMPLE, FANOUT = 32_768, 1_024
 #: Members that a shard should have, and those that are compared without a further split.
-SHARD_ROWS, LEAF_ROWS = 2_000, 192
-#: Shards of the routing tree at most; fuller shards split further inside their task.
-MAX_SHARDS = 4_096
+SHARD_ROWS, LEAF_ROWS = 20_000, 192
+#: A shard with more than this many times ``SHARD_ROWS`` members is split in a further pass; rows that one task routes there.
+FULL, ROUTE_ROWS = 4, 2_000_000
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -72,35 +78,42 @@ def distance(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
-    """Vantage point and radius that halve ``points`` best, or None if no vantage point tried splits them."""
-    best, score = None, 0
+def split(points: np.ndarray, reach: int = 0) -> tuple[np.uint64, int] | None:
+    """Vantage point and radius that halve ``points`` (0.4 to 0.6 if any does) with the lightest border of ``reach``; None if none splits them."""
+    best, score = None, None
     for v in points[:: max(1, len(points) // 8)][:9]:
-        d = np.bincount(distance(points, v), minlength=65).cumsum()
-        lower = np.minimum(d, len(points) - d)
-        r = int(lower.argmax())
-        if lower[r] > score:
-            best, score = (v, r), lower[r]
+        d = np.bincount(distance(points, v), minlength=65 + reach).cumsum()
+        lower = np.minimum(d[:65], len(points) - d[:65])
+        border = d[reach: 65 + reach] - d[:65]
+        # Balance counts in fifths of the points up to 0.4, then the border decides.
+        rank = np.minimum(5 * lower // (2 * len(points) / 5), 5) * 2 * len(points) - border + lower / len(points)
+        rank[lower == 0] = -np.inf
+        r = int(rank.argmax())
+        if lower[r] and (score is None or rank[r] > score):
+            best, score = (v, r), rank[r]
     return best
 
 
-def grow(points: np.ndarray, shards: int) -> list:
+def grow(points: np.ndarray, shards: int, reach: int) -> list:
     """Nested [vantage, radius, inside, outside] down to about ``shards`` leaves, which are numbers."""
     count = iter(range(1 << 30))
 
     def node(own: np.ndarray, share: int):
-        cut = split(own) if share > 1 and len(own) > 1 else None
+        cut = split(own, reach) if share > 1 and len(own) > 1 else None
         if cut is None:
             return next(count)
         d = distance(own, cut[0])
-        half = share // 2
-        return [int(cut[0]), cut[1], node(own[d <= cut[1]], half), node(own[d > cut[1]], share - half)]
+        inside = max(1, min(share - 1, round(share * float((d <= cut[1]).mean()))))
+        return [int(cut[0]), cut[1], node(own[d <= cut[1]], inside), node(own[d > cut[1]], share - inside)]
 
     return node(points, shards)
 
 
-def route(tree, points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(index of the point, shard, whether the shard is its home) for each shard a point is sent to."""
+def route(tree, points: np.ndarray, reach: int, home: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the point, leaf, whether the leaf is its home) for each leaf a point is sent to.
+
+    ``home`` tells the points that live below the tree's root from those that visit.
+    """
     out = []
 
     def walk(node, index, home):
@@ -111,11 +124,11 @@ def route(tree, points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray,
             return
         d = distance(points[index], np.uint64(node[0])).astype(np.int64)
         inside = d <= node[1]
-        near_in, near_out = inside | (d - reach <= node[1]), ~inside | (d + reach > node[1])
+        near_in, near_out = inside | (d - reach <= node[1]), ~inside | (~home & (d + reach > node[1]))
         walk(node[2], index[near_in], (home & inside)[near_in])
         walk(node[3], index[near_out], (home & ~inside)[near_out])
 
-    walk(tree, np.arange(len(points)), np.ones(len(points), bool))
+    walk(tree, np.arange(len(points)), np.ones(len(points), bool) if home is None else home)
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
@@ -125,7 +138,7 @@ def pairs(members: np.ndarray, visitors: np.ndarray, reach: int) -> Iterator[tup
     """Exact pairs (a member, a visitor) at ``reach`` or fewer bits, through a tree over the members."""
     if not len(members) or not len(visitors):
         return
-    cut = split(members) if len(members) > LEAF_ROWS else None
+    cut = split(members, reach) if len(members) > LEAF_ROWS else None
     if cut is None:
         for at in range(0, len(visitors), 512):
             part = visitors[at: at + 512]
@@ -161,23 +174,88 @@ class Forest:
         return self.points[linked], self.points[self.root[linked]]
 
 
-def links(distinct: DataFrame, reach: int) -> DataFrame:
-    """Edges ``a, b`` (signed longs) that join the same fingerprints as all pairs within ``reach`` bits do."""
-    spark = distinct.sparkSession
+SENT = "shard long, fp long, home boolean"
+
+
+def first_shards(distinct: DataFrame, reach: int) -> DataFrame:
+    """``SENT`` rows of the first tree, which is grown from a sample and sent to the tasks."""
     n = distinct.count()
     share = min(1.0, 1.2 * SAMPLE / max(1, n))
     drawn = distinct.where(F.pmod(F.xxhash64("fp", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20))).limit(SAMPLE)
     sample = np.array([r[0] for r in drawn.collect()], np.int64).view(np.uint64)
-    shards = max(1, min(MAX_SHARDS, n // SHARD_ROWS))
-    tree = spark.sparkContext.broadcast(grow(np.sort(sample), shards))
+    tree = distinct.sparkSession.sparkContext.broadcast(grow(np.sort(sample), max(1, min(FANOUT, n // SHARD_ROWS)), reach))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             index, shard, home = route(tree.value, points, reach)
-            yield pa.RecordBatch.from_arrays([pa.array(points[index].view(np.int64)), pa.array(shard), pa.array(home)],
-                                             names=["fp", "shard", "home"])
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), pa.array(points[index].view(np.int64)), pa.array(home)],
+                                             names=["shard", "fp", "home"])
+
+    return distinct.select("fp").mapInArrow(send, SENT)
+
 
+def further_shards(sent: DataFrame, full: DataFrame, reach: int) -> DataFrame:
+    """The rows of the ``full`` shards (``shard, n``), each dealt to the leaves of a tree of its own.
+
+    A shard's rows are dealt to tasks in portions; each portion starts with the
+    shard's sample, from which every task grows the same tree, and streams.
+    """
+    portions = F.ceil(F.col("n") / ROUTE_ROWS).cast("int")
+    rows = sent.join(full, "shard")
+    hashed = F.pmod(F.xxhash64("fp", "shard"), F.lit(1 << 30))
+    sample = (rows.where("home").where(hashed < F.least(F.lit(1.0), F.lit(0.9 * SAMPLE) / F.col("n")) * F.lit(float(1 << 30)))
+              .withColumn("portion", F.explode(F.sequence(F.lit(0), portions - 1))).withColumn("sampled", F.lit(True)))
+    rows = rows.withColumn("portion", F.pmod(F.xxhash64("fp", F.lit(7)), portions).cast("int")).withColumn("sampled", F.lit(False))
+    columns = ["shard", "portion", "sampled", "fp", "home", "n"]
+    ordered = (rows.select(columns).unionByName(sample.select(columns)).repartition("shard", "portion")
+               .sortWithinPartitions("shard", "portion", F.desc("sampled"), "fp"))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, drawn, tree = None, [], None
+        for batch in batches:
+            shard, portion, sampled = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            fp = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
+            home, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
+            edges = np.flatnonzero((shard[1:] != shard[:-1]) | (portion[1:] != portion[:-1])) + 1
+            for lo, hi in zip([0, *edges], [*edges, len(shard)], strict=True):
+                if hi == lo:
+                    continue
+                if key != (shard[lo], portion[lo]):
+                    key, drawn, tree = (shard[lo], portion[lo]), [], None
+                own = slice(lo, hi)
+                drawn.append(fp[own][sampled[own]])
+                points, live = fp[own][~sampled[own]], home[own][~sampled[own]]
+                if not len(points):
+                    continue
+                if tree is None:
+                    tree = grow(np.sort(np.concatenate(drawn)), int(max(2, min(FANOUT, n[lo] // SHARD_ROWS))), reach)
+                index, leaf, lives = route(tree, points, reach, live)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[0] * FANOUT + leaf.astype(np.int64) + 1), pa.array(points[index].view(np.int64)), pa.array(lives)], names=["shard", "fp", "home"])
+
+    return ordered.mapInArrow(deal, SENT)
+
+
+def shards_of(distinct: DataFrame, reach: int) -> DataFrame:
+    """``SENT``: each fingerprint in its home shard and in those it visits, no shard much over ``SHARD_ROWS`` members."""
+    sent = materialise(first_shards(distinct, reach), "shards")
+    done, before = None, None
+    while True:
+        counts = sent.groupBy("shard").agg(F.count(F.when(F.col("home"), 1)).alias("n"))
+        full = materialise(counts.where(F.col("n") > FULL * SHARD_ROWS), "full")
+        most = full.agg(F.max("n")).first()[0]
+        if most is None or most == before:  # nothing is too full, or nothing splits any further
+            return sent if done is None else done.unionByName(sent)
+        before = most
+        fits = sent.join(full.select("shard"), "shard", "left_anti")
+        done = fits if done is None else done.unionByName(fits)
+        # A pass numbers shards from above, so numbers of passes don't meet.
+        sent = materialise(further_shards(sent, full, reach).withColumn("shard", F.col("shard") + F.lit(FANOUT)), "shards")
+
+
+def links(distinct: DataFrame, reach: int) -> DataFrame:
+    """Edges ``a, b`` (signed longs) that join the same fingerprints as all pairs within ``reach`` bits do."""
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         points, home = group["fp"].to_numpy(np.int64).view(np.uint64), group["home"].to_numpy(bool)
         forest = Forest(points)
@@ -186,8 +264,7 @@ def links(distinct: DataFrame, reach: int) -> DataFrame:
         a, b = forest.edges()
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    sent = distinct.select("fp").mapInArrow(send, "fp long, shard int, home boolean")
-    return sent.groupBy("shard").applyInPandas(compare, "a long, b long")
+    return shards_of(distinct, reach).groupBy("shard").applyInPandas(compare, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
