@@ -6,15 +6,20 @@ so archives go to any file system that Spark can reach. Of records with equal
 payloads the one with the largest id is the response; the others are revisits
 that refer to it and carry no payload.
 
+A file is rolled by bytes: it holds ``ARCHIVE_BYTES`` of records, or one larger
+record.
+
 ``read_archives`` reads the files back and parses records by their declared
-lengths, so a payload may hold anything, record headers included. A file holds
-at most ``RECORDS_A_FILE`` records. Each file is one capture run: its entries
-are sorted by URL key and timestamp where the file is parsed.
+lengths, so a payload may hold anything, record headers included. Each file is
+one capture run: its entries are sorted by URL key and timestamp where the file
+is parsed, and written to the shared folder as a run.
 
-``merge_runs`` orders the captures globally. The entries are range-partitioned
-by URL key, timestamp and record id (a URL with very many captures spans
-partitions), and each partition merges the runs that reach into it with a loser
-tree, as each run arrives sorted.
+``merge_runs`` orders the captures globally. Keys sampled from the runs bound
+ranges of about ``RANGE_ROWS`` captures by URL key, timestamp and record id (a
+URL with very many captures spans ranges), so what a task merges at once is
+bounded however large the index is. A task gets the slices of all runs that
+reach into its range, each in its run's order, merges them with a loser tree and
+hands the result on batch by batch.
 
 Defined cases: NULL html is an empty payload; NULL url has an empty URL key;
 equal payloads are equal bytes (SHA-1 and length); pages that share the largest
@@ -29,6 +34,7 @@ import base64
 import datetime as dt
 import gzip
 import hashlib
+import itertools
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -41,8 +47,9 @@ from pyspark.sql import functions as F
 from sheaf.llm.common import materialise
 from sheaf.session import scratch_path
 
-#: Records of an archive file at most: what a reading task holds at once.
-RECORDS_A_FILE = 1_000
+#: Bytes of an archive file, unpacked: what a reading task holds at once. Captures of a range: what a merging task holds.
+ARCHIVE_BYTES, RANGE_ROWS = 32 * 1024 * 1024, 100_000
+MERGED_ROWS = 10_000  # captures of a merged batch
 #: When the first page was captured; page ``n`` was captured ``n`` seconds later.
 FIRST_CAPTURE = dt.datetime(2024, 1, 1)
 
@@ -98,16 +105,24 @@ def record(page_id: int | None, url: str | None, html: str, sha1: str, size: int
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write a record for each row of ``pages`` (page_id, url, html) under ``path``."""
+    def archive(held: list[str]) -> pa.RecordBatch:
+        """Records of one file as one value: the sink ends it as each record ends."""
+        return pa.RecordBatch.from_arrays([pa.array(["\r\n\r\n".join(held)], pa.string())], names=["value"])
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                html = row["html"] or ""
-                raw = html.encode("utf-8", "replace")
-                own, sha1 = row["page_id"], digest(raw)
-                last = own if row["last"] is None else row["last"]
-                out.append(record(own, row["url"], html, sha1, len(raw), None if own == last else last))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+            for row in zip(*(batch.column(c) for c in ("page_id", "url", "html", "last")), strict=True):
+                own, url, html, last = (v.as_py() for v in row)
+                raw = (html or "").encode("utf-8", "replace")
+                refers_to = None if last is None or own == last else last
+                if held and size + len(raw) > ARCHIVE_BYTES:
+                    yield archive(held)
+                    held, size = [], 0
+                held.append(record(own, url, html or "", digest(raw), len(raw), refers_to))
+                size += 1_000 + (len(raw) if refers_to is None else 0)
+        if held:
+            yield archive(held)
 
     raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(raw).alias("hex"),
@@ -117,7 +132,7 @@ def write_archives(pages: DataFrame, path: str) -> None:
     last = last.where("n > 1").select(F.col("hex").alias("h"), F.col("size").alias("s"), "last")
     joined = own.join(last, (F.col("hex") == F.col("h")) & (F.col("size") == F.col("s")), "left")
     lines = joined.select("page_id", "url", "html", "last").mapInArrow(records, "value string")
-    (lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_A_FILE)
+    (lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", 1)
      .option("compression", "gzip").text(path))
 
 
@@ -208,22 +223,32 @@ class LoserTree:
 def merge_runs(entries: DataFrame) -> DataFrame:
     """Captures in global order of ``ORDER``; ``shard`` and ``place`` give the place (range shard, row in it)."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[str, list[tuple]] = {}
+        slices: dict[str, list[pa.RecordBatch]] = {}
         schema = None
         for batch in batches:
             schema = batch.schema
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                runs.setdefault(row[8], []).append(row)
-        if schema is None:
-            return
-        merged = list(LoserTree(map(iter, runs.values()), sort_key))
-        for at in range(0, len(merged), 10_000):
-            part = merged[at: at + 10_000]
+            # Rows come run by run: a batch is cut where the next run starts.
+            archives = batch.column(8).to_pylist()
+            edges = [0, *(i for i in range(1, len(archives)) if archives[i] != archives[i - 1]), len(archives)]
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                if hi > lo:
+                    slices.setdefault(archives[lo], []).append(batch.slice(lo, hi - lo))
+
+        def rows(parts: list[pa.RecordBatch]) -> Iterator[tuple]:
+            for part in parts:
+                for at in range(0, part.num_rows, 256):  # rows become tuples as the merge gets to them
+                    yield from zip(*(c.to_pylist() for c in part.slice(at, 256).columns), strict=True)
+
+        merged, at = iter(LoserTree(map(rows, slices.values()), sort_key)), 0
+        while part := list(itertools.islice(merged, MERGED_ROWS)):
             columns = [pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), schema, strict=True)]
             places = pa.array(range(at, at + len(part)), pa.int64())
             yield pa.RecordBatch.from_arrays([*columns, places], names=[*schema.names, "place"])
+            at += len(part)
 
-    dealt = entries.repartitionByRange(*ORDER).sortWithinPartitions("archive", *ORDER)
+    runs = materialise(entries, "runs")
+    ranges = max(1, -(-runs.count() // RANGE_ROWS))
+    dealt = runs.repartitionByRange(ranges, *ORDER).sortWithinPartitions("archive", *ORDER)
     return dealt.mapInArrow(work, f"{INDEX}, place long").withColumn("shard", F.spark_partition_id())
 
 
