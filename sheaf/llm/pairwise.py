@@ -4,13 +4,14 @@ Documents become short feature vectors in one pass over the whole texts. From
 labelled documents preference pairs (a good one over a bad one) are drawn, and
 weights are learned by logistic loss on the pairs' feature differences. A
 document's strength is its weighted sum of features. The threshold is the
-quantile of the labelled documents' strengths that leaves the share of bad ones
-below it; strengths are mapped to scores by a logistic curve that puts this
-quantile at ``CUT``.
+exact quantile of all documents' strengths that leaves the share of bad ones
+among all training labels below it; strengths are mapped to scores by a logistic
+curve that puts this quantile at ``CUT``.
 
-Only the fit works on a bounded sample: at most ``FIT_ROWS`` labelled documents
-(chosen by the hash of their id) and ``PAIRS`` pairs. Every document is
-scored.
+Only the weights are fitted on a bounded sample: at most ``FIT_ROWS`` labelled
+documents (chosen by the hash of their id; of several texts under one id the one
+with the least hash) and ``PAIRS`` pairs. Every document is scored and counts
+for the threshold.
 
 Defined cases: NULL and empty texts get the score of the all-zero features;
 labels of unknown documents, NULL labels and documents without a label are not
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import bounded_sample, text_bytes, tuned
+from sheaf.llm.common import bounded_sample, materialise, text_bytes, text_hash, tuned
 
 FIT_ROWS, PAIRS = 10_000, 60_000
 CUT = 0.3
@@ -78,21 +79,16 @@ def features(text: str | None) -> np.ndarray:
 
 @dataclass
 class Ranking:
-    """A fitted ranking: standardisation, weights and the curve from strengths to scores."""
+    """A fitted ranking: standardisation, weights and how steep the curve from strengths to scores is."""
 
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
-    at: float
     slope: float
 
     def strength(self, x: np.ndarray) -> np.ndarray:
         return ((x - self.centre) / self.scale) @ self.weights
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        z = self.slope * (self.strength(x) - self.at) + np.log(CUT / (1 - CUT))
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-
 
 def fit(x: np.ndarray, good: np.ndarray, seed: int = 0, decay: float = 1e-3, rounds: int = 400) -> Ranking:
     """Learn from feature rows and their labels (True: preferred)."""
@@ -100,7 +96,7 @@ def fit(x: np.ndarray, good: np.ndarray, seed: int = 0, decay: float = 1e-3, rou
     scale = x.std(axis=0) + 1e-6 if len(x) else np.ones(WIDTH)
     better, worse = np.flatnonzero(good), np.flatnonzero(~good)
     if not len(better) or not len(worse):
-        return Ranking(centre, scale, np.zeros(x.shape[1]), np.log(CUT / (1 - CUT)), 1.0)
+        return Ranking(centre, scale, np.zeros(x.shape[1]), 0.0)
     rng = np.random.default_rng(seed)
     z = (x - centre) / scale
     gap = z[rng.choice(better, PAIRS)] - z[rng.choice(worse, PAIRS)]
@@ -111,9 +107,8 @@ def fit(x: np.ndarray, good: np.ndarray, seed: int = 0, decay: float = 1e-3, rou
         speed = 0.9 * speed - 0.2 * grad
         w = w + speed
     strength = z @ w
-    at = float(np.quantile(strength, len(worse) / len(x)))
     spread = float(np.median(strength[better]) - np.median(strength[worse]))
-    return Ranking(centre, scale, w, at, 4.0 / max(spread, 1e-6))
+    return Ranking(centre, scale, w, 4.0 / max(spread, 1e-6))
 
 
 def held_out(key: Column, parts: int = 5) -> Column:
@@ -124,35 +119,68 @@ def held_out(key: Column, parts: int = 5) -> Column:
 def feature_rows(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [features(t.as_py()).tolist() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))],
-                                             names=["doc_id", "good", "x"])
-    return docs.select("doc_id", "good", "text").mapInArrow(work, "doc_id long, good boolean, x array<double>")
+            rows = [features(t.as_py()).tolist() for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(rows, pa.list_(pa.float64()))],
+                                             names=["doc_id", "good", "text_hash", "x"])
+    own = docs.select("doc_id", "good", text_hash(F.col("text")).alias("text_hash"), "text")
+    return own.mapInArrow(work, "doc_id long, good boolean, text_hash long, x array<double>")
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Ranking:
-    """Fit on at most ``rows`` of the labelled documents outside the held-out fold."""
+def known_labels(labels: DataFrame) -> DataFrame:
+    """Distinct ``label_id, good`` outside the held-out fold."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("label_id"), (F.col("quality") == 1).alias("good"))
-    known = known.where(~held_out(F.col("label_id"))).distinct()
-    drawn = bounded_sample(known, F.xxhash64("label_id"), rows)  # bounded, so it may be broadcast
+    return known.where(~held_out(F.col("label_id"))).distinct()
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Ranking:
+    """Fit on at most ``rows`` of the labelled documents outside the held-out fold."""
+    drawn = bounded_sample(known_labels(labels), F.xxhash64("label_id"), rows)  # bounded, so it may be broadcast
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = feature_rows(texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id"))).select("good", "x").toPandas()
+    found = feature_rows(texts.join(F.broadcast(drawn), F.col("doc_id") == F.col("label_id")))
+    found = found.groupBy("doc_id", "good").agg(F.min_by("x", "text_hash").alias("x")).orderBy("doc_id", "good").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, WIDTH)
     return fit(x, found["good"].to_numpy(bool))
 
 
+def exact_quantile(df: DataFrame, column: str, share: float, few: int = 10_000, bins: int = 4_096) -> float | None:
+    """The value of ``column`` at rank ``floor(share * (n - 1))``, found by ever narrower histograms; None without rows."""
+    low, high, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
+    if not n:
+        return None
+    rank, value = int(share * (n - 1)), F.col(column)
+    inside = df.select(column).where(value.isNotNull())
+    while low < high and n > few:
+        width = (high - low) / bins
+        place = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1))
+        for r in sorted(inside.groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).collect(),
+                        key=lambda r: r["b"]):
+            if rank < r["n"]:
+                break
+            rank -= r["n"]
+        low, high, n = r["lo"], r["hi"], r["n"]
+        inside = inside.where((value >= F.lit(low)) & (value <= F.lit(high)))
+    return low if low == high else sorted(r[0] for r in inside.collect())[rank]
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each document."""
-    model = tuned(docs.sparkSession).sparkContext.broadcast(train(docs, labels))
+    ranking = train(docs, labels)
+    model = tuned(docs.sparkSession).sparkContext.broadcast(ranking)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(-1, WIDTH)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.value.score(x))], names=["doc_id", "score"])
-
-    own = docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(work, "doc_id long, score double")
-    return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
-                      (F.col("score") >= F.lit(CUT)).cast("int").alias("predicted"))
+        for batch in batches:
+            x = np.array([features(t.as_py()) for t in batch.column(1)]).reshape(-1, WIDTH)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.value.strength(x))], names=["doc_id", "strength"])
+
+    own = materialise(docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(work, "doc_id long, strength double"), "strengths")
+    kinds = {r["good"]: r["n"] for r in known_labels(labels).groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not ranking.slope or len(kinds) < 2:
+        score = F.lit(0.5)
+    else:
+        at = exact_quantile(own, "strength", kinds[False] / (kinds[False] + kinds[True])) or 0.0
+        odds = F.lit(ranking.slope) * (F.col("strength") - F.lit(at)) + F.lit(float(np.log(CUT / (1 - CUT))))
+        # At the threshold itself the score is CUT, whatever rounding makes of it.
+        score = F.when(F.col("strength") == F.lit(at), F.lit(CUT)).otherwise(1 / (1 + F.exp(-F.greatest(F.least(odds, F.lit(500.0)), F.lit(-500.0)))))
+    return own.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= F.lit(CUT)).cast("int"))
