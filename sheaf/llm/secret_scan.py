@@ -1,21 +1,24 @@
 """Operator 8: secret scans whose false positives a random forest removes.
 
-Candidates are values assigned to a credential's name, long unbroken runs of
-key characters, and private key blocks. Each becomes a feature vector: its
+Candidates are values assigned to a credential's name, passwords of addresses
+(``scheme://user:password@host``), long unbroken runs of key characters, and
+private key blocks (PEM and PGP, also those without an end). The search is
+linear in a text's length. Each becomes a feature vector: its
 length, its transitions between character classes and between letters (against
 the letter pairs of all documents), how much of it dictionary words cover (the
 dictionary: the ``WORDS`` most frequent words of all documents), the path it
 stands in and its document's source, and its neighbouring words. A random forest
 trained from labelled findings says how likely it is a secret.
 
-``train`` takes any labelled findings; :func:`labelled_findings` gives those of
+``train`` takes any labelled findings; :func:`labelled_vectors` gives those of
 the corpus that rules can label beyond doubt (at most ``FIT_ROWS`` of each
 label, chosen by hash) and :func:`drawn_findings` adds seeded ones in published key
 formats and common decoys, so that formats the corpus lacks are known too. Only
 the fit works on a bounded sample; dictionary and letter pairs are counted over
 all documents, and every document is scanned whole.
 
-Findings carry place, length and SHA-256 of a value, never the value itself.
+Findings carry place, length and SHA-256 of a value, never the value itself;
+what a fit hands on from the tasks are feature vectors and labels.
 
 Defined cases: NULL and empty texts have no findings; a NULL source is an empty
 path; repeated rows give repeated findings; overlapping candidates are joined
@@ -49,14 +52,37 @@ MARK = "[SECRET]"
 
 NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "accesskey",
          "private_key", "credential", "auth")
-ASSIGNED = re.compile(r"(?i)[\w-]*(?:" + "|".join(NAMES) + r")[\w-]*[\"']?\s*(?::=|=>|[:=])\s*(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|([^\s\"',;]{6,}))")
+NAME = re.compile("(?i)" + "|".join(NAMES))
+NAME_END = re.compile(r"[\w-]*")
+VALUE = re.compile(r"[\"']?\s*(?::=|=>|[:=])\s*(?:\"([^\"\s]{6,})\"|'([^'\s]{6,})'|([^\s\"',;]{6,}))")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?-----END [A-Z ]*PRIVATE KEY-----", re.S)
-DECOYS = re.compile(r"(?i)example|sample|dummy|placeholder|change.?me|your[_-]|xxxx|redacted|<|\$\{|test[_-]?key|0000|1234567")
+ADDRESS = re.compile(r"[^\s/?#@:]{0,128}:([^\s/?#@]{3,256})@(?=[\w\[])")
+KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]{0,40}?PRIVATE KEY(?: BLOCK)?-----")
+#: What follows a BEGIN line that has no END: lines of key material and of headers.
+KEY_BODY = re.compile(r"(?:\s+(?:[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z-]{1,30}: [^\n]{0,200}))*(?:\s+[A-Za-z0-9+/]{1,15}={1,2})?")
+DECOYS = re.compile(r"(?i)example|sample|dummy|placeholder|change.?me|your[_-]|xxxx|redacted|\*\*\*|<|\$\{|test[_-]?key")
+PLAIN = re.compile(r"[0-9._-]*(?:0000|1234567)[0-9._-]*|password|secret")
 NEAR = re.compile(r"\w+")
 CONTEXT = 48
 
 
+def is_decoy(value: str) -> bool:
+    """A stand-in for a secret: one that says so, or digits in a row and nothing else."""
+    return bool(DECOYS.search(value) or PLAIN.fullmatch(value.lower()))
+
+
+def key_blocks(text: str) -> list[tuple[int, int, str]]:
+    """Private key blocks; one without an END reaches as far as lines of key material do."""
+    marks = list(KEY_MARK.finditer(text))
+    out = []
+    for own, after in zip(marks, [*marks[1:], None], strict=True):
+        if own[1] == "BEGIN":
+            closed = after is not None and after[1] == "END"
+            end = after.end() if closed else KEY_BODY.match(text, own.end(), after.start() if after else len(text)).end()
+            out.append((own.start(), end, "block"))
+    return out
+
+
 def candidates(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, rule) of each candidate, in order, without overlaps."""
     if not text:
@@ -64,11 +90,23 @@ def candidates(text: str | None) -> list[tuple[int, int, str]]:
     found = []
     small = text.lower()
     if any(n in small for n in NAMES):
-        for m in ASSIGNED.finditer(text):
-            g = m.lastindex
-            found.append((*m.span(g), "assigned"))
-    if "PRIVATE KEY-----" in text:
-        found += [(*m.span(), "block") for m in BLOCK.finditer(text)]
+        name = NAME.search(text)
+        while name:
+            # The word that holds the name is read to its end once, then a value after it.
+            at = NAME_END.match(text, name.end()).end()
+            value = VALUE.match(text, at)
+            if value:
+                found.append((*value.span(value.lastindex), "assigned"))
+                at = value.end()
+            name = NAME.search(text, at)
+    at = text.find("://")
+    while at >= 0:
+        password = ADDRESS.match(text, at + 3)
+        if password:
+            found.append((*password.span(1), "url"))
+        at = text.find("://", at + 3)
+    if "PRIVATE KEY" in text:
+        found += key_blocks(text)
     at = 0
     for word in text.split():
         if len(word) >= 16:
@@ -119,6 +157,11 @@ def corpus_counts(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     return [w for w, _ in sorted(top, key=lambda e: (-e[1], e[0]))], pairs
 
 
+#: Digits, capitals, small letters, other ASCII and all else; hex digits.
+KINDS = np.array([0 if chr(c).isdigit() else 1 if chr(c).isupper() else 2 if chr(c).islower() else 3 for c in range(128)] + [4])
+HEX = np.array([chr(c) in string.hexdigits for c in range(128)] + [False])
+
+
 class Features:
     """Turns candidates into vectors, given the corpus counts."""
 
@@ -147,8 +190,10 @@ class Features:
 
     def vector(self, value: str, before: str, after: str, rule: str, source: str | None) -> list[float]:
         n = len(value)
-        kinds = [0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3 for c in value]
-        tally = Counter(value)
+        points = np.minimum(np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4"), 128)
+        kinds = KINDS[points]
+        shares = np.bincount(kinds, minlength=5) / n
+        tally = np.unique(np.frombuffer(value.encode("utf-32-le", "surrogatepass"), "<u4"), return_counts=True)[1] / n
         small = value.lower()
         raw = np.frombuffer(small.encode("utf-8", "replace"), np.uint8)
         surprise = float(self.cost[raw[:-1], raw[1:]].mean()) if len(raw) > 1 else 0.0
@@ -156,12 +201,11 @@ class Features:
         near = [w.lower() for w in NEAR.findall(before[-CONTEXT:])][-3:]
         named = any(name in w for w in near for name in NAMES)
         in_path = before[-1:] in ("/", "\\") or after[:1] in ("/", "\\") or value.count("/") > 1 or bool(re.match(r"\.\w{1,5}\b", after))
-        entropy = -sum(c / n * math.log2(c / n) for c in tally.values())
-        return [n, kinds.count(0) / n, kinds.count(1) / n, kinds.count(2) / n, kinds.count(3) / n,
-                sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1), surprise, entropy,
-                sum(known) / n, max(known, default=0), len(tally) / n, float(all(c in string.hexdigits for c in value)),
-                float(rule != "run"), float(before[-1:] in ("'", '"')), float(named), float(bool(DECOYS.search(value))),
-                float(in_path), (source or "").count("/"), len(near), sum(not c.isalnum() for c in value) / n]
+        return [n, shares[0], shares[1], shares[2], shares[3] + shares[4],
+                float(np.count_nonzero(kinds[1:] != kinds[:-1])) / max(1, n - 1), surprise, float(-(tally * np.log2(tally)).sum()),
+                sum(known) / n, max(known, default=0), len(tally) / n, float(HEX[points].all()),
+                float(rule != "run"), float(before[-1:] in ("'", '"')), float(named or rule == "url"), float(is_decoy(value)),
+                float(in_path and rule != "url"), (source or "").count("/"), len(near), shares[3]]
 
     def rows(self, text: str, source: str | None, found: list[tuple[int, int, str]]) -> list[list[float]]:
         return [self.vector(text[a:b], text[max(0, a - CONTEXT):a], text[b:b + CONTEXT], rule, source) for a, b, rule in found]
@@ -221,38 +265,46 @@ class Forest:
 
 def rule_label(value: str, before: str, rule: str) -> int | None:
     """1 or 0 where the finding alone leaves no doubt, else None."""
-    if DECOYS.search(value) or len(set(value)) <= 4:
+    if rule == "block":
+        return 1
+    if is_decoy(value) or len(set(value)) <= 4:
         return 0
     has_digit, letters = any(c.isdigit() for c in value), [c for c in value if c.isalpha()]
-    if rule == "block" or rule == "assigned" and has_digit and len(value) >= 16 and letters:
+    if has_digit and letters and (rule == "assigned" and len(value) >= 16 or rule == "url" and len(value) >= 8):
         return 1
     if rule == "run" and not has_digit and "".join(letters).strip("=") == value.replace("-", ""):
         return 0
     return None
 
 
-def labelled_findings(docs: DataFrame, rows: int = FIT_ROWS) -> list[tuple]:
-    """(value, before, after, rule, source, label) of corpus findings that rules can label, at most ``rows`` of each label."""
+def labelled_vectors(docs: DataFrame, features: Features, rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors and labels of corpus findings that rules can label, at most ``rows`` of each label.
+
+    Vectors are made in the tasks: no value leaves them.
+    """
+    own = tuned(docs.sparkSession).sparkContext.broadcast(features)
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["value", "before", "after", "rule", "source", "label"]
         for batch in batches:
-            out = []
+            labels, picks, vectors = [], [], []
             for source, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = text.as_py()
                 for a, b, rule in candidates(text):
                     before = text[max(0, a - CONTEXT):a]
                     label = rule_label(text[a:b], before, rule)
                     if label is not None:
-                        out.append((text[a:b], before, text[b:b + CONTEXT], rule, source, label))
-            columns = list(zip(*out, strict=True)) if out else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.string()) for c in columns[:5]), pa.array(columns[5], pa.int32())], names=names)
+                        after = text[b:b + CONTEXT]
+                        digest = hashlib.sha256(text_bytes("\0".join((text[a:b], before, after, source or "")))).digest()
+                        labels.append(label)
+                        picks.append(int.from_bytes(digest[:8], "big", signed=True))
+                        vectors.append(own.value.vector(text[a:b], before, after, rule, source))
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(picks, pa.int64()), pa.array(vectors, pa.list_(pa.float64()))],
+                                             names=["label", "pick", "vector"])
 
-    found = docs.select("source", "text").mapInArrow(
-        work, "value string, before string, after string, rule string, source string, label int")
-    found = materialise(found, "labelled")
-    return [tuple(r) for label in (0, 1) for r in bounded_sample(
-        found.where(F.col("label") == label), F.xxhash64("value", "before", "after", "source"), rows).collect()]
+    found = materialise(docs.select("source", "text").mapInArrow(work, "label int, pick long, vector array<double>"), "labelled")
+    drawn = [r for label in (0, 1) for r in bounded_sample(found.where(F.col("label") == label), F.xxhash64("pick"), rows).collect()]
+    drawn.sort(key=lambda r: (r["label"], r["pick"], r["vector"]))
+    return (np.array([r["vector"] for r in drawn], float).reshape(-1, len(Features.names)), np.array([r["label"] for r in drawn], float))
 
 
 def drawn_findings(words: list[str], n: int = 150, seed: int = 0) -> list[tuple]:
@@ -268,7 +320,9 @@ def drawn_findings(words: list[str], n: int = 150, seed: int = 0) -> list[tuple]
         lambda: (f"{word()} ", "AKIA" + pick(string.ascii_uppercase + string.digits, 16), " ", "run"),
         lambda: (f"{word()} ", rng.choice(("ghp_", "gho_")) + pick(alnum, 36), " ", "run"),
         lambda: (f"{word()} ", rng.choice(("sk_live_", "xoxb-")) + pick(alnum, 28), "\n", "run"),
-        lambda: ("password=", pick(alnum + "!@#%", rng.randint(10, 18)), " ", "assigned")]
+        lambda: ("password=", pick(alnum + "!@#%", rng.randint(10, 18)), " ", "assigned"),
+        lambda: (f"{rng.choice(('postgres', 'https', 'amqp', 'mysql'))}://{word()}:", pick(alnum + "!$", rng.randint(6, 20)), f"@{word()}.", "url"),
+        lambda: (f"{word()} ", "-----BEGIN PRIVATE KEY-----" + "".join("\n" + pick(alnum + "+/", 64) for _ in range(rng.randint(1, 20))), "\n", "block")]
     decoys = [
         lambda: (f"{word()} ", "".join(word() for _ in range(4))[:30].ljust(16, "e"), " ", "run"),
         lambda: (f"{word()} ", "-".join(word() for _ in range(4)), ".", "run"),
@@ -276,7 +330,8 @@ def drawn_findings(words: list[str], n: int = 150, seed: int = 0) -> list[tuple]
         lambda: (f"{rng.choice(NAMES)}: ", rng.choice(("your_api_key_here", "changeme123456", "<token-here>", "xxxxxxxxxxxxxxxx", "${SECRET_KEY}")), " ", "assigned"),
         lambda: (f"{rng.choice(NAMES)} = ", f"{word()}_{word()}", " ", "assigned"),
         lambda: (f"{word()} ", rng.choice("=-_") * rng.randint(16, 60), "\n", "run"),
-        lambda: (f"{word()} ", pick(string.digits, rng.randint(16, 20)), " ", "run")]
+        lambda: (f"{word()} ", pick(string.digits, rng.randint(16, 20)), " ", "run"),
+        lambda: (f"https://{word()}:", rng.choice(("password", "secret", "***", "<password>", "${PASS}", "xxxxxx")), f"@{word()}.", "url")]
     out = []
     for label, makers in ((1, secrets), (0, decoys)):
         for make in makers:
@@ -300,16 +355,23 @@ class Scanner:
         return [(a, b, rule, float(s)) for (a, b, rule), s in zip(found, scores, strict=True)]
 
 
+def vectors_of(findings: list[tuple], features: Features) -> tuple[np.ndarray, np.ndarray]:
+    x = [features.vector(v, b, a, r, s) for v, b, a, r, s, _ in findings]
+    return np.array(x, float).reshape(-1, len(Features.names)), np.array([f[5] for f in findings], float)
+
+
 def train(findings: list[tuple], words: list[str], pairs: np.ndarray) -> Scanner:
+    """A scanner trained from labelled findings ``(value, before, after, rule, source, label)``."""
     features = Features(words, pairs)
-    x = np.array([features.vector(v, b, a, r, s) for v, b, a, r, s, _ in findings], float).reshape(-1, len(Features.names))
-    return Scanner(features, Forest().fit(x, np.array([f[5] for f in findings], float)))
+    return Scanner(features, Forest().fit(*vectors_of(findings, features)))
 
 
 def fit(docs: DataFrame) -> Scanner:
     """A scanner trained from the findings of ``docs`` that rules can label, and drawn ones."""
     words, pairs = corpus_counts(docs)
-    return train(labelled_findings(docs) + drawn_findings(words), words, pairs)
+    features = Features(words, pairs)
+    x, y = zip(labelled_vectors(docs, features), vectors_of(drawn_findings(words), features), strict=True)
+    return Scanner(features, Forest().fit(np.concatenate(x), np.concatenate(y)))
 
 
 def findings(docs: DataFrame, scanner: Scanner | None = None) -> DataFrame:
