@@ -111,16 +111,24 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def without(docs: DataFrame, bad: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def without(docs: DataFrame, bad: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, also: dict[str, str] | None = None) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` and text hash aren't in ``bad`` (columns ``doc_id, text_hash``).
 
-    ``bad`` is written first and counted: below ``broadcast_bytes`` it is sent
+    ``also`` names further columns of ``bad`` and the columns of ``docs`` whose text they must equal.
+    ``bad`` is written first and measured: below ``broadcast_bytes`` it is sent
     to the executors, beyond that the planner joins by a shuffle.
     """
-    bad = materialise(bad.select(F.col("doc_id").cast("long").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "rejected")
-    if bad.count() * 64 <= broadcast_bytes:
+    also = also or {}
+    more = [F.col(c).cast("string").alias(f"__also{i}") for i, c in enumerate(also)]
+    bad = materialise(bad.select(F.col("doc_id").cast("long").alias("__id"), F.col("text_hash").alias("__hash"), *more).distinct(), "rejected")
+    size = F.lit(64)
+    for i in range(len(also)):
+        size = size + F.coalesce(F.octet_length(f"__also{i}"), F.lit(0))
+    if (bad.agg(F.sum(size)).first()[0] or 0) <= broadcast_bytes:
         bad = F.broadcast(bad)
     same = docs["doc_id"].cast("long").eqNullSafe(bad["__id"]) & (text_hash(docs["text"]) == bad["__hash"])
+    for i, column in enumerate(also.values()):
+        same = same & docs[column].cast("string").eqNullSafe(bad[f"__also{i}"])
     return docs.join(bad, same, "left_anti")
 
 

@@ -24,9 +24,9 @@ them as they are, but for the text and ``n_chars`` of cleaned documents).
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -47,16 +47,18 @@ def repeated_words(words: list, width: int = WINDOW) -> int:
     n = len(words) - width + 1
     if n < 2:
         return 0
-    windows = list(zip(*(words[i: i + n] for i in range(width)), strict=True))
-    if len(set(windows)) == n:
+    number: dict = {}
+    codes = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    if len(number) > len(words) - 1:
         return 0
-    seen = Counter(windows)
-    total, upto = 0, 0
-    for i, w in enumerate(windows):
-        if seen[w] > 1:
-            total += i + width - max(i, upto)
-            upto = i + width
-    return total
+    # Windows are numbered from shorter ones and their next word, so equal numbers are equal windows.
+    windows = codes
+    for k in range(1, width):
+        windows = np.unique(windows[:len(words) - k] << 32 | codes[k:], return_inverse=True)[1]
+    again = np.bincount(windows)[windows] > 1
+    starts = np.concatenate([[0], np.cumsum(again)])
+    place = np.arange(len(words))
+    return int(np.count_nonzero(starts[np.minimum(place + 1, n)] > starts[np.maximum(0, place - width + 1)]))
 
 
 def line_hash(words: list[bytes]) -> int:
@@ -133,10 +135,10 @@ def judge(docs: DataFrame, **limits) -> DataFrame:
 def keep_documents(docs: DataFrame, **limits) -> DataFrame:
     """The documents that :func:`judge` keeps, with all their columns.
 
-    A verdict depends on host and text; of documents with equal id and text in
-    several hosts, one rejection rejects all.
+    A verdict depends on host and text, so a document stays in a host that
+    keeps it although another host's copy goes.
     """
-    return without(docs, judge(docs, **limits).where(~F.col("kept")))
+    return without(docs, judged(docs, **limits).where(~F.col("kept")), also={"host": "source"})
 
 
 def without_lines(text: str, removed: set[int]) -> str:
@@ -155,7 +157,7 @@ def clean_documents(docs: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **l
     copies of a text are no hot key.
     """
     verdicts = materialise(judged(docs, **limits).select("doc_id", "host", "text_hash", "kept", "removed"), "verdicts")
-    kept = without(docs, verdicts.where(~F.col("kept")))
+    kept = without(docs, verdicts.where(~F.col("kept")), also={"host": "source"})
     cuts = (verdicts.where("kept and removed is not null").dropDuplicates(["doc_id", "host", "text_hash"])
             .select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("text_hash").alias("__hash"), F.col("removed").alias("__cut")))
     if (cuts.agg(F.sum(64 + F.octet_length(F.coalesce("__host", F.lit(""))) + 8 * F.size("__cut"))).first()[0] or 0) <= broadcast_bytes:

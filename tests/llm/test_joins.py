@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -130,6 +131,41 @@ def test_vantage_trees_lose_no_link(spark, monkeypatch):
     assert pairs == {(a, b) for a in points for b in points if (a ^ b).bit_count() <= 3}
 
 
+def near_points(n=40):
+    rng = np.random.default_rng(5)
+    points = set()
+    for s in map(int, rng.integers(0, 1 << 63, n, dtype=np.uint64)):
+        for _ in range(25):
+            points.add(s)
+            s ^= 1 << int(rng.integers(64))
+    return points
+
+
+def test_shards_are_split_pass_by_pass(spark, monkeypatch):
+    for name, value in (("SHARD_ROWS", 20), ("LEAF_ROWS", 8), ("FANOUT", 3), ("FULL", 2), ("ROUTE_ROWS", 150), ("SAMPLE", 200)):
+        monkeypatch.setattr(simhash, name, value)
+    points = near_points()
+    distinct = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in points], "fp long").repartition(3)
+    sent = simhash.shards_of(distinct, 2)
+    counts = sent.groupBy("shard").agg(F.count(F.when(F.col("home"), 1)).alias("n")).collect()
+    assert max(r.n for r in counts) <= 40 and sum(r.n for r in counts) == len(points) and len(counts) > 9  # more than two passes' worth
+    found = {r.node % 2**64: r.root % 2**64 for r in simhash.components(simhash.links(distinct, 2)).collect()}
+    expected = linked(points, 2)
+    groups = lambda of: sorted(sorted(p for p in points if of(p) == r) for r in {of(p) for p in points})
+    assert groups(lambda p: found.get(p, p)) == groups(expected.get)
+
+
+@pytest.mark.parametrize("shards, before", [(125, 9.5), (512, 18), (4_096, 47)])
+def test_copies_over_borders(shards, before):
+    """Random fingerprints are the worst case; ``before`` is what sending both ways cost."""
+    points = np.sort(np.random.default_rng(0).integers(0, 1 << 63, 65_536, dtype=np.uint64) * np.uint64(2))
+    tree = simhash.grow(points, shards, 2)
+    index, shard, home = simhash.route(tree, points, 2)
+    copies = len(index) / len(points)
+    print(f"{shards} shards: {copies:.1f} copies a row, {before} before")
+    assert home.sum() == len(points) and copies < 0.6 * before
+
+
 def measures(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
@@ -226,7 +262,8 @@ def test_sharding(spark, monkeypatch):
 
 
 def test_archives(spark, monkeypatch):
-    monkeypatch.setattr(warc, "RECORDS_A_FILE", 7)
+    for name, value in (("ARCHIVE_BYTES", 4_000), ("RANGE_ROWS", 9), ("MERGED_ROWS", 4)):
+        monkeypatch.setattr(warc, name, value)
     rows = [(i, f"http://www.a.example/{i % 7}", f"x{i % 5}") for i in range(60)]
     rows += [(100, None, None), (101, "u v", ""), (102, "::", "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"), (None, "http://q", ""),
              (101, "u v", ""), (103, "http://[bad", "é" * 100_000), (104, "http://b\r\nWARC-Type: x", "y")]
@@ -241,11 +278,22 @@ def test_archives(spark, monkeypatch):
                          "response" if i == last else "revisit", None if i == last else last))
     got = warc.capture_histories(pages)
     assert tuples(got, "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == sorted(expected, key=repr)
-    order = [(r.url_key, r.captured) for r in got.orderBy("shard", "place").collect()]
+    index = got.orderBy("shard", "place").collect()
+    order = [(r.url_key, r.captured) for r in index]
     assert order == sorted(order)
+    assert len({r.shard for r in index}) >= 5 and len({r.archive for r in index}) >= 10  # ranges and archives by size
     assert warc.capture_histories(pages.limit(0)).count() == 0
 
 
+def test_archives_are_rolled_by_bytes(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 60_000)
+    rows = [(i, f"http://a/{i}", chr(65 + i % 26) * (i % 9) * 1_000 + str(i)) for i in range(200)] + [(500, "http://b", "z" * 300_000)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "a"))
+    sizes = [len(gzip.decompress(f.read_bytes())) for f in (tmp_path / "a").glob("part-*")]
+    assert len(sizes) > 10 and sorted(sizes)[-2] < 90_000 and max(sizes) > 300_000
+    assert warc.read_archives(spark, str(tmp_path / "a")).count() == len(rows)
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 16])
 def test_loser_tree(k):
     rng = random.Random(k)
