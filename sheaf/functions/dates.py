@@ -65,7 +65,7 @@ def check_range(start: str, end: str) -> tuple[date, date]:
 def range_date_col(value: Column | str) -> Column:
     """F6 as a column: unpadded month/day accepted, impossible dates → NULL."""
     value = F.col(value) if isinstance(value, str) else value
-    return F.when(value.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), value.try_cast("date"))
+    return F.when(value.rlike(r"\A\d{4}-\d{1,2}-\d{1,2}\z"), value.try_cast("date"))
 
 
 def day_string(d: Column | str) -> Column:
@@ -90,8 +90,8 @@ def period_threshold_col(period: Column | str, as_of: datetime) -> Column:
     so that a request table can quarantine the row instead of failing."""
     p = F.col(period) if isinstance(period, str) else period
     base = epoch_seconds(as_of)
-    hours = F.regexp_extract(p, r"^(\d+)h$", 1).try_cast("double")
+    hours = F.regexp_extract(p, r"\A([0-9]+)h\z", 1).try_cast("double")
     day = F.try_to_date(p, "yyyy-MM-dd")
     return (F.when(p.isNull() | (p == ""), F.lit(base - 3600.0))
-            .when(p.rlike(r"^\d+h$"), F.lit(base) - hours * 3600.0)
-            .when(p.rlike(r"^\d{4}-\d{2}-\d{2}$"), epoch_seconds_col(day.cast("timestamp_ntz"))))
+            .when(p.rlike(r"\A[0-9]+h\z"), F.lit(base) - hours * 3600.0)
+            .when(p.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), epoch_seconds_col(day.cast("timestamp_ntz"))))

@@ -1,13 +1,19 @@
 """JSON payload expressions of stored points.
 
-All of them are native Spark expressions: the JSON text is parsed inside the
-JVM, once per expression, with no Python in the plan.
+A payload is read as the service reads it: by Python's JSON parser, which takes
+repeated keys (the last one counts) and ``NaN``, and nothing after the value.
+One Arrow batch call parses a node once; every expression below reads its
+fields from that result (equal calls in one projection are one call).
 """
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # These strings must equal the reference's outputs.
 SUMMARY_NOT_FOUND = "Summary text not found"
@@ -19,27 +25,59 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def is_json(node: Column | str) -> Column:
-    """the whole text is one JSON value (bad or NULL input gives False).
+PARTS = pa.struct([("kind", pa.string()), ("has_text", pa.bool_()), ("text", pa.string()), ("has_metadata", pa.bool_()), ("author", pa.string())])
 
-    The parser stops after the first value, so the text is parsed as the only
-    element of an array and as the only field of an object: whatever follows
-    the value breaks one of them.
-    """
-    element = F.try_parse_json(F.concat(F.lit("["), _c(node), F.lit("]")))
-    field = F.try_parse_json(F.concat(F.lit('{"v":'), _c(node), F.lit("}")))
-    alone = F.size(F.try_variant_get(element, "$", "array<variant>")) == 1
-    return F.coalesce(alone & field.isNotNull(), F.lit(False))
+
+def _as_text(value) -> str | None:
+    """A JSON value as text: strings as they are (half characters replaced), None as None, others as JSON."""
+    if value is None:
+        return None
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    return text.encode("utf-8", "replace").decode()
+
+
+def read_node(node: str | None) -> dict | None:
+    """What the expressions need of a node; None if it isn't one JSON value."""
+    try:
+        value = json.loads(node)
+    except (TypeError, ValueError, RecursionError):
+        return None
+    if not isinstance(value, dict):
+        return {"kind": "other", "has_text": False, "has_metadata": False}
+    metadata = value.get("metadata")
+    return {"kind": "object", "has_text": "text" in value, "text": _as_text(value.get("text")), "has_metadata": isinstance(metadata, dict),
+            "author": _as_text(metadata.get("author")) if isinstance(metadata, dict) else None}
+
+
+@F.arrow_udf(T.StructType([T.StructField(f.name, T.BooleanType() if f.type == pa.bool_() else T.StringType()) for f in PARTS]))
+def _parts(nodes: pa.Array) -> pa.Array:
+    return pa.array([read_node(node) for node in nodes.to_pylist()], PARTS)
 
 
-def object_keys(node: Column | str) -> Column:
-    """Top-level keys when the text is a JSON object, else NULL."""
-    return F.json_object_keys(_c(node))
+@F.arrow_udf(T.StringType())
+def _canonical(nodes: pa.Array) -> pa.Array:
+    def plain(node):
+        try:
+            # Numbers that JSON lacks are null; of repeated keys the last one stays.
+            return json.dumps(json.loads(node, parse_constant=lambda name: None)).encode("utf-8", "replace").decode()
+        except (TypeError, ValueError, RecursionError):
+            return None
+    return pa.array([plain(node) for node in nodes.to_pylist()], pa.string())
 
 
-def has_key(node: Column | str, key: str) -> Column:
-    """Key presence (not a null test): ``{"text": null}`` has the key."""
-    return F.coalesce(F.array_contains(object_keys(node), F.lit(key)), F.lit(False))
+def node_parts(node: Column | str) -> Column:
+    """``struct<kind, has_text, text, has_metadata, author>`` of a node; NULL for bad JSON and NULL."""
+    return _parts(_c(node))
+
+
+def is_json(node: Column | str) -> Column:
+    """the whole text is one JSON value (bad or NULL input gives False)."""
+    return node_parts(node)["kind"].isNotNull()
+
+
+def parsed_content(node: Column | str) -> Column:
+    """The parsed value as a VARIANT (of repeated keys the last; ``NaN`` and infinities as null)."""
+    return F.try_parse_json(_canonical(_c(node)))
 
 
 def summary_text(node: Column | str) -> Column:
@@ -47,9 +85,8 @@ def summary_text(node: Column | str) -> Column:
 
     Only meaningful where ``is_json`` holds; callers route bad JSON (F3) first.
     """
-    node = _c(node)
-    return F.when(has_key(node, "text"), F.get_json_object(node, "$.text")) \
-        .otherwise(F.lit(SUMMARY_NOT_FOUND))
+    parts = node_parts(node)
+    return F.when(parts["has_text"], parts["text"]).otherwise(F.lit(SUMMARY_NOT_FOUND))
 
 
 def digest_line(node: Column | str) -> Column:
@@ -59,9 +96,13 @@ def digest_line(node: Column | str) -> Column:
     F4: a node without ``metadata`` counts as having no author (the reference
     raises for the whole digest there; documented deviation).
     """
-    node = _c(node)
-    text = F.get_json_object(node, "$.text")
+    parts = node_parts(node)
     # A null author counts as none, so that its text isn't lost.
-    author = F.get_json_object(node, "$.metadata.author")
-    line = F.when(author.isNotNull(), F.concat(author, F.lit(": "), text)).otherwise(text)
-    return F.when(is_json(node) & has_key(node, "text"), line)
+    line = F.when(parts["author"].isNotNull(), F.concat(parts["author"], F.lit(": "), parts["text"])).otherwise(parts["text"])
+    return F.when(F.coalesce(parts["has_text"], F.lit(False)), line)
+
+
+def lacks_metadata(node: Column | str) -> Column:
+    """the node has a text but no ``metadata`` object."""
+    parts = node_parts(node)
+    return F.coalesce(parts["has_text"] & ~parts["has_metadata"], F.lit(False))

@@ -1,8 +1,8 @@
-"""Text expressions: whitespace, HTML title/text, links.
+"""Text expressions: whitespace, addresses and links (F10, F14; page markup is in ``html.py``).
 
-Patterns run JVM-side. Character references and URL joining follow the HTML
-and URL standards with their long tables and rules, so these two go through
-Arrow batches (one call per batch, the standard library's functions per value).
+Patterns run JVM-side. URL joining follows the standard with its long rules, so
+it goes through Arrow batches (one call per batch, the standard library's
+functions per value).
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 # Characters Python's str.strip() removes that also count as text breaks here.
 WS = r"[ \t\n\r\f\x0B\x{1C}-\x{1F}\x{85}\x{A0}\x{2028}\x{2029}\x{3000}]"
-HTML_WS = r"[ \t\n\r\f\x0B]+"
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -35,53 +34,6 @@ def http_url(c) -> Column:
     return F.coalesce(c.startswith("http://") | c.startswith("https://"), F.lit(False))
 
 
-def decode_entities(c) -> Column:
-    """Named and numeric character references as characters, one level (``&amp;lt;`` gives ``&lt;``)."""
-    @F.arrow_udf("string")
-    def unescape(values: pa.Array) -> pa.Array:
-        return pa.array([v if v is None or "&" not in v else _html.unescape(v) for v in values.to_pylist()], pa.string())
-    return unescape(_c(c))
-
-
-def collapse_ws(c) -> Column:
-    return F.trim(F.regexp_replace(_c(c), HTML_WS, " "))
-
-
-def plain_text(c) -> Column:
-    """Character references decoded, no-break spaces as spaces, white space collapsed."""
-    return collapse_ws(F.translate(decode_entities(c), "\u00a0", " "))
-
-
-def html_title(html) -> Column:
-    """text of the first ``<title>``, entities decoded, whitespace collapsed."""
-    t = F.regexp_extract(_c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return plain_text(t)
-
-
-def html_text(html) -> Column:
-    """visible body text, approximated without a browser: everything
-    outside ``<body>`` and all script, style and comment content dropped,
-    tags turned into spaces, entities decoded, whitespace collapsed."""
-    t = _c(html)
-    t = F.regexp_replace(t, r"(?is)^.*?<body[^>]*>", "")
-    t = F.regexp_replace(t, r"(?is)</body>.*$", "")
-    t = F.regexp_replace(t, r"(?is)<script[^>]*>.*?</script>", " ")
-    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
-    t = F.regexp_replace(t, r"(?s)<!--.*?-->", " ")
-    t = F.regexp_replace(t, r"<[^>]*>", " ")
-    return plain_text(t)
-
-
-# An anchor's href attribute: double or single quotes, spaces around "=",
-# any other attributes before it (but not an attribute merely ending in "href").
-HREF_PATTERN = r"""(?i)<a(?:[ \t\n\r\f][^>]*?)?[ \t\n\r\f]href[ \t\n\r\f]*=[ \t\n\r\f]*["']([^"'>]*)["']"""
-
-
-def hrefs(html) -> Column:
-    """``href`` values of anchors, in document order (array)."""
-    return F.regexp_extract_all(_c(html), F.lit(HREF_PATTERN), 1)
-
-
 def join_url(base: str | None, href: str | None) -> str | None:
     """The web address that ``href`` names on page ``base``, without fragment; None if it names none."""
     href = (href or "").strip()

@@ -7,7 +7,9 @@ then handed to a model. Here any number of requests is answered by one job:
 the recent points are filtered once (``createdAt > threshold`` is pushed into
 a stored ``points`` scan), limited per collection map-side
 (``WindowGroupLimit``) and aggregated per collection. Requests may each have a
-period of their own; the key is then (collection, threshold).
+period of their own; points then go to the buckets between a collection's
+sorted thresholds, and only what the limit leaves of a bucket is ever copied
+to the periods that reach back to it (:func:`digest_requests`).
 """
 
 from __future__ import annotations
@@ -15,13 +17,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import epoch_seconds, period_threshold, period_threshold_col
 from ..functions.names import digest_collection
-from ..functions.payload import NO_RECENT_DATA, NO_TEXT_CONTENT, digest_line, has_key, is_json
+from ..functions.payload import NO_RECENT_DATA, NO_TEXT_CONTENT, digest_line, lacks_metadata
 from ..quality import REASON, first_reason
+from ..session import scratch_path
 from .summaries import limit_report, top_per_key
 
 DIGEST_LIMIT = 500  # points per digest (the search limit of the reference)
@@ -61,31 +64,71 @@ def resolve_requests(requests: DataFrame) -> DataFrame:
             .withColumn(REASON, first_reason([(name.isNull(), "no_collection")])))
 
 
-def recent_by_request(points: DataFrame, req: DataFrame) -> DataFrame:
-    """J5 + W9: the points newer than each distinct (collection, threshold) of the valid requests.
+def bucket_of(value: Column, bounds: Column) -> Column:
+    """How many of the ascending ``bounds`` lie below ``value``, less one (binary search): -1 if none does."""
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(bounds) + F.lit(1))).cast("int"))
 
-    An equi join on the collection with the threshold as its condition, so
-    requests of one collection with the same period share their points.
+    def step(found: Column, _: Column) -> Column:
+        lo, hi = found["lo"], found["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        above = F.get(bounds, mid) < value
+        return F.when(lo >= hi, found).otherwise(F.struct(F.when(above, mid + 1).otherwise(lo).alias("lo"),
+                                                          F.when(above, hi).otherwise(mid).alias("hi")))
+
+    return F.aggregate(steps, start, step)["lo"] - 1
+
+
+def recent_by_request(points: DataFrame, req: DataFrame, limit: int) -> DataFrame:
+    """J5 + W9 + L2: for each distinct (collection, threshold) of the valid requests its first ``limit`` newer points.
+
+    A collection's thresholds, sorted, bound its buckets; each point goes to
+    one bucket and tasks keep the ``limit`` least ids of every bucket. Buckets
+    are merged in pairs, pairs of pairs and so on, keeping the limit at each
+    step, and a threshold takes the few blocks that together hold all buckets
+    from its own on. So a point that the limit leaves out is never copied,
+    however many periods ask for it, and what is copied follows the buckets.
     """
-    wanted = req.filter(F.col(REASON).isNull()).select("collection", "threshold").distinct()
-    return (points.select("collection", "point_id", "createdAt", "_node_content").join(wanted, "collection")
-            .filter(F.col("createdAt") > F.col("threshold"))
-            .select("collection", "threshold", "point_id", "_node_content"))
+    spark = points.sparkSession
+    asked = req.filter(F.col(REASON).isNull()).select("collection", "threshold").distinct()
+    bounds = asked.groupBy("collection").agg(F.array_sort(F.collect_list("threshold")).alias("bounds"))
+    least = asked.agg(F.min("threshold")).first()[0]
+    newer = points.filter(F.col("createdAt") > F.lit(least)) if least is not None else points.limit(0)
+    own = (newer.select("collection", "point_id", "createdAt", "_node_content").join(bounds, "collection")
+           .filter(F.col("createdAt") > F.get("bounds", F.lit(0)))
+           .select("collection", bucket_of(F.col("createdAt"), F.col("bounds")).alias("bucket"), "point_id", "_node_content",
+                   F.size("bounds").alias("n")))
+    path = scratch_path(spark, "buckets")
+    top_per_key(own, ["collection", "bucket"], "point_id", limit).withColumn("row", F.monotonically_increasing_id()).write.parquet(path)
+    kept = spark.read.parquet(path)
+
+    top = F.ceil(F.log2(F.col("n").cast("double"))).cast("int")
+    blocks = (kept.select("collection", "bucket", "point_id", "row", F.explode(F.sequence(F.lit(0), top)).alias("level"))
+              .withColumn("block", F.expr("shiftright(bucket, level)")))
+    blocks = top_per_key(blocks, ["collection", "level", "block"], ["point_id", "row"], limit)
+    reach = bounds.select("collection", F.size("bounds").alias("n"), F.posexplode("bounds").alias("i", "threshold"))
+    reach = (reach.withColumn("level", F.explode(F.sequence(F.lit(0), top)))
+             .withColumn("block", F.expr("shiftright(i + shiftleft(1, level) - 1, level)"))
+             # From ``i`` on, a level gives a block where the rounded position is odd; the top level all, for position 0.
+             .filter(F.when(F.col("level") == top, F.col("block") == 0)
+                     .otherwise((F.col("block") % 2 == 1) & (F.col("block") < F.expr("shiftleft(1, cast(ceil(log2(cast(n as double))) as int) - level)"))))
+             .select("collection", "threshold", "level", "block"))
+    found = blocks.join(reach, ["collection", "level", "block"]).select("collection", "threshold", "point_id", "row")
+    found = top_per_key(found, ["collection", "threshold"], ["point_id", "row"], limit)
+    return found.join(kept.select("row", "_node_content"), "row").drop("row")
 
 
 def strict_nodes(recent: DataFrame) -> DataFrame:
     """F4, ``strict``: the points, or a job that fails at one whose text node has no ``metadata`` object."""
     node = F.col("_node_content")
-    bad = is_json(node) & has_key(node, "text") & F.get_json_object(node, "$.metadata").isNull()
+    bad = lacks_metadata(node)
     message = F.concat(F.lit("a node without metadata: point "), F.col("point_id").cast("string"))
     return recent.withColumn("_node_content", F.when(bad, F.raise_error(message).cast("string")).otherwise(node))
 
 
-def _answers(points: DataFrame, req: DataFrame, limit: int, strict: bool) -> DataFrame:
-    """A digest for every resolved request (``collection, threshold`` and a reason for those that have no answer)."""
+def _answers(limited: DataFrame, req: DataFrame, strict: bool) -> DataFrame:
+    """A digest for every resolved request out of the points of its (``collection, threshold``)."""
     keys = ["collection", "threshold"]
-    recent = recent_by_request(points, req)
-    limited = top_per_key(recent, keys, "point_id", limit)
     if strict:
         limited = strict_nodes(limited)
     agg = aggregate_digest(limited.withColumn("line", digest_line("_node_content")), keys)
@@ -111,7 +154,9 @@ def digest_text(points: DataFrame, requests: DataFrame, threshold: float,
     ``digest`` is the joined text, or one of the two fixed sentinels.
     """
     req = resolve_requests(requests).withColumn("threshold", F.lit(threshold).cast("double"))
-    return _answers(points.filter(F.col("createdAt") > F.lit(threshold)), req, limit, strict)
+    wanted = req.filter(F.col(REASON).isNull()).select("collection", "threshold").distinct()
+    recent = recent_points(points, threshold).join(wanted, "collection")
+    return _answers(top_per_key(recent, ["collection", "threshold"], "point_id", limit), req, strict)
 
 
 def digest_requests(points: DataFrame, requests: DataFrame, as_of: datetime,
@@ -123,7 +168,7 @@ def digest_requests(points: DataFrame, requests: DataFrame, as_of: datetime,
     """
     req = resolve_requests(requests).withColumn("threshold", period_threshold_col("period", as_of).cast("double"))
     req = req.withColumn(REASON, F.coalesce(F.col(REASON), F.when(F.col("threshold").isNull(), F.lit("bad_period"))))
-    return _answers(points, req, limit, strict)
+    return _answers(recent_by_request(points, req, limit), req, strict)
 
 
 def digest_dropped(points: DataFrame, threshold: float, limit: int = DIGEST_LIMIT) -> DataFrame:

@@ -30,10 +30,11 @@ def default_doc_id(collection, text) -> Column:
     return F.sha2(F.concat_ws("\u0001", _c(collection), _c(text)), 256)
 
 
-def request_documents(requests: DataFrame) -> DataFrame:
-    """S13 + P18 + P10: single ingestion requests → documents."""
+def request_documents(requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """S13 + P18 + P10: single ingestion requests → documents (with the columns named in ``keep``)."""
     coll = ingest_collection("communityId", "collectionName", "platformId")
     return requests.select(
+        *keep,
         coll.alias("collection"),
         F.coalesce(F.col("docId"), default_doc_id(coll, F.col("text"))).alias("doc_id"),
         "text", "metadata",

@@ -1,25 +1,45 @@
-"""Collection load (K4): documents → chunks → vectors → a point store
-partitioned by collection, with the upsert of X3 applied at load time.
-
-One job for all collections: chunking is pure expressions, embedding runs
-per Arrow batch in the executors, and the write replaces only the
-collection partitions present in the batch (dynamic partition overwrite), so
-re-running a load for the same documents is idempotent.
+"""Collection load (K4, X3): documents → chunks → vectors → collections kept as a base and deltas.
+
+A store is append-only. Every load writes one *generation*: the documents that
+changed (``documents/gen=G``, partitioned by collection, with text, content
+hash and state) and the points made of them (``points/gen=G``). A state row,
+written last and under a new number, names the generations that count, oldest
+first; readers take the newest state, so a load that ends half-way leaves the
+old state readable, and two loads at once can't both succeed on one state.
+
+A document's newest generation wins on read: points of an older one are left
+out by an anti join with the documents of the later generations (small beside
+the base). A document whose new text is empty, or that a ``replace`` load
+drops, leaves a row with its state there, so nothing disappears without a
+trace. What a load writes follows the batch, not the collection;
+:func:`compact` folds all generations into a new base.
+
+One job serves all collections: chunking is pure expressions, embedding runs
+per Arrow batch in the executors.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .documents import CHUNK_SIZE, chunk_documents, content_for, content_hash
+from ..session import remove_path, scratch_path
+from .documents import CHUNK_SIZE, chunk_documents, content_for, content_hash, tokens
 from .models import EMBEDDING_DIM, embed
 from .summaries import top_per_key
 
+#: States of a stored document: its chunks are live, its text holds no token, a replacing load left it out.
+LIVE, EMPTY, DROPPED = "live", "empty", "dropped"
+
+DOCUMENTS = ("gen string, collection string, doc_id string, text string, metadata map<string,string>, "
+             "excluded_embed_keys array<string>, content_hash string, state string, loaded_by string")
+POINTS = ("gen string, collection string, doc_id string, chunk_no bigint, node_id string, n_tokens bigint, chunk_text string, "
+          "content_hash string, embedding array<float>, loaded_by string")
+
 CARRY = ["collection", "doc_id", "metadata", "excluded_embed_keys", "content_hash"]
 
 
@@ -58,72 +78,138 @@ def latest_of_batch(docs: DataFrame, sequence: str | None = None) -> DataFrame:
     return top_per_key(ready, ["collection", "doc_id"], [F.col("_order").desc(), F.col("content_hash").desc()], 1).drop("_order")
 
 
-def has_rows(spark: SparkSession, path: str) -> bool:
-    """Whether a store with at least one point is at ``path``."""
+def generations(spark: SparkSession, store: str) -> tuple[int, list[str]]:
+    """Number of the newest state, and the generations that it names, oldest first; ``(0, [])`` without a store."""
     try:
-        return not spark.read.parquet(path).isEmpty()
+        states = spark.read.schema("generations array<string>, v int").json(f"{store.rstrip('/')}/state")
     except AnalysisException:
-        return False
+        return 0, []
+    newest = states.orderBy(F.desc("v")).first()
+    return (newest["v"], list(newest["generations"])) if newest else (0, [])
+
+
+def _commit(spark: SparkSession, store: str, number: int, names: list[str]) -> None:
+    """Write the state ``number``; fails if another load wrote it first."""
+    row = spark.createDataFrame([(names,)], "generations array<string>")
+    row.coalesce(1).write.mode("errorifexists").json(f"{store}/state/v={number}")
+
+
+def _read(spark: SparkSession, store: str, kind: str, names: list[str], schema: str) -> DataFrame:
+    if not names:
+        return spark.createDataFrame([], schema)
+    root = f"{store.rstrip('/')}/{kind}"
+    return spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/gen={g}" for g in names])
+
+
+def _without_superseded(rows: DataFrame, later: DataFrame) -> DataFrame:
+    """``rows`` without those of documents that ``later`` (rows of later generations) holds in a newer one."""
+    newest = (later.groupBy("collection", "doc_id").agg(F.max("gen").alias("_newest"))
+              .select(F.col("collection").alias("_c"), F.col("doc_id").alias("_d"), "_newest"))
+    same = F.col("collection").eqNullSafe(F.col("_c")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("gen") < F.col("_newest"))
+    return rows.join(newest, same, "left_anti")
+
+
+def _live(spark: SparkSession, store: str, kind: str, schema: str, names: list[str]) -> DataFrame:
+    rows = _read(spark, store, kind, names, schema)
+    if len(names) < 2:
+        return rows
+    return _without_superseded(rows, _read(spark, store, "documents", names[1:], DOCUMENTS))
+
+
+def read_collection(spark: SparkSession, store: str) -> DataFrame:
+    """The points of the newest state: ``collection, doc_id, chunk_no, node_id, n_tokens, chunk_text, content_hash, embedding, loaded_by``."""
+    return _live(spark, store, "points", POINTS, generations(spark, store)[1]).drop("gen")
+
+
+def read_documents(spark: SparkSession, store: str) -> DataFrame:
+    """The newest row of every document ever loaded, with its ``state`` (live, empty or dropped)."""
+    return _live(spark, store, "documents", DOCUMENTS, generations(spark, store)[1]).drop("gen")
+
+
+def _changes(batch: DataFrame, stored: DataFrame, replace: bool) -> DataFrame:
+    """The documents of ``batch`` that ``stored`` doesn't hold as they are; with ``replace`` also the others of its collections, as dropped."""
+    touched = batch.select("collection").distinct()
+    held = (stored.select("collection", "doc_id", "content_hash", "state").join(touched, "collection", "left_semi")
+            .withColumnRenamed("content_hash", "_hash").withColumnRenamed("state", "_state"))
+    joined = batch.join(held, ["collection", "doc_id"], "full" if replace else "left")
+    has_tokens = F.size(tokens(F.coalesce("text", F.lit("")))) > 0
+    state = F.when(F.col("content_hash").isNull(), F.lit(DROPPED)).when(has_tokens, F.lit(LIVE)).otherwise(F.lit(EMPTY))
+    changed = F.col("_hash").isNull() | ~F.col("_hash").eqNullSafe(F.col("content_hash")) | (F.col("_state") == DROPPED)
+    joined = joined.withColumn("state", state).filter(changed & ~((F.col("state") == DROPPED) & (F.col("_state") == DROPPED)))
+    return joined.drop("_hash", "_state")
 
 
 def load_documents(docs: DataFrame, store_path: str, size: int = CHUNK_SIZE,
-                   embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM,
-                   previous: str | None = None, run: str | None = None,
-                   metrics: dict | None = None, replace: bool = False, sequence: str | None = None) -> str:
-    """K4: write the points of ``docs`` (which carry ``collection``) to
-    ``store_path``; returns the path.
-
-    The load is an upsert by document (X3) into ``previous``, or into what
-    ``store_path`` already holds: documents whose content hash equals the
-    stored one are skipped (neither chunked nor embedded again), chunks of
-    documents not in the batch are carried over, and changed or new documents
-    replace theirs. Only collections of the batch are touched in place; their
-    new state is written beside the store first, so a load that fails while
-    reading or embedding leaves it intact. ``replace=True`` drops what the
-    batch's collections held. Of several documents with one (collection,
-    doc_id) the one with the largest ``sequence`` is loaded (ties, or no
-    sequence: the largest content hash). Each chunk row records the
-    ``loaded_by`` run that embedded it.
-
-    A7: when ``metrics`` is given it receives ``chunks`` (written) and
-    ``embedded`` (chunks embedded by this run), observed during the write
-    itself (``DataFrame.observe``), without another job.
+                   embed_fn: Callable | None = None, dim: int = EMBEDDING_DIM, run: str | None = None,
+                   metrics: dict | None = None, replace: bool = False, sequence: str | None = None,
+                   compact_after: int | None = None) -> str:
+    """K4 + X3: upsert ``docs`` (which carry ``collection``) into the store; returns its path.
+
+    Documents whose content hash equals the stored one are skipped (neither
+    chunked nor embedded again); the others are written as one generation. Of
+    several documents with one (collection, doc_id) the one with the largest
+    ``sequence`` is loaded (ties, or no sequence: the largest content hash).
+    ``replace=True`` also drops what the batch's collections hold beside it.
+    With ``compact_after`` a load that leaves more generations compacts them.
+
+    A7: ``metrics`` receives ``chunks`` and ``embedded`` (both counts of what
+    this run wrote; nothing is carried over), observed during the write itself.
     """
     from ..sources.staging import run_id
-    spark = docs.sparkSession
+    spark, store = docs.sparkSession, store_path.rstrip("/")
     run = run or run_id()
-    docs = latest_of_batch(docs, sequence)
-    kept = None
-    in_place = previous is None and not replace and has_rows(spark, store_path)
-    if in_place:
-        # The batch is read twice below (its keys and its documents): stage it once.
-        staged = scratch_path(spark, "batch")
-        docs.write.parquet(staged)
-        docs = spark.read.parquet(staged)
-    if previous or in_place:
-        old = spark.read.parquet(previous or store_path)
-        if in_place:
-            old = old.join(docs.select("collection").distinct(), "collection", "left_semi")
-        # One row per stored document: its first chunk carries the hash.
-        stored = old.filter(F.col("chunk_no") == 0).select("collection", "doc_id", "content_hash")
-        docs = docs.join(stored, ["collection", "doc_id", "content_hash"], "left_anti")
-        kept = old.join(docs.select("collection", "doc_id"), ["collection", "doc_id"], "left_anti")
+    number, names = generations(spark, store)
+    gen = f"{number + 1:010d}-{uuid.uuid4().hex[:12]}"
+    staged = scratch_path(spark, "batch")  # read twice: its collections and its documents
+    latest_of_batch(docs, sequence).write.parquet(staged)
+    batch = spark.read.parquet(staged)
+    changed = _changes(batch, _live(spark, store, "documents", DOCUMENTS, names), replace) if names else \
+        _changes(batch, spark.createDataFrame([], DOCUMENTS), replace)
+    (changed.withColumn("loaded_by", F.lit(run)).hint("rebalance", "collection")
+     .write.partitionBy("collection").parquet(f"{store}/documents/gen={gen}"))
+    remove_path(spark, staged)
+
+    written = _read(spark, store, "documents", [gen], DOCUMENTS)
+    live = written.filter(F.col("state") == LIVE)
     # Chunk texts are dealt out before they are embedded, so no vector of the batch is shuffled.
-    chunks = chunk_points(docs, size).hint("rebalance", "collection")
-    points = (embed(chunks, text="embed_input", fn=embed_fn, dim=dim)
-              .drop("embed_input").withColumn("loaded_by", F.lit(run)))
-    if kept is not None:
-        points = kept.unionByName(points.select(*kept.columns))
+    chunks = chunk_points(live, size).hint("rebalance", "collection")
+    points = embed(chunks, text="embed_input", fn=embed_fn, dim=dim).drop("embed_input").withColumn("loaded_by", F.lit(run))
     observation = Observation("load") if metrics is not None else None
     if observation is not None:
-        points = points.observe(observation, F.count(F.lit(1)).alias("chunks"),
-                                F.count(F.when(F.col("loaded_by") == F.lit(run), 1)).alias("embedded"))
-    if in_place:
-        beside = scratch_path(spark, "points")
-        points.write.partitionBy("collection").parquet(beside)
-        points = spark.read.schema(points.schema).parquet(beside)
-    (points.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("collection").parquet(store_path))
+        points = points.observe(observation, F.count(F.lit(1)).alias("chunks"), F.count(F.lit(1)).alias("embedded"))
+    points.write.partitionBy("collection").parquet(f"{store}/points/gen={gen}")
+    if written.isEmpty():
+        remove_path(spark, f"{store}/documents/gen={gen}")
+        remove_path(spark, f"{store}/points/gen={gen}")
+        if not names:
+            _commit(spark, store, number + 1, [])
+    else:
+        _commit(spark, store, number + 1, [*names, gen])
+        if compact_after is not None and len(names) + 1 > compact_after:
+            compact(spark, store)
     if observation is not None:
         metrics.update(observation.get)
     return store_path
+
+
+def compact(spark: SparkSession, store_path: str, keep_old: bool = False) -> str:
+    """Fold all generations into a new base; returns the store's path.
+
+    Rows are copied as they are (no chunking, no embedding). Old generations
+    are removed after the new state is written unless ``keep_old`` (for readers
+    that still hold the old state).
+    """
+    store = store_path.rstrip("/")
+    number, names = generations(spark, store)
+    if len(names) < 2:
+        return store_path
+    gen = f"{number + 1:010d}-{uuid.uuid4().hex[:12]}"
+    for kind, schema in (("documents", DOCUMENTS), ("points", POINTS)):
+        (_live(spark, store, kind, schema, names).drop("gen").hint("rebalance", "collection")
+         .write.partitionBy("collection").parquet(f"{store}/{kind}/gen={gen}"))
+    _commit(spark, store, number + 1, [gen])
+    if not keep_old:
+        for name in names:
+            remove_path(spark, f"{store}/documents/gen={name}")
+            remove_path(spark, f"{store}/points/gen={name}")
+    return store_path

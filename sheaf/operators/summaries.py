@@ -16,15 +16,17 @@ task across the network.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import check_range, day_spine, day_string, range_date_col
 from ..functions.names import summary_collection
-from ..functions.payload import is_json, summary_text
+from ..functions.payload import is_json, parsed_content, summary_text
 from ..quality import REASON, first_reason
+from ..session import staged
+from ..sources.points import latest_stored_dates, with_month
 
 SUMMARY_LIMIT = 100  # summaries per date (the search limit of the reference)
 POINT_COLUMNS = ["collection", "point_id", "date", "createdAt", "_node_content"]
@@ -153,7 +155,7 @@ def summaries_payload(points: DataFrame, keys: Sequence[str] = ("collection", "d
     node = F.col("_node_content")
     ok = node.isNotNull() & is_json(node)
     return limited.withColumns({
-        "parsed_content": F.when(ok, F.try_parse_json(node)),
+        "parsed_content": F.when(ok, parsed_content(node)),
         "summary_text": F.when(ok, summary_text(node)),
         "parsed": ok.cast("int"),
     })
@@ -258,13 +260,14 @@ def summaries_for_requests(points: DataFrame, requests: DataFrame,
                     .alias("summaries")))
 
 
-def workflow_spine(points: DataFrame, requests: DataFrame) -> DataFrame:
+def workflow_spine(points: DataFrame, requests: DataFrame, latest_of: Callable | None = None) -> DataFrame:
     """The workflow's dispatch as rows: requests (``request_id,
     community_id, platform_id, start_date, end_date``) without ``end_date``
     read one date — ``start_date`` as written, or the collection's latest
     date when that is missing too —, the others read every day of their
     range. Rows: ``request_id, kind, collection, date, _reject_reason``;
-    a rejected request keeps one row without a date."""
+    a rejected request keeps one row without a date. ``latest_of(points, wanted)``
+    may find the latest dates of the ``wanted`` collections in another way."""
     s, e = range_date_col("start_date"), range_date_col("end_date")
     kind = (F.when(F.col("end_date").isNotNull(), F.lit("range"))
             .when(F.col("start_date").isNotNull(), F.lit("date")).otherwise(F.lit("latest")))
@@ -284,7 +287,8 @@ def workflow_spine(points: DataFrame, requests: DataFrame) -> DataFrame:
         .select("request_id", "kind", "collection", day_string("_d").alias("date"))
     latest_req = ok.filter(F.col("kind") == "latest").select("request_id", "kind", "collection")
     wanted = latest_req.select("collection").distinct()
-    latest = latest_dates(points.select("collection", "date").join(wanted, "collection", "left_semi"))
+    latest = latest_of(points, wanted) if latest_of else latest_dates(
+        points.select("collection", "date").join(wanted, "collection", "left_semi"))
     # A collection without points has no latest date: its request keeps one row without a date.
     latest_days = latest_req.join(latest, "collection", "left")
     rejected = req.filter(F.col(REASON).isNotNull()).select(
@@ -301,9 +305,25 @@ def summaries_workflow(points: DataFrame, requests: DataFrame, limit: int = SUMM
     with its reason as status; the latest date of an empty collection is NULL).
     In payload mode each stored point is a row, with its columns in place of the joined text."""
     spine = workflow_spine(points, requests)
-    valid = spine.filter(F.col(REASON).isNull())
-    wanted = valid.select("collection", "date").distinct()
+    wanted = spine.filter(F.col(REASON).isNull()).select("collection", "date").distinct()
     scoped = points.select(*POINT_COLUMNS).join(wanted, ["collection", "date"], "left_semi")
+    return _workflow_answers(spine, scoped, limit, extract_text_only)
+
+
+def stored_requests(store: DataFrame, requests: DataFrame, limit: int = SUMMARY_LIMIT,
+                    extract_text_only: bool = True) -> DataFrame:
+    """:func:`summaries_workflow` on the stored table (``sources.points.scan_points``).
+
+    The requests' collections and months prune the store's folders at run
+    time, before any file is opened; a latest date costs its month's folder.
+    """
+    spine = staged(workflow_spine(store, requests, latest_stored_dates), "spine")
+    wanted = staged(with_month(spine.filter(F.col(REASON).isNull()).select("collection", "date")).distinct(), "wanted").filter(F.col("date") > "")
+    scoped = store.join(wanted, ["collection", "month", "date"], "left_semi").select(*POINT_COLUMNS)
+    return _workflow_answers(spine, scoped, limit, extract_text_only)
+
+
+def _workflow_answers(spine: DataFrame, scoped: DataFrame, limit: int, extract_text_only: bool) -> DataFrame:
     if not extract_text_only:
         return payload_of_days(spine, scoped, limit, "request_id", "kind",
                                F.coalesce(F.col(REASON), F.lit("ok")).alias("status"), "date")

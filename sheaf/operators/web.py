@@ -9,15 +9,14 @@ validation, and the bounded link expansion of a crawl.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.html import page_parts
 from ..functions.text import (
-    hrefs,
-    html_text,
-    html_title,
     http_url,
     page_address,
     py_strip,
@@ -34,14 +33,21 @@ SITEMAP_NS = "http://www.sitemaps.org/schemas/sitemap/0.9"
 
 
 def crawled_pages(pages: DataFrame) -> DataFrame:
-    """S7 + F13 + W12: ``url, title, inner_text, is_sitemap`` per page."""
-    return pages.select(
-        "url",
-        html_title("html").alias("title"),
-        html_text("html").alias("inner_text"),
+    """S7 + F13 + W12: ``url, title, inner_text, is_sitemap`` per page (and its ``page_id``, if it has one)."""
+    own = ["page_id"] if "page_id" in pages.columns else []
+    return pages.select(*own, "url", page_parts("html").alias("_page")).select(
+        *own, "url", F.col("_page.title").alias("title"), F.col("_page.inner_text").alias("inner_text"),
         F.col("url").contains("sitemap.xml").alias("is_sitemap"))
 
 
+def page_hrefs(pages: DataFrame, *keep: str) -> DataFrame:
+    """a row for each anchor with an ``href``, in document order: ``keep``, the ``base`` it is read against
+    (the page's address, or its ``<base href>`` joined to it) and ``href`` as written."""
+    parts = pages.select(*keep, "url", page_parts("html").alias("_page"))
+    base = F.coalesce(resolve_link("url", "_page.base"), F.col("url"))
+    return parts.select(*keep, base.alias("base"), F.explode("_page.hrefs").alias("href"))
+
+
 def page_documents(crawled: DataFrame, keep: tuple | list = ()) -> DataFrame:
     """``doc_id = url``, the inner text, metadata ``title`` and ``url`` (and the columns named in ``keep``)."""
     return crawled.select(
@@ -56,8 +62,8 @@ def page_documents(crawled: DataFrame, keep: tuple | list = ()) -> DataFrame:
 def page_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """resolved outgoing links per page with their multiplicity:
     ``{key}, link, n_refs``."""
-    return (pages.select(key, "url", F.explode(hrefs("html")).alias("href"))
-            .select(key, resolve_link("url", "href").alias("link"))
+    return (page_hrefs(pages, key)
+            .select(key, resolve_link("base", "href").alias("link"))
             .filter(F.col("link").isNotNull())
             .groupBy(key, "link").agg(F.count(F.lit(1)).cast("bigint").alias("n_refs")))
 
@@ -93,8 +99,8 @@ def link_edges(pages: DataFrame, sitemaps: DataFrame | None = None, same_host: b
     Addresses carry no fragment. With ``same_host`` a link counts only if it
     stays on its page's host.
     """
-    links = pages.select("url", F.explode(hrefs("html")).alias("href"))
-    edges = links.select(page_address("url").alias("src"), resolve_link("url", "href").alias("dst"))
+    links = page_hrefs(pages.select("html", "url", F.col("url").alias("page")), "page")
+    edges = links.select(page_address("page").alias("src"), resolve_link("base", "href").alias("dst"))
     if sitemaps is not None:
         listed = sitemap_links(sitemaps)
         edges = edges.unionByName(listed.select(page_address("sitemap_url").alias("src"), page_address("link").alias("dst")))
@@ -111,7 +117,9 @@ def website_documents(jobs: DataFrame, pages: DataFrame, sitemaps: DataFrame | N
     Jobs (``community_id, platform_id, urls``) that :func:`check_seeds` doesn't
     pass are left out. Sitemaps lead to pages but are no documents themselves.
     Rows: the document columns and ``collection`` (``{community}_{platform}``);
-    a page reached from several seeds of a job comes once.
+    a page reached from several seeds of a job comes once. Pages with a
+    ``page_id`` (the order of their capture) keep it as ``sequence``, by which
+    a load takes the later of two captures of one address.
     """
     spark = pages.sparkSession
     good = check_seeds(jobs).filter(F.col("status") == "ok").select("community_id", "platform_id")
@@ -124,6 +132,8 @@ def website_documents(jobs: DataFrame, pages: DataFrame, sitemaps: DataFrame | N
     wanted = (reached.join(seeds, "seed").select("community_id", "platform_id", "url").distinct())
     found = crawled_pages(pages.withColumn("url", page_address("url"))).filter(~F.col("is_sitemap"))
     docs = wanted.join(found, "url").withColumn("collection", F.concat_ws("_", "community_id", "platform_id"))
+    if "page_id" in docs.columns:
+        return page_documents(docs.withColumnRenamed("page_id", "sequence"), keep=["collection", "sequence"])
     return page_documents(docs, keep=["collection"])
 
 
@@ -181,36 +191,47 @@ def crawl_frontier(seeds: DataFrame, edges: DataFrame, budget: int = PAGES_PER_S
     the budget. So a round writes at most ``budget`` rows per seed and the walk
     ends by itself; no depth bound is needed.
 
-    Lineage is cut every round by writing the round's new pages as a table
-    (``depth=N``) under ``workdir`` (by default a fresh folder inside the
-    shared checkpoint folder) and reading the visited set back from it. The
-    edges are written there once.
+    The edges are written once, as a table bucketed and sorted by ``src``: a
+    round moves its frontier to the buckets and never the edges. How many pages
+    a seed holds is carried with its frontier. Lineage is cut every round by
+    writing the round's new pages as a table (``depth=N``) under ``workdir`` (by
+    default a fresh folder inside the shared checkpoint folder) and reading the
+    visited set back from it.
     Rows: ``seed, url, depth``.
     """
     spark = seeds.sparkSession
     base = (workdir or scratch_path(spark, "crawl")).rstrip("/")
-    edges.select("src", "dst").distinct().write.parquet(f"{base}-edges")
-    e = spark.read.parquet(f"{base}-edges")
-    seeds.select("seed", F.col("seed").alias("url")).distinct().write.parquet(f"{base}/depth=0")
-    rank = F.row_number().over(Window.partitionBy("seed").orderBy("url"))
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        visited = spark.read.parquet(base)
-        held = visited.groupBy("seed").agg(F.count(F.lit(1)).alias("held")).filter(F.col("held") < budget)
-        frontier = spark.read.parquet(f"{base}/depth={depth}").join(held, "seed")
-        reached = (frontier.join(e, frontier.url == e.src)
-                   .select("seed", F.col("dst").alias("url"), "held").distinct())
-        new = (reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
-               .withColumn("_rn", rank).filter(F.col("_rn") <= budget)
-               .filter(F.col("_rn") <= F.lit(budget) - F.col("held")).select("seed", "url"))
-        depth += 1
-        new.write.parquet(f"{base}/depth={depth}")
-        if spark.read.parquet(f"{base}/depth={depth}").isEmpty():
-            break
-    visited = spark.read.parquet(base).withColumn("depth", F.col("depth").cast("int"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"crawl_edges_{uuid.uuid4().hex}"
+    (edges.select("src", "dst").distinct().repartition(buckets, "src").write.bucketBy(buckets, "src").sortBy("src")
+     .option("path", f"{base}-edges").saveAsTable(table))
+    try:
+        e = spark.table(table)
+        seeds.select("seed", F.col("seed").alias("url"), F.lit(1).cast("bigint").alias("held")).distinct().write.parquet(f"{base}/depth=0")
+        by_url, own = Window.partitionBy("seed").orderBy("url"), Window.partitionBy("seed")
+        depth = 0
+        while max_depth is None or depth < max_depth:
+            frontier = spark.read.parquet(f"{base}/depth={depth}").filter(F.col("held") < budget)
+            new = crawl_round(frontier, e, spark.read.parquet(base)).withColumn("_rn", F.row_number().over(by_url))
+            new = (new.filter(F.col("_rn") <= budget).filter(F.col("_rn") <= F.lit(budget) - F.col("held"))
+                   .select("seed", "url", (F.col("held") + F.count(F.lit(1)).over(own)).alias("held")))
+            depth += 1
+            new.write.parquet(f"{base}/depth={depth}")
+            if spark.read.parquet(f"{base}/depth={depth}").isEmpty():
+                break
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    visited = spark.read.parquet(base).select("seed", "url", F.col("depth").cast("int").alias("depth"))
     return top_per_key(visited, ["seed"], ["depth", "url"], budget)
 
 
+def crawl_round(frontier: DataFrame, edges: DataFrame, visited: DataFrame) -> DataFrame:
+    """``seed, url, held``: the pages that a frontier's links reach for the first time."""
+    reached = (frontier.join(edges, frontier.url == edges.src)
+               .select("seed", F.col("dst").alias("url"), "held").distinct())
+    return reached.join(visited.select("seed", "url"), ["seed", "url"], "left_anti")
+
+
 def crawl_job(spark, urls: list[str], edges: DataFrame, budget: int = PAGES_PER_SEED,
               max_depth: int | None = None) -> DataFrame:
     """One website job: valid seeds (W6, W7), a budget for each (L3), and at least one page."""

@@ -83,6 +83,16 @@ def period_requests(points_df: DataFrame) -> DataFrame:
     return r.withColumn("request_id", F.concat("request_id", F.lit("#"), F.coalesce("period", F.lit("none"))))
 
 
+def hourly_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest request per customer: every 20th asks one of the collections, all others one and the same,
+    each for ``c_custkey % 1000 + 1`` hours."""
+    k = F.col("c_custkey")
+    other = F.concat(F.lit("c"), _s(k % 5), F.lit("_p"), _s(k % 3), F.lit("_summary"))
+    return read_table(spark, sf_dir, "customer", ["c_custkey"]).select(
+        _s(k).alias("request_id"), F.when(k % 20 == 0, other).otherwise(F.lit("c1_p1_summary")).alias("collection_name"),
+        F.lit("c").alias("community_id"), F.lit("p").alias("platform_id"), F.concat(_s(k % 1000 + 1), F.lit("h")).alias("period"))
+
+
 def monthly_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The points dated by the first day of their month, so that a date holds more than any limit."""
     return points(spark, sf_dir).withColumn("date", F.concat(F.substring("date", 1, 8), F.lit("01")))
@@ -173,7 +183,7 @@ def site_jobs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     host = url_host("sitemap_url")
     jobs = maps.select(host.alias("platform_id"), "sitemap_url").groupBy("platform_id").agg(
         F.sort_array(F.collect_list("sitemap_url")).alias("urls")).withColumn("community_id", F.lit("web"))
-    return jobs, read_table(spark, sf_dir, "pages", ["url", "html"]), maps
+    return jobs, read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]), maps
 
 
 def _shop(kind: str, key: Column) -> Column:
@@ -283,6 +293,32 @@ def single_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         _collection_name(c).alias("collectionName"))
 
 
+def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON line per conversation turn (``value``): a request with an id of its own, but cut short
+    (``turn%11=4``), an array (``%11=5``), without ``platformId`` (``%11=6``), with a number as
+    ``communityId`` (``%11=7``), with a text as ``metadata`` (``%11=8``) or without text (``%11=9``)."""
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    c, t = F.col("conv_id"), F.col("turn")
+    text = F.to_json(F.struct(F.concat(F.lit("turn "), _s(t), F.lit(" of "), _s(c), F.lit(" by "), F.col("role")).alias("text")))
+    body = F.expr("substring(b, 2, length(b) - 2)")
+    own = conv.select(c, t, text.alias("b")).withColumn("b", body)
+    community = F.concat(F.lit('"communityId":"c'), _s(c % 10), F.lit('"'))
+    platform = F.concat(F.lit('"platformId":"p'), _s(c % 4), F.lit('"'))
+    meta = F.concat(F.lit('"metadata":{"turn":"'), _s(t), F.lit('"}'))
+    rest = F.concat(F.lit('"docId":"'), _s(c), F.lit("-"), _s(t), F.lit('"'))
+
+    def line(*parts: Column) -> Column:
+        return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+
+    whole = line(community, platform, F.col("b"), meta, rest)
+    value = (F.when(t % 11 == 4, F.expr("substring(w, 1, 40)")).when(t % 11 == 5, F.concat(F.lit("["), F.col("w"), F.lit("]")))
+             .when(t % 11 == 6, line(community, F.col("b"), meta, rest))
+             .when(t % 11 == 7, line(F.concat(F.lit('"communityId":'), _s(c)), platform, F.col("b"), meta, rest))
+             .when(t % 11 == 8, line(community, platform, F.col("b"), F.lit('"metadata":"none"'), rest))
+             .when(t % 11 == 9, line(community, platform, meta, rest)).otherwise(F.col("w")))
+    return own.withColumn("w", whole).select("conv_id", "turn", value.alias("value"))
+
+
 def batch_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch requests: the turns of ``REQUEST_WIDTH`` consecutive
     conversations (``conv_id div 5``) in (conversation, turn) order, at most
@@ -357,6 +393,23 @@ def document_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return first, second
 
 
+def incremental_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three loads into ``col_{lang}``: every document; ``doc_id%3=0`` changed, ``%5=0`` unchanged and ``%11=0``
+    emptied; then ``%33=0`` with a text again and ``%13=0`` into ``new_{lang}``."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+    d = F.col("doc_id")
+
+    def rows(prefix, text, where):
+        return docs.filter(where).select(F.concat(F.lit(prefix), F.col("lang")).alias("collection"), _s(d).alias("doc_id"), text.alias("text"))
+
+    text = F.col("text")
+    empty = d % 11 == 0
+    second = rows("col_", F.when(empty, F.lit(" \n ")).when(d % 3 == 0, F.concat(text, F.lit(" [rev 2]"))).otherwise(text),
+                  (d % 3 == 0) | (d % 5 == 0) | empty)
+    third = rows("col_", F.concat(text, F.lit(" [rev 3]")), d % 33 == 0).unionByName(rows("new_", text, d % 13 == 0))
+    return rows("col_", text, F.lit(True)), second, third
+
+
 def summary_workflow_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored-summary request per conversation, all three kinds:
     ``conv_id%3`` 0 → latest date, 1 → one date, 2 → a three-day range

@@ -18,6 +18,7 @@ from ..operators import digest as dg
 from ..operators import documents as dc
 from ..operators import load as ld
 from ..operators import models as md
+from ..operators import neighbours as nb
 from ..operators import registry as rg
 from ..operators import search as vs
 from ..operators import summaries as sm
@@ -28,10 +29,13 @@ from ..session import default_parallelism, scratch_path
 from ..sources import points as pts_src
 from ..sources import staging as stg
 from ..sources import wiki as wsrc
+from ..sources import wiki_history as whist
 from ..sources import xmlsplit as xsplit
 from ..sources.tables import read_table
 from ..streaming import digest as st_digest
 from ..streaming import ingest as st_ingest
+from ..streaming import intake as st_intake
+from ..streaming import windows as st_windows
 from . import adapters as ad
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +142,12 @@ def q_digest_requests(spark, sf_dir):
     return dg.digest_requests(pts, ad.period_requests(pts), _latest_event_time(spark, sf_dir))
 
 
+@register("digest_periods")
+def q_digest_periods(spark, sf_dir):
+    """Up to a thousand distinct periods on one collection."""
+    return dg.digest_requests(ad.points(spark, sf_dir), ad.hourly_requests(spark, sf_dir), _latest_event_time(spark, sf_dir))
+
+
 @register("digest_limits")
 def q_digest_limits(spark, sf_dir):
     return dg.digest_dropped(ad.points(spark, sf_dir), epoch_seconds(period_threshold("2024-01-01")))
@@ -238,11 +248,11 @@ def q_crawl_union(spark, sf_dir):
 def q_website_load(spark, sf_dir):
     """The website pipeline: jobs, seeds, frontier, pages, documents, collection."""
     docs = wb.website_documents(*ad.site_jobs(spark, sf_dir))
-    return _stored_chunks(spark, ld.load_documents(docs, scratch_path(spark, "web-points")))
+    return _stored_chunks(spark, ld.load_documents(docs, scratch_path(spark, "web-points"), sequence="sequence"))
 
 
 def _stored_chunks(spark, path):
-    return spark.read.parquet(path).select("collection", "doc_id", "chunk_no", "n_tokens", "chunk_text")
+    return ld.read_collection(spark, path).select("collection", "doc_id", "chunk_no", "n_tokens", "chunk_text")
 
 
 # --- MediaWiki -----------------------------------------------------------------------
@@ -315,6 +325,30 @@ def q_wiki_siteinfo(spark, sf_dir):
     return wsrc.read_siteinfo(spark, _dump(spark, sf_dir), glob="*.txt").drop("file")
 
 
+def _history(spark, sf_dir):
+    return whist.stage_dump(spark, _dump(spark, sf_dir), glob="*.txt")
+
+
+@register("wiki_history_first")
+def q_wiki_history_first(spark, sf_dir):
+    """S3 + P7: the dump read revision by revision; the first one stands for its page."""
+    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(whist.history_pages(_history(spark, sf_dir)))), barrier=True)
+    return _doc_columns(ok)
+
+
+@register("wiki_history_current")
+def q_wiki_history_current(spark, sf_dir):
+    """W10 + W11 on the same reading: the newest revision."""
+    pages = wk.current_pages(whist.history_pages(_history(spark, sf_dir), "current"), namespaces=[0, 2])
+    ok, _ = split_valid(wk.page_documents(wk.flatten_pages(pages)), barrier=True)
+    return _doc_columns(ok)
+
+
+@register("wiki_history_siteinfo")
+def q_wiki_history_siteinfo(spark, sf_dir):
+    return whist.history_siteinfo(_history(spark, sf_dir)).drop("file")
+
+
 # --- documents and ingestion ---------------------------------------------------------
 
 def _wiki_docs(spark, sf_dir):
@@ -392,7 +426,7 @@ def _wiki_collection_docs(spark, sf_dir):
 @register("load_collection")
 def q_load_collection(spark, sf_dir):
     path = ld.load_documents(_wiki_collection_docs(spark, sf_dir), scratch_path(spark, "points"))
-    return spark.read.parquet(path).select(
+    return ld.read_collection(spark, path).select(
         "collection", "doc_id", "chunk_no", "n_tokens", F.size("embedding").cast("bigint").alias("dim"))
 
 
@@ -411,6 +445,13 @@ def q_vector_topk(spark, sf_dir):
         .select("label", "rank", "vec_id", "score")
 
 
+@register("vector_topk_requests")
+def q_vector_topk_requests(spark, sf_dir):
+    """L4 for many queries: the ten nearest of every 20th vector among all vectors."""
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return nb.nearest(emb, F.col("vec_id") % 20 == 0, 10)
+
+
 @register("extractive_summary")
 def q_extractive_summary(spark, sf_dir):
     pts = ad.points(spark, sf_dir)
@@ -419,6 +460,12 @@ def q_extractive_summary(spark, sf_dir):
     return md.summarize(lines)
 
 
+@register("extractive_sentences")
+def q_extractive_sentences(spark, sf_dir):
+    """The three most central sentences of every document."""
+    return md.extractive_sentences(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @register("xml_level_split")
 def q_xml_level_split(spark, sf_dir):
     nodes = xsplit.split_xml(ad.xml_documents(spark, sf_dir), level=2)
@@ -458,6 +505,38 @@ def q_stream_digest(spark, sf_dir):
     return st_digest.latest_window_counts(spark, sink)
 
 
+@register("stream_digest_texts")
+def q_stream_digest_texts(spark, sf_dir):
+    """ST2: digest texts of sliding windows from keyed state."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("points", "digests", "digests-ck"))
+    ad.points(spark, sf_dir).select("collection", "point_id", "ts", "_node_content").write.parquet(src)
+    st_windows.start_window_digests(spark, src, sink, ck, "collection string, point_id bigint, ts timestamp_ntz, _node_content string",
+                                    state_partitions=default_parallelism(spark), window_size="2 days", slide="1 day").awaitTermination()
+    return st_windows.latest_window_digests(spark, sink)
+
+
+def _request_lines(spark, sf_dir):
+    src = scratch_path(spark, "request-lines")
+    ad.request_lines(spark, sf_dir).select("value").write.text(src)
+    return src
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """ST1: request lines that aren't requests, with their reasons."""
+    sink, ck = (scratch_path(spark, n) for n in ("dead", "dead-ck"))
+    st_intake.start_dead_letters(spark, _request_lines(spark, sf_dir), sink, ck).awaitTermination()
+    return spark.read.parquet(sink).select("value", "reason")
+
+
+@register("stream_intake")
+def q_stream_intake(spark, sf_dir):
+    """ST1 + X3: the lines that are requests, through keyed state into the collections."""
+    store, ck = (scratch_path(spark, n) for n in ("intake", "intake-ck"))
+    st_intake.start_intake(spark, _request_lines(spark, sf_dir), store, ck, state_partitions=default_parallelism(spark)).awaitTermination()
+    return _stored_chunks(spark, store)
+
+
 @register("stored_summaries")
 def q_stored_summaries(spark, sf_dir):
     """S12 on the physical point store: points written partitioned by
@@ -466,6 +545,13 @@ def q_stored_summaries(spark, sf_dir):
     return sm.summaries_by_date(pts_src.read_points(spark, path))
 
 
+@register("stored_requests")
+def q_stored_requests(spark, sf_dir):
+    """S12 + W8 + A1: the workflow's requests on the stored table, pruned by the requests."""
+    path = pts_src.write_points(ad.points(spark, sf_dir), scratch_path(spark, "point-store"))
+    return sm.stored_requests(pts_src.scan_points(spark, path), ad.summary_workflow_requests(spark, sf_dir))
+
+
 @register("summaries_nested")
 def q_summaries_nested(spark, sf_dir):
     """A4 nested form: per (collection, date) the list of summary records,
@@ -482,9 +568,35 @@ def q_reload_collection(spark, sf_dir):
     """K4 + X3: a second load skips unchanged documents, keeps untouched
     ones and re-embeds only changed or new ones (``loaded_by``)."""
     first, second = ad.document_loads(spark, sf_dir)
-    p1 = ld.load_documents(first, scratch_path(spark, "points-v1"), run="1")
-    p2 = ld.load_documents(second, scratch_path(spark, "points-v2"), previous=p1, run="2")
-    return spark.read.parquet(p2).select("collection", "doc_id", "chunk_no", "n_tokens", "loaded_by")
+    store = scratch_path(spark, "points")
+    ld.load_documents(first, store, run="1")
+    ld.load_documents(second, store, run="2")
+    return ld.read_collection(spark, store).select("collection", "doc_id", "chunk_no", "n_tokens", "loaded_by")
+
+
+def _incremental(spark, sf_dir):
+    """A base, a delta that changes, empties and adds documents, and a compaction in between."""
+    store = scratch_path(spark, "collections")
+    first, second, third = ad.incremental_loads(spark, sf_dir)
+    ld.load_documents(first, store, run="1")
+    ld.load_documents(second, store, run="2")
+    ld.compact(spark, store)
+    ld.load_documents(third, store, run="3")
+    return store
+
+
+@register("load_incremental")
+def q_load_incremental(spark, sf_dir):
+    """K4 + X3: three loads into one store; node ids and chunk texts of what is live."""
+    return ld.read_collection(spark, _incremental(spark, sf_dir)).select(
+        "collection", "doc_id", "chunk_no", "node_id", "n_tokens", "chunk_text", "loaded_by")
+
+
+@register("load_states")
+def q_load_states(spark, sf_dir):
+    """K4: every document ever loaded, also those without a live chunk."""
+    return ld.read_documents(spark, _incremental(spark, sf_dir)).select(
+        "collection", "doc_id", "state", "content_hash", "loaded_by")
 
 
 @register("summaries_workflow")
@@ -516,9 +628,11 @@ OPERATORS = {
     "summaries_for_requests": "J5 W15 P16",
     "summaries_workflow": "J2 A1 A5 W15 W16 F6 F7",
     "stored_summaries": "S12 N1 L1",
+    "stored_requests": "S12 W8 J2 J5 A1 A5 W15 W16 F6 F7",
     "digest_text": "P17 F5 F8 W9 W14 L2 P19 A3 A8 F4",
     "digest_since_date": "P17 F5 F8 W9 W14 L2 P19 A3 A8",
     "digest_requests": "J5 P17 F5 F8 W9 W14 L2 P19 A3 A8 F4",
+    "digest_periods": "J5 F5 F8 W9 W14 L2 P19 A3 A8",
     "digest_limits": "L2",
     "summaries_range_payload": "J2 A5 P14 W15 W16 L1",
     "summary_limits": "L1",
@@ -547,6 +661,9 @@ OPERATORS = {
     "job_counts": "A7",
     "wiki_dump_pages": "S3 S4",
     "wiki_siteinfo": "S5",
+    "wiki_history_first": "S3 S4 P6 P7 P8",
+    "wiki_history_current": "S3 W10 W11 P8",
+    "wiki_history_siteinfo": "S5",
     "embed_view": "P12 F18",
     "llm_view": "P13 F18",
     "single_documents": "S13 P10 P18 F12",
@@ -558,10 +675,17 @@ OPERATORS = {
     "staged_extracted": "K1 K3 S9",
     "load_collection": "K4 X1 X2",
     "reload_collection": "K4 X3",
+    "load_incremental": "K4 X3 X1",
+    "load_states": "K4 X3",
     "embed_default": "X2",
     "vector_topk": "L4",
+    "vector_topk_requests": "L4",
     "extractive_summary": "X4",
+    "extractive_sentences": "X4",
     "xml_level_split": "S6 X5 F11",
     "stream_ingest": "ST1 P10",
     "stream_digest": "ST2",
+    "stream_digest_texts": "ST2 W9 W14 L2 P19 A3",
+    "stream_rejects": "ST1 R1",
+    "stream_intake": "ST1 X3 K4 P10",
 }

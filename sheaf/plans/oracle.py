@@ -203,23 +203,9 @@ ORACLE["digest_since_date"] = f"""WITH {POINTS_CTE},
 {digest_core('points', DATE_THRESHOLD)}
 SELECT * FROM digests"""
 
-# What each period means is written out here: the moment it reaches back to, or none.
-ORACLE["digest_requests"] = f"""WITH {POINTS_CTE},
-{PAIRS_CTE},
-newest AS (SELECT max(epoch_us(ts)) AS us FROM events),
-periods AS (
-  SELECT unnest([NULL, '', '1h', '72h', '2024-01-01', '2024-01-20', '2024-13-45', '4 hours']) AS period,
-         unnest([us - 3600000000, us - 3600000000, us - 3600000000, us - 259200000000, 1704067200000000,
-                 1705708800000000, NULL, NULL]) AS us
-  FROM newest),
-requests AS (
-  SELECT collection || '#name#' || coalesce(period, 'none') AS request_id, collection,
-         CAST(us AS DOUBLE) / 1000000 AS threshold
-  FROM pairs, periods
-  UNION ALL
-  SELECT collection || '#ids#' || coalesce(period, 'none'), community_id || '_' || platform_id, CAST(us AS DOUBLE) / 1000000
-  FROM pairs, periods),
-asked AS (SELECT DISTINCT collection, threshold FROM requests WHERE threshold IS NOT NULL),
+def answer_core() -> str:
+    """Digests of ``requests (request_id, collection, threshold)`` over ``points``."""
+    return f"""asked AS (SELECT DISTINCT collection, threshold FROM requests WHERE threshold IS NOT NULL),
 ranked AS (
   SELECT a.collection, a.threshold, p.point_id, p._node_content AS x,
          row_number() OVER (PARTITION BY a.collection, a.threshold ORDER BY p.point_id) AS rn
@@ -242,6 +228,35 @@ SELECT r.request_id, r.collection, CASE WHEN r.threshold IS NULL THEN 'bad_perio
             ELSE combined END AS digest
 FROM requests r LEFT JOIN agg a ON r.collection = a.collection AND r.threshold = a.threshold"""
 
+
+# What each period means is written out here: the moment it reaches back to, or none.
+ORACLE["digest_requests"] = f"""WITH {POINTS_CTE},
+{PAIRS_CTE},
+newest AS (SELECT max(epoch_us(ts)) AS us FROM events),
+periods AS (
+  SELECT unnest([NULL, '', '1h', '72h', '2024-01-01', '2024-01-20', '2024-13-45', '4 hours']) AS period,
+         unnest([us - 3600000000, us - 3600000000, us - 3600000000, us - 259200000000, 1704067200000000,
+                 1705708800000000, NULL, NULL]) AS us
+  FROM newest),
+requests AS (
+  SELECT collection || '#name#' || coalesce(period, 'none') AS request_id, collection,
+         CAST(us AS DOUBLE) / 1000000 AS threshold
+  FROM pairs, periods
+  UNION ALL
+  SELECT collection || '#ids#' || coalesce(period, 'none'), community_id || '_' || platform_id, CAST(us AS DOUBLE) / 1000000
+  FROM pairs, periods),
+{answer_core()}"""
+
+ORACLE["digest_periods"] = f"""WITH {POINTS_CTE},
+newest AS (SELECT max(epoch_us(ts)) AS us FROM events),
+requests AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS request_id,
+         CASE WHEN c_custkey % 20 = 0 THEN 'c' || CAST(c_custkey % 5 AS VARCHAR) || '_p' || CAST(c_custkey % 3 AS VARCHAR) || '_summary'
+              ELSE 'c1_p1_summary' END AS collection,
+         CAST(us - (c_custkey % 1000 + 1) * 3600000000 AS DOUBLE) / 1000000 AS threshold
+  FROM customer, newest),
+{answer_core()}"""
+
 ORACLE["digest_limits"] = f"""WITH {POINTS_CTE}
 SELECT collection, count(*) AS n_total, greatest(count(*) - 500, 0) AS n_dropped
 FROM points WHERE createdAt > 1704067200 GROUP BY collection"""
@@ -326,21 +341,39 @@ def _decode(x: str) -> str:
 
 
 def _collapse(x: str) -> str:
-    return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'))"
+    return f"trim(regexp_replace({x}, '[ \\t\\n\\r\\f]+', ' ', 'g'))"
+
+
+def _without(x: str, start: str, end: str) -> str:
+    """``x`` without what stands between ``start`` and ``end`` (both known strings of the test pages)."""
+    parts = f"string_split({x}, '{start}')"
+    rest = f"list_transform({parts}[2:], lambda part: CASE WHEN strpos(part, '{end}') = 0 THEN '' ELSE substr(part, strpos(part, '{end}') + {len(end)}) END)"
+    return f"array_to_string(list_prepend({parts}[1], {rest}), '')"
 
 
 def html_title_sql(h: str = "html") -> str:
-    return _collapse(_decode(f"regexp_extract({h}, '(?is)<title[^>]*>(.*?)</title>', 1)"))
+    return _collapse(_decode(f"split_part(split_part({h}, '<title>', 2), '</title>', 1)"))
+
+
+# Elements of the test pages; chr(1) and chr(2) stand for one and two required line breaks, chr(3) for <br>.
+_BLOCKS = ", ".join(f"'{mark}{tag}'" for tag in ("html", "body", "nav", "ul", "li", "div", "article", "h1", "footer") for mark in ("", "/"))
 
 
 def html_text_sql(h: str = "html") -> str:
-    t = f"regexp_replace({h}, '(?is)^.*?<body[^>]*>', '')"
-    t = f"regexp_replace({t}, '(?is)</body>.*$', '')"
-    t = f"regexp_replace({t}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
-    t = f"regexp_replace({t}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
-    t = f"regexp_replace({t}, '(?s)<!--.*?-->', ' ', 'g')"
-    t = f"regexp_replace({t}, '<[^>]*>', ' ', 'g')"
-    return _collapse(_decode(t))
+    t = h
+    for tag in ("title", "style", "script"):
+        t = _without(t, f"<{tag}>", f"</{tag}>")
+    t = _without(t, "<!--", "-->")
+    name = "regexp_extract(lower(piece), '^/?[a-z0-9]+')"
+    mark = f"CASE WHEN {name} IN ('p', '/p') THEN chr(2) WHEN {name} = 'br' THEN chr(3) WHEN {name} IN ({_BLOCKS}) THEN chr(1) ELSE '' END"
+    pieces = f"list_transform(string_split({t}, '<')[2:], lambda piece: {mark} || substr(piece, strpos(piece, '>') + 1))"
+    t = f"regexp_replace(array_to_string({pieces}, ''), '[ \\t\\n\\r\\f]+', ' ', 'g')"
+    for n in (1, 2, 3):
+        t = f"replace(replace({t}, chr({n}) || ' ', chr({n})), ' ' || chr({n}), chr({n}))"
+    t = f"trim({t}, ' ' || chr(1) || chr(2))"
+    t = f"regexp_replace({t}, '[\\x01\\x02]*\\x02[\\x01\\x02]*', chr(10) || chr(10), 'g')"
+    t = f"replace(regexp_replace({t}, '\\x01+', chr(10), 'g'), chr(3), chr(10))"
+    return _decode(t)
 
 
 ORACLE["crawled_pages"] = f"""SELECT url, {html_title_sql()} AS title, {html_text_sql()} AS inner_text,
@@ -446,6 +479,10 @@ ORACLE["wiki_siteinfo"] = """SELECT DISTINCT 'Wiki ' || CAST(doc_id // 200 AS VA
        'https://wiki.example.org/' AS base, 'MediaWiki 1.39' AS generator
 FROM documents"""
 
+ORACLE["wiki_history_first"] = ORACLE["wiki_documents"]
+ORACLE["wiki_history_current"] = ORACLE["wiki_current_documents"]
+ORACLE["wiki_history_siteinfo"] = ORACLE["wiki_siteinfo"]
+
 ORACLE["wiki_current"] = f"""WITH {WIKI_CTE}
 SELECT CAST(d AS VARCHAR) AS page_id, CAST(d % 4 AS VARCHAR) AS namespace,
        CAST(d * 10 + 1 AS VARCHAR) AS revision_id, ts AS timestamp
@@ -599,6 +636,16 @@ WHERE rank <= 10"""
 
 ORACLE["vector_topk"] = _vector_topk_sql()
 
+ORACLE["vector_topk_requests"] = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT *, sqrt(list_dot_product(v, v)) AS n FROM e),
+s AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS id,
+         CASE WHEN q.n > 0 AND r.n > 0 THEN list_dot_product(q.v, r.v) / (q.n * r.n) ELSE 0.0 END AS score
+  FROM u q JOIN u r ON q.vec_id <> r.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, id, round(score, 6) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s)
+WHERE rank <= 10"""
+
 ORACLE["extractive_summary"] = f"""WITH {POINTS_CTE},
 {PAIRS_CTE},
 {digest_core('points', LATEST_THRESHOLD_72H)},
@@ -616,6 +663,40 @@ top AS (SELECT collection, string_agg(line, ' ' ORDER BY point_id) AS summary FR
 cnt AS (SELECT collection, count(*) AS n_lines FROM ls GROUP BY ALL)
 SELECT cnt.collection, cnt.n_lines, top.summary FROM cnt LEFT JOIN top USING (collection)"""
 
+def _rank_rounds(n: int) -> str:
+    """Rank tables ``r0`` to ``rN``, one power iteration each."""
+    sql = "r0 AS (SELECT doc_id, position, 1000000000::BIGINT AS rank FROM s)"
+    for i in range(n):
+        sql += f""",
+r{i + 1} AS (
+  SELECT s.doc_id, s.position, (150000000 + coalesce(g.given, 0))::BIGINT AS rank
+  FROM s LEFT JOIN (
+    SELECT l.doc_id, l.position, sum((850 * r.rank * l.weight) // (1000 * l.total)) AS given
+    FROM links l JOIN r{i} r ON r.doc_id = l.doc_id AND r.position = l.src GROUP BY ALL) g
+  ON g.doc_id = s.doc_id AND g.position = s.position)"""
+    return sql
+
+
+ORACLE["extractive_sentences"] = f"""WITH cut AS (
+  SELECT doc_id, string_split(regexp_replace(text, '([.!?])[ \\t\\n\\r\\f\\x0B]+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+s AS (
+  SELECT doc_id, position::BIGINT AS position, trim(parts[position + 1]) AS sentence
+  FROM (SELECT doc_id, parts, unnest(range(0, len(parts))) AS position FROM cut) WHERE trim(parts[position + 1]) <> ''),
+w AS (
+  SELECT DISTINCT doc_id, position, w FROM (
+    SELECT doc_id, position, unnest(string_split_regex(lower(sentence), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM s) WHERE w <> ''),
+rare AS (SELECT doc_id, w FROM w GROUP BY ALL HAVING count(*) BETWEEN 2 AND 10),
+pairs AS (
+  SELECT a.doc_id, b.position AS src, a.position, count(*) AS weight
+  FROM w a JOIN rare USING (doc_id, w) JOIN w b ON b.doc_id = a.doc_id AND b.w = a.w AND b.position <> a.position GROUP BY ALL),
+links AS (SELECT *, sum(weight) OVER (PARTITION BY doc_id, src)::BIGINT AS total FROM pairs),
+{_rank_rounds(3)},
+top AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.doc_id ORDER BY r3.rank DESC, s.position) AS rn FROM s JOIN r3 USING (doc_id, position)),
+n AS (SELECT doc_id, count(*) AS n_sentences FROM s GROUP BY doc_id)
+SELECT n.doc_id, n.n_sentences, string_agg(top.sentence, ' ' ORDER BY top.position) AS summary
+FROM n JOIN top ON top.doc_id = n.doc_id AND top.rn <= 3 GROUP BY ALL"""
+
 ORACLE["xml_level_split"] = r"""WITH x AS (
   SELECT doc_id, lang, source, regexp_replace(text, '[\x00-\x08\x0B\x0C\x0E-\x1F\r]', '', 'g') AS t FROM documents)
 SELECT doc_id, CAST(0 AS BIGINT) AS node_no, '<lang>' || lang || '</lang>' AS content FROM x
@@ -634,7 +715,8 @@ listed AS (SELECT DISTINCT host, page_id // 50 AS part, url FROM addr),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY host, part ORDER BY url) AS rn FROM listed),
 reached AS (SELECT DISTINCT host, url FROM ranked WHERE rn <= 19),
 docs AS (
-  SELECT DISTINCT 'web_' || r.host AS collection, a.url AS doc_id, a.text FROM reached r JOIN addr a ON a.url = r.url),
+  SELECT 'web_' || r.host AS collection, a.url AS doc_id, a.text FROM reached r JOIN addr a ON a.url = r.url
+  QUALIFY row_number() OVER (PARTITION BY r.host, a.url ORDER BY a.page_id DESC) = 1),
 {chunk_sql('docs', 'collection, doc_id')}
 SELECT * FROM chunks"""
 
@@ -660,6 +742,50 @@ SELECT collection, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start,
 FROM w GROUP BY ALL"""
 
 
+ORACLE["stream_digest_texts"] = f"""WITH {POINTS_CTE},
+w AS (
+  SELECT collection, point_id, _node_content AS x, date_trunc('day', ts) - to_days(k) AS ws FROM points, range(0, 2) AS r(k)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY collection, ws ORDER BY point_id) AS rn FROM w),
+lines AS (
+  SELECT collection, ws, point_id,
+         CASE WHEN json_valid(x) AND json_type(x) = 'OBJECT' AND json_exists(x, '$.text')
+              THEN coalesce(json_extract_string(x, '$.metadata.author') || ': ', '') || json_extract_string(x, '$.text')
+         END AS line
+  FROM ranked WHERE rn <= 500)
+SELECT collection, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 2 DAY, '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS n_points, count(line) AS n_texts,
+       coalesce(string_agg(line, {NL} ORDER BY point_id), 'No text content found in the recent data.') AS digest
+FROM lines GROUP BY collection, ws"""
+
+LINES_CTE = """parts AS (
+  SELECT conv_id, turn, '"text":"turn ' || turn || ' of ' || conv_id || ' by ' || role || '"' AS b,
+         '"communityId":"c' || conv_id % 10 || '"' AS community, '"platformId":"p' || conv_id % 4 || '"' AS platform,
+         '"metadata":{"turn":"' || turn || '"}' AS meta, '"docId":"' || conv_id || '-' || turn || '"' AS rest, role
+  FROM conversations),
+lines AS (
+  SELECT conv_id, turn, role, CASE turn % 11
+    WHEN 4 THEN substr('{' || concat_ws(',', community, platform, b, meta, rest) || '}', 1, 40)
+    WHEN 5 THEN '[{' || concat_ws(',', community, platform, b, meta, rest) || '}]'
+    WHEN 6 THEN '{' || concat_ws(',', community, b, meta, rest) || '}'
+    WHEN 7 THEN '{' || concat_ws(',', '"communityId":' || conv_id, platform, b, meta, rest) || '}'
+    WHEN 8 THEN '{' || concat_ws(',', community, platform, b, '"metadata":"none"', rest) || '}'
+    WHEN 9 THEN '{' || concat_ws(',', community, platform, meta, rest) || '}'
+    ELSE '{' || concat_ws(',', community, platform, b, meta, rest) || '}' END AS value
+  FROM parts)"""
+
+ORACLE["stream_rejects"] = f"""WITH {LINES_CTE}
+SELECT value, CASE turn % 11 WHEN 4 THEN 'no_json' WHEN 5 THEN 'no_object' WHEN 6 THEN 'missing_platformId' WHEN 7 THEN 'bad_communityId'
+                             WHEN 8 THEN 'bad_metadata' ELSE 'missing_text' END AS reason
+FROM lines WHERE turn % 11 BETWEEN 4 AND 9"""
+
+ORACLE["stream_intake"] = f"""WITH {LINES_CTE},
+docs AS (
+  SELECT 'c' || conv_id % 10 || '_p' || conv_id % 4 AS collection, conv_id || '-' || turn AS doc_id,
+         'turn ' || turn || ' of ' || conv_id || ' by ' || role AS text
+  FROM lines WHERE turn % 11 NOT BETWEEN 4 AND 9),
+{chunk_sql('docs', 'collection, doc_id')}
+SELECT * FROM chunks"""
+
 ORACLE["stored_summaries"] = ORACLE["summaries_by_date"]
 
 ORACLE["summaries_nested"] = f"""WITH {POINTS_CTE},
@@ -698,6 +824,32 @@ final AS (
 {chunk_sql('final', 'collection, doc_id, loaded_by')}
 SELECT collection, doc_id, chunk_no, n_tokens, loaded_by FROM chunks"""
 
+INCREMENTAL_CTE = """loads AS (
+  SELECT 1 AS run, 'col_' || lang AS collection, CAST(doc_id AS VARCHAR) AS doc_id, text FROM documents
+  UNION ALL
+  SELECT 2, 'col_' || lang, CAST(doc_id AS VARCHAR),
+         CASE WHEN doc_id % 11 = 0 THEN ' ' || chr(10) || ' ' WHEN doc_id % 3 = 0 THEN text || ' [rev 2]' ELSE text END
+  FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0 OR doc_id % 11 = 0
+  UNION ALL
+  SELECT 3, 'col_' || lang, CAST(doc_id AS VARCHAR), text || ' [rev 3]' FROM documents WHERE doc_id % 33 = 0
+  UNION ALL
+  SELECT 3, 'new_' || lang, CAST(doc_id AS VARCHAR), text FROM documents WHERE doc_id % 13 = 0),
+versions AS (
+  SELECT *, lag(text) OVER (PARTITION BY collection, doc_id ORDER BY run) AS before FROM loads),
+newest AS (
+  SELECT collection, doc_id, text, CAST(run AS VARCHAR) AS loaded_by FROM versions
+  WHERE before IS NULL OR before <> text
+  QUALIFY row_number() OVER (PARTITION BY collection, doc_id ORDER BY run DESC) = 1)"""
+
+ORACLE["load_incremental"] = f"""WITH {INCREMENTAL_CTE},
+{chunk_sql('newest', 'collection, doc_id, loaded_by')}
+SELECT collection, doc_id, chunk_no, sha256(collection || chr(1) || doc_id || chr(1) || CAST(chunk_no AS VARCHAR)) AS node_id,
+       n_tokens, chunk_text, loaded_by FROM chunks"""
+
+ORACLE["load_states"] = f"""WITH {INCREMENTAL_CTE}
+SELECT collection, doc_id, CASE WHEN text = ' ' || chr(10) || ' ' THEN 'empty' ELSE 'live' END AS state,
+       sha256(text || chr(1)) AS content_hash, loaded_by FROM newest"""
+
 ORACLE["summaries_workflow"] = f"""WITH {POINTS_CTE},
 req AS (
   SELECT conv_id AS request_id,
@@ -732,4 +884,6 @@ SELECT s.request_id, s.kind, coalesce(s.reason, 'ok') AS status, s.date,
        CASE WHEN s.reason IS NULL THEN coalesce(p.summaries, '') END AS summaries
 FROM spine s LEFT JOIN per_key p ON s.collection = p.collection AND s.date = p.date"""
 
+ORACLE["stored_requests"] = ORACLE["summaries_workflow"]
+
 ORACLE["staged_extracted"] = ORACLE["crawled_pages"]

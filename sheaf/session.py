@@ -95,3 +95,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sheaf-{name}-{uuid.uuid4().hex}"
+
+
+def staged(df, name: str):
+    """``df`` written to the shared folder and read back: computed once, and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -40,9 +40,11 @@ def start_load(spark: SparkSession, source: str, store: str, checkpoint: str, av
                max_files_per_trigger: int | None = None, fmt: str = "parquet", **load):
     """ST1 + X3 + K4: start the stream of requests into the collections at ``store``; returns the ``StreamingQuery``.
 
-    Each micro-batch is one upsert (:func:`load_documents`, which takes ``load``).
-    A replayed batch finds its documents stored and writes nothing new.
+    Each micro-batch is one upsert (:func:`load_documents`, which takes ``load``)
+    and writes one small generation; ``compact_after`` (20) of them are folded
+    into a new base. A replayed batch finds its documents stored and writes nothing new.
     """
+    load = {"compact_after": 20, **load}
     reader = spark.readStream.schema(schemas.INGESTION_REQUEST).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

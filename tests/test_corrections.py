@@ -35,34 +35,46 @@ def test_second_load_keeps_other_documents(spark, tmp_dir):
     store = f"{tmp_dir}/points"
     ld.load_documents(_docs(spark, [("c", f"u{i}", f"text {i}", 0) for i in range(5)] + [("other", "x", "far", 0)]), store, dim=8, run="one")
     ld.load_documents(_docs(spark, [("c", "u9", "new", 0), ("c", "u1", "text 1", 0), ("c", "u2", "changed", 0)]), store, dim=8, run="two")
-    got = rows(spark.read.parquet(store), "collection", "doc_id", "chunk_text", "loaded_by")
+    got = rows(ld.read_collection(spark, store), "collection", "doc_id", "chunk_text", "loaded_by")
     assert got == [("c", "u0", "text 0", "one"), ("c", "u1", "text 1", "one"), ("c", "u2", "changed", "two"), ("c", "u3", "text 3", "one"),
                    ("c", "u4", "text 4", "one"), ("c", "u9", "new", "two"), ("other", "x", "far", "one")]
     ld.load_documents(_docs(spark, [("c", "u7", "only", 0)]), store, dim=8, run="three", replace=True)
-    assert rows(spark.read.parquet(store), "collection", "doc_id") == [("c", "u7"), ("other", "x")]
+    assert rows(ld.read_collection(spark, store), "collection", "doc_id") == [("c", "u7"), ("other", "x")]
 
 
 def test_a_batch_loads_the_last_version_of_a_document(spark, tmp_dir):
     docs = _docs(spark, [("c", "a", "first", 1), ("c", "a", "last", 3), ("c", "a", "middle", 2), ("c", "b", "b", 1), ("c", "b", "b", 1)])
     ld.load_documents(docs, f"{tmp_dir}/points", dim=8, sequence="seq")
-    got = spark.read.parquet(f"{tmp_dir}/points")
+    got = ld.read_collection(spark, f"{tmp_dir}/points")
     assert rows(got, "doc_id", "chunk_text") == [("a", "last"), ("b", "b")]
     assert got.select("node_id").distinct().count() == 2
 
 
 @pytest.mark.parametrize("text, good", [
     ('{"text":"a"}', True), (' {"text":"a"} ', True), ('{"text":"a"} xyz', False), ('{"text":"a"}{"b":1}', False), ("{'text':'a'}", False),
-    ("1, 2", False), ("[]", True), ("1", True), ('"x"', True), ("", False), ("]", False), ("1], [2", False), (None, False)])
+    ("1, 2", False), ("[]", True), ("1", True), ('"x"', True), ("", False), ("]", False), ("1], [2", False), (None, False),
+    ('{"text":"a","text":"b"}', True), ('{"text":NaN}', True), ('{"text":"\\ud800"}', True), ("NaN", True), ("[" * 5000, False)])
 def test_strict_json(spark, text, good):
     df = spark.createDataFrame([(text,)], "n string")
     assert df.select(is_json("n")).first()[0] is good
     if text is not None:
         try:
             json.loads(text)
-        except ValueError:
+        except (ValueError, RecursionError):
             assert not good
 
 
+def test_payloads_as_the_service_reads_them(spark):
+    from sheaf.operators.summaries import parse_summaries, summaries_payload
+    nodes = ['{"text":"a","text":"b"}', '{"text":NaN,"n":[Infinity,1]}', '{"text":"\\ud800x"}', '{"text":5}', '{"text":{"k":[1]}}', '{"text":null}', '"text"']
+    points = spark.createDataFrame([("c", i, "2024-01-01", 0.0, n) for i, n in enumerate(nodes)],
+                                   "collection string, point_id long, date string, createdAt double, _node_content string")
+    got = [(r["summary_text"], r["_reject_reason"]) for r in parse_summaries(points).orderBy("point_id").collect()]
+    assert got == [("b", None), ("NaN", None), ("?x", None), ("5", None), ('{"k":[1]}', None), (None, "null_text"), ("Summary text not found", None)]
+    payload = summaries_payload(points).selectExpr("point_id", "to_json(parsed_content) AS j", "parsed").orderBy("point_id").collect()
+    assert payload[0]["j"] == '{"text":"b"}' and payload[1]["j"] == '{"n":[null,1],"text":null}' and all(r["parsed"] == 1 for r in payload)
+
+
 def test_digest_lines_of_odd_payloads(spark):
     cases = [('{"text":"a","metadata":{"author":null}}', "a"), ('{"text":"a","metadata":{"author":"x"}}', "x: a"),
              ("{'text':'a'}", None), ('{"text":"a"} tail', None), ('{"text":"a"}', "a")]

@@ -15,7 +15,7 @@ def test_page_text_title_and_documents(spark):
     pages = spark.createDataFrame([("https://e.com/a", html)], "url string, html string")
     c = wb.crawled_pages(pages).collect()[0]
     assert c["title"] == "A & B"
-    assert c["inner_text"] == "Hi one two <three>"
+    assert c["inner_text"] == "Hi\n\none\u00a0two <three>"
     assert c["is_sitemap"] is False
     d = wb.page_documents(wb.crawled_pages(pages)).collect()[0]
     assert d["doc_id"] == "https://e.com/a" and d["metadata"] == {"title": "A & B", "url": "https://e.com/a"}
