@@ -531,9 +531,9 @@ def q_stream_rejects(spark, sf_dir):
 
 @register("stream_intake")
 def q_stream_intake(spark, sf_dir):
-    """ST1 + X3: the lines that are requests, through keyed state into the collections."""
+    """ST1 + X3: the lines that are requests, into the collections."""
     store, ck = (scratch_path(spark, n) for n in ("intake", "intake-ck"))
-    st_intake.start_intake(spark, _request_lines(spark, sf_dir), store, ck, state_partitions=default_parallelism(spark)).awaitTermination()
+    st_intake.start_intake(spark, _request_lines(spark, sf_dir), store, ck).awaitTermination()
     return _stored_chunks(spark, store)
 
 

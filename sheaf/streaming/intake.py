@@ -1,36 +1,31 @@
-"""ST1: stateful intake of ingestion requests, with a dead-letter table.
+"""ST1: intake of request lines into the collections, with a dead-letter table.
 
 Requests come as JSON lines. A line that isn't a request (no JSON object, a
 required field missing or of another kind) goes to the dead-letter table with
 its reason, file and line as read. Every other one becomes a document version,
 ordered by the time of its file, the file's name and its place in it.
 
-State per document (collection, id) holds the hash of the newest content, its
-version number and its place in that order, for as long as ``ttl`` lets it live
-(each change renews it). A micro-batch emits only documents whose newest content
-differs, so unchanged repeats write nothing, and of several versions in one
-batch the later one stays, whatever order the rows come in.
+The state of a document (the hash of its newest content) is the collection
+store's own: a micro-batch is one upsert, in which the latest of several
+versions of a document counts, whatever order the rows come in, and unchanged
+repeats write nothing. Keyed state in the stream would hold the same hashes a
+second time and cost a call to the state store for every document.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from .. import schemas
-from ..operators.documents import content_hash, request_documents
+from ..operators.documents import request_documents
 from ..operators.load import load_documents
 from ..quality import REASON, first_reason
-from .state import stateful_writer
 
 REQUIRED = ("communityId", "platformId", "text", "metadata")  # fixed value: fields without a default
-VERSION = ("collection string, doc_id string, text string, metadata map<string,string>, excluded_embed_keys array<string>, "
-           "excluded_llm_keys array<string>, content_hash string, version long, modified timestamp, place string")
 
 
 def request_lines(lines: DataFrame) -> DataFrame:
@@ -49,34 +44,6 @@ def request_lines(lines: DataFrame) -> DataFrame:
         *[c for c in lines.columns], REASON, "r.*")
 
 
-class NewestContent(StatefulProcessor):
-    """Emits a document when its newest content changes."""
-
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("newest", "content_hash string, version long, modified_us long, place string", ttlDurationMs=self.ttl_ms)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
-        for pdf in rows:
-            pdf = pdf.sort_values(["modified", "place"])
-            last = pdf.iloc[-1]
-            if best is None or (last["modified"], last["place"]) > (best["modified"], best["place"]):
-                best = last
-        held = self.state.get() if self.state.exists() else None
-        at = (int(best["modified"].value // 1000), best["place"])
-        if held is not None and (at < (held[2], held[3]) or held[0] == best["content_hash"]):
-            return
-        version = 1 if held is None else held[1] + 1
-        self.state.update((best["content_hash"], version, *at))
-        yield pd.DataFrame([{**best.to_dict(), "version": version}])[[c.split()[0] for c in VERSION.replace("map<string,string>", "m").split(", ")]]
-
-    def close(self) -> None:
-        pass
-
-
 def read_lines(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """JSON lines with where they stand: ``value, file, modified, block``."""
     reader = spark.readStream.format("text")
@@ -100,29 +67,27 @@ def numbered(lines: DataFrame) -> DataFrame:
     return lines.select("value", "file", "modified", "block").mapInArrow(work, "value string, file string, modified timestamp, block long, row long")
 
 
-def newest_documents(lines: DataFrame, ttl_ms: int) -> DataFrame:
-    """The documents of a stream of lines whose newest content changed (columns of ``VERSION``)."""
+def ordered_documents(lines: DataFrame) -> DataFrame:
+    """The documents of a stream of lines, each with its place in the order of versions (``sequence``)."""
     good = request_lines(numbered(lines)).filter(F.col(REASON).isNull())
-    keep = good.select("modified", F.concat_ws("#", "file", F.lpad(F.col("block").cast("string"), 19, "0"), F.lpad(F.col("row").cast("string"), 19, "0")).alias("place"),
-                       *[c for c in good.columns if c not in ("value", "file", "modified", "block", "row", REASON)])
-    docs = request_documents(keep, keep=["modified", "place"]).withColumn("content_hash", content_hash(F.col("text"), F.col("metadata")))
-    docs = docs.withColumn("version", F.lit(0).cast("long"))
-    return docs.groupBy("collection", "doc_id").transformWithStateInPandas(NewestContent(ttl_ms), VERSION, "Update", "ProcessingTime")
+    place = F.struct("modified", "file", "block", "row").alias("sequence")
+    return request_documents(good.select("*", place), keep=["sequence"])
 
 
-def start_intake(spark: SparkSession, source: str, store: str, checkpoint: str, ttl_days: int = 30, max_files_per_trigger: int | None = None,
-                 available_now: bool = True, state_partitions: int | None = None, **load):
+def start_intake(spark: SparkSession, source: str, store: str, checkpoint: str, max_files_per_trigger: int | None = None,
+                 available_now: bool = True, **load):
     """Start the stream of request lines into the collections at ``store``; returns the ``StreamingQuery``.
 
-    Each micro-batch that changes anything is one upsert (:func:`load_documents`, which takes ``load``).
+    Each micro-batch is one upsert (:func:`load_documents`, which takes ``load``); a replayed one finds its documents stored.
     """
     load = {"compact_after": 20, **load}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        load_documents(batch.withColumn("_version", F.col("version")), store, run=str(batch_id), sequence="_version", **load)
+        load_documents(batch, store, run=str(batch_id), sequence="sequence", **load)
 
-    return stateful_writer(spark, lambda: newest_documents(read_lines(spark, source, max_files_per_trigger), ttl_days * 86_400_000),
-                           write_batch, checkpoint, available_now, state_partitions)
+    writer = (ordered_documents(read_lines(spark, source, max_files_per_trigger)).writeStream.foreachBatch(write_batch)
+              .option("checkpointLocation", checkpoint))
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")).start()
 
 
 def start_dead_letters(spark: SparkSession, source: str, sink: str, checkpoint: str, max_files_per_trigger: int | None = None, available_now: bool = True):

@@ -59,7 +59,7 @@ def _file(folder, name, lines):
 
 
 def _intake(spark, src, store, ck):
-    intake.start_intake(spark, src, store, ck, dim=8, state_partitions=2).awaitTermination()
+    intake.start_intake(spark, src, store, ck, dim=8).awaitTermination()
     return rows(read_collection(spark, store), "collection", "doc_id", "chunk_text")
 
 
