@@ -43,16 +43,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import ascii_words, frequent, materialise, tuned
+from sheaf.llm.common import frequent, materialise, tuned
 from sheaf.session import scratch_path
 
 ADD = 0.1  # fixed value: added to every count
 HEAD, NEURAL, CLASS, ENDINGS = 65_536, 2_048, 64, 24
 EMBED, STATE = 16, 24
-WINDOW, LANES, STEPS = 16, 512, 800  # a part takes about STEPS steps of learning, or more with all LANES in use
+WINDOW, LANES, STEPS = 16, 256, 1_000  # a part takes about STEPS steps of learning, or more with all LANES in use
 PART_TOKENS = 4_000_000
 #: Tokens that are scored at once in a task, and words a task counts before it hands them on.
-BLOCK_TOKENS, FLUSH_WORDS = 4_000_000, 300_000
+BLOCK_TOKENS, FLUSH_WORDS = 4_000_000, 1_000_000
 END = b""  # no word is empty
 LN10 = math.log(10)
 
@@ -77,7 +77,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
         held: Counter = Counter()
         for batch in batches:
             for text in batch.column(0):
-                held.update(ascii_words(text.as_py()))
+                held.update((text.as_py() or b"").lower().split())
                 if len(held) > FLUSH_WORDS:
                     yield rows(held)
                     held.clear()
@@ -85,10 +85,17 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield rows(held)
 
-    counted = texts.select("text").mapInArrow(work, "word binary, ending int, n long")
+    counted = texts.select(F.col("text").cast("binary")).mapInArrow(work, "word binary, ending int, n long")
     return counted.groupBy("word", "ending").agg(F.sum("n").alias("n"))
 
 
+class _Ids(dict):
+    """Numbers of head words; any other word gives -1 - its ending's class."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - ending(word)
+
+
 class Vocabulary:
     """Head words with their symbols and static shares; totals of the whole corpus."""
 
@@ -117,7 +124,7 @@ class Vocabulary:
         self._index()
 
     def _index(self):
-        self.id = {w: i for i, w in enumerate(self.words)}
+        self.id = _Ids((w, i) for i, w in enumerate(self.words))
 
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k != "id"}
@@ -131,19 +138,11 @@ class Vocabulary:
         """Inputs of the network: its words, then the static classes."""
         return self.neural + 2 * ENDINGS
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, list[bytes]]:
+    def tokens(self, text: bytes | None) -> tuple[np.ndarray, list[bytes]]:
         """Head ids of a text's tokens, -1 - ending for tail words; the tail words in order."""
-        words = ascii_words(text)
-        get = self.id.get
-        ids = [get(w) for w in words]
-        tail = []
-        for i, known in enumerate(ids):
-            if known is None:
-                w = words[i]
-                tail.append(w)
-                ids[i] = -1 - ending(w)
-        ids.append(self.id.get(END, 0))
-        return np.array(ids, np.int32), tail
+        words = (text or b"").lower().split()
+        ids = np.array([*map(self.id.__getitem__, words), self.id.get(END, 0)], np.int32)
+        return ids, [words[i] for i in np.flatnonzero(ids[:-1] < 0)]
 
     def symbol(self, ids: np.ndarray) -> np.ndarray:
         """Input symbol: a word of the network, or a static class."""
@@ -404,7 +403,7 @@ class Lanes:
         self.first[np.cumsum(sizes) - sizes] = True
         self.start = np.cumsum(self.filled) - self.filled
         self.symbols = vocabulary.symbol(self.ids)
-        self.classes = np.where(self.ids < 0, vocabulary.classes + ENDINGS - 1 - self.ids, vocabulary.of[np.maximum(self.ids, 0)])
+        self.classes = np.where(self.ids < 0, vocabulary.classes + ENDINGS - 1 - self.ids, vocabulary.of[np.maximum(self.ids, 0)]).astype(np.int32)
         self.before = np.where(self.first, 0, np.append(np.int32(0), self.symbols[:-1]))  # symbol 0 is the end token
 
     def windows(self, steps: int):
@@ -436,7 +435,7 @@ def tokenised(texts: DataFrame, v: Vocabulary, rounds: int, parts: int, held: Co
     deal = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     part = F.pmod(deal, F.lit(rounds * parts))
     dealt = texts.select("doc_id", F.when(held, -1).otherwise(F.floor(part / parts)).cast("int").alias("round"),
-                         (part % parts).cast("int").alias("part"), deal.alias("deal"), "text")
+                         (part % parts).cast("int").alias("part"), deal.alias("deal"), F.col("text").cast("binary").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
