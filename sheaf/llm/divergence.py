@@ -6,8 +6,8 @@ a whole (part ``term``). Shares are integers in billionths with one smoothing
 count, so every figure is exact.
 
 Method, late string materialization: tasks count the terms of their documents
-and write one row per source and term with the term's 64-bit digest; all
-shuffles of counts carry digests only. The least and the greatest string of
+and write one row per source and term with the term's 64-bit digest (the term
+itself once a task and language); all shuffles of counts carry digests only. The least and the greatest string of
 each kept digest tell whether two terms share it; such digests are split by
 their strings and counted again (``bits`` makes digests short in tests). Text
 comes back by a join for the terms that are returned, and for those tied with
@@ -49,7 +49,7 @@ CHUNK = 2_000_000      # numbers of one numpy step
 #: Bytes of terms as they are (A-Z lowered), all others as a blank.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-COUNTS = "lang string, source string, digest long, term binary, first boolean, n long, docs long"
+COUNTS = "lang string, source string, digest long, term binary, n long, docs long"
 PAIRS = "lang string, i int, j int, value long"
 
 
@@ -67,10 +67,10 @@ def term_digest(term: bytes, bits: int = 64) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def term_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
+def term_counts(docs: DataFrame, bits: int = 64, every: bool = False) -> DataFrame:
     """Partial counts by task: a row per (lang, source, term), and one without a digest per (lang, source).
 
-    ``first`` marks one row per (lang, term) of those that a task hands on together.
+    Of the rows that a task hands on together one per (lang, term) holds the term itself, or all with ``every``.
     """
     def flush(groups: dict, codes: dict, keys: np.ndarray, n: np.ndarray, docs_of: np.ndarray) -> pa.RecordBatch:
         """All counts of a task so far; keys are a group's number and a term's code."""
@@ -80,19 +80,20 @@ def term_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
         names = list(groups)
         langs = {lang: i for i, lang in enumerate(dict.fromkeys(lang for lang, _ in names))}
         lang_of = np.array([langs[lang] for lang, _ in names], np.int64)
-        first = np.zeros(len(keys), bool)
-        first[np.unique(lang_of[group] << 32 | code, return_index=True)[1]] = True
         bare = len(names)  # rows that only say that a group occurs
+        silent = np.ones(len(keys), bool)
+        silent[np.unique(lang_of[group] << 32 | code, return_index=True)[1]] = False
+        shown = pa.array(code, mask=None if every else silent)
 
         def column(values, none, kind):
             return pa.concat_arrays([pa.array(values, kind), pa.array(none, kind)])
 
-        every = np.concatenate([group, np.arange(bare)])
+        owner = pa.array(np.concatenate([group, np.arange(bare)]))
         return pa.RecordBatch.from_arrays(
-            [pa.array([lang for lang, _ in names], pa.string()).take(pa.array(every)), pa.array([source for _, source in names], pa.string()).take(pa.array(every)),
-             column(digests[code], [None] * bare, pa.int64()), pa.concat_arrays([terms.take(pa.array(code)), pa.nulls(bare, pa.binary())]),
-             column(first, [False] * bare, pa.bool_()), column(n, [0] * bare, pa.int64()), column(docs_of, [0] * bare, pa.int64())],
-            names=["lang", "source", "digest", "term", "first", "n", "docs"])
+            [pa.array([lang for lang, _ in names], pa.string()).take(owner), pa.array([source for _, source in names], pa.string()).take(owner),
+             column(digests[code], [None] * bare, pa.int64()), pa.concat_arrays([terms.take(shown), pa.nulls(bare, pa.binary())]),
+             column(n, [0] * bare, pa.int64()), column(docs_of, [0] * bare, pa.int64())],
+            names=["lang", "source", "digest", "term", "n", "docs"])
 
     def summed(parts: list) -> list:
         """Equal keys of the parts added up."""
@@ -156,17 +157,17 @@ def term_counts(docs: DataFrame, bits: int = 64) -> DataFrame:
                        F.coalesce(F.col("text"), empty).cast("binary").alias("text")).mapInArrow(work, COUNTS)
 
 
-def kept_terms(partial: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFrame]:
+def kept_terms(docs: DataFrame, partial: DataFrame, min_docs: int = 3, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """Counts of the kept terms by source, and the kept terms' strings.
 
     ``(lang, source, digest, variant, n, lang_n)`` and ``(lang, digest, variant, term)``;
-    ``variant`` tells terms with one digest apart.
+    ``variant`` tells terms with one digest apart; only such terms are counted again with their strings.
     """
     of_term = Window.partitionBy("lang", "digest")
     held = partial.where("digest is not null").groupBy("lang", "source", "digest").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     held = materialise(held.withColumn("lang_n", F.sum("n").over(of_term)).withColumn("lang_docs", F.sum("docs").over(of_term))
                        .where(F.col("lang_docs") >= min_docs).drop("docs", "lang_docs"), "kept")
-    named = (partial.where("first").select("lang", "digest", "term")
+    named = (partial.where("term is not null").select("lang", "digest", "term")
              .join(held.select("lang", "digest").distinct(), ["lang", "digest"], "left_semi")
              .groupBy("lang", "digest").agg(F.min("term").alias("term"), F.max("term").alias("other")))
     named = materialise(named, "names")
@@ -175,7 +176,7 @@ def kept_terms(partial: DataFrame, min_docs: int = 3) -> tuple[DataFrame, DataFr
     if shared.isEmpty():
         return held.withColumn("variant", F.lit(0)), named.select("lang", "digest", F.lit(0).alias("variant"), "term")
     of_text = Window.partitionBy("lang", "digest", "term")
-    split = (partial.join(shared, ["lang", "digest"], "left_semi").groupBy("lang", "source", "digest", "term")
+    split = (term_counts(docs, bits, every=True).where("digest is not null").join(shared, ["lang", "digest"], "left_semi").groupBy("lang", "source", "digest", "term")
              .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
              .withColumn("lang_n", F.sum("n").over(of_text)).withColumn("lang_docs", F.sum("docs").over(of_text)).where(F.col("lang_docs") >= min_docs)
              .withColumn("variant", F.dense_rank().over(Window.partitionBy("lang", "digest").orderBy("term"))))
@@ -314,7 +315,7 @@ def source_pairs(entries: DataFrame, groups: DataFrame) -> DataFrame:
 def divergence(docs: DataFrame, min_docs: int = 3, top: int = 200, bits: int = 64) -> DataFrame:
     """``(lang, source, part, item, value, rank)``; see the module's text."""
     partial = materialise(term_counts(docs, bits), "terms")
-    kept, named = kept_terms(partial, min_docs)
+    kept, named = kept_terms(docs, partial, min_docs, bits)
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("words"), F.count(F.lit(1)).alias("rows"))
     of_lang = Window.partitionBy("lang")
     groups = (partial.where("digest is null").select("lang", "source").distinct()
