@@ -20,7 +20,8 @@ def plans(spark):
 def test_per_key_limits_are_map_side(plans):
     for name in ("summaries_by_date", "digest_text", "vector_topk", "stored_summaries"):
         assert plans[name]["map-side top-k"] == 1, name
-    assert plans["summaries_by_date"]["shuffles"] == 1
+    # The limit's shuffle, and one of the rows that it leaves: payloads are parsed in Arrow batches in between.
+    assert plans["summaries_by_date"]["shuffles"] == 2
 
 
 @pytest.mark.parametrize("name", ["digest_text", "wiki_job_pages"])
