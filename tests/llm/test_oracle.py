@@ -10,7 +10,12 @@ from sheaf.llm.oracle import ORACLE
 SF = "/root/testdata/sf0.001"
 
 
+#: Queries whose limits the smallest tables don't reach.
+LARGER = {"op6_line_frequency": "/root/testdata/sf0.01", "op12_collocations": "/root/testdata/sf0.01"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
-    ok, line = compare(spark, open_duckdb(SF), SF, name)
+    sf = LARGER.get(name, SF)
+    ok, line = compare(spark, open_duckdb(sf), sf, name)
     assert ok, line
