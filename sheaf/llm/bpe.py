@@ -11,10 +11,12 @@ byte. The gadget of merge ``(u, v) -> w`` of rank ``r`` does three things:
 
 All arcs with one label lead to one state, so a state is named by the label
 that enters it. After the last merge a word has exactly one path, and that
-path is its BPE encoding: no merge is applied while encoding. The table of
-gadgets (``left``, ``right``, ``rank`` and the cut arcs) is as large as the
-vocabulary; rows of the transition table are filled in as they are met.
-Decoding emits the labels' bytes.
+path is its BPE encoding: no merge is applied while encoding. What is compiled
+is the table of gadgets (``left``, ``right``, ``rank`` and the cut arcs), as
+large as the vocabulary; rows of transitions are not. A word's path is found by
+a longest-match search over the labels with backtracking, and whether an arc
+leaves a state is worked out from the gadgets when it is first asked, then
+remembered. Decoding emits the labels' bytes.
 
 Defined cases: NULL or empty text has no tokens and decodes to an empty text;
 texts of any length are encoded whole; repeated rows give repeated rows; an
