@@ -5,8 +5,7 @@ W1-W5, J1, R1, R2).
 platforms; ``platforms`` holds the metadata of each platform. The reference
 walks modules in Python and looks up metadata one key at a time (an N+1
 pattern); here the nested list is exploded and joined to the metadata once.
-The metadata side is broadcast only after a bounded size check, otherwise the
-join is a shuffle join on the platform id.
+How the metadata side is joined (broadcast or shuffle) is the planner's choice.
 """
 
 from __future__ import annotations
