@@ -148,6 +148,16 @@ def test_ranking_on_held_out_documents(spark):
     assert all((crc(r.doc_id) % 5 == 0) == r.held_out for r in out.limit(50).collect())
 
 
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_exact_quantile(spark, few):
+    rng = np.random.default_rng(6)
+    values = np.round(np.concatenate([rng.normal(size=300), np.full(200, 0.25), rng.normal(size=20) * 1e6]), 3)
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(4)
+    for share in (0, 0.01, 0.3, 0.5, 0.77, 0.999, 1):
+        assert pairwise.exact_quantile(df, "v", share, few=few, bins=8) == sorted(values)[int(share * (len(values) - 1))]
+    assert pairwise.exact_quantile(df.limit(0), "v", 0.5) is None
+
+
 def test_ranking_odd_rows(spark):
     docs = odd_documents(spark)
     labels = spark.createDataFrame([(0, 1, 0), (6, 0, 0), (6, 1, 0), (999, 1, 0), (7, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
