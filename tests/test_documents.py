@@ -89,6 +89,19 @@ def test_extractive_summary(spark):
     assert {r["collection"]: r["summary"] for r in custom.collect()} == {"c": "4", "d": "1"}
 
 
+def test_extractive_sentences_stay_in_their_row(spark, monkeypatch):
+    """A text's graph of sentences needs no shuffle, whatever the slices are; blank and NULL texts give no row."""
+    texts = [(1, "Ada met Bob. Bob saw Cy! Cy left? The end."), (2, "one. two. three. four."), (3, None), (4, " . "), (5, ""),
+             (6, "x y. " * 11 + "q r. r s. s q.")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    want = [(1, 4, "Ada met Bob. Bob saw Cy! Cy left?"), (2, 4, "one. two. three."), (4, 1, "."), (6, 14, "q r. r s. s q.")]
+    for words in (md.SLICE_WORDS, 1):
+        monkeypatch.setattr(md, "SLICE_WORDS", words)
+        got = md.extractive_sentences(df)
+        assert rows(got) == want
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_staging_round_trip(spark, tmp_dir):
     docs = spark.createDataFrame([("1", "t", {"k": "v"}, [], [], "c1"), ("2", "u", {}, [], [], "c2")],
                                  schemas.DOCUMENTS + ", community_id string")
