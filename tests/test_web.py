@@ -2,6 +2,9 @@ from __future__ import annotations
 
 from collections import deque
 
+import pyarrow as pa
+
+from sheaf.functions import slices as slc
 from sheaf.operators import web as wb
 from tests.conftest import rows
 
@@ -30,6 +33,29 @@ def test_link_resolution(spark):
                    ("https://x.org/p", 1)]
 
 
+def test_links_take_one_python_pass(spark):
+    """A page is read and its links are resolved at once; neither its text nor the page itself goes along with each link."""
+    pages = spark.createDataFrame([
+        (1, "https://e.com/d/p", '<base href="/b&amp;c/"><a href="x">1</a><a href="https://y.org/?a&amp;b">2</a><a>3</a>'),
+        (2, "https://e.com/d/p", None), (3, None, '<a href="https://e.com/z">1</a>'), (4, "https://e.com/d/p", '<a href="q">1</a>' * 600)],
+        "page_id long, url string, html string").coalesce(1)
+    links = wb.page_links(pages)
+    assert rows(links) == [(1, "https://e.com/b&c/x", 1), (1, "https://y.org/?a&b", 1), (4, "https://e.com/d/q", 600)]
+    assert links._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    hrefs = wb.page_hrefs(pages.filter("page_id <> 4"), "page_id")
+    assert rows(hrefs, "page_id", "base", "href") == [
+        (1, "https://e.com/b&c/", "https://y.org/?a&amp;b"), (1, "https://e.com/b&c/", "x"), (3, None, "https://e.com/z")]
+
+
+def test_slices_are_bounded_by_rows_and_text(monkeypatch):
+    monkeypatch.setattr(slc, "SLICE_ROWS", 3)
+    monkeypatch.setattr(slc, "SLICE_BYTES", 10)
+    texts = pa.array(["a" * 30, "b", None, "c" * 8, "d" * 4, "e", "f", "g", "h"][:9])
+    cut = [part.to_pylist() for (part,) in slc.slices(texts)]
+    assert cut == [["a" * 30], ["b", None, "c" * 8], ["d" * 4, "e", "f"], ["g", "h"]]
+    assert [len(part) for (part,) in slc.slices(texts.slice(4))] == [3, 2] and not list(slc.slices(texts.slice(9)))
+
+
 def test_sitemap_cases(spark):
     good = (f'<?xml version="1.0"?><urlset xmlns="{NS}"><url><loc>  https://a.com/1 \n</loc></url>'
             f"<url><loc>ftp://a.com/f</loc></url><url><loc></loc></url><url><loc>https://a.com/1</loc></url>"
