@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sheaf import schemas
 from sheaf.operators import documents as dc
@@ -68,6 +69,15 @@ def test_embedding_default(spark):
     assert not out[2].any() and not out[3].any()
 
 
+def test_embedding_holds_a_slice_of_a_batch(spark):
+    """What a worker builds from a batch of 10,000 texts (words, vectors) is bounded by a slice."""
+    def sizes(texts):
+        return np.full((len(texts), 1), len(texts))
+    df = spark.range(0, 3000, 1, 1).select("id", F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"))
+    got = [r["embedding"][0] for r in md.embed(df, fn=sizes).collect()]
+    assert len(got) == 3000 and max(got) <= 256
+
+
 def test_vector_search(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], "x"), (2, [0.0, 1.0], "x"), (3, [1.0, 1.0], "y"),
                                 (4, [0.0, 0.0], "y")], "id long, embedding array<float>, g string")
