@@ -99,3 +99,43 @@ def test_an_empty_batch_and_no_store(spark, tmp_dir):
     assert len(_live(spark, store)) == 1
     empty = ld.load_documents(spark.createDataFrame([], COLS), f"{tmp_dir}/empty", dim=8)
     assert ld.read_collection(spark, empty).count() == 0 and ld.read_documents(spark, empty).count() == 0
+
+
+def test_a_load_shuffles_texts_once(spark, tmp_dir):
+    """Documents and stored hashes meet in one exchange, which also lays out the files; chunks and vectors are not shuffled."""
+    store = f"{tmp_dir}/store"
+    _load(spark, store, [(f"c{i % 3}", f"d{i}", f"text {i}") for i in range(30)], "1")
+    batch = spark.createDataFrame([("c1", "d1", "new"), ("c1", "d1", "newer"), ("c2", "d2", "text 2"), ("c9", "d2", "x"), (None, "n", "y")], COLS)
+    changed = ld._changes(batch, ld.read_documents(spark, store), False)
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert {(r["collection"], r["doc_id"]) for r in changed.collect()} == {("c1", "d1"), ("c9", "d2"), (None, "n")}
+
+
+@pytest.mark.parametrize("keys", [1_000_000, 0], ids=["broadcast", "shuffled"])
+@pytest.mark.parametrize("small", [0, 1 << 30], ids=["copied", "dealt out"])
+def test_compaction_leaves_texts_where_they_are(spark, tmp_dir, monkeypatch, keys, small):
+    """Superseded rows are found by the keys of later generations, whatever the planner's own limit is."""
+    monkeypatch.setattr(ld, "BROADCAST_KEYS", keys)
+    monkeypatch.setattr(ld, "SMALL_FILE", small)
+    store = f"{tmp_dir}/store"
+    _load(spark, store, [("c", f"d{i}", f"text {i}") for i in range(40)] + [("c", None, "null")], "1")
+    _load(spark, store, [("c", f"d{i}", f"text {i}" if i % 2 else f"new {i}") for i in range(20)], "2")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = ld.read_collection(spark, store)._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (keys > 0)
+        live = _live_texts(spark, store)
+        ld.compact(spark, store)
+        assert _live_texts(spark, store) == live
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert live == {("d" + str(i), f"new {i}" if i < 20 and not i % 2 else f"text {i}") for i in range(40)} | {(None, "null")}
+    # A key without an id is a key: what it holds is not loaded again.
+    _load(spark, store, [("c", None, "null")], "3")
+    assert len(ld.generations(spark, store)[1]) == 1
+
+
+def _live_texts(spark, store):
+    return {(r["doc_id"], r["chunk_text"]) for r in ld.read_collection(spark, store).collect()}
