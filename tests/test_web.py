@@ -158,3 +158,16 @@ def test_href_forms(spark):
     pages = spark.createDataFrame([(1, "https://e.com/", html)], "page_id long, url string, html string")
     assert [r["link"] for r in wb.page_links(pages).orderBy("link").collect()] == [
         "https://e.com/a", "https://e.com/b", "https://e.com/c", "https://e.com/d"]
+
+
+def test_a_crawl_round_meets_what_a_seed_holds_in_one_exchange(spark):
+    """The round before is all that a round reads: pages held by a seed come with its frontier, not from all rounds."""
+    frontier = spark.createDataFrame([("a", "a2", 3, ["a", "a1", "a2"]), ("a", "a1", 3, None), ("b", "b", 1, ["b"])],
+                                     "seed string, url string, held long, seen array<string>")
+    edges = spark.createDataFrame([("a2", "a"), ("a2", "x"), ("a1", "x"), ("a1", "w"), ("a1", "y"), ("b", "b"), ("b", "z"), ("q", "z")],
+                                  "src string, dst string")
+    new = wb.crawl_round(frontier, edges, 5)
+    got = {(r["seed"], r["url"]): (r["held"], sorted(r["seen"]) if r["seen"] else None) for r in new.collect()}
+    assert got == {("a", "w"): (5, None), ("a", "x"): (5, None), ("b", "z"): (2, ["b", "z"])}
+    plan = new._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and plan.count("Join") == 1
