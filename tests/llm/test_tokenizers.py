@@ -60,6 +60,29 @@ def test_automaton_has_the_paths_of_plain_merging(seed, word):
     assert automaton.decode(path) == word.encode()
 
 
+def test_words_of_a_block_run_through_the_automaton_together(theirs, monkeypatch):
+    rng, own = random.Random(5), bpe.ByteBPE.load(BPE)
+    marks = ["er", "th", "tion", "ça", "ñ", "日", "😀", ",", "###", "'ll", " ", "\n", "7", "<|endoftext|>"]
+    texts = [None, "", *("".join(rng.choices(marks, k=300)) for _ in range(200)), "ab" * 300]
+    expected = [theirs.encode(t or "", add_special_tokens=False).ids for t in texts]
+    words = sorted({w.encode() for t in texts for w in own._words(t)} - {b""})
+    path, ends = own.automaton.encode_all(words)
+    assert [p.tolist() for p in bpe.np.split(path, ends[:-1])] == [own.automaton.encode(w) for w in words]
+    alone, encode = [], bpe.Automaton.encode
+    monkeypatch.setattr(bpe.Automaton, "encode", lambda self, word: alone.append(word) or encode(self, word))
+    for own in (own, bpe.ByteBPE.load(BPE)):
+        # A full table changes no result.
+        monkeypatch.setattr(bpe, "CACHE_ENTRIES", 50)
+        assert [i.tolist() for i in own.encode_all(texts)] == expected
+        assert [d[0] for d in own.digests(texts)] == [*map(len, expected)]
+        assert len(own.known) <= 50 + len(own.special)
+    assert all(len(w) > bpe.WORD_BYTES for w in alone)
+    with pytest.raises(ValueError):
+        bpe.Automaton({0: b"a"}, []).encode_all([b"aba"])
+    with pytest.raises(ValueError):
+        bpe.Automaton({0: b"a"}, []).encode_all([b"a", b"ab"])
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=4)), max_size=30).map("".join))
 def test_same_ids_as_the_library(own, theirs, text):
