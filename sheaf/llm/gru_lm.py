@@ -151,21 +151,12 @@ class Vocabulary:
         return np.where(ids < 0, self.neural + ENDINGS - 1 - ids, np.where(known < self.neural, known, static)).astype(np.int32)
 
 
-def logistic(x: np.ndarray) -> None:
-    """1 / (1 + exp(-x)) in place."""
-    np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
-    x += 1
-    np.divide(np.float32(1), x, out=x)
-
-
 def shares(logits: np.ndarray, tame: bool) -> np.ndarray:
-    """Exponentials in place (of the distance to the largest, unless ``tame``), and their sums by row."""
+    """Exponentials in place (of the distance to the largest, unless ``tame``), and their sums by column."""
     if not tame:
-        logits -= logits.max(axis=1, keepdims=True)
+        logits -= logits.max(axis=0)
     np.exp(logits, out=logits)
-    return logits.sum(axis=1)
+    return logits.sum(axis=0)
 
 
 class Network:
@@ -197,26 +188,44 @@ class Network:
             self.p[name] = flat[at: at + n].reshape(shape)
             at += n
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        """One step for all lanes (as columns, so that gates are whole rows): ``x`` holds the input's share of the gates."""
-        a = self.p["loop"].T @ h
-        gates = x[:2 * STATE] + a[:2 * STATE]
-        logistic(gates)
-        z, r = gates[:STATE], gates[STATE:]
-        n = r * a[2 * STATE:]
-        n += x[2 * STATE:]
-        n *= 2
-        logistic(n)  # the hyperbolic tangent by the logistic function
-        n *= 2
-        n -= 1
-        new = h - n
-        new *= z
-        new += n
-        return new, z, r, n, a[2 * STATE:]
-
-    def inputs(self) -> np.ndarray:
-        """The gates' share of each input symbol, symbols as columns."""
-        return np.ascontiguousarray((self.p["embed"] @ self.p["inner"] + self.p["bias"]).T)
+    def states(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
+        """A window's states and gates from the state ``h``, step by step; lanes are columns, so that gates are whole
+        rows. States and inputs have a last value of one, so that biases are weights."""
+        p, (steps, width) = self.p, before.shape
+        # The logistic function is 1 / (1 + exp(-x)), the hyperbolic tangent 2 / (1 + exp(-2x)) - 1: the signs go into the weights.
+        scale = np.repeat(np.array([-1, -1, -2], np.float32), STATE)[:, None]
+        loop = np.ascontiguousarray(p["loop"].T * scale)
+        inner = np.concatenate([p["inner"].T, p["bias"][:, None]], axis=1) * scale
+        inputs = np.concatenate([p["embed"], np.ones((len(p["embed"]), 1), np.float32)], axis=1).take(before, axis=0, mode="clip")
+        gates = np.matmul(inner, inputs.transpose(0, 2, 1))
+        out = np.ones((steps, STATE + 1, width), np.float32)
+        past = np.empty((steps, STATE, width), np.float32)
+        carried = np.empty((steps, STATE, width), np.float32)  # -2 times the loop's share of the new state
+        starts = fresh.any(axis=1).tolist()
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                if starts[t]:
+                    h = np.where(fresh[t], np.float32(0), h)
+                past[t] = h
+                a = loop @ h
+                zr, n = gates[t, :2 * STATE], gates[t, 2 * STATE:]
+                zr += a[:2 * STATE]
+                np.exp(zr, out=zr)
+                zr += 1
+                np.reciprocal(zr, out=zr)
+                a = a[2 * STATE:]
+                carried[t] = a
+                a *= zr[STATE:]
+                n += a
+                np.exp(n, out=n)
+                n += 1
+                np.divide(np.float32(2), n, out=n)
+                n -= 1
+                h = np.subtract(h, n, out=a)
+                h *= zr[:STATE]
+                h += n
+                out[t, :STATE] = h
+        return out, past, inputs, gates, carried, starts, h
 
     def tame(self) -> bool:
         """Whether no logit can leave the range in which exponentials are exact enough (states lie between -1 and 1)."""
@@ -225,70 +234,81 @@ class Network:
                    for w, b, axis in (("cls", "cls_bias", 0), ("out", "out_bias", 2)))
 
     def output(self, h: np.ndarray, cls: np.ndarray, symbol: np.ndarray, learn: bool = False):
-        """Natural log probability of class and word for each row; with ``learn`` also the gradients."""
-        p = self.p
-        # Rows in the order of their classes, so that a class is a slice.
-        order = np.argsort(cls.astype(np.uint8) if self.v.width < 256 else cls, kind="stable")
-        h, cls, symbol = h[order], cls[order], symbol[order]
-        rows = np.arange(len(h))
-        chance = np.empty(len(h), np.float32)
-        bounds = np.searchsorted(cls, np.arange(self.v.classes + 1))
+        """:meth:`outputs` for states as rows."""
+        states = np.ones((1, STATE + 1, len(h)), np.float32)
+        states[0, :STATE] = h.T
+        score, dh, grads = self.outputs(states, cls[None], symbol[None], np.ones((1, len(h)), bool), self.tame(), learn)
+        return score[0], dh[0].T if learn else None, grads
+
+    def outputs(self, h: np.ndarray, cls: np.ndarray, symbol: np.ndarray, real: np.ndarray, tame: bool, learn: bool = False):
+        """Natural log probability of class and word at each place of a window's states (see :meth:`states`), any number
+        where a place isn't ``real``; with ``learn`` also the gradients."""
+        p, (steps, _, width) = self.p, h.shape
+        chance, whole = np.empty((steps, width), np.float32), bool(real.all())
+        weights = np.concatenate([p["cls"], p["cls_bias"][None]])
+        turned = np.ascontiguousarray(weights.T)
         dh = grads = None
         if learn:
-            dh = np.empty_like(h)
-            grads = {k: np.zeros_like(p[k]) for k in ("cls", "cls_bias", "out", "out_bias")}
-        tame = self.tame()
-        for lo in range(0, len(h), 2_048):  # rows whose classes fit the processor's cache
-            part = slice(lo, lo + 2_048)
-            hb, at = h[part], rows[:len(h[part])]
-            logits = hb @ p["cls"]
-            logits += p["cls_bias"]
+            dh, d_cls = np.empty((steps, STATE, width), np.float32), np.zeros_like(weights)
+            d_out = np.zeros((self.v.classes, CLASS, STATE + 1), np.float32)
+        lanes = np.arange(width)
+        for t in range(steps):
+            logits, own = turned @ h[t], cls[t]
             total = shares(logits, tame)
-            chance[part] = logits[at, cls[part]] / total
+            picked = logits[own, lanes]
+            np.divide(picked, total, out=chance[t])
             if learn:
-                logits /= total[:, None]
-                logits[at, cls[part]] -= 1
-                np.matmul(logits, p["cls"].T, out=dh[part])
-                grads["cls"] += hb.T @ logits
-                grads["cls_bias"] += logits.sum(axis=0)
-        for c in np.flatnonzero(bounds[1:] > bounds[:-1]):
-            own = slice(bounds[c], bounds[c + 1])
-            hc, word = h[own], symbol[own] - c * CLASS
-            at = rows[:len(hc)]
-            inner = hc @ p["out"][c].T
-            inner += p["out_bias"][c]
+                # Shares are the column divided by its sum, less one at its class: the sum goes to the narrower factor.
+                logits[own, lanes] = picked - total
+                np.reciprocal(total, out=total)
+                if not whole:
+                    total *= real[t]
+                np.multiply(p["cls"] @ logits, total, out=dh[t])
+                d_cls += (h[t] * total) @ logits.T
+        # Rows in the order of their classes, so that a class is a slice; static classes and other places come last.
+        flat = cls.ravel() if whole else np.where(real, cls, self.v.width).ravel()
+        order = np.argsort(flat.astype(np.uint8) if self.v.width < 255 else flat, kind="stable")
+        edges = np.searchsorted(flat[order], np.arange(self.v.classes + 1))
+        order, edges = order[:edges[-1]], edges.tolist()
+        rows = np.ascontiguousarray(h.transpose(0, 2, 1)).reshape(-1, STATE + 1).take(order, axis=0, mode="clip")
+        word, inside, places = symbol.ravel()[order] % CLASS, np.empty(len(order), np.float32), np.arange(len(order))
+        weights = np.concatenate([p["out"], p["out_bias"][:, :, None]], axis=2)
+        if learn:
+            d_rows = np.empty((len(order), STATE), np.float32)
+        for c in range(self.v.classes):
+            lo, hi = edges[c], edges[c + 1]
+            if lo == hi:
+                continue
+            some, own, at = rows[lo:hi], word[lo:hi], places[:hi - lo]
+            inner = weights[c] @ some.T
             sums = shares(inner, tame)
-            chance[own] *= inner[at, word] / sums
+            picked = inner[own, at]
+            np.divide(picked, sums, out=inside[lo:hi])
             if learn:
-                inner /= sums[:, None]
-                inner[at, word] -= 1
-                dh[own] += inner @ p["out"][c]
-                grads["out"][c] = inner.T @ hc
-                grads["out_bias"][c] = inner.sum(axis=0)
-        score = np.empty_like(chance)
-        score[order] = np.log(np.maximum(chance, np.float32(1e-37)))
+                inner[own, at] = picked - sums
+                np.reciprocal(sums, out=sums)
+                np.multiply(inner.T @ p["out"][c], sums[:, None], out=d_rows[lo:hi])
+                some *= sums[:, None]
+                d_out[c] = inner @ some
+        chance.ravel()[order] *= inside
         if learn:
-            back = np.empty_like(dh)
-            back[order] = dh
-            dh = back
-        return score, dh, grads
+            back = np.zeros((steps * width, STATE), np.float32)
+            back[order] = d_rows
+            dh += back.reshape(steps, width, STATE).transpose(0, 2, 1)
+            grads = {"cls": d_cls[:STATE], "cls_bias": d_cls[STATE], "out": d_out[:, :, :STATE], "out_bias": d_out[:, :, STATE]}
+        np.maximum(chance, np.float32(1e-37), out=chance)
+        return np.log(chance, out=chance), dh, grads
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each document's classes and output words; states run through whole documents."""
         lanes = Lanes(docs, self.v, LANES)
         out = np.zeros(len(docs))
-        table, h = self.inputs(), np.zeros((STATE, lanes.width), np.float32)
-        for symbol, before, cls, doc, fresh in lanes.windows(WINDOW):
-            states = np.empty((*symbol.shape, STATE), np.float32)
-            h = h[:, :symbol.shape[1]]
-            for t in range(len(symbol)):
-                if fresh[t].any():
-                    h = np.where(fresh[t], np.float32(0), h)
-                h = self.step(table.take(before[t], axis=1), h)[0]
-                states[t] = h.T
-            real = slice(None) if (doc >= 0).all() else doc >= 0
-            score, _, _ = self.output(states[real].reshape(-1, STATE), cls[real].ravel(), symbol[real].ravel())
-            out += np.bincount(doc[real].ravel(), score.astype(np.float64), len(docs))
+        h, tame = np.zeros((STATE, lanes.width), np.float32), self.tame()
+        for symbol, before, cls, doc, fresh in lanes.windows(4 * WINDOW):
+            states, *_, h = self.states(before, fresh, h[:, :symbol.shape[1]])
+            real = doc >= 0
+            score, _, _ = self.outputs(states, cls, symbol, real, tame)
+            out += np.bincount(doc[real], score[real].astype(np.float64), len(docs))
         return out / LN10
 
     def history(self) -> np.ndarray:
@@ -306,70 +326,61 @@ class Network:
             at += math.prod(shape)
         count, p = 0, self.p
         for symbol, before, cls, doc, fresh in lanes.windows(WINDOW):
-            steps, table, starts = [], self.inputs(), fresh.any(axis=1)
-            h = h[:, :symbol.shape[1]]
-            states = np.empty((*symbol.shape, STATE), np.float32)
-            for t in range(len(symbol)):
-                if starts[t]:
-                    h = np.where(fresh[t], np.float32(0), h)
-                new, z, r, n, a = self.step(table.take(before[t], axis=1), h)
-                steps.append((h, z, r, n, a))
-                states[t] = new.T
-                h = new
+            states, past, inputs, gates, carried, starts, h = self.states(before, fresh, h[:, :symbol.shape[1]])
             real = doc >= 0
             m = int(np.count_nonzero(real))
             if not m:
                 continue
-            whole = m == real.size
-            pick = (lambda x: x.reshape(-1, *x.shape[2:])) if whole else (lambda x: x[real])
-            _, dh_out, grads = self.output(pick(states), pick(cls), pick(symbol), learn=True)
-            if whole:
-                states[...] = dh_out.reshape(states.shape)
-            else:
-                states[...] = 0
-                states[real] = dh_out
-            dgates = np.empty((len(symbol), 3 * STATE, symbol.shape[1]), np.float32)
+            _, dh, grads = self.outputs(states, cls, symbol, real, self.tame(), learn=True)
+            z, r, n = (gates[:, i * STATE: (i + 1) * STATE] for i in range(3))
+            # What a state's gradient is multiplied by on its way to each gate.
+            keep = 1 - z
+            to_z = past - n
+            to_z *= z
+            to_z *= keep
+            to_n = n * n
+            np.subtract(1, to_n, out=to_n)
+            to_n *= keep
+            to_r = carried
+            to_r *= np.float32(-0.5)
+            to_r *= r
+            np.subtract(1, r, out=keep)
+            to_r *= keep
+            da, dn = np.empty_like(gates), keep
             back = np.zeros_like(h)
-            loop = np.zeros_like(p["loop"])
-            da = np.empty((3 * STATE, symbol.shape[1]), np.float32)
             for t in range(len(symbol) - 1, -1, -1):
-                past, z, r, n, a = steps[t]
-                d = states[t].T + back
-                keep = 1 - z
-                dz, dr, dn = (dgates[t, i * STATE: (i + 1) * STATE] for i in range(3))
-                np.subtract(past, n, out=dz)
-                dz *= d
-                dz *= z
-                dz *= keep
-                np.multiply(n, n, out=dn)
-                np.subtract(1, dn, out=dn)
-                dn *= keep
-                dn *= d
-                np.multiply(dn, a, out=dr)
-                dr *= r
-                dr *= 1 - r
-                da[:2 * STATE] = dgates[t, :2 * STATE]
-                np.multiply(dn, r, out=da[2 * STATE:])
-                loop += past @ da.T
-                back = p["loop"] @ da
-                d *= z
+                d, own = back, da[t]
+                d += dh[t]
+                np.multiply(d, to_z[t], out=own[:STATE])
+                np.multiply(d, to_n[t], out=dn[t])
+                np.multiply(dn[t], to_r[t], out=own[STATE:2 * STATE])
+                np.multiply(dn[t], r[t], out=own[2 * STATE:])
+                d *= z[t]
+                back = p["loop"] @ own
                 back += d
                 if starts[t]:
                     back[:, fresh[t]] = 0
-            used = before.reshape(-1)
-            flat = np.ascontiguousarray(dgates.transpose(0, 2, 1)).reshape(-1, 3 * STATE)
-            grads |= {"loop": loop, "bias": flat.sum(axis=0), "inner": p["embed"][used].T @ flat}
+            grads["loop"] = np.matmul(past, da.transpose(0, 2, 1)).sum(axis=0)
+            da[:, 2 * STATE:] = dn  # the loop's share of the new state passes a gate, the input's doesn't
+            both = np.matmul(da, inputs).sum(axis=0).T
+            grads |= {"bias": both[EMBED], "inner": both[:EMBED]}
+            used = before.ravel()
             order = np.argsort(used.astype(np.uint16) if len(p["embed"]) < 65_536 else used, kind="stable")
             ranked = used[order]
             edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
             rows = ranked[edge]
-            summed = np.add.reduceat((flat @ p["inner"].T)[order], edge, axis=0)
+            flat = np.ascontiguousarray((p["inner"] @ da).transpose(0, 2, 1)).reshape(-1, EMBED)
+            summed = np.add.reduceat(flat[order], edge, axis=0)
             norm = np.float32(1 / math.sqrt(m))
             for name, g in grads.items():
                 g *= norm
                 np.clip(g, -5, 5, out=g)
-                sums[name] += g * g
-                p[name] -= rate * g / np.sqrt(sums[name])
+                by = g * g
+                sums[name] += by
+                np.sqrt(sums[name], out=by)
+                np.divide(g, by, out=by)
+                by *= np.float32(rate)
+                p[name] -= by
             g = np.clip(summed * norm, -5, 5)
             sums["embed"][rows] += g * g
             p["embed"][rows] -= rate * g / np.sqrt(sums["embed"][rows])

@@ -110,6 +110,44 @@ def test_training_gradient_by_differences():
         at += math.prod(shape)
 
 
+def test_a_window_is_the_plain_recurrence():
+    head = [(b"", 30), *((f"w{i}".encode(), 200 - i) for i in range(150))]
+    v = gru_lm.Vocabulary(head, 20_000, 151, {e: (40, 7) for e in range(gru_lm.ENDINGS)})
+    rng, net, n = np.random.default_rng(4), gru_lm.Network(v), gru_lm.STATE
+    for name in ("cls", "out", "bias"):
+        net.p[name][...] = rng.normal(0, 0.3, net.p[name].shape)
+    ids = rng.integers(-gru_lm.ENDINGS, 151, (6, 5))
+    symbol, cls = v.symbol(ids), np.where(ids < 0, v.classes + gru_lm.ENDINGS - 1 - ids, v.of[np.maximum(ids, 0)])
+    before, fresh, real = rng.integers(0, v.symbols, (6, 5)), rng.random((6, 5)) < 0.2, np.ones((6, 5), bool)
+    real[4:, 3:] = False
+    h = start = rng.normal(0, 0.5, (n, 5)).astype(np.float32)
+    states, past, inputs, gates, _, _, end = net.states(before, fresh, start)
+    expected, p = np.zeros((6, 5)), net.p
+    for t in range(6):
+        h = np.where(fresh[t], 0, h)
+        assert past[t] == pytest.approx(h, abs=1e-5) and inputs[t, :, :-1] == pytest.approx(p["embed"][before[t]])
+        x, a = (p["embed"][before[t]] @ p["inner"] + p["bias"]).T, p["loop"].T @ h
+        z, r = (1 / (1 + np.exp(-(x + a)[:2 * n]))).reshape(2, n, 5)
+        new = np.tanh(x[2 * n:] + r * a[2 * n:])
+        assert gates[t] == pytest.approx(np.concatenate([z, r, new]), abs=1e-5)
+        h = new + z * (h - new)
+        assert states[t] == pytest.approx(np.concatenate([h, np.ones((1, 5))]), abs=1e-5)
+        for i in range(5):
+            logits = h[:, i] @ p["cls"] + p["cls_bias"]
+            expected[t, i] = logits[cls[t, i]] - np.log(np.exp(logits).sum())
+            if cls[t, i] < v.classes:
+                inner = p["out"][cls[t, i]] @ h[:, i] + p["out_bias"][cls[t, i]]
+                expected[t, i] += inner[symbol[t, i] % gru_lm.CLASS] - np.log(np.exp(inner).sum())
+    assert end == pytest.approx(h, abs=1e-5)
+    # Places that aren't real change no gradient, whatever is in them; logits of any size are safe without ``tame``.
+    for tame in (True, False):
+        score, dh, grads = net.outputs(states, cls, symbol, real, tame, learn=True)
+        assert score[real] == pytest.approx(expected[real], abs=1e-4) and not dh.transpose(0, 2, 1)[~real].any()
+        other = np.where(real, symbol, 1)
+        again = net.outputs(states, np.where(real, cls, 0), other, real, tame, learn=True)
+        assert again[1] == pytest.approx(dh, abs=1e-6) and all(again[2][k] == pytest.approx(g, abs=1e-5) for k, g in grads.items())
+
+
 def test_scores_hang_on_the_table_alone(spark, monkeypatch):
     monkeypatch.setattr(gru_lm, "PART_TOKENS", 12_000)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
