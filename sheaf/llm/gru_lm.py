@@ -31,15 +31,17 @@ there is; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import heapq
+import itertools
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,8 @@ WINDOW, LANES, STEPS = 16, 256, 1_000  # a part takes about STEPS steps of learn
 PART_TOKENS = 4_000_000
 #: Tokens that are scored at once in a task, and words a task counts before it hands them on.
 BLOCK_TOKENS, FLUSH_WORDS = 4_000_000, 1_000_000
+#: Rows whose class logits, and weights whose changes, are worked out at once (they stay in the cache); steps of a window in scoring.
+BLOCK_ROWS, BLOCK_WEIGHTS, SCORE_WINDOW = 1_024, 16_384, 64
 END = b""  # no word is empty
 LN10 = math.log(10)
 
@@ -65,35 +69,43 @@ def held_out(key: Column, parts: int = 10) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts == 0
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of binary texts between ASCII white space, A-Z lowered, one after another; where each text's start, and their end."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null(b"").view(pa.string())))
+    words, starts = found.flatten().view(pa.binary()), found.offsets.to_numpy()
+    real = pc.not_equal(pc.binary_length(words), 0)  # white space at an end leaves an empty piece
+    return words.filter(real), np.append(0, np.cumsum(real.to_numpy(zero_copy_only=False)))[starts]
+
+
+def rows_of(lists: pa.ListArray) -> list[np.ndarray]:
+    """Each row's numbers."""
+    flat, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    return [flat[lo:hi] for lo, hi in itertools.pairwise((starts - starts[0]).tolist())]
+
+
 def corpus_counts(texts: DataFrame) -> DataFrame:
     """``word`` (binary), its class of ``ending`` and its count ``n`` over all ``texts``, end tokens included."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(held):
-            words = list(held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), pa.array(map(ending, words), pa.int32()), pa.array(held.values(), pa.int64())],
-                names=["word", "ending", "n"])
+            summed = pa.Table.from_batches(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks().to_batches()
 
-        held: Counter = Counter()
+        held, size = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                held.update((text.as_py() or b"").lower().split())
-                if len(held) > FLUSH_WORDS:
-                    yield rows(held)
-                    held.clear()
-            held[END] += batch.num_rows
+            found = words_of(batch.column(0))[0].value_counts()
+            for words, n in ((found.field("values"), found.field("counts")), (pa.array([END]), pa.array([batch.num_rows]))):
+                held.append(pa.RecordBatch.from_arrays([words, n], names=["word", "n"]))
+            size += len(found)
+            if size > FLUSH_WORDS:
+                yield from rows(held)
+                held, size = [], 0
         if held:
-            yield rows(held)
-
-    counted = texts.select(F.col("text").cast("binary")).mapInArrow(work, "word binary, ending int, n long")
-    return counted.groupBy("word", "ending").agg(F.sum("n").alias("n"))
-
+            yield from rows(held)
 
-class _Ids(dict):
-    """Numbers of head words; any other word gives -1 - its ending's class."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1 - ending(word)
+    counted = texts.select(F.col("text").cast("binary")).mapInArrow(work, "word binary, n long")
+    word = F.col("word")
+    last = F.crc32(F.concat(F.substring(word, -2, 2), F.substring(word, 1, 1))) % ENDINGS  # as :func:`ending`
+    return counted.groupBy("word").agg(F.sum("n").alias("n")).select("word", last.cast("int").alias("ending"), "n")
 
 
 class Vocabulary:
@@ -103,13 +115,14 @@ class Vocabulary:
         """``head``: words by falling count, the end token among them. ``tail``: per ending, tokens and words."""
         head = sorted(head, key=lambda e: (e[0] != END, -e[1], e[0]))
         self.total, self.distinct = total, distinct
-        self.words = [w for w, _ in head]
+        words = [w for w, _ in head]
+        self.words = pa.array(words, pa.binary())
         self.counts = np.array([n for _, n in head], np.float64)
         self.neural = max(1, min(NEURAL, len(head)))
         self.classes = -(-self.neural // CLASS)
         n = len(head)
         # The output class of a word; static classes follow the network's own.
-        endings = np.array([ending(w) for w in self.words], np.int64)
+        endings = np.array([ending(w) for w in words], np.int64)
         self.of = np.where(np.arange(n) < self.neural, np.arange(n) // CLASS, self.classes + endings)
         self.width = self.classes + 2 * ENDINGS
         smooth = self.counts + ADD
@@ -121,28 +134,29 @@ class Vocabulary:
         self.share = np.log10(smooth) - np.log10(self.mass[self.of])  # of a word in its class
         self.share[:self.neural] = 0.0
         self.base = np.log10(smooth)
-        self._index()
-
-    def _index(self):
-        self.id = _Ids((w, i) for i, w in enumerate(self.words))
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "id"}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._index()
 
     @property
     def symbols(self) -> int:
         """Inputs of the network: its words, then the static classes."""
         return self.neural + 2 * ENDINGS
 
-    def tokens(self, text: bytes | None) -> tuple[np.ndarray, list[bytes]]:
-        """Head ids of a text's tokens, -1 - ending for tail words; the tail words in order."""
-        words = (text or b"").lower().split()
-        ids = np.array([*map(self.id.__getitem__, words), self.id.get(END, 0)], np.int32)
-        return ids, [words[i] for i in np.flatnonzero(ids[:-1] < 0)]
+    def tokens(self, texts: pa.Array) -> tuple[pa.ListArray, pa.ListArray]:
+        """Head ids of the tokens of binary texts, -1 - ending for tail words; the tail words in order."""
+        words, starts = words_of(texts)
+        found = pc.index_in(words, value_set=self.words)
+        strange = found.is_null()
+        tail, unknown = words.filter(strange), strange.to_numpy(zero_copy_only=False)
+        # What an ending hangs on (see :func:`ending`); a batch has few such.
+        coded = pc.binary_join_element_wise(pc.binary_slice(tail, -2), pc.binary_slice(tail, 0, 1), b"").dictionary_encode()
+        endings = np.array([zlib.crc32(x) % ENDINGS for x in coded.dictionary.to_pylist()], np.int32)
+        # Each text's words, then its end token, which is the first word of the head.
+        n = len(texts)
+        places = np.arange(len(words)) + np.repeat(np.arange(n), np.diff(starts))
+        ids = np.zeros(len(words) + n, np.int32)
+        ids[places] = found.fill_null(0).to_numpy()
+        ids[places[unknown]] = -1 - endings[coded.indices.to_numpy()]
+        return (pa.ListArray.from_arrays((starts + np.arange(n + 1)).astype(np.int32), ids),
+                pa.ListArray.from_arrays(np.append(0, np.cumsum(unknown))[starts].astype(np.int32), tail))
 
     def symbol(self, ids: np.ndarray) -> np.ndarray:
         """Input symbol: a word of the network, or a static class."""
@@ -152,11 +166,11 @@ class Vocabulary:
 
 
 def shares(logits: np.ndarray, tame: bool) -> np.ndarray:
-    """Exponentials in place (of the distance to the largest, unless ``tame``), and their sums by column."""
+    """Exponentials in place (of the distance to the largest, unless ``tame``), and their sums by row."""
     if not tame:
-        logits -= logits.max(axis=0)
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    return logits.sum(axis=0)
+    return logits @ np.ones(logits.shape[1], np.float32)
 
 
 class Network:
@@ -182,56 +196,61 @@ class Network:
             self._views(flat.copy())
 
     def _views(self, flat: np.ndarray) -> None:
-        self.flat, self.p, at = flat, {}, 0
+        self.flat, self.p = flat, self.laid(flat)
+
+    def laid(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Parts of a flat vector by name."""
+        parts, at = {}, 0
         for name, shape in self.shapes.items():
             n = math.prod(shape)
-            self.p[name] = flat[at: at + n].reshape(shape)
+            parts[name] = flat[at: at + n].reshape(shape)
             at += n
+        return parts
 
-    def states(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray):
+    def states(self, before: np.ndarray, fresh: np.ndarray, h: np.ndarray, learn: bool = True):
         """A window's states and gates from the state ``h``, step by step; lanes are columns, so that gates are whole
-        rows. States and inputs have a last value of one, so that biases are weights."""
+        rows. States and inputs have a last value of one, so that biases are weights. Without ``learn`` states before,
+        gates and the loop's shares aren't kept."""
         p, (steps, width) = self.p, before.shape
-        # The logistic function is 1 / (1 + exp(-x)), the hyperbolic tangent 2 / (1 + exp(-2x)) - 1: the signs go into the weights.
-        scale = np.repeat(np.array([-1, -1, -2], np.float32), STATE)[:, None]
+        # The logistic function is (1 + tanh(x / 2)) / 2: the halves of x go into the weights.
+        scale = np.repeat(np.array([0.5, 0.5, 1], np.float32), STATE)[:, None]
         loop = np.ascontiguousarray(p["loop"].T * scale)
         inner = np.concatenate([p["inner"].T, p["bias"][:, None]], axis=1) * scale
         inputs = np.concatenate([p["embed"], np.ones((len(p["embed"]), 1), np.float32)], axis=1).take(before, axis=0, mode="clip")
-        gates = np.matmul(inner, inputs.transpose(0, 2, 1))
-        out = np.ones((steps, STATE + 1, width), np.float32)
-        past = np.empty((steps, STATE, width), np.float32)
-        carried = np.empty((steps, STATE, width), np.float32)  # -2 times the loop's share of the new state
+        gates = np.empty((steps if learn else 1, 3 * STATE, width), np.float32)
+        out = np.empty((steps, STATE + 1, width), np.float32)
+        out[:, STATE] = 1
+        past = carried = None
+        if learn:
+            past = np.empty((steps, STATE, width), np.float32)
+            carried = np.empty((steps, STATE, width), np.float32)  # the loop's share of the new state
         starts = fresh.any(axis=1).tolist()
-        with np.errstate(over="ignore"):
-            for t in range(steps):
-                if starts[t]:
-                    h = np.where(fresh[t], np.float32(0), h)
-                past[t] = h
-                a = loop @ h
-                zr, n = gates[t, :2 * STATE], gates[t, 2 * STATE:]
-                zr += a[:2 * STATE]
-                np.exp(zr, out=zr)
-                zr += 1
-                np.reciprocal(zr, out=zr)
-                a = a[2 * STATE:]
-                carried[t] = a
-                a *= zr[STATE:]
-                n += a
-                np.exp(n, out=n)
-                n += 1
-                np.divide(np.float32(2), n, out=n)
-                n -= 1
-                h = np.subtract(h, n, out=a)
-                h *= zr[:STATE]
-                h += n
-                out[t, :STATE] = h
+        for t in range(steps):
+            if starts[t]:
+                h = np.where(fresh[t], np.float32(0), h)
+            a = loop @ h
+            own = np.matmul(inner, inputs[t].T, out=gates[t if learn else 0])
+            zr, n = own[:2 * STATE], own[2 * STATE:]
+            zr += a[:2 * STATE]
+            np.tanh(zr, out=zr)
+            zr *= 0.5
+            zr += 0.5
+            a = a[2 * STATE:]
+            if learn:
+                past[t], carried[t] = h, a
+            a *= zr[STATE:]
+            n += a
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=a)
+            a *= zr[:STATE]
+            h = np.add(a, n, out=out[t, :STATE])
         return out, past, inputs, gates, carried, starts, h
 
     def tame(self) -> bool:
         """Whether no logit can leave the range in which exponentials are exact enough (states lie between -1 and 1)."""
-        p = self.p
-        return all(float((np.abs(p[w]).sum(axis=axis) + np.abs(np.maximum(p[b], -30))).max()) < 60
-                   for w, b, axis in (("cls", "cls_bias", 0), ("out", "out_bias", 2)))
+        p, ones = self.p, np.ones(STATE, np.float32)
+        return all(float((np.abs(w) @ ones + np.abs(np.maximum(b, -30))).max()) < 60
+                   for w, b in ((p["cls"].T, p["cls_bias"]), (p["out"].reshape(-1, STATE), p["out_bias"].ravel())))
 
     def output(self, h: np.ndarray, cls: np.ndarray, symbol: np.ndarray, learn: bool = False):
         """:meth:`outputs` for states as rows."""
@@ -243,69 +262,75 @@ class Network:
     def outputs(self, h: np.ndarray, cls: np.ndarray, symbol: np.ndarray, real: np.ndarray, tame: bool, learn: bool = False):
         """Natural log probability of class and word at each place of a window's states (see :meth:`states`), any number
         where a place isn't ``real``; with ``learn`` also the gradients."""
-        p, (steps, _, width) = self.p, h.shape
-        chance, whole = np.empty((steps, width), np.float32), bool(real.all())
+        p, v, (steps, _, width) = self.p, self.v, h.shape
+        whole, own, real = bool(real.all()), cls.ravel(), real.ravel()
+        rows = np.ascontiguousarray(h.transpose(0, 2, 1)).reshape(-1, STATE + 1)
+        chance, dh, grads = np.empty(len(rows), np.float32), None, None
         weights = np.concatenate([p["cls"], p["cls_bias"][None]])
-        turned = np.ascontiguousarray(weights.T)
-        dh = grads = None
         if learn:
-            dh, d_cls = np.empty((steps, STATE, width), np.float32), np.zeros_like(weights)
-            d_out = np.zeros((self.v.classes, CLASS, STATE + 1), np.float32)
-        lanes = np.arange(width)
-        for t in range(steps):
-            logits, own = turned @ h[t], cls[t]
+            turned, d_cls = np.ascontiguousarray(p["cls"].T), np.zeros_like(weights)
+            back = np.empty((len(rows), STATE), np.float32)
+        # Some rows at a time, whose logits stay in the cache.
+        firsts = np.arange(min(len(rows), BLOCK_ROWS)) * v.width
+        for lo in range(0, len(rows), BLOCK_ROWS):
+            some = rows[lo: lo + BLOCK_ROWS]
+            hi = lo + len(some)
+            logits, at = some @ weights, firsts[:len(some)] + own[lo:hi]
             total = shares(logits, tame)
-            picked = logits[own, lanes]
-            np.divide(picked, total, out=chance[t])
+            picked = logits.ravel().take(at)
+            np.divide(picked, total, out=chance[lo:hi])
             if learn:
-                # Shares are the column divided by its sum, less one at its class: the sum goes to the narrower factor.
-                logits[own, lanes] = picked - total
+                # Shares are the row divided by its sum, less one at its class: the sum goes to the narrower factor.
+                logits.ravel()[at] = picked - total
                 np.reciprocal(total, out=total)
                 if not whole:
-                    total *= real[t]
-                np.multiply(p["cls"] @ logits, total, out=dh[t])
-                d_cls += (h[t] * total) @ logits.T
+                    total *= real[lo:hi]
+                total = total[:, None]
+                np.multiply(logits @ turned, total, out=back[lo:hi])
+                d_cls += (some * total).T @ logits
         # Rows in the order of their classes, so that a class is a slice; static classes and other places come last.
-        flat = cls.ravel() if whole else np.where(real, cls, self.v.width).ravel()
-        order = np.argsort(flat.astype(np.uint8) if self.v.width < 255 else flat, kind="stable")
-        edges = np.searchsorted(flat[order], np.arange(self.v.classes + 1))
-        order, edges = order[:edges[-1]], edges.tolist()
-        rows = np.ascontiguousarray(h.transpose(0, 2, 1)).reshape(-1, STATE + 1).take(order, axis=0, mode="clip")
-        word, inside, places = symbol.ravel()[order] % CLASS, np.empty(len(order), np.float32), np.arange(len(order))
-        weights = np.concatenate([p["out"], p["out_bias"][:, :, None]], axis=2)
+        flat = own if whole else np.where(real, own, v.width)
+        order = np.argsort(flat.astype(np.uint8) if v.width < 255 else flat, kind="stable")
+        edges = [0, *np.cumsum(np.bincount(flat, minlength=v.classes)[:v.classes]).tolist()]
+        weights = np.concatenate([p["out"].transpose(0, 2, 1), p["out_bias"][:, None]], axis=1)
         if learn:
-            d_rows = np.empty((len(order), STATE), np.float32)
-        for c in range(self.v.classes):
-            lo, hi = edges[c], edges[c + 1]
-            if lo == hi:
-                continue
-            some, own, at = rows[lo:hi], word[lo:hi], places[:hi - lo]
-            inner = weights[c] @ some.T
-            sums = shares(inner, tame)
-            picked = inner[own, at]
-            np.divide(picked, sums, out=inside[lo:hi])
+            d_out = np.zeros((v.classes, CLASS, STATE + 1), np.float32)
+        c = 0
+        while c < v.classes:
+            # Classes of together some rows.
+            first, c = c, max(c + 1, bisect.bisect_right(edges, edges[c] + BLOCK_ROWS) - 1)
+            places = order[edges[first]: edges[c]]
+            slices = [(k, slice(edges[k] - edges[first], edges[k + 1] - edges[first])) for k in range(first, c) if edges[k] < edges[k + 1]]
+            some, logits = rows.take(places, axis=0, mode="clip"), np.empty((len(places), CLASS), np.float32)
+            for k, part in slices:
+                np.matmul(some[part], weights[k], out=logits[part])
+            at = np.arange(len(places)) * CLASS + symbol.ravel().take(places) % CLASS
+            total = shares(logits, tame)
+            picked = logits.ravel().take(at)
+            chance[places] *= picked / total
             if learn:
-                inner[own, at] = picked - sums
-                np.reciprocal(sums, out=sums)
-                np.multiply(inner.T @ p["out"][c], sums[:, None], out=d_rows[lo:hi])
-                some *= sums[:, None]
-                d_out[c] = inner @ some
-        chance.ravel()[order] *= inside
+                logits.ravel()[at] = picked - total
+                total = np.reciprocal(total, out=total)[:, None]
+                some *= total
+                d_rows = np.empty((len(places), STATE), np.float32)
+                for k, part in slices:
+                    np.matmul(logits[part], p["out"][k], out=d_rows[part])
+                    np.matmul(logits[part].T, some[part], out=d_out[k])
+                d_rows *= total
+                back[places] += d_rows
         if learn:
-            back = np.zeros((steps * width, STATE), np.float32)
-            back[order] = d_rows
-            dh += back.reshape(steps, width, STATE).transpose(0, 2, 1)
+            dh = np.ascontiguousarray(back.reshape(steps, width, STATE).transpose(0, 2, 1))
             grads = {"cls": d_cls[:STATE], "cls_bias": d_cls[STATE], "out": d_out[:, :, :STATE], "out_bias": d_out[:, :, STATE]}
         np.maximum(chance, np.float32(1e-37), out=chance)
-        return np.log(chance, out=chance), dh, grads
+        return np.log(chance, out=chance).reshape(steps, width), dh, grads
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Log10 probability of each document's classes and output words; states run through whole documents."""
         lanes = Lanes(docs, self.v, LANES)
         out = np.zeros(len(docs))
         h, tame = np.zeros((STATE, lanes.width), np.float32), self.tame()
-        for symbol, before, cls, doc, fresh in lanes.windows(4 * WINDOW):
-            states, *_, h = self.states(before, fresh, h[:, :symbol.shape[1]])
+        for symbol, before, cls, doc, fresh in lanes.windows(SCORE_WINDOW):
+            states, *_, h = self.states(before, fresh, h[:, :symbol.shape[1]], learn=False)
             real = doc >= 0
             score, _, _ = self.outputs(states, cls, symbol, real, tame)
             out += np.bincount(doc[real], score[real].astype(np.float64), len(docs))
@@ -320,11 +345,8 @@ class Network:
         """One pass of truncated backpropagation (Adagrad, whose sums are ``history``); the number of tokens."""
         lanes = Lanes(docs, self.v, max(16, min(LANES, sum(map(len, docs)) // (WINDOW * STEPS))))
         h = np.zeros((STATE, lanes.width), np.float32)
-        sums, at = {}, 0
-        for name, shape in self.shapes.items():
-            sums[name] = history[at: at + math.prod(shape)].reshape(shape)
-            at += math.prod(shape)
-        count, p = 0, self.p
+        count, p, step = 0, self.p, np.empty_like(self.flat)
+        steps_of = self.laid(step)
         for symbol, before, cls, doc, fresh in lanes.windows(WINDOW):
             states, past, inputs, gates, carried, starts, h = self.states(before, fresh, h[:, :symbol.shape[1]])
             real = doc >= 0
@@ -332,58 +354,50 @@ class Network:
             if not m:
                 continue
             _, dh, grads = self.outputs(states, cls, symbol, real, self.tame(), learn=True)
-            z, r, n = (gates[:, i * STATE: (i + 1) * STATE] for i in range(3))
-            # What a state's gradient is multiplied by on its way to each gate.
-            keep = 1 - z
-            to_z = past - n
-            to_z *= z
-            to_z *= keep
-            to_n = n * n
-            np.subtract(1, to_n, out=to_n)
-            to_n *= keep
-            to_r = carried
-            to_r *= np.float32(-0.5)
-            to_r *= r
-            np.subtract(1, r, out=keep)
-            to_r *= keep
-            da, dn = np.empty_like(gates), keep
-            back = np.zeros_like(h)
+            own, new, back = np.empty_like(gates[0]), np.empty_like(past[0]), np.zeros_like(past[0])
+            d_loop, d_inner = np.zeros(p["loop"].T.shape, np.float32), np.zeros((3 * STATE, EMBED + 1), np.float32)
+            d_inputs, turned = np.empty((*before.shape, EMBED), np.float32), np.ascontiguousarray(p["inner"].T)
             for t in range(len(symbol) - 1, -1, -1):
-                d, own = back, da[t]
-                d += dh[t]
-                np.multiply(d, to_z[t], out=own[:STATE])
-                np.multiply(d, to_n[t], out=dn[t])
-                np.multiply(dn[t], to_r[t], out=own[STATE:2 * STATE])
-                np.multiply(dn[t], r[t], out=own[2 * STATE:])
-                d *= z[t]
+                zr, n = gates[t, :2 * STATE], gates[t, 2 * STATE:]
+                d = dh[t]
+                d += back
+                rest = d * zr[:STATE]  # goes to the state before; what is left of d to the new state
+                slope = 1 - zr
+                slope *= zr
+                z, r = own[:STATE], own[STATE:2 * STATE]
+                np.subtract(past[t], n, out=z)
+                z *= d
+                z *= slope[:STATE]
+                np.multiply(n, n, out=new)
+                np.subtract(1, new, out=new)
+                d -= rest
+                new *= d
+                np.multiply(new, carried[t], out=r)
+                r *= slope[STATE:]
+                np.multiply(new, zr[STATE:], out=own[2 * STATE:])
                 back = p["loop"] @ own
-                back += d
+                back += rest
                 if starts[t]:
                     back[:, fresh[t]] = 0
-            grads["loop"] = np.matmul(past, da.transpose(0, 2, 1)).sum(axis=0)
-            da[:, 2 * STATE:] = dn  # the loop's share of the new state passes a gate, the input's doesn't
-            both = np.matmul(da, inputs).sum(axis=0).T
-            grads |= {"bias": both[EMBED], "inner": both[:EMBED]}
-            used = before.ravel()
-            order = np.argsort(used.astype(np.uint16) if len(p["embed"]) < 65_536 else used, kind="stable")
-            ranked = used[order]
-            edge = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-            rows = ranked[edge]
-            flat = np.ascontiguousarray((p["inner"] @ da).transpose(0, 2, 1)).reshape(-1, EMBED)
-            summed = np.add.reduceat(flat[order], edge, axis=0)
-            norm = np.float32(1 / math.sqrt(m))
+                d_loop += own @ np.ascontiguousarray(past[t].T)
+                own[2 * STATE:] = new  # the loop's share of the new state passes a gate, the input's doesn't
+                d_inner += own @ inputs[t]
+                np.matmul(own.T, turned, out=d_inputs[t])
+            grads |= {"bias": d_inner[:, EMBED], "inner": d_inner[:, :EMBED].T, "loop": d_loop.T}
+            places = (before * EMBED)[:, :, None] + np.arange(EMBED)
+            steps_of["embed"].ravel()[...] = np.bincount(places.ravel(), d_inputs.ravel(), p["embed"].size)
             for name, g in grads.items():
+                steps_of[name][...] = g
+            norm = 1 / math.sqrt(m)
+            for at in range(0, len(step), BLOCK_WEIGHTS):
+                g, total = step[at: at + BLOCK_WEIGHTS], history[at: at + BLOCK_WEIGHTS]
                 g *= norm
-                np.clip(g, -5, 5, out=g)
-                by = g * g
-                sums[name] += by
-                np.sqrt(sums[name], out=by)
-                np.divide(g, by, out=by)
-                by *= np.float32(rate)
-                p[name] -= by
-            g = np.clip(summed * norm, -5, 5)
-            sums["embed"][rows] += g * g
-            p["embed"][rows] -= rate * g / np.sqrt(sums["embed"][rows])
+                np.minimum(g, 5, out=g)
+                np.maximum(g, -5, out=g)
+                total += g * g
+                g /= np.sqrt(total)
+                g *= rate
+                self.flat[at: at + BLOCK_WEIGHTS] -= g
             count += m
         return count
 
@@ -413,9 +427,12 @@ class Lanes:
         self.first = np.zeros(len(self.ids), bool)
         self.first[np.cumsum(sizes) - sizes] = True
         self.start = np.cumsum(self.filled) - self.filled
-        self.symbols = vocabulary.symbol(self.ids)
-        self.classes = np.where(self.ids < 0, vocabulary.classes + ENDINGS - 1 - self.ids, vocabulary.of[np.maximum(self.ids, 0)]).astype(np.int32)
-        self.before = np.where(self.first, 0, np.append(np.int32(0), self.symbols[:-1]))  # symbol 0 is the end token
+        # By one lookup: symbols and classes of every id, from the lowest (the last ending's tail) on.
+        known = np.arange(-ENDINGS, len(vocabulary.of), dtype=np.int32)
+        shifted = self.ids + np.int32(ENDINGS)
+        self.symbols = vocabulary.symbol(known).take(shifted)
+        self.classes = np.where(known < 0, vocabulary.classes + ENDINGS - 1 - known, vocabulary.of[np.maximum(known, 0)]).astype(np.int32).take(shifted)
+        self.before = np.where(self.first, np.int32(0), np.append(np.int32(0), self.symbols[:-1]))  # symbol 0 is the end token
 
     def windows(self, steps: int):
         """(symbols, symbols before, classes, documents or -1, fresh starts) of each window, lanes as columns."""
@@ -424,7 +441,7 @@ class Lanes:
             width = int(np.count_nonzero(self.filled > at))
             step = at + np.arange(min(steps, int(self.filled[0]) - at))
             place = np.where(step[:, None] < self.filled[None, :width], self.start[None, :width] + step[:, None], nothing)
-            yield self.symbols[place], self.before[place], self.classes[place], self.doc[place], self.first[place]
+            yield tuple(x.take(place) for x in (self.symbols, self.before, self.classes, self.doc, self.first))
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -450,8 +467,7 @@ def tokenised(texts: DataFrame, v: Vocabulary, rounds: int, parts: int, held: Co
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, tails = zip(*(words.value.tokens(t.as_py()) for t in batch.column(4)), strict=True) if batch.num_rows else ((), ())
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), pa.array(ids, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.binary()))],
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *words.value.tokens(batch.column(4))],
                                              names=["doc_id", "round", "part", "deal", "ids", "tail"])
 
     tokens = dealt.mapInArrow(work, "doc_id long, round int, part int, deal long, ids array<int>, tail array<binary>")
@@ -495,12 +511,12 @@ def train(tokens: DataFrame, v: Vocabulary, rounds: int, parts: int) -> Network:
                                                    pa.array([np.concatenate([own.flat, history]).tobytes()], pa.binary())], names=["part", "n", "w"])
 
             for batch in batches:
-                for p, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for p, ids in zip(batch.column(0).to_pylist(), rows_of(batch.column(1)), strict=True):
                     if p != part and held:
                         yield result()
                         held = []
                     part = p
-                    held.append(np.array(ids.values, np.int32))
+                    held.append(ids)
             if held:
                 yield result()
 
@@ -526,33 +542,33 @@ def log_likelihood(docs: DataFrame, parts: int = 10) -> DataFrame:
     tokens = tokenised(texts, v, *plan, held)
     network = texts.sparkSession.sparkContext.broadcast(train(tokens, v, *plan))
 
-    def scored(model: Network, doc_ids: list, ids: list[np.ndarray], tails: list) -> pa.RecordBatch:
-        own = model.v
-        tail_mass = np.log10(own.mass[own.classes + ENDINGS:])
-        score = model.score(ids)
-        head = [x[x >= 0] for x in ids]
-        base = [float(own.base[x].sum()) for x in head]
-        static = [float(own.share[x].sum() - tail_mass[-1 - y[y < 0]].sum()) for x, y in zip(head, ids, strict=True)]
-        known = [int((own.counts[x] > 0).sum()) for x in head]
+    def scored(model: Network, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        own, ids = model.v, [x for part in parts for x in rows_of(part.column(1))]
+        sizes = np.array([*map(len, ids)], np.int64)
+        doc, flat = np.repeat(np.arange(len(ids)), sizes), np.concatenate(ids) + ENDINGS
+        # What a token adds, by id from the lowest (the last ending's tail) on.
+        none, tail_mass = np.zeros(ENDINGS), np.log10(own.mass[own.classes + ENDINGS:])
+        known, base, static = (np.bincount(doc, np.append(tail, head).take(flat), len(ids))
+                               for tail, head in ((none, own.counts > 0), (none, own.base), (-tail_mass[::-1], own.share)))
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids, pa.int64()), pa.array(map(len, ids), pa.int64()), pa.array(known, pa.int64()), pa.array(base),
-             pa.array(score + np.array(static)), pa.array(tails, pa.list_(pa.binary()))],
+            [pa.concat_arrays([part.column(0) for part in parts]), pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(base),
+             pa.array(model.score(ids) + static), pa.concat_arrays([part.column(2) for part in parts])],
             names=["doc_id", "n_tokens", "head_known", "head_base", "head_score", "tail"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = network.value
-        doc_ids, ids, tails, held = [], [], [], 0
+        parts, held = [], 0
         for batch in batches:
-            for doc_id, own, tail in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                doc_ids.append(doc_id)
-                ids.append(np.array(own.values, np.int32))
-                tails.append(tail.as_py())
-                held += len(ids[-1])
+            start = 0
+            for i, size in enumerate(batch.column(1).value_lengths().to_pylist(), 1):
+                held += size
                 if held > BLOCK_TOKENS:
-                    yield scored(model, doc_ids, ids, tails)
-                    doc_ids, ids, tails, held = [], [], [], 0
-        if ids:
-            yield scored(model, doc_ids, ids, tails)
+                    yield scored(model, [*parts, batch.slice(start, i - start)])
+                    parts, held, start = [], 0, i
+            if start < batch.num_rows:
+                parts.append(batch.slice(start))
+        if parts:
+            yield scored(model, parts)
 
     own = tokens.select("doc_id", "ids", "tail").mapInArrow(work, "doc_id long, n_tokens long, head_known long, head_base double, head_score double, tail array<binary>")
     own = materialise(own.withColumn("uid", F.monotonically_increasing_id()), "lm-scores")

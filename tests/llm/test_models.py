@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,6 +149,56 @@ def test_a_window_is_the_plain_recurrence():
         assert again[1] == pytest.approx(dh, abs=1e-6) and all(again[2][k] == pytest.approx(g, abs=1e-5) for k, g in grads.items())
 
 
+def test_tokens_are_cut_as_bytes_are(spark):
+    """Texts cut in Arrow, whole batches at once: words, numbers, tail words and counts as by ``bytes.lower().split()``."""
+    texts = [None, "", " ", "  a  B ", "w\tE\r\nfoo\x0bBar\x0cw ", "\x00 x\x1cz \x85q \xa0", "\u0130 \u00c9A \u2003 \u6f22 i", "a", "ab ab abc A"]
+    raw = [None if x is None else x.encode() for x in texts] + [b"\xff\xfe \xc3 Q"]
+    head = [(b"", 9), (b"a", 5), (b"ab", 4), (b"w", 3), ("\u00c9a".encode(), 2)]
+    v = gru_lm.Vocabulary(head, 100, 20, {})
+    known = {b"": 0, b"a": 1, b"ab": 2, b"w": 3, "\u00c9a".encode(): 4}
+    for rows in (raw, raw[3:7], raw[:1], []):
+        batch = pa.array([b"left out", *rows], pa.binary()).slice(1)
+        ids, tail = v.tokens(batch)
+        words = [[*(x or b"").lower().split(), b""] for x in rows]
+        assert ids.to_pylist() == [[known.get(w, -1 - gru_lm.ending(w)) for w in x] for x in words]
+        assert tail.to_pylist() == [[w for w in x if w not in known] for x in words]
+        assert [x.tolist() for x in gru_lm.rows_of(ids)] == ids.to_pylist()
+    seen = Counter(w for x in texts for w in tokens(x))
+    counts = gru_lm.corpus_counts(spark.createDataFrame([(x,) for x in texts], "text string"))
+    assert sorted((bytes(r.word), r.ending, r.n) for r in counts.collect()) == sorted((w, gru_lm.ending(w), n) for w, n in seen.items())
+
+
+def test_counts_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(gru_lm, "FLUSH_WORDS", 3)
+    docs = spark.createDataFrame([(f"w{i % 5} w{i % 3} x{i}",) for i in range(40)], "text string").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        found = {bytes(r.word): r.n for r in gru_lm.corpus_counts(docs).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found == Counter(w for i in range(40) for w in tokens(f"w{i % 5} w{i % 3} x{i}"))
+
+
+def test_scoring_keeps_states_only(monkeypatch):
+    """Scoring computes the states that learning does, without what only gradients need; classes in blocks change nothing."""
+    v = gru_lm.Vocabulary([(b"", 30), *((f"w{i}".encode(), 200 - i) for i in range(150))], 20_000, 151, {})
+    rng, net = np.random.default_rng(5), gru_lm.Network(v)
+    for name in ("cls", "out", "bias"):
+        net.p[name][...] = rng.normal(0, 0.3, net.p[name].shape)
+    symbol, before, fresh = rng.integers(0, 151, (6, 40)), rng.integers(0, v.symbols, (6, 40)), rng.random((6, 40)) < 0.2
+    start = rng.normal(0, 0.5, (gru_lm.STATE, 40)).astype(np.float32)
+    full, bare = (net.states(before, fresh, start, learn) for learn in (True, False))
+    assert np.array_equal(full[0], bare[0]) and np.array_equal(full[6], bare[6])
+    assert bare[1] is None and bare[4] is None and len(bare[3]) == 1
+    cls, real = v.of[symbol], np.ones((6, 40), bool)
+    whole = net.outputs(full[0], cls, symbol, real, True, learn=True)
+    for rows in (1, 37):
+        monkeypatch.setattr(gru_lm, "BLOCK_ROWS", rows)
+        some = net.outputs(full[0], cls, symbol, real, True, learn=True)
+        assert some[0] == pytest.approx(whole[0], abs=1e-5) and some[1] == pytest.approx(whole[1], abs=1e-5)
+        assert all(some[2][k] == pytest.approx(g, abs=1e-4) for k, g in whole[2].items())
+
+
 def test_scores_hang_on_the_table_alone(spark, monkeypatch):
     monkeypatch.setattr(gru_lm, "PART_TOKENS", 12_000)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
