@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.llm.common import frequent, materialise, tuned
+from sheaf.llm.common import batches_of_text, frequent, materialise, tuned
 from sheaf.session import scratch_path
 
 ADD = 0.1  # fixed value: added to every count
@@ -53,8 +53,8 @@ HEAD, NEURAL, CLASS, ENDINGS = 65_536, 2_048, 64, 24
 EMBED, STATE = 16, 24
 WINDOW, LANES, STEPS = 16, 256, 1_000  # a part takes about STEPS steps of learning, or more with all LANES in use
 PART_TOKENS = 4_000_000
-#: Tokens that are scored at once in a task, and words a task counts before it hands them on.
-BLOCK_TOKENS, FLUSH_WORDS = 4_000_000, 1_000_000
+#: Bytes of text that are cut into words at once (one text at least), tokens that are scored at once in a task, and words a task counts before it hands them on.
+BATCH_BYTES, BLOCK_TOKENS, FLUSH_WORDS = 1 << 24, 4_000_000, 1_000_000
 #: Rows whose class logits, and weights whose changes, are worked out at once (they stay in the cache); steps of a window in scoring.
 BLOCK_ROWS, BLOCK_WEIGHTS, SCORE_WINDOW = 1_024, 16_384, 64
 END = b""  # no word is empty
@@ -91,7 +91,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
             return summed.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks().to_batches()
 
         held, size = [], 0
-        for batch in batches:
+        for batch in batches_of_text(batches, BATCH_BYTES):
             found = words_of(batch.column(0))[0].value_counts()
             for words, n in ((found.field("values"), found.field("counts")), (pa.array([END]), pa.array([batch.num_rows]))):
                 held.append(pa.RecordBatch.from_arrays([words, n], names=["word", "n"]))
@@ -102,7 +102,7 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
         if held:
             yield from rows(held)
 
-    counted = texts.select(F.col("text").cast("binary")).mapInArrow(work, "word binary, n long")
+    counted = texts.select(F.col("text").cast("binary").alias("text")).mapInArrow(work, "word binary, n long")
     word = F.col("word")
     last = F.crc32(F.concat(F.substring(word, -2, 2), F.substring(word, 1, 1))) % ENDINGS  # as :func:`ending`
     return counted.groupBy("word").agg(F.sum("n").alias("n")).select("word", last.cast("int").alias("ending"), "n")
@@ -466,7 +466,7 @@ def tokenised(texts: DataFrame, v: Vocabulary, rounds: int, parts: int, held: Co
                          (part % parts).cast("int").alias("part"), deal.alias("deal"), F.col("text").cast("binary").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches_of_text(batches, BATCH_BYTES):
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(4)), *words.value.tokens(batch.column(4))],
                                              names=["doc_id", "round", "part", "deal", "ids", "tail"])
 

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheaf.llm import gru_lm, pairwise, secret_scan
+from sheaf.llm.gru_lm import END
 from tests.llm.helpers import odd_documents, tuples
 
 SF = "/root/testdata/sf0.01"
@@ -168,8 +169,10 @@ def test_tokens_are_cut_as_bytes_are(spark):
     assert sorted((bytes(r.word), r.ending, r.n) for r in counts.collect()) == sorted((w, gru_lm.ending(w), n) for w, n in seen.items())
 
 
-def test_counts_in_portions(spark, monkeypatch):
+@pytest.mark.parametrize("size", [1, 30, 1 << 24])
+def test_counts_in_portions(spark, monkeypatch, size):
     monkeypatch.setattr(gru_lm, "FLUSH_WORDS", 3)
+    monkeypatch.setattr(gru_lm, "BATCH_BYTES", size)
     docs = spark.createDataFrame([(f"w{i % 5} w{i % 3} x{i}",) for i in range(40)], "text string").coalesce(1)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
     try:
@@ -177,6 +180,10 @@ def test_counts_in_portions(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert found == Counter(w for i in range(40) for w in tokens(f"w{i % 5} w{i % 3} x{i}"))
+    v = gru_lm.Vocabulary([(END, 40), (b"w1", 9)], 160, 46, {})
+    cut = gru_lm.tokenised(docs.select(F.lit(1).cast("long").alias("doc_id"), "text"), v, 1, 1, F.lit(False)).select("ids", "tail").collect()
+    expected = [[w for w in tokens(f"w{i % 5} w{i % 3} x{i}") if w not in (END, b"w1")] for i in range(40)]
+    assert sorted([bytes(w) for w in r.tail] for r in cut) == sorted(expected) and {len(r.ids) for r in cut} == {4}
 
 
 def test_scoring_keeps_states_only(monkeypatch):
