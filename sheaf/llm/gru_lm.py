@@ -550,6 +550,7 @@ def log_likelihood(docs: DataFrame, parts: int = 10) -> DataFrame:
         none, tail_mass = np.zeros(ENDINGS), np.log10(own.mass[own.classes + ENDINGS:])
         known, base, static = (np.bincount(doc, np.append(tail, head).take(flat), len(ids))
                                for tail, head in ((none, own.counts > 0), (none, own.base), (-tail_mass[::-1], own.share)))
+        del doc, flat  # not held while the network runs
         return pa.RecordBatch.from_arrays(
             [pa.concat_arrays([part.column(0) for part in parts]), pa.array(sizes), pa.array(known.astype(np.int64)), pa.array(base),
              pa.array(model.score(ids) + static), pa.concat_arrays([part.column(2) for part in parts])],
